@@ -87,3 +87,16 @@ def finite_or(c, default) -> Column:
     """NaN, +/-inf and null -> ``default`` (0 for training and stored vectors, null before scoring)."""
     x = _col(c)
     return F.when(is_finite(x), x).otherwise(F.lit(default).cast("double"))
+
+
+def typed(df, name: str, to: str) -> Column:
+    """Column ``name`` of ``df`` as type ``to``: tolerant text parsing for strings,
+    a plain ``try_cast`` for other types, nothing when the type already matches."""
+    dtype = df.schema[name].dataType.simpleString()
+    if dtype == to:
+        return F.col(name)
+    if dtype == "string":
+        return safe_cast(F.col(name), to)
+    if to in ("int", "bigint") and dtype in ("double", "float"):
+        return narrow_double(F.col(name), to)
+    return F.col(name).try_cast(to)

@@ -32,7 +32,7 @@ def _recast(df: DataFrame, metrics: list[str], date_col: str) -> DataFrame:
 
 
 def build_features(df: DataFrame, metrics: list[str] = METRICS, horizon_days: int = 30,
-                   date_col: str = "as_of_date", tiebreak: bool = True,
+                   date_col: str = "as_of_date", tiebreak: bool = False,
                    dedupe: bool = False) -> DataFrame:
     """Offline feature table: 9x5 rolling stats + age + look-ahead label + partition keys.
 
