@@ -1,7 +1,247 @@
-"""Registered queries for merges, audit, sources and sinks."""
+"""Registered queries for merges, audit, files, links, jobs and streaming."""
 
 from __future__ import annotations
 
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from fleetlens.operators import canonical as CA
+from fleetlens.operators import cohort as CO
+from fleetlens.operators import features as FE
+from fleetlens.operators import merge as MG
+from fleetlens.operators import model as MO
+from fleetlens.plans import adapters as AD
+from fleetlens.plans import jobs as JB
+from fleetlens.plans import registry as RG
+from fleetlens.plans.catalog import round6
+from fleetlens.schema import METRICS, model_feature_names
+from fleetlens.session import scratch_path
+from fleetlens.sources import csv as CSV
+from fleetlens.sources import links as LK
+from fleetlens.sources import warehouse as WH
+from fleetlens.sources import zipcsv as ZC
+
+
+def _last(col="drive_id"):
+    return F.substring(col, 7, 1)
+
+
+def q_merge_drives(spark, d):
+    dr = AD.drives(AD.telemetry_events(spark, d))
+    cur = dr.where(_last() < "7")
+    inc = dr.where(_last() >= "4").select(
+        "drive_id", F.concat("model", F.lit("x")).alias("model"),
+        F.when(_last() == "5", F.lit(None)).otherwise(F.col("capacity_bytes") * 2).cast("bigint")
+        .alias("capacity_bytes"),
+        F.lit("dc-new").alias("datacenter"), F.date_sub("first_seen", 3).alias("first_seen"),
+        F.date_sub("last_seen", 1).alias("last_seen"))
+    return MG.merge_drives(cur, inc)
+
+
+def q_merge_features(spark, d):
+    cur = AD.telemetry_daily(AD.telemetry_events(spark, d))
+    upd = cur.where(F.col("day") >= F.lit("2024-01-25").cast("date")).withColumn(
+        "smart_5_raw", F.col("smart_5_raw") * 2)
+    new = cur.where(_last() == "0").withColumn("day", F.date_add("day", 31))
+    return round6(MG.merge_by_key(cur, upd.unionByName(new), ["drive_id", "day"]))
+
+
+def q_merge_predictions(spark, d):
+    tel = AD.telemetry_events(spark, d)
+    cur = AD.predictions(tel)
+    last = CO.latest_day(tel, "as_of_date")
+    upd = cur.where((F.col("day") == F.lit(last)) & (F.col("model_version") == "v2")).withColumns({
+        "risk_score": F.col("risk_score") / 2,
+        "scored_at": F.col("scored_at") + F.expr("INTERVAL 1 DAY")})
+    upd = upd.withColumn("risk_bucket", F.when(F.col("risk_score") >= 0.75, "HIGH")
+                         .when(F.col("risk_score") >= 0.4, "MED").otherwise("LOW"))
+    new = cur.where((_last() == "3") & (F.col("model_version") == "v2")).withColumn("model_version", F.lit("v3"))
+    return round6(MG.merge_by_key(cur, upd.unionByName(new), ["drive_id", "day", "model_version"]))
+
+
+def q_insert_if_absent(spark, d):
+    dr = AD.drives(AD.telemetry_events(spark, d))
+    cur = dr.where(_last() < "5")
+    inc = dr.unionByName(dr.withColumn("model", F.concat(F.lit("Z"), "model")))
+    return MG.insert_if_absent(cur, inc, ["drive_id"])
+
+
+def q_audit_event(spark, d):
+    tel = AD.telemetry_events(spark, d)
+    last = CO.latest_day(tel, "as_of_date")
+    sel = CO.select_cohort(tel, last, 45, 25, 100, "as_of_date")
+    t = CO.cohort_telemetry(tel, sel, last - dt.timedelta(days=45), last, 100, "as_of_date")
+    counts = t.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("drive_id").alias("drives"))
+    a = RG.audit_from_counts(counts, "INGESTION", {
+        "latest_day": F.lit(str(last)), "selected_drives": F.col("drives"), "min_history_days": F.lit(25),
+        "inserted_telemetry_rows": F.col("rows")})
+    return a.select("action", "drive_id", "payload")
+
+
+# -- files ----------------------------------------------------------------------------
+def q_ingest_csv(spark, d):
+    path = scratch_path(spark, "csv")
+    CSV.write_csv_text(AD.raw_text(spark, d), path)
+    return CSV.ingest_csv(spark, path)
+
+
+def _drift_parts(spark, d):
+    ev = AD.table(spark, d, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    day = F.to_date("ts").cast("string")
+    serial = F.concat(F.lit("U"), F.col("user_id").cast("string"))
+    a = ev.where(F.col("event_id") % 2 == 0).select(
+        day.alias("Day"), serial.alias("serial"), F.lit(" M1").alias("model_name"),
+        F.when(F.col("event_type") == "error", "1").otherwise("0").alias("failure"),
+        F.col("value").cast("string").alias("smart_5"))
+    b = ev.where(F.col("event_id") % 2 == 1).select(
+        F.col("value").cast("string").alias("temperature_raw"),
+        F.when(F.col("event_type") == "error", "1").otherwise("0").alias("is_failed_today"),
+        serial.alias("serial_number"), F.lit("M2 ").alias("model"), day.alias("date"),
+        F.col("value").cast("string").alias("smart_5_raw"))
+    return a, b
+
+
+def q_ingest_csv_drift(spark, d):
+    a, b = _drift_parts(spark, d)
+    root = scratch_path(spark, "csv-drift")
+    CSV.write_csv_text(a, f"{root}/a")
+    CSV.write_csv_text(b, f"{root}/b")
+    return CSV.ingest_csv(spark, root)
+
+
+def q_ingest_zip_csv(spark, d):
+    root = scratch_path(spark, "zip")
+    ZC.write_zip_csv(AD.raw_text(spark, d).repartition(4), root).collect()
+    return ZC.read_zip_csv(spark, root)
+
+
+def q_skip_metadata_entries(spark, d):
+    root = scratch_path(spark, "zip-meta")
+    ZC.write_zip_csv(AD.raw_text(spark, d).repartition(3), root).collect()
+    return ZC.zip_lines(spark, root).where(F.col("line_no") == 0).select(
+        F.regexp_extract("entry", r"([^/]*)$", 1).alias("entry_name"), F.col("line").alias("header"))
+
+
+def q_write_warehouse(spark, d):
+    path = scratch_path(spark, "warehouse")
+    df = CA.drop_null_keys(CA.canonicalize(AD.raw_text(spark, d)))
+    WH.write_partitioned(df, path, mode="append")
+    return WH.scan_warehouse(spark, path)
+
+
+def q_scan_warehouse(spark, d):
+    path = scratch_path(spark, "warehouse-ship")
+    t = AD.telemetry_ship(spark, d).withColumnRenamed("as_of_date", "date")
+    WH.write_partitioned(t, path, mode="overwrite")
+    s = WH.scan_warehouse(spark, path, "1998-01-15", "1998-03-31")
+    return round6(s.select("serial_number", "date", "smart_5_raw", "year", "month"))
+
+
+def q_write_features(spark, d):
+    path = scratch_path(spark, "features")
+    f = FE.build_features(AD.telemetry_ship(spark, d), METRICS, 30)
+    WH.write_partitioned(f.drop("year", "month"), path, mode="overwrite", date_col="as_of_date")
+    return round6(WH.scan_warehouse(spark, path))
+
+
+def q_load_telemetry(spark, d):
+    tel = AD.telemetry_events(spark, d)
+    last = CO.latest_day(tel, "as_of_date")
+    sel = CO.select_cohort(tel, last, 45, 25, 100, "as_of_date")
+    t = CO.cohort_telemetry(tel, sel, last - dt.timedelta(days=45), last, 100, "as_of_date")
+    path = scratch_path(spark, "telemetry")
+    WH.load_telemetry(t, path, clear=True)
+    back = spark.read.parquet(path)
+    return back.withColumn("day", F.col("day").cast("date")).select(*t.columns)
+
+
+def q_page_links(spark, d):
+    return LK.page_links(AD.table(spark, d, "pages")).select("page_id", "pos", "href", "link")
+
+
+def q_dataset_links(spark, d):
+    return LK.extract_dataset_links(AD.table(spark, d, "pages"), suffix="", markers=["example.com"])
+
+
+def q_limit_rows(spark, d):
+    t = AD.telemetry_ship(spark, d)
+    return round6(t.orderBy("serial_number", "as_of_date").limit(1000).select(
+        "serial_number", "as_of_date", "smart_5_raw"))
+
+
+def q_sample_rows(spark, d):
+    t = AD.telemetry_ship(spark, d)
+    bucket = F.pmod(F.xxhash64("serial_number", "as_of_date"), F.lit(100))
+    return t.where(bucket < 10).select("serial_number", "as_of_date")
+
+
+def q_dataset_hash(spark, d):
+    links = LK.page_links(AD.table(spark, d, "pages"))
+    h = F.xxhash64("page_id", "pos", "link")
+    a = links.agg(F.count(F.lit(1)).alias("n"), F.sum(h.cast("decimal(38,0)")).alias("s"),
+                  F.bit_xor(h).alias("x"))
+    return a.select(F.sha2(F.concat_ws("|", "n", "s", "x"), 256).alias("dataset_hash"))
+
+
+# -- jobs ---------------------------------------------------------------------------------
+def q_backfill_cohort(spark, d):
+    tel = AD.telemetry_events(spark, d)
+    r = JB.backfill_fleet(tel, None, 45, 25, 100, date_col="as_of_date")
+    return r.audit.select(F.from_json("payload", "latest_day string, start_day string, selected_drives bigint, "
+                                                 "min_history_days int, inserted_telemetry_rows bigint").alias("p")
+                          ).select("p.*")
+
+
+def q_score_run(spark, d):
+    tel = AD.telemetry_events(spark, d)
+    app = AD.telemetry_daily(tel)
+    run = JB.run_scoring(app, AD.drives(tel), None, MO.fixed_model(model_feature_names()))
+    return JB.score_run_summary(run)
+
+
+def _trained(spark, d):
+    f = FE.build_features(AD.telemetry_events(spark, d), METRICS, 7)
+    return JB.train(f, horizon_days=7, test_months=9, version="events-h7", max_iter=50)
+
+
+def q_train_logistic(spark, d):
+    run = _trained(spark, d)
+    m = {k: v for k, v in run.metrics.items() if k != "calibration"}
+    return spark.createDataFrame([m])
+
+
+def q_active_model(spark, d):
+    run = _trained(spark, d)
+    good = JB.register(spark, run, "memory://events-h7")
+    bad = RG.registry_row(spark, "partial", "memory://partial", {}, run.model.features, {}, 7, status="incomplete",
+                          train_date=dt.datetime(2100, 1, 1))
+    return RG.active_model(good.unionByName(bad)).select("model_version", "horizon_days", "status")
+
+
+def q_stream_landing(spark, d):
+    from fleetlens.streaming.landing import ingest_landing
+    root = scratch_path(spark, "landing")
+    raw = AD.raw_text(spark, d)
+    CSV.write_csv_text(raw, f"{root}/in")
+    ingest_landing(spark, f"{root}/in", f"{root}/table", raw.columns, fmt="csv", checkpoint=f"{root}/ckpt")
+    # a second run finds no new files and must add nothing
+    ingest_landing(spark, f"{root}/in", f"{root}/table", raw.columns, fmt="csv", checkpoint=f"{root}/ckpt")
+    return spark.read.parquet(f"{root}/table").drop("year", "month")
+
 
 def queries() -> dict:
-    return {}
+    return {
+        "merge_drives": q_merge_drives, "merge_features": q_merge_features,
+        "merge_predictions": q_merge_predictions, "insert_if_absent": q_insert_if_absent,
+        "audit_event": q_audit_event,
+        "ingest_csv": q_ingest_csv, "ingest_csv_drift": q_ingest_csv_drift, "ingest_zip_csv": q_ingest_zip_csv,
+        "skip_metadata_entries": q_skip_metadata_entries,
+        "write_warehouse": q_write_warehouse, "scan_warehouse": q_scan_warehouse,
+        "write_features": q_write_features, "load_telemetry": q_load_telemetry,
+        "page_links": q_page_links, "dataset_links": q_dataset_links,
+        "limit_rows": q_limit_rows, "sample_rows": q_sample_rows, "dataset_hash": q_dataset_hash,
+        "backfill_cohort": q_backfill_cohort, "score_run": q_score_run,
+        "train_logistic": q_train_logistic, "active_model": q_active_model,
+        "stream_landing": q_stream_landing,
+    }

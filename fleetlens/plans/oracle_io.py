@@ -1,7 +1,129 @@
-"""Oracle SQL for merges, audit, sources and sinks."""
+"""Oracle SQL for merges, audit, files, links and jobs (file round trips compare to the source rows)."""
 
 from __future__ import annotations
 
+from fleetlens.plans.oracle import build_features_sql, with_adapters as W
+from fleetlens.plans.oracle_more import CANON, COHORT
+from fleetlens.plans.oracle_model import FFD, model_sql
+
+TEL_COLS = ["smart_5_raw", "smart_187_raw", "smart_188_raw", "smart_197_raw", "smart_198_raw", "smart_199_raw",
+            "temperature"]
+R6_TEL = ", ".join(f"round({c}, 6) AS {c}" for c in TEL_COLS)
+
+LINK_RULE = r"""
+  CASE WHEN regexp_matches(h, '^[A-Za-z][A-Za-z0-9+.\-]*:') THEN h
+       WHEN starts_with(h, '//') THEN regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.\-]*):', 1) || ':' || h
+       WHEN starts_with(h, '/') THEN regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)', 1) || h
+       WHEN starts_with(h, '?') THEN regexp_replace(regexp_replace(url, '#.*$', ''), '\?.*$', '') || h
+       WHEN starts_with(h, '#') THEN regexp_replace(url, '#.*$', '') || h
+       WHEN h = '' THEN regexp_replace(url, '#.*$', '')
+       ELSE regexp_replace(regexp_replace(regexp_replace(url, '#.*$', ''), '\?.*$', ''), '[^/]*$', '') || h END"""
+
+LINKS = r"""links AS (
+  SELECT page_id, pos, h AS href, """ + LINK_RULE + r""" AS link
+  FROM (SELECT page_id, url, trim(replace(hr, '&amp;', '&')) AS h, pos
+        FROM (SELECT page_id, url,
+                     unnest(regexp_extract_all(html, '(?i)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["'']', 1)) AS hr,
+                     unnest(range(len(regexp_extract_all(html, '(?i)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["'']', 1)))) AS pos
+              FROM pages)))"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    m, z, _reasons = model_sql()
+    tel_q = """
+SELECT t.serial_number AS drive_id, t.as_of_date AS day,
+  TRY_CAST(t.smart_5_raw AS BIGINT) AS smart_5, TRY_CAST(t.smart_187_raw AS BIGINT) AS smart_187,
+  TRY_CAST(t.smart_188_raw AS BIGINT) AS smart_188, TRY_CAST(t.smart_197_raw AS BIGINT) AS smart_197,
+  TRY_CAST(t.smart_198_raw AS BIGINT) AS smart_198, TRY_CAST(t.smart_199_raw AS BIGINT) AS smart_199,
+  TRY_CAST(t.temperature AS DOUBLE) AS temperature,
+  CASE WHEN TRY_CAST(t.failure AS INTEGER) = 1 THEN TRUE ELSE FALSE END AS is_failed_today,
+  COALESCE(sd.model, NULLIF(TRIM(t.model), ''), 'UNKNOWN') AS model,
+  COALESCE(sd.capacity_bytes, TRY_CAST(t.capacity_bytes AS BIGINT)) AS capacity_bytes
+FROM telemetry_events t JOIN selected sd ON t.serial_number = sd.serial_number, bounds
+WHERE t.serial_number IS NOT NULL AND t.as_of_date BETWEEN latest - 45 AND latest"""
+    canon_nonnull = f"SELECT * FROM ({CANON}) WHERE date IS NOT NULL AND serial_number IS NOT NULL"
+    drift_null = ", ".join(f"CAST(NULL AS DOUBLE) AS {c}" for c in (
+        "smart_187_raw", "smart_188_raw", "smart_197_raw", "smart_198_raw", "smart_199_raw", "smart_241_raw",
+        "smart_242_raw"))
+    return {
+        "merge_drives": W("drives_app") + """, cur AS (SELECT * FROM drives_app WHERE substr(drive_id, 7, 1) < '7'),
+inc AS (SELECT drive_id, model || 'x' AS model,
+               CAST(CASE WHEN substr(drive_id, 7, 1) = '5' THEN NULL ELSE capacity_bytes * 2 END AS BIGINT) AS capacity_bytes,
+               'dc-new' AS datacenter, first_seen - 3 AS first_seen, last_seen - 1 AS last_seen
+        FROM drives_app WHERE substr(drive_id, 7, 1) >= '4')
+SELECT coalesce(n.drive_id, c.drive_id) AS drive_id,
+  CASE WHEN n.drive_id IS NOT NULL THEN n.model ELSE c.model END AS model,
+  coalesce(n.capacity_bytes, c.capacity_bytes) AS capacity_bytes,
+  CASE WHEN n.drive_id IS NOT NULL THEN n.datacenter ELSE c.datacenter END AS datacenter,
+  least(c.first_seen, n.first_seen) AS first_seen, greatest(c.last_seen, n.last_seen) AS last_seen
+FROM cur c FULL OUTER JOIN inc n ON c.drive_id = n.drive_id""",
+        "merge_features": W("telemetry_app") + f""", inc AS (
+  SELECT drive_id, day, smart_5_raw * 2 AS smart_5_raw, smart_187_raw, smart_188_raw, smart_197_raw,
+         smart_198_raw, smart_199_raw, temperature, is_failed_today
+  FROM telemetry_app WHERE day >= DATE '2024-01-25'
+  UNION ALL
+  SELECT drive_id, day + 31, smart_5_raw, smart_187_raw, smart_188_raw, smart_197_raw, smart_198_raw,
+         smart_199_raw, temperature, is_failed_today
+  FROM telemetry_app WHERE substr(drive_id, 7, 1) = '0'),
+m AS (SELECT * FROM inc UNION ALL
+      SELECT * FROM telemetry_app t WHERE NOT EXISTS (SELECT 1 FROM inc i WHERE i.drive_id = t.drive_id AND i.day = t.day))
+SELECT drive_id, day, {R6_TEL}, is_failed_today FROM m""",
+        "merge_predictions": W("predictions_app", "telemetry_events") + """, lastday AS (SELECT max(as_of_date) AS d FROM telemetry_events),
+upd AS (SELECT drive_id, day, model_version, risk_score / 2 AS risk_score,
+               CASE WHEN risk_score / 2 >= 0.75e0 THEN 'HIGH' WHEN risk_score / 2 >= 0.4e0 THEN 'MED' ELSE 'LOW' END AS risk_bucket,
+               scored_at + INTERVAL 1 DAY AS scored_at
+        FROM predictions_app, lastday WHERE day = lastday.d AND model_version = 'v2'),
+inc AS (SELECT * FROM upd UNION ALL
+        SELECT drive_id, day, 'v3', risk_score, risk_bucket, scored_at FROM predictions_app
+        WHERE substr(drive_id, 7, 1) = '3' AND model_version = 'v2'),
+m AS (SELECT * FROM inc UNION ALL
+      SELECT * FROM predictions_app p WHERE NOT EXISTS (
+        SELECT 1 FROM inc i WHERE i.drive_id = p.drive_id AND i.day = p.day AND i.model_version = p.model_version))
+SELECT drive_id, day, model_version, round(risk_score, 6) AS risk_score, risk_bucket, scored_at FROM m""",
+        "insert_if_absent": W("drives_app") + """, cur AS (SELECT * FROM drives_app WHERE substr(drive_id, 7, 1) < '5'),
+inc AS (SELECT * FROM drives_app UNION ALL
+        SELECT drive_id, 'Z' || model, capacity_bytes, datacenter, first_seen, last_seen FROM drives_app),
+one AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY drive_id
+          ORDER BY model, capacity_bytes, datacenter, first_seen, last_seen) AS rn FROM inc) WHERE rn = 1)
+SELECT * FROM cur UNION ALL SELECT * FROM one WHERE drive_id NOT IN (SELECT drive_id FROM cur)""",
+        "audit_event": W("telemetry_events", extra=COHORT) + f""", t AS ({tel_q})
+SELECT 'INGESTION' AS action, CAST(NULL AS VARCHAR) AS drive_id,
+  CAST(to_json({{'latest_day': CAST((SELECT latest FROM bounds) AS VARCHAR), 'selected_drives': count(DISTINCT drive_id),
+           'min_history_days': 25, 'inserted_telemetry_rows': count(*)}}) AS VARCHAR) AS payload
+FROM t""",
+        "ingest_csv": W("raw_text") + canon_nonnull,
+        "ingest_csv_drift": f"""SELECT cast(ts AS date) AS date, 'U' || cast(user_id AS VARCHAR) AS serial_number,
+  'M1' AS model, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS failure, CAST(NULL AS BIGINT) AS capacity_bytes,
+  value AS smart_5_raw, {drift_null}, CAST(NULL AS DOUBLE) AS temperature
+FROM events WHERE event_id % 2 = 0
+UNION ALL
+SELECT cast(ts AS date), 'U' || cast(user_id AS VARCHAR), 'M2', CASE WHEN event_type = 'error' THEN 1 ELSE 0 END,
+  CAST(NULL AS BIGINT), value, {drift_null}, value
+FROM events WHERE event_id % 2 = 1""",
+        "ingest_zip_csv": W("raw_text") + canon_nonnull,
+        "write_warehouse": W("raw_text") + f"""SELECT *, CAST(extract(year FROM date) AS INTEGER) AS year,
+  lpad(CAST(extract(month FROM date) AS VARCHAR), 2, '0') AS month FROM ({canon_nonnull})""",
+        "scan_warehouse": W("telemetry_ship") + """SELECT serial_number, as_of_date AS date, round(smart_5_raw, 6) AS smart_5_raw,
+  CAST(extract(year FROM as_of_date) AS INTEGER) AS year, lpad(CAST(extract(month FROM as_of_date) AS VARCHAR), 2, '0') AS month
+FROM telemetry_ship WHERE as_of_date BETWEEN DATE '1998-01-15' AND DATE '1998-03-31'""",
+        "load_telemetry": W("telemetry_events", extra=COHORT) + tel_q,
+        "page_links": "WITH " + LINKS + " SELECT page_id, CAST(pos AS INTEGER) AS pos, href, link FROM links",
+        "dataset_links": "WITH " + LINKS + """, c AS (SELECT * FROM links WHERE lower(link) LIKE '%example.com%'),
+f AS (SELECT link AS url, page_id, pos, row_number() OVER (PARTITION BY link ORDER BY page_id, pos) AS rn FROM c)
+SELECT url, page_id, CAST(pos AS INTEGER) AS pos,
+  regexp_extract(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]*)?([^?#]*)', 1), '([^/]*)$', 1) AS file_name
+FROM f WHERE rn = 1""",
+        "write_features": build_features_sql("telemetry_ship", 30),
+        "limit_rows": W("telemetry_ship") + """SELECT serial_number, as_of_date, round(smart_5_raw, 6) AS smart_5_raw
+FROM telemetry_ship ORDER BY serial_number, as_of_date LIMIT 1000""",
+        "backfill_cohort": W("telemetry_events", extra=COHORT) + f""", t AS ({tel_q})
+SELECT CAST((SELECT latest FROM bounds) AS VARCHAR) AS latest_day,
+  CAST((SELECT latest - 45 FROM bounds) AS VARCHAR) AS start_day,
+  count(DISTINCT drive_id) AS selected_drives, 25 AS min_history_days, count(*) AS inserted_telemetry_rows FROM t""",
+        "score_run": FFD() + f""", s AS (SELECT 1e0 / (1e0 + exp(-({z}))) AS p, day FROM ffd),
+b AS (SELECT day, CASE WHEN p >= 0.75e0 THEN 'HIGH' WHEN p >= 0.4e0 THEN 'MED' ELSE 'LOW' END AS bk FROM s)
+SELECT 'completed' AS status, max(day) AS day, count(*) AS stored_predictions, '{m.version}' AS model_version,
+  CASE WHEN count(*) FILTER (WHERE bk IN ('MED', 'HIGH')) > 0 THEN 'model' ELSE 'rank_fallback' END AS bucket_mode,
+  count(*) FILTER (WHERE bk = 'LOW') AS low, count(*) FILTER (WHERE bk = 'MED') AS med,
+  count(*) FILTER (WHERE bk = 'HIGH') AS high FROM b""",
+    }
