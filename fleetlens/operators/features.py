@@ -33,7 +33,7 @@ def _recast(df: DataFrame, metrics: list[str], date_col: str) -> DataFrame:
 
 def build_features(df: DataFrame, metrics: list[str] = METRICS, horizon_days: int = 30,
                    date_col: str = "as_of_date", tiebreak: bool = False,
-                   dedupe: bool = False) -> DataFrame:
+                   dedupe: bool = False, partitions: int | None = None) -> DataFrame:
     """Offline feature table: 9x5 rolling stats + age + look-ahead label + partition keys.
 
     Output columns: as_of_date, serial_number, model, capacity_bytes, age_days,
@@ -45,11 +45,19 @@ def build_features(df: DataFrame, metrics: list[str] = METRICS, horizon_days: in
     columns to the sort so duplicate (drive, day) rows are ordered the same way
     on every run.  ``dedupe`` drops exact duplicate rows first, on the same
     partitioning (no extra shuffle).
+
+    The window stage is CPU-bound (sliding frames are re-aggregated per row)
+    while its shuffle is small, so AQE would coalesce it into a few tasks.
+    It is therefore hash-partitioned by drive into ``partitions`` (default:
+    ``spark.sql.shuffle.partitions``) explicitly; the window reuses that
+    partitioning, so this adds no exchange.
     """
     base = _recast(df, metrics, date_col).where(
         F.col("as_of_date").isNotNull() & F.col("serial_number").isNotNull())
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    base = base.repartition(n, "serial_number")
     if dedupe:
-        base = base.repartition("serial_number").dropDuplicates()
+        base = base.dropDuplicates()
     ties = ["failure", "capacity_bytes", "model", *metrics] if tiebreak else []
     w = W.drive_window("serial_number", "as_of_date", ties)
     day = F.col("as_of_date")

@@ -53,7 +53,11 @@ def rank_fallback(scores: DataFrame, batch: str = "day", key: str = "drive_id",
     stats = scores.groupBy(batch).agg(
         F.count(F.lit(1)).alias("_n"),
         F.max(F.when(F.col(bucket).isin("MED", "HIGH"), 1).otherwise(0)).alias("_mh"))
-    # one row per batch (day): small by construction
+    passthrough = scores.select(*scores.columns, F.col(score).alias("model_score"),
+                                F.lit("model").alias("bucket_mode"))
+    # one row per batch (day): small by construction, so it is fine to look at it
+    if stats.where(F.col("_mh") == 0).limit(1).count() == 0:
+        return passthrough
     tagged = scores.join(F.broadcast(stats), batch)
     keep = tagged.where(F.col("_mh") == 1).select(
         *scores.columns, F.col(score).alias("model_score"), F.lit("model").alias("bucket_mode"))

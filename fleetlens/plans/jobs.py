@@ -164,7 +164,8 @@ def run_scoring(telemetry: DataFrame, drives: DataFrame, predictions: DataFrame
             day = CO.latest_day(telemetry, "day")
         except RuntimeError:
             return ScoreRun("skipped", None, reason="No telemetry available")
-    feats = FE.features_for_day(telemetry, drives, day, METRICS, mode=mode)
+    # one row per drive for one day: bounded by the fleet size, reused by every step below
+    feats = FE.features_for_day(telemetry, drives, day, METRICS, mode=mode).persist()
     if feats.limit(1).count() == 0:
         return ScoreRun("skipped", day, reason="No feature rows generated")
     names = model.features
