@@ -33,16 +33,24 @@ def latest_day(df: DataFrame, date_col: str = "date"):
 
 def cohort_stats(df: DataFrame, latest, lookback_days: int = 45, date_col: str = "date") -> DataFrame:
     """Per drive in [latest - lookback, latest]: distinct history days, seen on latest day,
-    and the latest day's model (smallest non-blank) and capacity (max), in one aggregation."""
+    and the latest day's model (smallest non-blank) and capacity (max).
+
+    Two plain aggregations (per drive-day, then per drive) instead of a
+    distinct count next to other aggregates: both combine map-side, no row
+    expansion, and a drive with very many rows is first spread over its days.
+    """
     last = _day(latest)
     d = F.col(date_col).cast("date")
     win = df.where(F.col("serial_number").isNotNull() & d.between(F.date_sub(last, lookback_days), last))
     on_last = d == last
-    return win.groupBy("serial_number").agg(
-        F.count_distinct(d).alias("history_days"),
-        F.max(F.when(on_last, 1).otherwise(0)).alias("seen_on_latest_day"),
-        F.min(F.when(on_last, clean_text("model"))).alias("latest_model"),
-        F.max(F.when(on_last, typed(df, "capacity_bytes", "bigint"))).alias("latest_capacity"),
+    per_day = win.groupBy("serial_number", d.alias("_d")).agg(
+        F.min(F.when(on_last, clean_text("model"))).alias("_m"),
+        F.max(F.when(on_last, typed(df, "capacity_bytes", "bigint"))).alias("_c"))
+    return per_day.groupBy("serial_number").agg(
+        F.count(F.lit(1)).alias("history_days"),
+        F.max(F.when(F.col("_d") == last, 1).otherwise(0)).alias("seen_on_latest_day"),
+        F.min("_m").alias("latest_model"),
+        F.max("_c").alias("latest_capacity"),
     )
 
 
