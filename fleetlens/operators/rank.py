@@ -103,11 +103,18 @@ def distributed_rank(df: DataFrame, order: Order, rank_col: str = "rank", partit
     day) while still being computed over balanced ranges of the whole frame.
     """
     full: Order = ([(partition_by, True)] if partition_by else []) + list(order)
-    ranged = with_range(df, full, rows_per_range)
-    offs = _offsets(ranged, "_range", {"n": F.count(F.lit(1))})
-    local = F.row_number().over(Window.partitionBy("_range").orderBy(*_sort_cols(full)))
-    out = ranged.join(F.broadcast(offs), "_range").withColumn(rank_col, local + F.col("_off_n")).drop(
-        "_off_n")
+    n = df.count()
+    edges = range_edges(df, full, n, rows_per_range)
+    local_w = Window.partitionBy("_range").orderBy(*_sort_cols(full))
+    if not edges:
+        # fewer rows than one range: plain windows, no offsets needed
+        w = Window.partitionBy(partition_by) if partition_by else Window.partitionBy(F.lit(0))
+        return df.withColumn(rank_col, F.row_number().over(w.orderBy(*_sort_cols(list(order)))).cast("long"))
+    else:
+        ranged = df.withColumn("_range", _range_index(full, edges))
+        offs = _offsets(ranged, "_range", {"n": F.count(F.lit(1))})
+        out = ranged.join(F.broadcast(offs), "_range").withColumn(
+            rank_col, F.row_number().over(local_w) + F.col("_off_n")).drop("_off_n")
     if partition_by:
         per = df.groupBy(partition_by).agg(F.count(F.lit(1)).alias("_pn"))
         w = Window.orderBy(partition_by).rowsBetween(Window.unboundedPreceding, -1)
@@ -121,9 +128,14 @@ def distributed_rank(df: DataFrame, order: Order, rank_col: str = "rank", partit
 def distributed_prefix_sum(df: DataFrame, order: Order, values: list[str], prefix: str = "cum_",
                            rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Running totals of ``values`` in the total order (inclusive of the current row)."""
-    ranged = with_range(df, order, rows_per_range)
-    offs = _offsets(ranged, "_range", {v: F.sum(v) for v in values})
+    n = df.count()
+    edges = range_edges(df, order, n, rows_per_range)
     w = Window.partitionBy("_range").orderBy(*_sort_cols(order)).rowsBetween(Window.unboundedPreceding, 0)
+    if not edges:
+        one = df.withColumn("_range", F.lit(0))
+        return one.select(*df.columns, *[F.sum(v).over(w).alias(f"{prefix}{v}") for v in values])
+    ranged = df.withColumn("_range", _range_index(order, edges))
+    offs = _offsets(ranged, "_range", {v: F.sum(v) for v in values})
     out = ranged.join(F.broadcast(offs), "_range")
     return out.select(*df.columns, *[(F.sum(v).over(w) + F.col(f"_off_{v}")).alias(f"{prefix}{v}")
                                      for v in values])
