@@ -59,22 +59,23 @@ def build_features(df: DataFrame, metrics: list[str] = METRICS, horizon_days: in
     if dedupe:
         base = base.dropDuplicates()
     ties = ["failure", "capacity_bytes", "model", *metrics] if tiebreak else []
-    w = W.drive_window("serial_number", "as_of_date", ties)
-    day = F.col("as_of_date")
+    whole = W.window_sql("serial_number", "as_of_date", ties,
+                         "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING")
     enriched = base.select(
         "as_of_date", "serial_number", "model", "capacity_bytes",
-        W.first_seen(w).alias("_first_seen"),
-        W.first_failure(w).alias("_failure_date"),
-        *W.rolling_feature_columns(metrics, w),
+        F.expr(f"min(as_of_date) OVER ({whole}) AS _first_seen"),
+        F.expr(f"min(CASE WHEN failure = 1 THEN as_of_date END) OVER ({whole}) AS _failure_date"),
+        *W.rolling_feature_columns(metrics, tiebreak=ties),
     )
     stat_cols = metric_feature_names(metrics, order="stat")
-    return enriched.select(
+    return enriched.selectExpr(
         "as_of_date", "serial_number", "model", "capacity_bytes",
-        age_days("_first_seen", day).alias("age_days"),
-        W.label_within(day, F.col("_failure_date"), horizon_days).alias("label_30d"),
-        *stat_cols,
-        partition_year(day).alias("year"),
-        partition_month(day).alias("month"),
+        "CAST(datediff(as_of_date, _first_seen) AS BIGINT) AS age_days",
+        f"CASE WHEN _failure_date > as_of_date AND _failure_date <= date_add(as_of_date, {int(horizon_days)}) "
+        "THEN 1 ELSE 0 END AS label_30d",
+        *[f"`{c}`" for c in stat_cols],
+        "year(as_of_date) AS year",
+        "lpad(CAST(month(as_of_date) AS STRING), 2, '0') AS month",
     )
 
 
@@ -111,30 +112,24 @@ def features_for_day(telemetry: DataFrame, drives: DataFrame | None, day, metric
     cols = ["drive_id", "day"] + [m for m in metrics if m in telemetry.columns
                                   and m not in ONLINE_MISSING_METRICS]
     sl = telemetry_window(telemetry.select(*cols), d, window_days)
-    w = Window.partitionBy("drive_id").orderBy("day")
-    w7, w30 = w.rowsBetween(-6, 0), w.rowsBetween(-29, 0)
+    w = "PARTITION BY drive_id ORDER BY day"
+    w7, w30 = f"({w} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)", f"({w} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)"
+    whole = f"({w} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
     stats = []
     for m in metrics:
         if m not in sl.columns:
-            zero = F.lit(0.0)
-            stats += [zero.alias(f"{m}_mean_7d"), zero.alias(f"{m}_mean_30d"), zero.alias(f"{m}_std_30d"),
-                      zero.alias(f"{m}_delta_vs_7d"), F.lit(0).alias(f"{m}_is_increasing")]
+            stats += [f"0.0D AS {m}_mean_7d", f"0.0D AS {m}_mean_30d", f"0.0D AS {m}_std_30d",
+                      f"0.0D AS {m}_delta_vs_7d", f"0 AS {m}_is_increasing"]
             continue
-        c = F.col(m)
-        mean7 = F.coalesce(F.avg(c).over(w7), F.lit(0.0))
-        mean30 = F.coalesce(F.avg(c).over(w30), F.lit(0.0))
-        std30 = F.when(F.count(c).over(w30) >= 2, F.stddev_pop(c).over(w30)).otherwise(F.lit(0.0))
-        prev = F.lag(c).over(w)
-        stats += [mean7.alias(f"{m}_mean_7d"), mean30.alias(f"{m}_mean_30d"), std30.alias(f"{m}_std_30d"),
-                  (F.coalesce(c.cast("double"), F.lit(0.0)) - mean7).alias(f"{m}_delta_vs_7d"),
-                  F.when(c.isNotNull() & prev.isNotNull() & (c > prev), 1).otherwise(0)
-                  .alias(f"{m}_is_increasing")]
-    per_row = sl.select(
-        "drive_id", "day",
-        F.min("day").over(w.rowsBetween(*W.UNBOUNDED)).alias("_first"),
-        F.max("day").over(w.rowsBetween(*W.UNBOUNDED)).alias("_last"),
-        *stats,
-    )
+        mean7 = f"coalesce(avg({m}) OVER {w7}, 0.0D)"
+        stats += [f"{mean7} AS {m}_mean_7d",
+                  f"coalesce(avg({m}) OVER {w30}, 0.0D) AS {m}_mean_30d",
+                  f"CASE WHEN count({m}) OVER {w30} >= 2 THEN stddev_pop({m}) OVER {w30} ELSE 0.0D END AS {m}_std_30d",
+                  f"coalesce(CAST({m} AS DOUBLE), 0.0D) - {mean7} AS {m}_delta_vs_7d",
+                  f"CASE WHEN {m} IS NOT NULL AND lag({m}) OVER ({w}) IS NOT NULL AND {m} > lag({m}) OVER ({w}) "
+                  f"THEN 1 ELSE 0 END AS {m}_is_increasing"]
+    per_row = sl.selectExpr("drive_id", "day", f"min(day) OVER {whole} AS _first", f"max(day) OVER {whole} AS _last",
+                            *stats)
     # (drive_id, day) is the telemetry key, so the last day is exactly one row
     current = per_row.where(F.col("day") == F.col("_last"))
     ordered = [f"{m}_{s}" for m in metrics for s in STATS]

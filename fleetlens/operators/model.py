@@ -198,41 +198,61 @@ def fit_logistic(train: DataFrame, names: list[str], label: str = "label_30d", v
 
 
 # -- scoring ------------------------------------------------------------------
-def _filled(name: str, model: LinearModel) -> Column:
-    return F.coalesce(F.col(name).cast("double"), F.lit(float(model.fills.get(name, 0.0))))
+# The expressions below are written as SQL text and parsed once on the JVM side:
+# building ~1,000 Column objects one Py4J call at a time costs seconds per
+# query, the parsed expression is the same tree.
+def _dsql(v: float) -> str:
+    v = float(v)
+    if not math.isfinite(v):
+        return f"CAST('{v}' AS DOUBLE)"
+    return f"{v!r}D"
 
 
-def linear_score(model: LinearModel) -> Column:
-    """Logit z = intercept + sum(w * (filled - mean) / scale)."""
-    z = F.lit(float(model.intercept))
+def _filled_sql(name: str, model: LinearModel) -> str:
+    return f"coalesce(CAST(`{name}` AS DOUBLE), {_dsql(model.fills.get(name, 0.0))})"
+
+
+def _scaled_sql(x: str, mean: float, std: float) -> str:
+    div = std if std and std > 0 and math.isfinite(std) else 1.0
+    return f"(({x} - {_dsql(mean)}) / {_dsql(div)})"
+
+
+def linear_score_sql(model: LinearModel) -> str:
+    z = _dsql(model.intercept)
     for n in model.features:
-        z = z + F.lit(float(model.weights.get(n, 0.0))) * scale_value(_filled(n, model), model.means.get(n, 0.0),
-                                                                      model.scales.get(n, 1.0))
+        scaled = _scaled_sql(_filled_sql(n, model), model.means.get(n, 0.0), model.scales.get(n, 1.0))
+        z = f"({z} + {_dsql(model.weights.get(n, 0.0))} * {scaled})"
     return z
 
 
+def linear_score(model: LinearModel) -> Column:
+    """Logit z = intercept + sum(w * (filled - mean) / scale), summed left to right."""
+    return F.expr(linear_score_sql(model))
+
+
+def top_reasons_sql(model: LinearModel, k: int = TOP_REASONS, contribution: str = "raw") -> str:
+    if contribution not in ("raw", "scaled"):
+        raise ValueError("contribution must be 'raw' or 'scaled'")
+    items = []
+    for i, n in enumerate(model.features):
+        v = _filled_sql(n, model)
+        if contribution == "scaled":
+            v = _scaled_sql(v, model.means.get(n, 0.0), model.scales.get(n, 1.0))
+        c = f"({_dsql(model.weights.get(n, 0.0))} * {v})"
+        r = f"bround({c}, 6)"
+        items.append(f"named_struct('k', -abs({r}), 'pos', {i}, 'code', '{n}', 'contribution', {r}, "
+                     f"'direction', CASE WHEN {c} >= 0 THEN 'UP' ELSE 'DOWN' END)")
+    return (f"transform(slice(array_sort(array({', '.join(items)})), 1, {k}), "
+            f"s -> named_struct('code', s.code, 'contribution', s.contribution, 'direction', s.direction))")
+
+
 def top_reasons(model: LinearModel, k: int = TOP_REASONS, contribution: str = "raw") -> Column:
     """Top-k reason codes by |contribution| (rounded 6, half-even), ties in feature order.
 
     contribution = weight x filled raw value (``raw``, as the reference) or x scaled value (``scaled``).
     Direction is UP when the unrounded contribution is >= 0.
     """
-    items = []
-    for i, n in enumerate(model.features):
-        v = _filled(n, model)
-        if contribution == "scaled":
-            v = scale_value(v, model.means.get(n, 0.0), model.scales.get(n, 1.0))
-        elif contribution != "raw":
-            raise ValueError("contribution must be 'raw' or 'scaled'")
-        c = F.lit(float(model.weights.get(n, 0.0))) * v
-        r = F.bround(c, 6)
-        items.append(F.struct(
-            (-F.abs(r)).alias("k"), F.lit(i).alias("pos"), F.lit(n).alias("code"), r.alias("contribution"),
-            F.when(c >= 0, "UP").otherwise("DOWN").alias("direction")))
-    ranked = F.slice(F.array_sort(F.array(*items)), 1, k)
-    return F.transform(ranked, lambda s: F.struct(s["code"].alias("code"),
-                                                  s["contribution"].alias("contribution"),
-                                                  s["direction"].alias("direction")))
+    return F.expr(top_reasons_sql(model, k, contribution))
 
 
 def score_batch(df: DataFrame, model: LinearModel, key: list[str] = ("drive_id", "day"),
@@ -246,8 +266,7 @@ def score_batch(df: DataFrame, model: LinearModel, key: list[str] = ("drive_id",
     missing = [n for n in model.features if n not in df.columns]
     if missing:
         raise ValueError(f"Feature schema mismatch. Missing keys: {sorted(missing)}.")
-    z = linear_score(model)
-    p = sigmoid(z)
+    p = F.expr(f"1.0D / (1.0D + exp(-({linear_score_sql(model)})))")
     cols = [*key, p.alias("risk_score")]
     out = df.select(*cols, *([top_reasons(model, contribution=contribution).alias("top_reasons")]
                              if with_reasons else []))

@@ -63,18 +63,43 @@ def metric_stat(metric: str, stat: str, w: WindowSpec) -> Column:
     raise ValueError(f"unknown stat {stat}")
 
 
-def rolling_feature_columns(metrics: list[str] = METRICS, w: WindowSpec | None = None,
-                            stats: list[str] = STATS) -> list[Column]:
+def window_sql(key: str = "serial_number", order: str = "as_of_date", tiebreak: list[str] | None = None,
+               frame: str | None = None) -> str:
+    """The drive window as SQL text (one parse on the JVM instead of many Column calls)."""
+    ords = ", ".join([f"`{order}`"] + [f"`{c}` ASC NULLS FIRST" for c in (tiebreak or [])])
+    return f"PARTITION BY `{key}` ORDER BY {ords}" + (f" {frame}" if frame else "")
+
+
+def _rows(n: int) -> str:
+    return f"ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW"
+
+
+def metric_stat_sql(metric: str, stat: str, key: str = "serial_number", order: str = "as_of_date",
+                    tiebreak: list[str] | None = None) -> str:
+    m = f"`{metric}`"
+    if stat == "mean_7d":
+        return f"avg({m}) OVER ({window_sql(key, order, tiebreak, _rows(7))})"
+    if stat == "mean_30d":
+        return f"avg({m}) OVER ({window_sql(key, order, tiebreak, _rows(30))})"
+    if stat == "std_30d":
+        return f"stddev_pop({m}) OVER ({window_sql(key, order, tiebreak, _rows(30))})"
+    if stat == "delta_vs_7d":
+        return f"{m} - avg({m}) OVER ({window_sql(key, order, tiebreak, _rows(7))})"
+    if stat == "is_increasing":
+        return f"CASE WHEN {m} > lag({m}) OVER ({window_sql(key, order, tiebreak)}) THEN 1 ELSE 0 END"
+    raise ValueError(f"unknown stat {stat}")
+
+
+def rolling_feature_columns(metrics: list[str] = METRICS, key: str = "serial_number", order: str = "as_of_date",
+                            stats: list[str] = STATS, tiebreak: list[str] | None = None) -> list[Column]:
     """All metric statistics (stat-major order), aliased ``<metric>_<stat>``."""
-    w = w if w is not None else drive_window()
-    return [metric_stat(m, s, w).alias(f"{m}_{s}") for s in stats for m in metrics]
+    return [F.expr(f"{metric_stat_sql(m, s, key, order, tiebreak)} AS `{m}_{s}`") for s in stats for m in metrics]
 
 
 def rolling_features(df: DataFrame, metrics: list[str] = METRICS, key: str = "serial_number",
                      order: str = "as_of_date", stats: list[str] = STATS) -> DataFrame:
     """Append the rolling statistics (W1-W5) to every row in one select."""
-    w = drive_window(key, order)
-    return df.select("*", *rolling_feature_columns(metrics, w, stats))
+    return df.select("*", *rolling_feature_columns(metrics, key, order, stats))
 
 
 def first_seen(w: WindowSpec, order: str = "as_of_date") -> Column:

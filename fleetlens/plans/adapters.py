@@ -14,40 +14,40 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from fleetlens.functions.risk import risk_bucket
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+_TABLES: dict[tuple, DataFrame] = {}
 
 
-def _count_if(cond) -> F.Column:
-    return F.count(F.when(cond, F.lit(1))).cast("double")
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The driver table as a lazy scan; the handle (file listing + footer schema) is reused
+    per session because the inputs are read-only."""
+    key = (spark._jsparkSession.hashCode(), sf_dir.rstrip("/"), name)
+    df = _TABLES.get(key)
+    if df is None:
+        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        _TABLES[key] = df
+    return df
 
 
 def telemetry_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dense, short daily telemetry from ``events`` (one drive per user)."""
     ev = table(spark, sf_dir, "events").select("user_id", "ts", "event_type", "value")
-    et, v = F.col("event_type"), F.col("value")
-    g = ev.groupBy("user_id", F.to_date("ts").alias("as_of_date")).agg(
-        F.max(F.when((et == "error") & (v > 120), 1).otherwise(0)).alias("failure"),
-        F.round(F.sum(v), 2).alias("smart_5_raw"),
-        _count_if(et == "error").alias("smart_187_raw"),
-        _count_if(et == "click").alias("smart_188_raw"),
-        F.max(F.when(et == "purchase", v)).alias("smart_197_raw"),
-        F.max(F.when(et == "error", v)).alias("smart_198_raw"),
-        F.min(F.when(et == "view", v)).alias("smart_199_raw"),
-        F.lit(None).cast("double").alias("smart_241_raw"),
-        F.count(F.lit(1)).cast("double").alias("smart_242_raw"),
-        F.max(v).alias("temperature"),
-    )
-    uid = F.col("user_id")
-    return g.select(
-        F.concat(F.lit("U"), F.lpad(uid.cast("string"), 6, "0")).alias("serial_number"),
-        "as_of_date",
-        F.concat(F.lit("M"), (uid % 3).cast("string")).alias("model"),
-        "failure",
-        ((uid % 4 + 1) * F.lit(1000000000000)).cast("bigint").alias("capacity_bytes"),
+    g = ev.groupBy("user_id", F.to_date("ts").alias("as_of_date")).agg(*[F.expr(e) for e in [
+        "max(CASE WHEN event_type = 'error' AND value > 120 THEN 1 ELSE 0 END) AS failure",
+        "round(sum(value), 2) AS smart_5_raw",
+        "CAST(count(CASE WHEN event_type = 'error' THEN 1 END) AS DOUBLE) AS smart_187_raw",
+        "CAST(count(CASE WHEN event_type = 'click' THEN 1 END) AS DOUBLE) AS smart_188_raw",
+        "max(CASE WHEN event_type = 'purchase' THEN value END) AS smart_197_raw",
+        "max(CASE WHEN event_type = 'error' THEN value END) AS smart_198_raw",
+        "min(CASE WHEN event_type = 'view' THEN value END) AS smart_199_raw",
+        "CAST(NULL AS DOUBLE) AS smart_241_raw",
+        "CAST(count(1) AS DOUBLE) AS smart_242_raw",
+        "max(value) AS temperature"]])
+    return g.selectExpr(
+        "concat('U', lpad(CAST(user_id AS STRING), 6, '0')) AS serial_number", "as_of_date",
+        "concat('M', CAST(user_id % 3 AS STRING)) AS model", "failure",
+        "CAST((user_id % 4 + 1) * 1000000000000 AS BIGINT) AS capacity_bytes",
         "smart_5_raw", "smart_187_raw", "smart_188_raw", "smart_197_raw", "smart_198_raw",
-        "smart_199_raw", "smart_241_raw", "smart_242_raw", "temperature",
-    )
+        "smart_199_raw", "smart_241_raw", "smart_242_raw", "temperature")
 
 
 def telemetry_ship(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,30 +55,23 @@ def telemetry_ship(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_suppkey", "l_shipdate", "l_returnflag", "l_linestatus", "l_quantity", "l_discount",
         "l_extendedprice")
-    rf, ls, q = F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_quantity")
-    g = li.groupBy("l_suppkey", F.to_date("l_shipdate").alias("as_of_date")).agg(
-        F.max(F.when((rf == "R") & (q >= 50) & (F.col("l_discount") >= F.lit(0.1)), 1).otherwise(0))
-        .alias("failure"),
-        F.sum(q).alias("smart_5_raw"),
-        _count_if(rf == "A").alias("smart_187_raw"),
-        _count_if(ls == "F").alias("smart_188_raw"),
-        F.max(F.when(rf == "A", F.col("l_extendedprice"))).alias("smart_197_raw"),
-        F.min(F.when(rf == "N", q)).alias("smart_198_raw"),
-        F.max(F.when(ls == "O", q)).alias("smart_199_raw"),
-        F.lit(None).cast("double").alias("smart_241_raw"),
-        F.count(F.lit(1)).cast("double").alias("smart_242_raw"),
-        F.max(q).alias("temperature"),
-    )
-    k = F.col("l_suppkey")
-    return g.select(
-        F.concat(F.lit("S"), F.lpad(k.cast("string"), 6, "0")).alias("serial_number"),
-        "as_of_date",
-        F.concat(F.lit("M"), (k % 5).cast("string")).alias("model"),
-        "failure",
-        ((k % 4 + 1) * F.lit(1000000000000)).cast("bigint").alias("capacity_bytes"),
+    g = li.groupBy("l_suppkey", F.to_date("l_shipdate").alias("as_of_date")).agg(*[F.expr(e) for e in [
+        "max(CASE WHEN l_returnflag = 'R' AND l_quantity >= 50 AND l_discount >= 0.1D THEN 1 ELSE 0 END) AS failure",
+        "sum(l_quantity) AS smart_5_raw",
+        "CAST(count(CASE WHEN l_returnflag = 'A' THEN 1 END) AS DOUBLE) AS smart_187_raw",
+        "CAST(count(CASE WHEN l_linestatus = 'F' THEN 1 END) AS DOUBLE) AS smart_188_raw",
+        "max(CASE WHEN l_returnflag = 'A' THEN l_extendedprice END) AS smart_197_raw",
+        "min(CASE WHEN l_returnflag = 'N' THEN l_quantity END) AS smart_198_raw",
+        "max(CASE WHEN l_linestatus = 'O' THEN l_quantity END) AS smart_199_raw",
+        "CAST(NULL AS DOUBLE) AS smart_241_raw",
+        "CAST(count(1) AS DOUBLE) AS smart_242_raw",
+        "max(l_quantity) AS temperature"]])
+    return g.selectExpr(
+        "concat('S', lpad(CAST(l_suppkey AS STRING), 6, '0')) AS serial_number", "as_of_date",
+        "concat('M', CAST(l_suppkey % 5 AS STRING)) AS model", "failure",
+        "CAST((l_suppkey % 4 + 1) * 1000000000000 AS BIGINT) AS capacity_bytes",
         "smart_5_raw", "smart_187_raw", "smart_188_raw", "smart_197_raw", "smart_198_raw",
-        "smart_199_raw", "smart_241_raw", "smart_242_raw", "temperature",
-    )
+        "smart_199_raw", "smart_241_raw", "smart_242_raw", "temperature")
 
 
 def telemetry_daily(tel: DataFrame) -> DataFrame:

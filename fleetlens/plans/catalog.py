@@ -22,9 +22,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def round6(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double column to ``digits`` (comparison rule shared with the oracle)."""
-    return df.select(*[
-        F.round(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, (DoubleType, FloatType))
-        else F.col(f.name) for f in df.schema.fields])
+    return df.selectExpr(*[
+        f"round(`{f.name}`, {digits}) AS `{f.name}`" if isinstance(f.dataType, (DoubleType, FloatType))
+        else f"`{f.name}`" for f in df.schema.fields])
 
 
 def q_build_features(spark, d):
@@ -38,9 +38,7 @@ def q_build_features_events(spark, d):
 def _stat_query(adapter, stat):
     def run(spark, d):
         tel = adapter(spark, d)
-        w = W.drive_window()
-        return round6(tel.select("serial_number", "as_of_date",
-                                 *W.rolling_feature_columns(METRICS, w, stats=[stat])))
+        return round6(tel.select("serial_number", "as_of_date", *W.rolling_feature_columns(METRICS, stats=[stat])))
     return run
 
 
