@@ -62,18 +62,23 @@ def build_features(df: DataFrame, metrics: list[str] = METRICS, horizon_days: in
     whole = W.window_sql("serial_number", "as_of_date", ties,
                          "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING")
     enriched = base.select(
-        "as_of_date", "serial_number", "model", "capacity_bytes",
+        "as_of_date", "serial_number", "model", "capacity_bytes", *metrics,
         F.expr(f"min(as_of_date) OVER ({whole}) AS _first_seen"),
         F.expr(f"min(CASE WHEN failure = 1 THEN as_of_date END) OVER ({whole}) AS _failure_date"),
-        *W.rolling_feature_columns(metrics, tiebreak=ties),
+        *W.rolling_feature_columns(metrics, tiebreak=ties,
+                                   stats=[st for st in STATS if st != "delta_vs_7d"]),
     )
-    stat_cols = metric_feature_names(metrics, order="stat")
+    # delta uses the 7-row mean already computed (Spark would otherwise evaluate the same
+    # window aggregate twice)
+    stat_cols = [f"`{m}` - `{m}_mean_7d`" if st == "delta_vs_7d" else f"`{m}_{st}`"
+                 for st in STATS for m in metrics]
+    stat_cols = [f"{e} AS `{m}_{st}`" for e, (st, m) in zip(stat_cols, [(st, m) for st in STATS for m in metrics])]
     return enriched.selectExpr(
         "as_of_date", "serial_number", "model", "capacity_bytes",
         "CAST(datediff(as_of_date, _first_seen) AS BIGINT) AS age_days",
         f"CASE WHEN _failure_date > as_of_date AND _failure_date <= date_add(as_of_date, {int(horizon_days)}) "
         "THEN 1 ELSE 0 END AS label_30d",
-        *[f"`{c}`" for c in stat_cols],
+        *stat_cols,
         "year(as_of_date) AS year",
         "lpad(CAST(month(as_of_date) AS STRING), 2, '0') AS month",
     )
@@ -125,13 +130,16 @@ def features_for_day(telemetry: DataFrame, drives: DataFrame | None, day, metric
         stats += [f"{mean7} AS {m}_mean_7d",
                   f"coalesce(avg({m}) OVER {w30}, 0.0D) AS {m}_mean_30d",
                   f"CASE WHEN count({m}) OVER {w30} >= 2 THEN stddev_pop({m}) OVER {w30} ELSE 0.0D END AS {m}_std_30d",
-                  f"coalesce(CAST({m} AS DOUBLE), 0.0D) - {mean7} AS {m}_delta_vs_7d",
+                  f"CAST({m} AS DOUBLE) AS _cur_{m}",
                   f"CASE WHEN {m} IS NOT NULL AND lag({m}) OVER ({w}) IS NOT NULL AND {m} > lag({m}) OVER ({w}) "
                   f"THEN 1 ELSE 0 END AS {m}_is_increasing"]
     per_row = sl.selectExpr("drive_id", "day", f"min(day) OVER {whole} AS _first", f"max(day) OVER {whole} AS _last",
                             *stats)
-    # (drive_id, day) is the telemetry key, so the last day is exactly one row
-    current = per_row.where(F.col("day") == F.col("_last"))
+    # (drive_id, day) is the telemetry key, so the last day is exactly one row; the delta
+    # reuses the 7-row mean column instead of evaluating that window aggregate again
+    current = per_row.where(F.col("day") == F.col("_last")).selectExpr(
+        "*", *[f"coalesce(_cur_{m}, 0.0D) - {m}_mean_7d AS {m}_delta_vs_7d" for m in metrics
+               if f"_cur_{m}" in per_row.columns])
     ordered = [f"{m}_{s}" for m in metrics for s in STATS]
     out = current.select(
         "drive_id", d.alias("day"),
