@@ -109,7 +109,11 @@ def features_for_day(telemetry: DataFrame, drives: DataFrame | None, day, metric
     """
     d = F.lit(day).cast("date") if not isinstance(day, Column) else day
     if mode == "consistent":
-        feats = build_features(telemetry, metrics, horizon_days)
+        # rows after day + horizon change neither the rolling stats (they look back) nor the
+        # label (only the first failure up to day + horizon matters): drop them at the scan
+        date_col = "as_of_date" if "as_of_date" in telemetry.columns else "date"
+        hist = telemetry.where(F.col(date_col) <= F.date_add(d, horizon_days))
+        feats = build_features(hist, metrics, horizon_days, date_col=date_col)
         return feats.where(F.col("as_of_date") == d)
     if mode != "compat":
         raise ValueError("mode must be 'compat' or 'consistent'")

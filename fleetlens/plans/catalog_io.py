@@ -119,8 +119,8 @@ def q_ingest_zip_csv(spark, d):
 def q_skip_metadata_entries(spark, d):
     root = scratch_path(spark, "zip-meta")
     ZC.write_zip_csv(AD.raw_text(spark, d).repartition(3), root).collect()
-    return ZC.zip_lines(spark, root).where(F.col("line_no") == 0).select(
-        F.regexp_extract("entry", r"([^/]*)$", 1).alias("entry_name"), F.col("line").alias("header"))
+    return ZC.zip_entries(spark, root).select(
+        F.regexp_extract("entry", r"([^/]*)$", 1).alias("entry_name"), "header")
 
 
 def q_write_warehouse(spark, d):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleetlens.operators import cohort as CO
@@ -72,7 +73,12 @@ def train(features: DataFrame, horizon_days: int = 30, test_months: int = 9, ver
     zero_fill = MO.LinearModel(**{**model.__dict__, "fills": {n: 0.0 for n in names}})
     scored = m.select("serial_number", "as_of_date", F.col("label_30d").alias("y"),
                       MO.sigmoid(MO.linear_score(zero_fill)).alias("score"))
-    metrics = evaluate(scored, key=["serial_number", "as_of_date"])
+    # several small aggregates read the scored test set: compute it once (spills to disk if large)
+    scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        metrics = evaluate(scored, key=["serial_number", "as_of_date"])
+    finally:
+        scored.unpersist()
     model.metrics = metrics
     return ModelRun(model=model, split=split, metrics=metrics)
 

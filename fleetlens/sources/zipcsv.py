@@ -1,9 +1,16 @@
 """CSV files inside ZIP archives.
 
-``binaryFile`` gives one row per archive; ``mapInPandas`` expands it into
-(archive, entry, line_no, line) rows in bounded batches, one task per
-archive.  Entries are then grouped by header and parsed with ``from_csv``
-against an all-text schema, dropping rows whose field count is wrong.
+The work is split per (archive, entry), not per archive, so one very large
+archive does not become one task or one row:
+
+1. ``binaryFile`` lists the archives (the content column is never read);
+2. a ``mapInPandas`` pass opens each archive through the file system (a
+   seekable handle), reads only the central directory and the first line of
+   every CSV entry -> (archive, entry, header): file metadata;
+3. entries are grouped by header; each group's (archive, entry) pairs are
+   spread over tasks and streamed out as lines in bounded batches, then parsed
+   with ``from_csv`` against an all-text schema (rows with the wrong field
+   count are dropped, as the reference's CSV reader does).
 """
 
 from __future__ import annotations
@@ -12,11 +19,12 @@ import io
 import zipfile
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleetlens.operators.canonical import canonicalize, drop_null_keys
 from fleetlens.sources.csv import csv_line_fields, parse_header
 
+ENTRY_SCHEMA = "archive string, entry string, header string"
 LINE_SCHEMA = "archive string, entry string, line_no long, line string"
 BATCH_LINES = 50_000
 
@@ -27,52 +35,82 @@ def is_metadata_entry(name: str) -> bool:
     return parts[-1].startswith("._") or "__MACOSX" in parts
 
 
-def _expand(batches):
+def _open(path: str):
+    import pyarrow.fs as pafs
+    from urllib.parse import unquote
+    if path.startswith("file:"):
+        return pafs.LocalFileSystem().open_input_file(unquote(path[len("file:"):]))
+    fs, p = pafs.FileSystem.from_uri(path)
+    return fs.open_input_file(p)
+
+
+def _entries(batches):
     for pdf in batches:
-        for path, content in zip(pdf["path"], pdf["content"]):
-            with zipfile.ZipFile(io.BytesIO(content)) as zf:
+        rows = []
+        for path in pdf["path"]:
+            with _open(path) as fh, zipfile.ZipFile(fh) as zf:
                 for name in sorted(zf.namelist()):
                     if not name.lower().endswith(".csv") or is_metadata_entry(name):
                         continue
-                    rows: list[tuple] = []
-                    with zf.open(name) as fh:
-                        for i, raw in enumerate(io.TextIOWrapper(fh, encoding="utf-8-sig", newline="")):
-                            rows.append((path, name, i, raw.rstrip("\r\n")))
-                            if len(rows) >= BATCH_LINES:
-                                yield pd.DataFrame(rows, columns=["archive", "entry", "line_no", "line"])
-                                rows = []
-                    if rows:
+                    with zf.open(name) as e:
+                        first = io.TextIOWrapper(e, encoding="utf-8-sig", newline="").readline()
+                    rows.append((path, name, first.rstrip("\r\n")))
+        yield pd.DataFrame(rows, columns=["archive", "entry", "header"])
+
+
+def _lines(batches):
+    for pdf in batches:
+        for path, name in zip(pdf["archive"], pdf["entry"]):
+            with _open(path) as fh, zipfile.ZipFile(fh) as zf, zf.open(name) as e:
+                rows: list[tuple] = []
+                for i, raw in enumerate(io.TextIOWrapper(e, encoding="utf-8-sig", newline="")):
+                    if i == 0:
+                        continue
+                    rows.append((path, name, i, raw.rstrip("\r\n")))
+                    if len(rows) >= BATCH_LINES:
                         yield pd.DataFrame(rows, columns=["archive", "entry", "line_no", "line"])
+                        rows = []
+                if rows:
+                    yield pd.DataFrame(rows, columns=["archive", "entry", "line_no", "line"])
 
 
-def zip_lines(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFrame:
-    """Every line of every CSV entry of every archive under ``path`` (error if none)."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "content")
-    # one archive per task: the archive must be opened whole
+def zip_entries(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFrame:
+    """(archive, entry, header) for every CSV entry of every archive (error if no archive)."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path")
     n = files.count()
     if n == 0:
         raise RuntimeError(f"No ZIP files found in {path}")
-    return files.repartition(n, "path").mapInPandas(_expand, LINE_SCHEMA)
+    return files.repartition(n).mapInPandas(_entries, ENTRY_SCHEMA)
+
+
+def entry_lines(entries: DataFrame) -> DataFrame:
+    """Data lines (after the header) of the given (archive, entry) pairs, one entry per task."""
+    n = max(1, entries.count())
+    return entries.select("archive", "entry").repartition(n, "archive", "entry").mapInPandas(_lines, LINE_SCHEMA)
+
+
+def zip_lines(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFrame:
+    """Every data line of every CSV entry under ``path``."""
+    return entry_lines(zip_entries(spark, path, glob))
 
 
 def read_zip_csv(spark: SparkSession, path: str, max_files: int | None = None, glob: str = "*.zip") -> DataFrame:
     """Canonical warehouse rows from all CSV entries of all archives; optionally only the first
     ``max_files`` entries in (archive, entry) order."""
-    lines = zip_lines(spark, path, glob).persist()
-    headers = lines.where(F.col("line_no") == 0).select("archive", "entry", F.col("line").alias("header"))
-    entries = sorted((r["archive"], r["entry"], r["header"]) for r in headers.collect())
+    meta = sorted((r["archive"], r["entry"], r["header"]) for r in zip_entries(spark, path, glob).collect())
     if max_files:
-        entries = entries[:max_files]
-    parts = []
+        meta = meta[:max_files]
     by_header: dict[str, list[tuple[str, str]]] = {}
-    for a, e, h in entries:
+    for a, e, h in meta:
         by_header.setdefault(h, []).append((a, e))
+    parts = []
     for header, keys in sorted(by_header.items()):
         cols = parse_header(header)
         if not cols:
             continue
-        keep = F.struct("archive", "entry").isin(*[F.struct(F.lit(a), F.lit(e)) for a, e in keys])
-        body = lines.where(keep & (F.col("line_no") > 0) & (csv_line_fields("line") == len(cols)))
+        # the entry list is file metadata (one row per CSV file)
+        ents = spark.createDataFrame(keys, "archive string, entry string")
+        body = entry_lines(ents).where(csv_line_fields("line") == len(cols))
         ddl = ", ".join(f"`{c}` string" for c in cols)
         parsed = body.select(F.from_csv("line", ddl).alias("r")).select("r.*")
         parts.append(drop_null_keys(canonicalize(parsed)))
