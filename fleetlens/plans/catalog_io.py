@@ -230,8 +230,49 @@ def q_stream_landing(spark, d):
     return spark.read.parquet(f"{root}/table").drop("year", "month")
 
 
+def q_telemetry_window(spark, d):
+    app = AD.telemetry_daily(AD.telemetry_events(spark, d))
+    day = CO.latest_day(app, "day")
+    return round6(FE.telemetry_window(app, day, 30).select("drive_id", "day", "smart_5_raw", "temperature"))
+
+
+def q_utc_day(spark, d):
+    from fleetlens.functions.dates import iso_day, utc_day
+    ev = AD.table(spark, d, "events").select("event_id", "ts")
+    return ev.select("event_id", utc_day("ts").alias("day"), iso_day("ts").alias("day_text"))
+
+
+def q_dataset_manifest(spark, d):
+    return LK.dataset_manifest(AD.table(spark, d, "pages"), year_from=1900, suffix="", markers=["example"],
+                               require=False)
+
+
+def q_load_model(spark, d):
+    from fleetlens.plans.catalog_model import _ffd
+    path = scratch_path(spark, "model")
+    JB.save_model(spark, MO.fixed_model(model_feature_names()), path)
+    model = JB.load_model(spark, path)
+    s = MO.score_batch(_ffd(spark, d), model, ["drive_id", "day"])
+    return round6(s.select("drive_id", "day", "risk_score", "risk_bucket", "model_version"))
+
+
+def q_registry_row(spark, d):
+    from fleetlens.plans.catalog_model import _eval_input
+    e = _eval_input(spark, d)
+    metrics = JB.evaluate(e, key=["k", "as_of_date"])
+    run = JB.ModelRun(model=MO.fixed_model(model_feature_names()),
+                      split=MO.Split(dt.date(2024, 1, 1), dt.date(2024, 1, 30), dt.date(2024, 1, 24), "fraction"),
+                      metrics=metrics)
+    row = JB.register(spark, run, "memory://fixed-v1")
+    return row.select("model_version", "horizon_days", "status",
+                      F.get_json_object("metrics", "$.test_rows").cast("bigint").alias("test_rows"),
+                      F.get_json_object("feature_schema", "$.label_column").alias("label_column"))
+
+
 def queries() -> dict:
     return {
+        "telemetry_window": q_telemetry_window, "utc_day": q_utc_day, "dataset_manifest": q_dataset_manifest,
+        "load_model": q_load_model, "registry_row": q_registry_row,
         "merge_drives": q_merge_drives, "merge_features": q_merge_features,
         "merge_predictions": q_merge_predictions, "insert_if_absent": q_insert_if_absent,
         "audit_event": q_audit_event,

@@ -82,3 +82,19 @@ def test_stream_landing_idempotent(spark):
     _write(f"{root}/in/b.csv", "date,serial_number,model\n2024-01-02,S1,M\n2024-01-03,S1,M\n")
     ingest_landing(spark, f"{root}/in", f"{root}/t", cols, checkpoint=f"{root}/ck")
     assert spark.read.parquet(f"{root}/t").count() == 3
+
+
+def test_manifest_matches_sql_on_fixture(spark):
+    import duckdb
+    from fleetlens.plans.oracle_io import oracle_sql
+    html = ('<a href="/x/data_Q1_2020.zip">a</a><a href="2019Q3.zip">b</a><a href="/drive_2014.zip">c</a>'
+            '<a href="/x.zip">d</a><a href="/x/data_Q1_2020.zip">dup</a>')
+    rows = [(1, "https://s.example/hard/index.html", html), (2, "https://s.example/other/", '<a href="Q4-2018.zip">e</a>')]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = sorted(tuple(r) for r in LK.dataset_manifest(pages, year_from=1900, suffix="", markers=["example"],
+                                                       require=False).collect())
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", rows)
+    want = sorted(tuple(r) for r in con.execute(oracle_sql()["dataset_manifest"]).fetchall())
+    assert got == want and len(got) == 4
