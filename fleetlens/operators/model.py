@@ -173,22 +173,24 @@ def fit_logistic(train: DataFrame, names: list[str], label: str = "label_30d", v
     from pyspark.ml.feature import VectorAssembler
     from pyspark import StorageLevel
 
-    m = training_matrix(train, names, label)
-    moments = collect_moments(feature_moments(m, names))
-    cw = class_weights(m, label).first()
-    if cw["n"] == 0:
-        raise RuntimeError("no training rows available after split")
-    scaled = scale_features(m, names, moments, keep=[label]).withColumn(
-        "_w", weight_column(label, cw["w0"], cw["w1"]))
-    data = VectorAssembler(inputCols=names, outputCol="_x").transform(scaled).select(
-        F.col(label).cast("double").alias("_y"), "_x", "_w").persist(StorageLevel.MEMORY_AND_DISK)
+    # the zero-filled training matrix is computed once and read by every pass below
+    # (moments, class counts, the optimizer's iterations); it spills to disk if large
+    m = training_matrix(train, names, label).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        moments = collect_moments(feature_moments(m, names))
+        cw = class_weights(m, label).first()
+        if cw["n"] == 0:
+            raise RuntimeError("no training rows available after split")
+        scaled = scale_features(m, names, moments, keep=[label]).withColumn(
+            "_w", weight_column(label, cw["w0"], cw["w1"]))
+        data = VectorAssembler(inputCols=names, outputCol="_x").transform(scaled).select(
+            F.col(label).cast("double").alias("_y"), "_x", "_w")
         lr = LogisticRegression(featuresCol="_x", labelCol="_y", weightCol="_w", regParam=reg_param,
                                 elasticNetParam=0.0, standardization=False, maxIter=max_iter,
                                 family="binomial")
         fitted = lr.fit(data)
     finally:
-        data.unpersist()
+        m.unpersist()
     coef = fitted.coefficients.toArray().tolist()
     means = {n: float(moments[n][0]) for n in names}
     scales = {n: float(moments[n][1]) if moments[n][1] and moments[n][1] > 0 else 1.0 for n in names}
