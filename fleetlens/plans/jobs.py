@@ -223,3 +223,20 @@ def run_pipeline(spark: SparkSession, source: str, kind: str = "zip", horizon_da
     reg.write.mode("append").parquet(f"{root}/registry")
     return {"warehouse_rows": rows, "warehouse": wh, "features": feats_path, "model": model_path,
             "registry": f"{root}/registry", "metrics": run.metrics}
+
+
+def persist_scoring_run(run: ScoreRun, predictions_path: str, features_path: str | None = None,
+                        audit_path: str | None = None) -> dict:
+    """Write a completed run: predictions and features upserted into their day-partitioned
+    tables (only the scored day's partition is rewritten), the audit row appended."""
+    if run.status != "completed":
+        return {"status": run.status, "reason": run.reason}
+    day = F.lit(run.day)
+    preds = run.predictions.where(F.col("day") == day).withColumn("day", F.col("day").cast("string"))
+    n = MG.upsert_partitions(preds, predictions_path, PREDICTIONS_KEY, "day")
+    if features_path and run.features is not None:
+        feats = run.features.where(F.col("day") == day).withColumn("day", F.col("day").cast("string"))
+        MG.upsert_partitions(feats, features_path, FEATURES_KEY, "day")
+    if audit_path and run.audit is not None:
+        run.audit.write.mode("append").parquet(audit_path)
+    return {"status": run.status, "day": str(run.day), "partitions_rewritten": n}

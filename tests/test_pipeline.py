@@ -35,3 +35,18 @@ def test_run_pipeline(spark, smoke_dir):
     assert 0.0 <= out["metrics"]["pr_auc"] <= 1.0 and out["metrics"]["test_rows"] > 0
     card = RG.model_card(row)
     assert "PR-AUC" in card
+
+
+def test_scoring_run_persisted(spark, smoke_dir, tmp_path):
+    from fleetlens.schema import model_feature_names
+    tel = AD.telemetry_events(spark, smoke_dir)
+    app = AD.telemetry_daily(tel)
+    run = JB.run_scoring(app, AD.drives(tel), None, MO.fixed_model(model_feature_names()))
+    assert run.status == "completed"
+    out = JB.persist_scoring_run(run, str(tmp_path / "pred"), str(tmp_path / "feat"), str(tmp_path / "audit"))
+    assert out["partitions_rewritten"] == 1
+    preds = spark.read.parquet(str(tmp_path / "pred"))
+    assert preds.count() == run.predictions.count() > 0
+    assert spark.read.parquet(str(tmp_path / "audit")).first()["action"] == "SCORE_RUN"
+    empty = JB.run_scoring(app.limit(0), AD.drives(tel), None, MO.fixed_model(model_feature_names()))
+    assert empty.status == "skipped"

@@ -82,3 +82,25 @@ def test_features_one_shuffle(spark, smoke_dir):
     df = FE.build_features(AD.telemetry_ship(spark, smoke_dir), METRICS, 30)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(serial_number") == 1
+
+
+def test_upsert_partitions_touches_only_new_days(spark, smoke_dir, tmp_path):
+    import glob
+    import os
+    p = AD.predictions(AD.telemetry_events(spark, smoke_dir)).withColumn("day", F.col("day").cast("string"))
+    keys = ["drive_id", "day", "model_version"]
+    table = str(tmp_path / "predictions")
+    MG.upsert_partitions(p, table, keys)
+    last = p.agg(F.max("day")).first()[0]
+    before = {f: os.path.getmtime(f) for f in glob.glob(f"{table}/day=*/*.parquet")}
+    inc = p.where(F.col("day") == last).withColumn("risk_score", F.col("risk_score") / 2)
+    assert MG.upsert_partitions(inc, table, keys) == 1
+    after = {f: os.path.getmtime(f) for f in glob.glob(f"{table}/day=*/*.parquet")}
+    untouched = [f for f in before if f"day={last}" not in f]
+    assert untouched and all(after.get(f) == before[f] for f in untouched)
+    got = spark.read.parquet(table).select(*p.columns)
+    want = MG.merge_by_key(p, inc, keys)
+    assert got.count() == p.count()
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    MG.upsert_partitions(inc, table, keys)
+    assert spark.read.parquet(table).count() == p.count()
