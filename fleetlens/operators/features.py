@@ -33,7 +33,7 @@ def _recast(df: DataFrame, metrics: list[str], date_col: str) -> DataFrame:
 
 def build_features(df: DataFrame, metrics: list[str] = METRICS, horizon_days: int = 30,
                    date_col: str = "as_of_date", tiebreak: bool = False,
-                   dedupe: bool = False, partitions: int | None = None) -> DataFrame:
+                   dedupe: bool = True, partitions: int | None = None) -> DataFrame:
     """Offline feature table: 9x5 rolling stats + age + look-ahead label + partition keys.
 
     Output columns: as_of_date, serial_number, model, capacity_bytes, age_days,
@@ -43,8 +43,10 @@ def build_features(df: DataFrame, metrics: list[str] = METRICS, horizon_days: in
     One ``Window.partitionBy(serial_number).orderBy(as_of_date)`` spec drives all
     expressions, so the plan has one shuffle.  ``tiebreak`` adds the row's own
     columns to the sort so duplicate (drive, day) rows are ordered the same way
-    on every run.  ``dedupe`` drops exact duplicate rows first, on the same
-    partitioning (no extra shuffle).
+    on every run.  ``dedupe`` (default) collapses exact duplicate rows (an
+    appended re-run) before the drive shuffle; the aggregate combines copies
+    map-side, so a group of copies never travels to one task.  Rows of the
+    same drive and day that differ are kept (``duplicate_keys`` reports them).
 
     The window stage is CPU-bound (sliding frames are re-aggregated per row)
     while its shuffle is small, so AQE would coalesce it into a few tasks.
@@ -54,10 +56,10 @@ def build_features(df: DataFrame, metrics: list[str] = METRICS, horizon_days: in
     """
     base = _recast(df, metrics, date_col).where(
         F.col("as_of_date").isNotNull() & F.col("serial_number").isNotNull())
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    base = base.repartition(n, "serial_number")
     if dedupe:
         base = base.dropDuplicates()
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    base = base.repartition(n, "serial_number")
     ties = ["failure", "capacity_bytes", "model", *metrics] if tiebreak else []
     whole = W.window_sql("serial_number", "as_of_date", ties,
                          "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING")

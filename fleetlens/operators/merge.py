@@ -26,12 +26,16 @@ def dedupe_by_key(df: DataFrame, keys: list[str], prefer: str = "min") -> DataFr
     return g.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
 
 
-def merge_by_key(current: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
+def merge_by_key(current: DataFrame, incoming: DataFrame, keys: list[str], dedupe: bool = True) -> DataFrame:
     """Upsert: incoming rows replace current rows with the same key; other current rows stay.
 
-    ``incoming u (current left_anti incoming)``.
+    ``incoming u (current left_anti incoming)``.  Duplicate incoming keys collapse to one
+    row (the largest, deterministically); that keyed aggregate's partitioning is reused
+    by the anti join.
     """
     inc = incoming.select(*current.columns)
+    if dedupe:
+        inc = dedupe_by_key(inc, keys, prefer="max")
     return inc.unionByName(current.join(inc.select(*keys), keys, "left_anti"))
 
 
