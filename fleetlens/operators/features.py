@@ -122,7 +122,8 @@ def features_for_day(telemetry: DataFrame, drives: DataFrame | None, day, metric
 
     cols = ["drive_id", "day"] + [m for m in metrics if m in telemetry.columns
                                   and m not in ONLINE_MISSING_METRICS]
-    sl = telemetry_window(telemetry.select(*cols), d, window_days)
+    # (drive_id, day) is the table key: exact copies collapse (map-side) before the drive shuffle
+    sl = telemetry_window(telemetry.select(*cols), d, window_days).dropDuplicates()
     w = "PARTITION BY drive_id ORDER BY day"
     w7, w30 = f"({w} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)", f"({w} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)"
     whole = f"({w} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from fleetlens.functions.dates import partition_month, partition_year
-from fleetlens.operators.canonical import canonicalize, drop_null_keys
+from fleetlens.operators.canonical import canonicalize, date_range, drop_null_keys
 from fleetlens.operators.merge import dedupe_by_key
 from fleetlens.session import scratch_path
 
@@ -36,8 +36,8 @@ def insert_new_rows(batch: DataFrame, target: str, keys: list[str] = KEYS) -> No
         b = canon.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
         if b["lo"] is None:
             return
-        # compare only against the target partitions the batch can touch
-        cur = current.where(F.col("date").between(F.lit(b["lo"]), F.lit(b["hi"]))).select(*keys)
+        # compare only against the target partitions the batch can touch (year/month pruned)
+        cur = date_range(current, b["lo"], b["hi"], "date", partition_cols=("year", "month")).select(*keys)
         canon = canon.join(cur, keys, "left_anti")
     canon.write.mode("append").option("compression", "zstd").partitionBy("year", "month").parquet(target)
 
