@@ -24,6 +24,21 @@ def validate_page(page: int, page_size: int) -> None:
         raise ValueError(f"page_size must be between 1 and {MAX_PAGE_SIZE}")
 
 
+def validate_day(day):
+    """A job's day parameter: a date, or ISO 'YYYY-MM-DD' text; anything else is rejected."""
+    import datetime as dt
+    if day is None or isinstance(day, Column):
+        return day
+    if isinstance(day, dt.datetime):
+        return day.date()
+    if isinstance(day, dt.date):
+        return day
+    try:
+        return dt.date.fromisoformat(str(day))
+    except ValueError:
+        raise ValueError(f"day must be an ISO date (YYYY-MM-DD), got {day!r}") from None
+
+
 def validate_risk(risk: str | None) -> str | None:
     if risk is None:
         return None
@@ -110,6 +125,7 @@ def fleet_summary(drives: DataFrame, predictions: DataFrame, day=None,
     Built as one aggregate over predictions and one over drives, merged by a
     union + global aggregate (no join of the two).
     """
+    day = validate_day(day)
     p = predictions
     if model_version is not None:
         p = p.where(F.col("model_version") == model_version)

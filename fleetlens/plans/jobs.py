@@ -165,6 +165,7 @@ def run_scoring(telemetry: DataFrame, drives: DataFrame, predictions: DataFrame
     Returns lazily built tables plus an audit row built from their aggregates;
     writing them is the caller's single action per table.
     """
+    day = FL.validate_day(day)
     if day is None:
         try:
             day = CO.latest_day(telemetry, "day")

@@ -194,3 +194,15 @@ def test_time_split_branches():
     assert (s.branch, s.cutoff_date) == ("fraction", dt.date(2024, 1, 24))
     s2 = MO.resolve_split(dt.date(1995, 1, 2), dt.date(2001, 11, 30), 9)
     assert (s2.branch, s2.cutoff_date) == ("months", dt.date(2001, 2, 28))
+
+
+def test_reasons_scaled_option(spark):
+    names = ["a", "b"]
+    model = MO.LinearModel(features=names, weights={"a": 1.0, "b": 1.0}, intercept=0.0,
+                           means={"a": 100.0, "b": 0.0}, scales={"a": 10.0, "b": 1.0},
+                           fills={"a": 0.0, "b": 0.0}, version="t")
+    df = spark.createDataFrame([("x", D0, 110.0, 2.0)], "drive_id string, day date, a double, b double")
+    raw = MO.score_batch(df, model).first()["top_reasons"]
+    scaled = MO.score_batch(df, model, contribution="scaled").first()["top_reasons"]
+    assert [r["code"] for r in raw] == ["a", "b"] and raw[0]["contribution"] == 110.0
+    assert [r["code"] for r in scaled] == ["b", "a"] and scaled[1]["contribution"] == 1.0

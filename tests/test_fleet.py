@@ -70,3 +70,28 @@ def test_detail_history_oldest(spark, fleet):
     d = FL.drive_detail(drives, tel, preds, "drive-001")
     days = [r["day"] for r in d.telemetry_trend.orderBy("day").collect()]
     assert len(days) == 60 and days[0] == DAY
+
+
+def test_day_validation(fleet):
+    drives, preds = fleet
+    with pytest.raises(ValueError):
+        FL.fleet_summary(drives, preds, day="2026/02/22")
+    assert FL.fleet_summary(drives, preds, day="2026-02-22").first()["drives_scored"] == 110
+
+
+def test_match_latest_vs_any(spark, fleet):
+    drives, _ = fleet
+    preds = spark.createDataFrame(
+        [("drive-000", DAY, "v1", 0.9, "HIGH", dt.datetime(2026, 2, 22, 1)),
+         ("drive-000", DAY + dt.timedelta(days=1), "v1", 0.1, "LOW", dt.datetime(2026, 2, 23, 1)),
+         ("drive-001", DAY, "v1", 0.9, "HIGH", dt.datetime(2026, 2, 22, 1))],
+        "drive_id string, day date, model_version string, risk_score double, risk_bucket string, scored_at timestamp_ntz")
+    anyb = {r["drive_id"] for r in FL.drives_with_bucket(drives, preds, "HIGH", "any").collect()}
+    latest = {r["drive_id"] for r in FL.drives_with_bucket(drives, preds, "HIGH", "latest").collect()}
+    assert anyb == {"drive-000", "drive-001"} and latest == {"drive-001"}
+
+
+def test_history_latest_order(spark, fleet):
+    tel = spark.range(100).select(F.lit("d").alias("drive_id"), F.date_add(F.lit(DAY), F.col("id").cast("int")).alias("day"))
+    got = [r["day"] for r in FL.drive_history(tel, 60, "latest").orderBy("day").collect()]
+    assert len(got) == 60 and got[-1] == DAY + dt.timedelta(days=99)
