@@ -104,3 +104,41 @@ def test_upsert_partitions_touches_only_new_days(spark, smoke_dir, tmp_path):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     MG.upsert_partitions(inc, table, keys)
     assert spark.read.parquet(table).count() == p.count()
+
+
+def test_copies_collapse_before_windows(spark, smoke_dir):
+    tel = AD.telemetry_ship(spark, smoke_dir)
+    hot = tel.where(F.col("serial_number") == tel.agg(F.min("serial_number")).first()[0])
+    copies = tel
+    for _ in range(5):
+        copies = copies.unionByName(hot)
+    a = FE.build_features(tel, METRICS, 30)
+    b = FE.build_features(copies, METRICS, 30)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_warehouse_range_prunes_partitions(spark, smoke_dir, tmp_path):
+    from fleetlens.sources import warehouse as WH
+    path = str(tmp_path / "wh")
+    t = AD.telemetry_ship(spark, smoke_dir).withColumnRenamed("as_of_date", "date")
+    WH.write_partitioned(t, path, mode="overwrite")
+    s = WH.scan_warehouse(spark, path, "1998-01-15", "1998-03-31").select("serial_number", "date")
+    plan = _plan(s)
+    assert "PartitionFilters: [" in plan and "year" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "PushedFilters: [" in plan and "date" in plan.split("PushedFilters: [")[1].split("]")[0]
+    assert "ReadSchema: struct<serial_number:string,date:date>" in plan
+    want = t.where(F.col("date").between(F.lit("1998-01-15").cast("date"), F.lit("1998-03-31").cast("date")))
+    assert s.count() == want.count()
+
+
+def test_day_window_pushes_filter(spark, smoke_dir, tmp_path):
+    path = str(tmp_path / "tel")
+    AD.telemetry_daily(AD.telemetry_events(spark, smoke_dir)).write.parquet(path)
+    app = spark.read.parquet(path)
+    day = app.agg(F.max("day")).first()[0]
+    plan = _plan(FE.features_for_day(app, None, day, METRICS))
+    assert "PushedFilters: [" in plan and "day" in plan.split("PushedFilters: [")[1].split("]")[0]
