@@ -68,14 +68,6 @@ def resolve_split(min_date: dt.date, max_date: dt.date, test_months: int = 9) ->
     return Split(min_date, max_date, cutoff, "months")
 
 
-def split_column(df: DataFrame, date_col: str = "as_of_date", test_months: int = 9) -> Column:
-    """The same cutoff rule as a lazy column expression over a 1-row bounds frame."""
-    mn, mx = F.col("min_date"), F.col("max_date")
-    cand = F.add_months(mx, -test_months)
-    span = F.greatest(F.lit(1), F.datediff(mx, mn))
-    return F.when(cand <= mn, F.date_add(mn, F.floor(span * 0.8).cast("int"))).otherwise(cand)
-
-
 def time_split(df: DataFrame, test_months: int = 9, date_col: str = "as_of_date",
                label: str = "label_30d", embargo_days: int = 0) -> tuple[DataFrame, DataFrame, Split]:
     """Train = day <= cutoff, test = day > cutoff (+ optional embargo); rows need a label.

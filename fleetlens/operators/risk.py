@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fleetlens.functions.risk import risk_bucket
 from fleetlens.operators.rank import distributed_rank
 from fleetlens.schema import (FALLBACK_HIGH_MIN_N, FALLBACK_HIGH_SHARE, FALLBACK_MED_MIN_N, FALLBACK_MED_SHARE,
                               FALLBACK_SCORE_RANGES)
@@ -76,7 +75,3 @@ def rank_fallback(scores: DataFrame, batch: str = "day", key: str = "drive_id",
         _linear_score(F.col("_b"), pos, size).alias(score), F.col("_b").alias(bucket),
         F.col(score).alias("model_score"), F.lit("rank_fallback").alias("bucket_mode"))
     return keep.unionByName(fb.select(*scores.columns, "model_score", "bucket_mode"))
-
-
-def bucket_scores(df: DataFrame, score: str = "risk_score") -> DataFrame:
-    return df.withColumn("risk_bucket", risk_bucket(score))

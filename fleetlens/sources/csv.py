@@ -60,47 +60,42 @@ def read_csv_text(spark: SparkSession, paths: list[str], columns: list[str]) ->
             .option("enforceSchema", True).csv(paths))
 
 
-def read_csv_drift(spark: SparkSession, paths: str | list[str], glob: str = "*.csv") -> DataFrame:
-    """All CSV files under ``paths`` as text columns, unioned by name across header variants.
-
-    The (path, header) listing is file metadata (one short row per file);
-    the data itself is read by Spark's CSV source, one scan per header group.
-    """
+def header_groups(spark: SparkSession, paths: str | list[str], glob: str = "*.csv") -> dict[str, list[str]]:
+    """header line -> files having it.  The (path, header) listing is file metadata
+    (one short row per file); the header read itself happens in the tasks."""
     groups: dict[str, list[str]] = {}
     for r in file_headers(spark, paths, glob).collect():
         groups.setdefault(r["header"], []).append(r["path"])
     if not groups:
         raise RuntimeError(f"No CSV files found in {paths}")
-    out = None
-    for header, files in sorted(groups.items()):
-        cols = parse_header(header)
-        if not cols:
-            continue
-        df = read_csv_text(spark, sorted(files), cols)
-        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
-    if out is None:
-        raise RuntimeError(f"No CSV header found in {paths}")
-    return out
+    return groups
 
 
-def ingest_csv(spark: SparkSession, paths: str | list[str], glob: str = "*.csv") -> DataFrame:
-    """Header-grouped read -> canonical warehouse columns -> rows with a day and a serial."""
+def read_csv_drift(spark: SparkSession, paths: str | list[str], glob: str = "*.csv") -> DataFrame:
+    """All CSV files under ``paths`` in the canonical schema, whatever their header variant.
+
+    Aliases are resolved per header group (one Spark CSV scan each) and only then
+    unioned: resolving them after a union would let one group's column shadow
+    another group's alias.
+    """
     parts = []
-    groups: dict[str, list[str]] = {}
-    for r in file_headers(spark, paths, glob).collect():
-        groups.setdefault(r["header"], []).append(r["path"])
-    for header, files in sorted(groups.items()):
+    for header, files in sorted(header_groups(spark, paths, glob).items()):
         cols = parse_header(header)
         if cols:
-            parts.append(drop_null_keys(canonicalize(read_csv_text(spark, sorted(files), cols))))
+            parts.append(canonicalize(read_csv_text(spark, sorted(files), cols)))
     if not parts:
-        raise RuntimeError(f"No CSV files found in {paths}")
+        raise RuntimeError(f"No CSV header found in {paths}")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+def ingest_csv(spark: SparkSession, paths: str | list[str], glob: str = "*.csv") -> DataFrame:
+    """Header-grouped read -> canonical warehouse columns -> rows with a day and a serial."""
+    return drop_null_keys(read_csv_drift(spark, paths, glob))
+
+
 def write_csv_text(df: DataFrame, path: str) -> str:
     """Write text columns as CSV with a header (empty strings stay quoted)."""
     df.write.mode("errorifexists").option("header", True).csv(path)

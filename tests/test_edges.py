@@ -206,3 +206,16 @@ def test_reasons_scaled_option(spark):
     scaled = MO.score_batch(df, model, contribution="scaled").first()["top_reasons"]
     assert [r["code"] for r in raw] == ["a", "b"] and raw[0]["contribution"] == 110.0
     assert [r["code"] for r in scaled] == ["b", "a"] and scaled[1]["contribution"] == 1.0
+
+
+def test_normalize_vector_and_set_null_on_delete(spark):
+    from fleetlens.operators import contracts as CT
+    from fleetlens.operators import vectors as VE
+    df = spark.createDataFrame([({"a": 1.0, "x": 2.0, "b": float("nan")},)], "features map<string,double>")
+    v = df.select(VE.normalize_vector(F.col("features"), ["a", "b", "c"]).alias("v")).first()["v"]
+    assert v == {"a": 1.0, "b": None, "c": None}
+    assert VE.columns_mismatch(["a", "x"], ["a", "b"]) == (["b"], ["x"])
+    audit = spark.createDataFrame([("1", "d1"), ("2", "d2"), ("3", None)], "id string, drive_id string")
+    gone = spark.createDataFrame([("d1",)], "drive_id string")
+    got = {r["id"]: r["drive_id"] for r in CT.null_parent_on_delete(audit, gone).collect()}
+    assert got == {"1": None, "2": "d2", "3": None}
