@@ -85,9 +85,11 @@ def list_drives(drives: DataFrame, predictions: DataFrame, risk: str | None = No
     risk = validate_risk(risk)
     base = drives if risk is None else drives_with_bucket(drives, predictions, risk, match)
     page_rows = base.orderBy("drive_id").offset((page - 1) * page_size).limit(page_size)
-    latest = latest_prediction(predictions.select("drive_id", "day", "scored_at", "model_version",
-                                                  "risk_score", "risk_bucket"))
-    # the page side is at most page_size (<= 200) rows
+    # only the page's drives (<= 200 ids, broadcast) have their latest prediction computed
+    page_preds = predictions.select("drive_id", "day", "scored_at", "model_version", "risk_score",
+                                    "risk_bucket").join(F.broadcast(page_rows.select("drive_id")), "drive_id",
+                                                        "left_semi")
+    latest = latest_prediction(page_preds)
     out = F.broadcast(page_rows).join(latest, "drive_id", "left").select(
         "drive_id", "model", "datacenter",
         F.coalesce(F.col("capacity_bytes"), F.lit(0)).cast("bigint").alias("capacity_bytes"),
