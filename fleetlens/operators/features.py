@@ -31,9 +31,68 @@ def _recast(df: DataFrame, metrics: list[str], date_col: str) -> DataFrame:
                      *[cast(m, "double") for m in metrics])
 
 
+# A real drive has at most one row per day (~4.4k rows for 12 years).  A drive key
+# above this many rows (a placeholder serial, corrupt data) is split into chunks.
+HOT_DRIVE_ROWS = 100_000
+HOT_CHUNK_ROWS = 50_000
+LOOKBACK_ROWS = 29  # the widest frame is the current row and the 29 rows before it
+
+
+def hot_drives(base: DataFrame, threshold: int) -> list[str]:
+    """Serials with more than ``threshold`` rows: a one-column aggregate with map-side
+    combine; the result is bounded by total rows / threshold."""
+    g = base.select("serial_number").groupBy("serial_number").count()
+    return [r[0] for r in g.where(F.col("count") > threshold).select("serial_number").collect()]
+
+
+def _stat_exprs(metrics: list[str], key, order: str, ties: list[str]) -> list:
+    return W.rolling_feature_columns(metrics, key=key, order=order, tiebreak=ties,
+                                     stats=[st for st in STATS if st != "delta_vs_7d"])
+
+
+def _enrich_by_drive(base: DataFrame, metrics: list[str], ties: list[str]) -> DataFrame:
+    whole = W.window_sql("serial_number", "as_of_date", ties,
+                         "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING")
+    return base.select(
+        "as_of_date", "serial_number", "model", "capacity_bytes", *metrics,
+        F.expr(f"min(as_of_date) OVER ({whole}) AS _first_seen"),
+        F.expr(f"min(CASE WHEN failure = 1 THEN as_of_date END) OVER ({whole}) AS _failure_date"),
+        *_stat_exprs(metrics, "serial_number", "as_of_date", ties))
+
+
+def _enrich_hot(rows: DataFrame, metrics: list[str], chunk_rows: int) -> DataFrame:
+    """Exact ROWS-frame features for drives too large for one task.
+
+    Rows get a per-drive index from the distributed rank (which itself splits
+    the drive over range tasks); index chunks of ``chunk_rows`` are windowed
+    separately, each with the previous chunk's last 29 rows as a halo, so every
+    frame sees exactly the rows it would see in one partition.  First-seen and
+    first-failure days are per-drive aggregates (map-side combined), joined back
+    on the few hot serials.
+    """
+    from fleetlens.operators.rank import distributed_rank
+    keyed = rows.withColumn("_tb", F.xxhash64(*rows.columns))
+    ranked = distributed_rank(keyed, [("as_of_date", True), ("_tb", True)], "_r", partition_by="serial_number",
+                              rows_per_range=chunk_rows)
+    r0 = F.col("_r") - 1
+    chunk = F.floor(r0 / F.lit(chunk_rows)).cast("long")
+    own = ranked.withColumns({"_chunk": chunk, "_halo": F.lit(False)})
+    halo = ranked.where(F.pmod(r0, F.lit(chunk_rows)) >= chunk_rows - LOOKBACK_ROWS).withColumns(
+        {"_chunk": chunk + 1, "_halo": F.lit(True)})
+    both = own.unionByName(halo)
+    stats = both.select("as_of_date", "serial_number", "model", "capacity_bytes", *metrics, "_halo",
+                        *_stat_exprs(metrics, ["serial_number", "_chunk"], "_r", [])).where(~F.col("_halo"))
+    ends = rows.groupBy("serial_number").agg(
+        F.min("as_of_date").alias("_first_seen"),
+        F.min(F.when(F.col("failure") == 1, F.col("as_of_date"))).alias("_failure_date"))
+    # one row per hot serial: bounded by total rows / HOT_DRIVE_ROWS
+    return stats.drop("_halo").join(F.broadcast(ends), "serial_number")
+
+
 def build_features(df: DataFrame, metrics: list[str] = METRICS, horizon_days: int = 30,
                    date_col: str = "as_of_date", tiebreak: bool = False,
-                   dedupe: bool = True, partitions: int | None = None) -> DataFrame:
+                   dedupe: bool = True, partitions: int | None = None,
+                   hot_rows: int | None = HOT_DRIVE_ROWS, chunk_rows: int = HOT_CHUNK_ROWS) -> DataFrame:
     """Offline feature table: 9x5 rolling stats + age + look-ahead label + partition keys.
 
     Output columns: as_of_date, serial_number, model, capacity_bytes, age_days,
@@ -53,23 +112,25 @@ def build_features(df: DataFrame, metrics: list[str] = METRICS, horizon_days: in
     It is therefore hash-partitioned by drive into ``partitions`` (default:
     ``spark.sql.shuffle.partitions``) explicitly; the window reuses that
     partitioning, so this adds no exchange.
+
+    Drives with more than ``hot_rows`` rows (found by a one-column aggregate;
+    ``None`` skips the check) are computed by an exact chunked path instead, so
+    no single key becomes one task.
     """
     base = _recast(df, metrics, date_col).where(
         F.col("as_of_date").isNotNull() & F.col("serial_number").isNotNull())
+    hot = hot_drives(base, hot_rows) if hot_rows else []
     if dedupe:
         base = base.dropDuplicates()
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    base = base.repartition(n, "serial_number")
     ties = ["failure", "capacity_bytes", "model", *metrics] if tiebreak else []
-    whole = W.window_sql("serial_number", "as_of_date", ties,
-                         "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING")
-    enriched = base.select(
-        "as_of_date", "serial_number", "model", "capacity_bytes", *metrics,
-        F.expr(f"min(as_of_date) OVER ({whole}) AS _first_seen"),
-        F.expr(f"min(CASE WHEN failure = 1 THEN as_of_date END) OVER ({whole}) AS _failure_date"),
-        *W.rolling_feature_columns(metrics, tiebreak=ties,
-                                   stats=[st for st in STATS if st != "delta_vs_7d"]),
-    )
+    if not hot:
+        enriched = _enrich_by_drive(base.repartition(n, "serial_number"), metrics, ties)
+    else:
+        hot_df = F.broadcast(df.sparkSession.createDataFrame([(h,) for h in hot], "serial_number string"))
+        normal = base.join(hot_df, "serial_number", "left_anti").repartition(n, "serial_number")
+        heavy = base.join(hot_df, "serial_number", "left_semi")
+        enriched = _enrich_by_drive(normal, metrics, ties).unionByName(_enrich_hot(heavy, metrics, chunk_rows))
     # delta uses the 7-row mean already computed (Spark would otherwise evaluate the same
     # window aggregate twice)
     stat_cols = [f"`{m}` - `{m}_mean_7d`" if st == "delta_vs_7d" else f"`{m}_{st}`"

@@ -63,11 +63,13 @@ def metric_stat(metric: str, stat: str, w: WindowSpec) -> Column:
     raise ValueError(f"unknown stat {stat}")
 
 
-def window_sql(key: str = "serial_number", order: str = "as_of_date", tiebreak: list[str] | None = None,
+def window_sql(key="serial_number", order: str = "as_of_date", tiebreak: list[str] | None = None,
                frame: str | None = None) -> str:
-    """The drive window as SQL text (one parse on the JVM instead of many Column calls)."""
+    """The drive window as SQL text (one parse on the JVM instead of many Column calls).
+    ``key`` is a column name or a list of them."""
+    keys = [key] if isinstance(key, str) else list(key)
     ords = ", ".join([f"`{order}`"] + [f"`{c}` ASC NULLS FIRST" for c in (tiebreak or [])])
-    return f"PARTITION BY `{key}` ORDER BY {ords}" + (f" {frame}" if frame else "")
+    return f"PARTITION BY {', '.join(f'`{k}`' for k in keys)} ORDER BY {ords}" + (f" {frame}" if frame else "")
 
 
 def _rows(n: int) -> str:

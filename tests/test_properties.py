@@ -142,3 +142,25 @@ def test_day_window_pushes_filter(spark, smoke_dir, tmp_path):
     day = app.agg(F.max("day")).first()[0]
     plan = _plan(FE.features_for_day(app, None, day, METRICS))
     assert "PushedFilters: [" in plan and "day" in plan.split("PushedFilters: [")[1].split("]")[0]
+
+
+def test_hot_drive_chunked_path_is_exact(spark):
+    import datetime as dt
+    rows = []
+    for i in range(3000):  # one very long drive, one row per day, a few nulls and failures
+        d = dt.date(2000, 1, 1) + dt.timedelta(days=i)
+        v = None if i % 17 == 0 else float((i * 37) % 101)
+        rows.append(("HOT", d, 1 if i in (1500, 2900) else 0, v))
+    for s in ("A", "B"):
+        for i in range(50):
+            rows.append((s, dt.date(2000, 1, 1) + dt.timedelta(days=3 * i), 1 if i == 40 else 0, float(i % 7)))
+    df = spark.createDataFrame(rows, "serial_number string, as_of_date date, failure int, smart_5_raw double")
+    for m in METRICS:
+        if m not in df.columns:
+            df = df.withColumn(m, F.lit(None).cast("double"))
+    df = df.withColumn("model", F.lit("M")).withColumn("capacity_bytes", F.lit(1).cast("bigint"))
+    plain = FE.build_features(df, METRICS, 30, hot_rows=None)
+    chunked = FE.build_features(df, METRICS, 30, hot_rows=1000, chunk_rows=400)
+    assert FE.hot_drives(df, 1000) == ["HOT"]
+    assert chunked.count() == plain.count() == 3100
+    assert plain.exceptAll(chunked).count() == 0 and chunked.exceptAll(plain).count() == 0
