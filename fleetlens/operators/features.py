@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetlens.functions.casts import finite_or, safe_int
-from fleetlens.functions.dates import age_days, clamped_age_days, partition_month, partition_year
+from fleetlens.functions.dates import clamped_age_days
 from fleetlens.operators import windows as W
-from fleetlens.schema import METRICS, ONLINE_MISSING_METRICS, STATS, metric_feature_names
+from fleetlens.schema import METRICS, ONLINE_MISSING_METRICS, STATS
 
 BASE_TYPES = {"failure": "int", "capacity_bytes": "bigint"}
 
