@@ -66,3 +66,23 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared checkpoint folder (snapshots, staged files)."""
     return f"{checkpoint_root(spark)}/fleetlens/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def recommended_partitions(input_bytes: int, total_cores: int, shuffle_fraction: float = 0.3,
+                           target_partition_bytes: int = 256 << 20, split_bytes: int = 512 << 20) -> dict:
+    """Sizing for a run over ``input_bytes`` of Parquet on ``total_cores`` executor cores.
+
+    Returns settings to apply at submit time (nothing is changed here):
+    ``spark.sql.files.maxPartitionBytes`` keeps scan tasks few but memory-safe, and
+    ``spark.sql.shuffle.partitions`` puts about ``target_partition_bytes`` of the
+    (projected, pre-aggregated) shuffle into each reduce task while giving every
+    core at least a few waves of the CPU-bound window stage.
+    """
+    shuffle_bytes = max(1, int(input_bytes * shuffle_fraction))
+    by_size = -(-shuffle_bytes // target_partition_bytes)
+    partitions = max(3 * total_cores, by_size)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.shuffle.partitions": str(int(partitions)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+    }

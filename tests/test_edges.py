@@ -219,3 +219,11 @@ def test_normalize_vector_and_set_null_on_delete(spark):
     gone = spark.createDataFrame([("d1",)], "drive_id string")
     got = {r["id"]: r["drive_id"] for r in CT.null_parent_on_delete(audit, gone).collect()}
     assert got == {"1": None, "2": "d2", "3": None}
+
+
+def test_recommended_partitions():
+    from fleetlens.session import recommended_partitions
+    big = recommended_partitions(100 * 2**40, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 122880  # 30 TB of shuffle in 256 MB tasks
+    small = recommended_partitions(10 * 2**20, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 24     # at least 3 waves per core
