@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlens.llm import chat, secrets
+from fleetlens.llm import bpe, chat, secrets
 from fleetlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,12 +45,25 @@ FROM judged GROUP BY conv_id
 """
 
 
+def byte_bpe_ranks() -> str:
+    """Place of the public 50k byte-level vocabulary, read on the driver alone."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op4_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
+    codec = bpe.shared_codec(spark, byte_bpe_ranks())
+    encoded = bpe.encode(table(spark, d, "documents"), codec, keep=("doc_id",))
+    return bpe.decoded_digests(encoded, codec)
+
+
 def op10_secret_scan(spark: SparkSession, d: str) -> DataFrame:
     return secrets.scan(table(spark, d, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    return {"op2_chat_formatting": op2_chat_formatting, "op10_secret_scan": op10_secret_scan}
+    return {"op2_chat_formatting": op2_chat_formatting, "op4_byte_bpe": op4_byte_bpe,
+            "op10_secret_scan": op10_secret_scan}
 
 
 def oracle_sql() -> dict[str, str]:
