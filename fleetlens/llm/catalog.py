@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlens.llm import bpe, chat, secrets
+from fleetlens.llm import bpe, chat, secrets, simhash
 from fleetlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,13 +57,17 @@ def op4_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
     return bpe.decoded_digests(encoded, codec)
 
 
+def op5_simhash_near_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, d, "documents"))
+
+
 def op10_secret_scan(spark: SparkSession, d: str) -> DataFrame:
     return secrets.scan(table(spark, d, "documents"))
 
 
 def queries() -> dict[str, Query]:
     return {"op2_chat_formatting": op2_chat_formatting, "op4_byte_bpe": op4_byte_bpe,
-            "op10_secret_scan": op10_secret_scan}
+            "op5_simhash_near_dedup": op5_simhash_near_dedup, "op10_secret_scan": op10_secret_scan}
 
 
 def oracle_sql() -> dict[str, str]:
