@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetlens.llm import bpe, chat, secrets, simhash
+from fleetlens.llm import bpe, chat, quality, secrets, simhash
 from fleetlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,13 +61,21 @@ def op5_simhash_near_dedup(spark: SparkSession, d: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, d, "documents"))
 
 
+def op7_quality_classifier(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    model = quality.fit(docs, quality.graded(table(spark, d, "labels")))
+    return (quality.score(docs, model, keep=("doc_id",))
+            .withColumn("keep", F.col("tail_probability") >= quality.KEEP))
+
+
 def op10_secret_scan(spark: SparkSession, d: str) -> DataFrame:
     return secrets.scan(table(spark, d, "documents"))
 
 
 def queries() -> dict[str, Query]:
     return {"op2_chat_formatting": op2_chat_formatting, "op4_byte_bpe": op4_byte_bpe,
-            "op5_simhash_near_dedup": op5_simhash_near_dedup, "op10_secret_scan": op10_secret_scan}
+            "op5_simhash_near_dedup": op5_simhash_near_dedup,
+            "op7_quality_classifier": op7_quality_classifier, "op10_secret_scan": op10_secret_scan}
 
 
 def oracle_sql() -> dict[str, str]:
