@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetlens.llm import bpe, chat, quality, secrets, simhash
+from fleetlens.llm import bpe, chat, linededup, quality, secrets, simhash
 from fleetlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,15 @@ FROM judged GROUP BY conv_id
 """
 
 
+def op3_line_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """A row per document: digest and size of what is left of its text, and the lines deleted."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return (linededup.dedup(docs, with_digest=True)
+            .select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"),
+                    F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars"),
+                    F.col("lines_gone").cast("long").alias("lines_gone")))
+
+
 def byte_bpe_ranks() -> str:
     """Place of the public 50k byte-level vocabulary, read on the driver alone."""
     import public_tokenizers
@@ -73,7 +82,8 @@ def op10_secret_scan(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op2_chat_formatting": op2_chat_formatting, "op4_byte_bpe": op4_byte_bpe,
+    return {"op2_chat_formatting": op2_chat_formatting, "op3_line_dedup": op3_line_dedup,
+            "op4_byte_bpe": op4_byte_bpe,
             "op5_simhash_near_dedup": op5_simhash_near_dedup,
             "op7_quality_classifier": op7_quality_classifier, "op10_secret_scan": op10_secret_scan}
 
