@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetlens.llm import bpe, chat, linededup, quality, secrets, simhash
+from fleetlens.llm import bpe, chat, decontam, linededup, quality, secrets, simhash
 from fleetlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,12 @@ def op5_simhash_near_dedup(spark: SparkSession, d: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, d, "documents"))
 
 
+def op6_benchmark_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    """A row per document and benchmark item copied in it."""
+    found = decontam.contaminated(table(spark, d, "documents"), table(spark, d, "benchmark"))
+    return found.drop("text_hash")
+
+
 def op7_quality_classifier(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     model = quality.fit(docs, quality.graded(table(spark, d, "labels")))
@@ -85,6 +91,7 @@ def queries() -> dict[str, Query]:
     return {"op2_chat_formatting": op2_chat_formatting, "op3_line_dedup": op3_line_dedup,
             "op4_byte_bpe": op4_byte_bpe,
             "op5_simhash_near_dedup": op5_simhash_near_dedup,
+            "op6_benchmark_decontamination": op6_benchmark_decontamination,
             "op7_quality_classifier": op7_quality_classifier, "op10_secret_scan": op10_secret_scan}
 
 
