@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetlens.llm import bpe, chat, decontam, hamming, linededup, quality, secrets, sharding, simhash
+from fleetlens.llm import bpe, chat, decontam, hamming, linededup, quality, secrets, sharding, simhash, wrapper
 from fleetlens.llm.common import staged, table, utf8
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,6 +118,10 @@ SELECT query_id, rank, neighbor_id, distance FROM ranked WHERE rank <= 10
 """
 
 
+def op9_html_extraction(spark: SparkSession, d: str) -> DataFrame:
+    return wrapper.extract(table(spark, d, "pages"))
+
+
 def op10_secret_scan(spark: SparkSession, d: str) -> DataFrame:
     return secrets.scan(table(spark, d, "documents"))
 
@@ -129,6 +133,7 @@ def queries() -> dict[str, Query]:
             "op5_simhash_near_dedup": op5_simhash_near_dedup,
             "op6_benchmark_decontamination": op6_benchmark_decontamination,
             "op7_quality_classifier": op7_quality_classifier, "op8_exact_topk": op8_exact_topk,
+            "op9_html_extraction": op9_html_extraction,
             "op10_secret_scan": op10_secret_scan}
 
 
