@@ -13,7 +13,8 @@ from pyspark.sql import Column, functions as F
 # Accepted number and date text shapes.
 NUMBER_TEXT = r"^ *[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)? *$"
 SPECIAL_DOUBLE_TEXT = r"^(?i) *[+-]?(inf|infinity|nan) *$"
-DATE_TEXT = r"^ *([0-9]{4})[-/]([0-9]{1,2})[-/]([0-9]{1,2})([ T].*)? *$"
+DATE_TEXT = (r"^ *([0-9]{4})([-/])([0-9]{1,2})\2([0-9]{1,2})"
+             r"([ T][0-9]{1,2}:[0-9]{1,2}(:[0-9]{1,2}(\.[0-9]+)?)?(Z|[+-][0-9]{2}(:?[0-9]{2})?)?)? *$")
 
 
 def _col(c) -> Column:
@@ -52,11 +53,11 @@ def narrow_double(c, to: str = "bigint") -> Column:
 
 
 def safe_date(c) -> Column:
-    """Text -> date: ``Y-M-D`` or ``Y/M/D`` with an optional time part; anything else -> null."""
+    """Text -> date: ``Y-M-D`` or ``Y/M/D`` (one separator) with an optional time of day; anything else -> null."""
     t = _col(c).cast("string")
     y = F.regexp_extract(t, DATE_TEXT, 1)
-    m = F.regexp_extract(t, DATE_TEXT, 2)
-    d = F.regexp_extract(t, DATE_TEXT, 3)
+    m = F.regexp_extract(t, DATE_TEXT, 3)
+    d = F.regexp_extract(t, DATE_TEXT, 4)
     return F.when(t.rlike(DATE_TEXT), F.concat_ws("-", y, m, d).try_cast("date"))
 
 

@@ -38,11 +38,10 @@ HOT_CHUNK_ROWS = 50_000
 LOOKBACK_ROWS = 29  # the widest frame is the current row and the 29 rows before it
 
 
-def hot_drives(base: DataFrame, threshold: int) -> list[str]:
-    """Serials with more than ``threshold`` rows: a one-column aggregate with map-side
-    combine; the result is bounded by total rows / threshold."""
-    g = base.select("serial_number").groupBy("serial_number").count()
-    return [r[0] for r in g.where(F.col("count") > threshold).select("serial_number").collect()]
+def hot_drives(base: DataFrame, threshold: int) -> DataFrame:
+    """Serials with more than ``threshold`` rows: a one-column aggregate with map-side combine."""
+    rows = base.select("serial_number").groupBy("serial_number").count()
+    return rows.where(F.col("count") > threshold).select("serial_number")
 
 
 def _stat_exprs(metrics: list[str], key, order: str, ties: list[str]) -> list:
@@ -60,7 +59,7 @@ def _enrich_by_drive(base: DataFrame, metrics: list[str], ties: list[str]) -> Da
         *_stat_exprs(metrics, "serial_number", "as_of_date", ties))
 
 
-def _enrich_hot(rows: DataFrame, metrics: list[str], chunk_rows: int) -> DataFrame:
+def _enrich_hot(rows: DataFrame, metrics: list[str], chunk_rows: int, ties: list[str]) -> DataFrame:
     """Exact ROWS-frame features for drives too large for one task.
 
     Rows get a per-drive index from the distributed rank (which itself splits
@@ -71,9 +70,10 @@ def _enrich_hot(rows: DataFrame, metrics: list[str], chunk_rows: int) -> DataFra
     on the few hot serials.
     """
     from fleetlens.operators.rank import distributed_rank
+    # the same tie order as in one partition; the row hash only makes the order total
     keyed = rows.withColumn("_tb", F.xxhash64(*rows.columns))
-    ranked = distributed_rank(keyed, [("as_of_date", True), ("_tb", True)], "_r", partition_by="serial_number",
-                              rows_per_range=chunk_rows)
+    order = [(c, True) for c in ("as_of_date", *ties, "_tb")]
+    ranked = distributed_rank(keyed, order, "_r", partition_by="serial_number")
     r0 = F.col("_r") - 1
     chunk = F.floor(r0 / F.lit(chunk_rows)).cast("long")
     own = ranked.withColumns({"_chunk": chunk, "_halo": F.lit(False)})
@@ -85,8 +85,7 @@ def _enrich_hot(rows: DataFrame, metrics: list[str], chunk_rows: int) -> DataFra
     ends = rows.groupBy("serial_number").agg(
         F.min("as_of_date").alias("_first_seen"),
         F.min(F.when(F.col("failure") == 1, F.col("as_of_date"))).alias("_failure_date"))
-    # one row per hot serial: bounded by total rows / HOT_DRIVE_ROWS
-    return stats.drop("_halo").join(F.broadcast(ends), "serial_number")
+    return stats.drop("_halo").join(ends, "serial_number")
 
 
 def build_features(df: DataFrame, metrics: list[str] = METRICS, horizon_days: int = 30,
@@ -103,9 +102,9 @@ def build_features(df: DataFrame, metrics: list[str] = METRICS, horizon_days: in
     expressions, so the plan has one shuffle.  ``tiebreak`` adds the row's own
     columns to the sort so duplicate (drive, day) rows are ordered the same way
     on every run.  ``dedupe`` (default) collapses exact duplicate rows (an
-    appended re-run) before the drive shuffle; the aggregate combines copies
-    map-side, so a group of copies never travels to one task.  Rows of the
-    same drive and day that differ are kept (``duplicate_keys`` reports them).
+    appended re-run) after the drive shuffle, in its partitioning; a drive with many
+    copies counts as hot, and its copies combine map-side.  Rows of the same drive
+    and day that differ are kept (``duplicate_keys`` reports them).
 
     The window stage is CPU-bound (sliding frames are re-aggregated per row)
     while its shuffle is small, so AQE would coalesce it into a few tasks.
@@ -119,18 +118,22 @@ def build_features(df: DataFrame, metrics: list[str] = METRICS, horizon_days: in
     """
     base = _recast(df, metrics, date_col).where(
         F.col("as_of_date").isNotNull() & F.col("serial_number").isNotNull())
-    hot = hot_drives(base, hot_rows) if hot_rows else []
-    if dedupe:
-        base = base.dropDuplicates()
+    hot = hot_drives(base, hot_rows) if hot_rows else None
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ties = ["failure", "capacity_bytes", "model", *metrics] if tiebreak else []
-    if not hot:
-        enriched = _enrich_by_drive(base.repartition(n, "serial_number"), metrics, ties)
+
+    def by_drive(rows: DataFrame) -> DataFrame:
+        placed = rows.repartition(n, "serial_number")
+        # copies of a row have one drive, so collapsing them reuses the drive partitioning
+        return _enrich_by_drive(placed.dropDuplicates() if dedupe else placed, metrics, ties)
+
+    if hot is None or hot.isEmpty():
+        enriched = by_drive(base)
     else:
-        hot_df = F.broadcast(df.sparkSession.createDataFrame([(h,) for h in hot], "serial_number string"))
-        normal = base.join(hot_df, "serial_number", "left_anti").repartition(n, "serial_number")
-        heavy = base.join(hot_df, "serial_number", "left_semi")
-        enriched = _enrich_by_drive(normal, metrics, ties).unionByName(_enrich_hot(heavy, metrics, chunk_rows))
+        heavy = base.join(hot, "serial_number", "left_semi")
+        heavy = heavy.dropDuplicates() if dedupe else heavy
+        enriched = by_drive(base.join(hot, "serial_number", "left_anti")).unionByName(
+            _enrich_hot(heavy, metrics, chunk_rows, ties))
     # delta uses the 7-row mean already computed (Spark would otherwise evaluate the same
     # window aggregate twice)
     stat_cols = [f"`{m}` - `{m}_mean_7d`" if st == "delta_vs_7d" else f"`{m}_{st}`"

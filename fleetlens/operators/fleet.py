@@ -42,10 +42,10 @@ def validate_day(day):
 def validate_risk(risk: str | None) -> str | None:
     if risk is None:
         return None
-    r = risk.upper()
-    if r not in RISK_BUCKETS:
+    # lower case only, as callers of the list must send it
+    if risk != risk.lower() or risk.upper() not in RISK_BUCKETS:
         raise ValueError("risk must be one of low, med, high")
-    return r
+    return risk.upper()
 
 
 def latest_prediction(predictions: DataFrame, key: str = "drive_id",

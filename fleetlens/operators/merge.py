@@ -8,34 +8,37 @@ never overwritten in place.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from fleetlens.session import scratch_path
 
 
-def dedupe_by_key(df: DataFrame, keys: list[str], prefer: str = "min") -> DataFrame:
-    """One row per key, chosen deterministically (smallest or largest remaining columns).
+def dedupe_by_key(df: DataFrame, keys: list[str], prefer: str = "min", order: list[str] | None = None) -> DataFrame:
+    """One row per key: the least or greatest by ``order``, then by the remaining columns.
 
     An aggregate, so duplicates are combined map-side before the shuffle.
     """
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.dropDuplicates(keys)
+    first = [c for c in order or [] if c in rest]
     pick = F.min if prefer == "min" else F.max
-    g = df.groupBy(*keys).agg(pick(F.struct(*rest)).alias("_r"))
-    return g.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
+    g = df.groupBy(*keys).agg(pick(F.struct(*first, *[c for c in rest if c not in first])).alias("_r"))
+    return g.select(*[F.col(c) if c in keys else F.col(f"_r.{c}").alias(c) for c in df.columns])
 
 
-def merge_by_key(current: DataFrame, incoming: DataFrame, keys: list[str], dedupe: bool = True) -> DataFrame:
+def merge_by_key(current: DataFrame, incoming: DataFrame, keys: list[str], dedupe: bool = True,
+                 order: list[str] | None = None) -> DataFrame:
     """Upsert: incoming rows replace current rows with the same key; other current rows stay.
 
     ``incoming u (current left_anti incoming)``.  Duplicate incoming keys collapse to one
-    row (the largest, deterministically); that keyed aggregate's partitioning is reused
-    by the anti join.
+    row, the greatest by ``order`` (e.g. ``scored_at``) and then by the remaining columns;
+    that keyed aggregate's partitioning is reused by the anti join.
     """
     inc = incoming.select(*current.columns)
     if dedupe:
-        inc = dedupe_by_key(inc, keys, prefer="max")
+        inc = dedupe_by_key(inc, keys, prefer="max", order=order)
     return inc.unionByName(current.join(inc.select(*keys), keys, "left_anti"))
 
 
@@ -77,15 +80,21 @@ def write_snapshot(df: DataFrame, name: str, path: str | None = None, partition_
     return target
 
 
-def _read_or_none(spark, path: str):
+def read_if_exists(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """The Parquet table at ``path``, or None only if there is no such path; any other failure is raised.
+
+    The path is listed when the reader is made, so the answer does not depend on a later action.
+    """
     try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001  (table not created yet)
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
 def upsert_partitions(incoming: DataFrame, table_path: str, keys: list[str], partition_col: str = "day",
-                      compression: str = "zstd") -> int:
+                      compression: str = "zstd", order: list[str] | None = None) -> int:
     """Upsert into a Parquet table partitioned by ``partition_col``, rewriting only touched partitions.
 
     1. the partition values ``incoming`` touches (one per day: small) bound the read of the
@@ -94,21 +103,23 @@ def upsert_partitions(incoming: DataFrame, table_path: str, keys: list[str], par
        (this cuts the lineage to the files about to be replaced);
     3. the staged slice replaces exactly those partitions (dynamic partition overwrite).
 
-    Returns the number of partitions rewritten.  Re-running with the same input is a no-op
-    in content (the merge is keyed).
+    The table has the columns of ``incoming``.  Duplicate incoming keys collapse as in
+    ``merge_by_key``.  Only a path that does not exist is an empty table: a table that
+    cannot be read raises, and nothing is overwritten.  Returns the number of partitions
+    rewritten.  Re-running with the same input is a no-op in content (the merge is keyed).
     """
     spark = incoming.sparkSession
     touched = [r[0] for r in incoming.select(partition_col).distinct().collect()]
     if not touched:
         return 0
-    current = _read_or_none(spark, table_path)
+    current = read_if_exists(spark, table_path, incoming.schema)
     if current is None:
-        merged = dedupe_by_key(incoming, keys)
+        merged = dedupe_by_key(incoming, keys, prefer="max", order=order)
     else:
-        slice_ = current.where(F.col(partition_col).isin(touched))
-        cols = [c for c in current.columns]
-        merged = merge_by_key(slice_.select(*cols), dedupe_by_key(incoming.select(*cols), keys), keys)
+        same = F.col(partition_col).isin([v for v in touched if v is not None])
+        slice_ = current.where(same | F.col(partition_col).isNull() if None in touched else same)
+        merged = merge_by_key(slice_.select(*incoming.columns), incoming, keys, order=order)
     staged = write_snapshot(merged, "upsert-stage", partition_by=[partition_col], compression=compression)
-    (spark.read.parquet(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (spark.read.schema(merged.schema).parquet(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("compression", compression).partitionBy(partition_col).parquet(table_path))
     return len(touched)

@@ -1,24 +1,19 @@
 """Distributed global rank and prefix sums.
 
-``Window.orderBy(...)`` without a partition moves every row into one task.
-Instead the total order is cut into ranges by literal edges taken from a
-bounded sample (like a range partitioner, but on the full composite sort key,
-so heavy ties on the score are split by the tie-break key).  Each range is
-ranked with a partitioned window; per-range counts (a table with one row per
-range) give the offsets.  The edges are literals in the plan, so a recomputed
-task after an executor loss lands every row in the same range again.
+``Window.orderBy(...)`` without a partition moves every row into one task.  Instead
+Spark range-partitions the rows by the full composite sort key (so heavy ties on the
+score are split by the tie-break key) and the placed rows are written once to the shared
+checkpoint folder, each with its range number.  Ranges are ranked by partitioned windows
+and shifted by the row counts of earlier ranges.  There is one path for every size, nulls
+sort as Spark sorts them, and a task that is recomputed after an executor loss reads the
+written ranges again, so counts and ranks always agree.
 """
 
 from __future__ import annotations
 
-import functools
-import math
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-ROWS_PER_RANGE = 2_000_000   # target rows per range task
-MAX_RANGES = 4096            # bounds the sample, the edge list and the offset table
-OVERSAMPLE = 32              # sampled rows per range when picking edges
+from fleetlens.session import scratch_path
 
 Order = list[tuple[str, bool]]  # (column, ascending)
 
@@ -27,115 +22,45 @@ def _sort_cols(order: Order) -> list[Column]:
     return [F.col(c).asc() if asc else F.col(c).desc() for c, asc in order]
 
 
-def _at_or_after(order: Order, edge: tuple) -> Column:
-    """Row is at or after ``edge`` in the total order (columns must be non-null)."""
-    cond = None
-    for (c, asc), v in reversed(list(zip(order, edge))):
-        x, lit = F.col(c), F.lit(v)
-        strictly = (x > lit) if asc else (x < lit)
-        cond = (x >= lit if asc else x <= lit) if cond is None else (strictly | ((x == lit) & cond))
-    return cond
-
-
-def _range_index(order: Order, edges: list[tuple]) -> Column:
-    """Index of the range a row falls in: number of edges at or before it (balanced ``when`` tree)."""
-    def build(lo: int, hi: int) -> Column:
-        # answer is in [lo, hi]; edges[lo..hi-1] decide
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(_at_or_after(order, edges[mid - 1]), build(mid, hi)).otherwise(build(lo, mid - 1))
-    return build(0, len(edges))
-
-
-def _python_key(order: Order):
-    def cmp(a, b):
-        for i, (_c, asc) in enumerate(order):
-            if a[i] == b[i]:
-                continue
-            lt = a[i] < b[i]
-            return (-1 if lt else 1) * (1 if asc else -1)
-        return 0
-    return functools.cmp_to_key(cmp)
-
-
-def range_edges(df: DataFrame, order: Order, n: int, rows_per_range: int = ROWS_PER_RANGE,
-                max_ranges: int = MAX_RANGES, seed: int = 42) -> list[tuple]:
-    """Literal cut points of the total order from a bounded sample (empty: one range)."""
-    ranges = min(max_ranges, math.ceil(n / max(1, rows_per_range)))
-    if ranges <= 1:
-        return []
-    frac = min(1.0, OVERSAMPLE * ranges / n)
-    cols = [c for c, _ in order]
-    sample = [tuple(r) for r in df.select(*cols).sample(False, frac, seed).collect()]
-    sample = [s for s in sample if all(v is not None for v in s)]
-    if not sample:
-        return []
-    sample.sort(key=_python_key(order))
-    edges, last = [], None
-    for i in range(1, ranges):
-        e = sample[min(len(sample) - 1, (i * len(sample)) // ranges)]
-        if e != last:
-            edges.append(e)
-            last = e
-    return edges
-
-
-def with_range(df: DataFrame, order: Order, rows_per_range: int = ROWS_PER_RANGE,
-               range_col: str = "_range", n: int | None = None) -> DataFrame:
-    n = df.count() if n is None else n
-    edges = range_edges(df, order, n, rows_per_range)
-    return df.withColumn(range_col, _range_index(order, edges) if edges else F.lit(0))
-
-
-def _offsets(ranged: DataFrame, range_col: str, sums: dict[str, Column]) -> DataFrame:
-    """Per range: totals of all earlier ranges (a table of at most MAX_RANGES rows)."""
-    per = ranged.groupBy(range_col).agg(*[v.alias(k) for k, v in sums.items()])
-    w = Window.orderBy(range_col).rowsBetween(Window.unboundedPreceding, -1)
-    return per.select(range_col, *[F.coalesce(F.sum(k).over(w), F.lit(0)).alias(f"_off_{k}") for k in sums])
-
-
-def distributed_rank(df: DataFrame, order: Order, rank_col: str = "rank", partition_by: str | None = None,
-                     rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+def with_range(df: DataFrame, order: Order, range_col: str = "_range") -> DataFrame:
+    """``df`` written with the number of the range each row falls in; ranges follow ``order``."""
+    spark = df.sparkSession
+    placed = df.repartitionByRange(*_sort_cols(order)).withColumn(range_col, F.spark_partition_id())
+    path = scratch_path(spark, "ranges")
+    placed.write.parquet(path)
+    return spark.read.schema(placed.schema).parquet(path)
+
+
+def _with_offsets(ranged: DataFrame, sums: dict[str, Column], partition_by: str | None = None) -> DataFrame:
+    """``ranged`` plus ``_off_<name>``: totals over all earlier ranges (of the same ``partition_by`` value).
+
+    The totals have a row per range and value; a null value is a value of its own.
+    """
+    value = F.col(partition_by) if partition_by else F.lit(0)
+    per = ranged.groupBy(F.col("_range").alias("_at"), value.alias("_of")).agg(*[v.alias(k) for k, v in sums.items()])
+    earlier = Window.partitionBy("_of").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per.select("_at", "_of", *[F.coalesce(F.sum(k).over(earlier), F.lit(0)).alias(f"_off_{k}") for k in sums])
+    same = F.col("_range") == F.col("_at")
+    if partition_by:
+        same = same & ranged[partition_by].eqNullSafe(offsets["_of"])
+    return ranged.join(offsets, same).drop("_at", "_of")
+
+
+def distributed_rank(df: DataFrame, order: Order, rank_col: str = "rank", partition_by: str | None = None) -> DataFrame:
     """1-based row number in the total order ``order`` (add a unique last key for a stable result).
 
-    With ``partition_by`` the rank restarts per value of that column (e.g. per
-    day) while still being computed over balanced ranges of the whole frame.
+    With ``partition_by`` the rank restarts per value of that column (e.g. per day; null is
+    a value) while still being computed over balanced ranges of the whole frame.
     """
     full: Order = ([(partition_by, True)] if partition_by else []) + list(order)
-    n = df.count()
-    edges = range_edges(df, full, n, rows_per_range)
-    local_w = Window.partitionBy("_range").orderBy(*_sort_cols(full))
-    if not edges:
-        # fewer rows than one range: plain windows, no offsets needed
-        w = Window.partitionBy(partition_by) if partition_by else Window.partitionBy(F.lit(0))
-        return df.withColumn(rank_col, F.row_number().over(w.orderBy(*_sort_cols(list(order)))).cast("long"))
-    else:
-        ranged = df.withColumn("_range", _range_index(full, edges))
-        offs = _offsets(ranged, "_range", {"n": F.count(F.lit(1))})
-        out = ranged.join(F.broadcast(offs), "_range").withColumn(
-            rank_col, F.row_number().over(local_w) + F.col("_off_n")).drop("_off_n")
-    if partition_by:
-        per = df.groupBy(partition_by).agg(F.count(F.lit(1)).alias("_pn"))
-        w = Window.orderBy(partition_by).rowsBetween(Window.unboundedPreceding, -1)
-        # one row per partition value (e.g. per day): small by construction
-        poff = per.select(partition_by, F.coalesce(F.sum("_pn").over(w), F.lit(0)).alias("_poff"))
-        out = out.join(F.broadcast(poff), partition_by).withColumn(
-            rank_col, F.col(rank_col) - F.col("_poff")).drop("_poff")
-    return out.drop("_range")
+    out = _with_offsets(with_range(df, full), {"n": F.count(F.lit(1))}, partition_by)
+    inside = Window.partitionBy("_range", *([partition_by] if partition_by else [])).orderBy(*_sort_cols(list(order)))
+    return out.select(*df.columns, (F.row_number().over(inside) + F.col("_off_n")).cast("long").alias(rank_col))
 
 
-def distributed_prefix_sum(df: DataFrame, order: Order, values: list[str], prefix: str = "cum_",
-                           rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+def distributed_prefix_sum(df: DataFrame, order: Order, values: list[str], prefix: str = "cum_") -> DataFrame:
     """Running totals of ``values`` in the total order (inclusive of the current row)."""
-    n = df.count()
-    edges = range_edges(df, order, n, rows_per_range)
-    w = Window.partitionBy("_range").orderBy(*_sort_cols(order)).rowsBetween(Window.unboundedPreceding, 0)
-    if not edges:
-        one = df.withColumn("_range", F.lit(0))
-        return one.select(*df.columns, *[F.sum(v).over(w).alias(f"{prefix}{v}") for v in values])
-    ranged = df.withColumn("_range", _range_index(order, edges))
-    offs = _offsets(ranged, "_range", {v: F.sum(v) for v in values})
-    out = ranged.join(F.broadcast(offs), "_range")
-    return out.select(*df.columns, *[(F.sum(v).over(w) + F.col(f"_off_{v}")).alias(f"{prefix}{v}")
-                                     for v in values])
+    out = _with_offsets(with_range(df, order), {v: F.sum(v) for v in values})
+    inside = Window.partitionBy("_range").orderBy(*_sort_cols(order)).rowsBetween(Window.unboundedPreceding, 0)
+    return out.select(*df.columns, *[(F.coalesce(F.sum(v).over(inside), F.lit(0)) + F.coalesce(F.col(f"_off_{v}"), F.lit(0)))
+                                     .alias(f"{prefix}{v}") for v in values])

@@ -134,7 +134,7 @@ def q_scan_warehouse(spark, d):
     path = scratch_path(spark, "warehouse-ship")
     t = AD.telemetry_ship(spark, d).withColumnRenamed("as_of_date", "date")
     WH.write_partitioned(t, path, mode="overwrite")
-    s = WH.scan_warehouse(spark, path, "1998-01-15", "1998-03-31")
+    s = WH.scan_warehouse(spark, path, "1998-01-15", "1998-03-31", schema=t.schema)
     return round6(s.select("serial_number", "date", "smart_5_raw", "year", "month"))
 
 
@@ -142,7 +142,7 @@ def q_write_features(spark, d):
     path = scratch_path(spark, "features")
     f = FE.build_features(AD.telemetry_ship(spark, d), METRICS, 30)
     WH.write_partitioned(f.drop("year", "month"), path, mode="overwrite", date_col="as_of_date")
-    return round6(WH.scan_warehouse(spark, path))
+    return round6(WH.scan_warehouse(spark, path, schema=f.schema))
 
 
 def q_load_telemetry(spark, d):
@@ -224,9 +224,9 @@ def q_stream_landing(spark, d):
     root = scratch_path(spark, "landing")
     raw = AD.raw_text(spark, d)
     CSV.write_csv_text(raw, f"{root}/in")
-    ingest_landing(spark, f"{root}/in", f"{root}/table", raw.columns, fmt="csv", checkpoint=f"{root}/ckpt")
+    ingest_landing(spark, f"{root}/in", f"{root}/table", checkpoint=f"{root}/ckpt")
     # a second run finds no new files and must add nothing
-    ingest_landing(spark, f"{root}/in", f"{root}/table", raw.columns, fmt="csv", checkpoint=f"{root}/ckpt")
+    ingest_landing(spark, f"{root}/in", f"{root}/table", checkpoint=f"{root}/ckpt")
     return spark.read.parquet(f"{root}/table").drop("year", "month")
 
 

@@ -6,7 +6,7 @@ import datetime as dt
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from fleetlens.operators import cohort as CO
 from fleetlens.operators import evaluate as EV
@@ -29,13 +29,9 @@ def build_warehouse(spark: SparkSession, source: str, dest: str, kind: str = "zi
                     max_files: int | None = None, mode: str = "append") -> int:
     """Raw daily CSVs (inside ZIPs or plain) -> canonical, partitioned ZSTD Parquet. Returns rows written."""
     df = ZC.read_zip_csv(spark, source, max_files) if kind == "zip" else CSV.ingest_csv(spark, source)
-    df = df.persist()
-    try:
-        n = df.count()
-        WH.write_partitioned(df, dest, mode=mode, date_col="date")
-    finally:
-        df.unpersist()
-    return n
+    written = Observation()
+    WH.write_partitioned(df.observe(written, F.count(F.lit(1)).alias("rows")), dest, mode=mode, date_col="date")
+    return written.get["rows"]
 
 
 # -- C7: training -------------------------------------------------------------------
@@ -217,7 +213,7 @@ def run_pipeline(spark: SparkSession, source: str, kind: str = "zip", horizon_da
     feats_path = f"{root}/features"
     feats = FE.build_features(WH.scan_warehouse(spark, wh), METRICS, horizon_days, date_col="date")
     WH.write_partitioned(feats.drop("year", "month"), feats_path, mode="overwrite", date_col="as_of_date")
-    features = WH.scan_warehouse(spark, feats_path)
+    features = WH.scan_warehouse(spark, feats_path, schema=feats.schema)
     run = train(features.drop("year", "month"), horizon_days, test_months)
     model_path = save_model(spark, run.model, f"{root}/models/{run.model.version}")
     reg = register(spark, run, model_path)

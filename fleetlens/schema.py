@@ -79,6 +79,9 @@ SPARK_TYPES = {
     "bigint": T.LongType(), "double": T.DoubleType(),
 }
 
+#: The warehouse columns, as every scan reads them.
+WAREHOUSE_SCHEMA = T.StructType([T.StructField(name, SPARK_TYPES[kind]) for name, kind, _ in CANONICAL_COLUMNS])
+
 REASON_STRUCT = T.StructType([
     T.StructField("code", T.StringType()),
     T.StructField("contribution", T.DoubleType()),

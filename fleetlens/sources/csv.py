@@ -100,8 +100,3 @@ def write_csv_text(df: DataFrame, path: str) -> str:
     """Write text columns as CSV with a header (empty strings stay quoted)."""
     df.write.mode("errorifexists").option("header", True).csv(path)
     return path
-
-
-def csv_line_fields(line_col: str = "line"):
-    """Field count of a CSV line, commas inside double quotes ignored."""
-    return F.size(F.split(F.col(line_col), ',(?=(?:[^"]*"[^"]*")*[^"]*$)'))

@@ -21,10 +21,27 @@ YEAR_FIRST = r"(?i)((?:19|20)\d{2})[_\-]?Q([1-4])"
 YEAR_ONLY = r"((?:19|20)\d{2})"
 # ---------------------------------------------------------------------------
 
-HREF = r"""(?i)<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""
+# an anchor's own href, quoted or not; quoted values of other attributes are passed over whole
+HREF = r"""(?i)<a(?=\s)(?:[^>"']|"[^"]*"|'[^']*')*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+COMMENT = r"(?s)<!--.*?(?:-->|$)"
+ENTITIES = [("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")]
 ABSOLUTE = r"^[A-Za-z][A-Za-z0-9+.\-]*:"
 
 
+def without_dots(url: Column) -> Column:
+    """``.`` and ``..`` segments of the path resolved; the rest of the URL as it is."""
+    origin = F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)", 1)
+    path = url_path(url)
+    rest = F.substr(url, F.length(origin) + F.length(path) + 1, F.length(url))
+    parts = F.split(path, "/")
+    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda done, part: F.when(
+        part == "..", F.when(F.size(done) > 1, F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(1)))).otherwise(done)).when(
+        part == ".", done).otherwise(F.concat(done, F.array(part))))
+    end = F.when(F.element_at(parts, -1).isin(".", ".."), F.lit("/")).otherwise(F.lit(""))
+    return F.when((origin != "") & path.rlike(r"(^|/)\.\.?(/|$)"),
+                  F.concat(origin, F.array_join(kept, "/"), end, rest)).otherwise(url)
+
+
 def resolve_url(base: Column, href: Column) -> Column:
     """Join ``href`` to the page URL: absolute, scheme-relative, root-relative, query-only or relative."""
     scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1)
@@ -36,7 +53,7 @@ def resolve_url(base: Column, href: Column) -> Column:
     path_dir = F.when(path_dir == F.concat(origin, F.lit("/")), path_dir).when(
         F.length(path_dir) <= F.length(origin), F.concat(origin, F.lit("/"))).otherwise(path_dir)
     h = F.trim(href)
-    return (F.when(h.rlike(ABSOLUTE), h)
+    return without_dots(F.when(h.rlike(ABSOLUTE), h)
             .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
             .when(h.startswith("/"), F.concat(origin, h))
             .when(h.startswith("?"), F.concat(no_query, h))
@@ -86,9 +103,11 @@ def period_order(period: Column) -> Column:
 
 def page_links(pages: DataFrame) -> DataFrame:
     """Every ``a[href]`` of every page: page_id, pos (order in the page), href, resolved url."""
-    hrefs = pages.select("page_id", "url", F.posexplode(F.regexp_extract_all("html", F.lit(HREF), 1))
-                         .alias("pos", "href"))
-    href = F.regexp_replace(F.col("href"), "&amp;", "&")
+    visible = F.regexp_replace("html", COMMENT, "")
+    hrefs = pages.select("page_id", "url", F.posexplode(F.regexp_extract_all(visible, F.lit(HREF), 1)).alias("pos", "href"))
+    href = F.regexp_replace(F.col("href"), r"""^["']|["']$""", "")
+    for entity, sign in ENTITIES:
+        href = F.replace(href, F.lit(entity), F.lit(sign))
     return hrefs.select("page_id", "pos", href.alias("href"), resolve_url(F.col("url"), href).alias("link"))
 
 

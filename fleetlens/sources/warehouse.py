@@ -2,32 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from fleetlens.functions.dates import partition_month, partition_year
 from fleetlens.operators.canonical import date_range
+from fleetlens.schema import WAREHOUSE_SCHEMA
 
 
 def write_partitioned(df: DataFrame, path: str, mode: str = "append", date_col: str = "date",
                       dynamic_overwrite: bool = True, compression: str = "zstd") -> None:
     """Write ZSTD Parquet partitioned by year, month.
 
-    Rows are clustered by (year, month) first so each task writes few files per
-    partition directory.  ``mode='overwrite'`` with ``dynamic_overwrite`` only
+    Rows are rebalanced by (year, month) first: small months share tasks, and a month that is
+    larger than the advisory partition size is split over several tasks and files.  ``mode='overwrite'`` with ``dynamic_overwrite`` only
     replaces the partitions present in ``df`` (a static overwrite is the clean rebuild).
     """
     out = df.withColumns({"year": partition_year(date_col), "month": partition_month(date_col)})
-    out = out.repartition("year", "month")
+    out = out.hint("rebalance", "year", "month")
     w = out.write.mode(mode).option("compression", compression).partitionBy("year", "month")
     if mode == "overwrite":
         w = w.option("partitionOverwriteMode", "dynamic" if dynamic_overwrite else "static")
     w.parquet(path)
 
 
-def scan_warehouse(spark: SparkSession, root: str, start=None, end=None, date_col: str = "date") -> DataFrame:
-    """Read the warehouse with columns merged by name; optional inclusive day range that also prunes
-    year/month directories.  Partition values stay text ('01') and ``year`` is cast to int."""
-    df = spark.read.option("mergeSchema", True).parquet(root)
+def scan_warehouse(spark: SparkSession, root: str, start=None, end=None, date_col: str = "date",
+                   schema: T.StructType = WAREHOUSE_SCHEMA) -> DataFrame:
+    """Read the columns of ``schema`` by name; a file that lacks one gives nulls.
+
+    The schema is given, so no footer is opened before pruning.  An optional inclusive day
+    range also prunes year/month directories.  Partition values stay text ('01') and
+    ``year`` is cast to int.
+    """
+    data = T.StructType([f for f in schema.fields if f.name not in ("year", "month")])
+    df = spark.read.schema(data).parquet(root)
     if "year" in df.columns:
         df = df.withColumn("year", F.col("year").cast("int"))
     if start is not None and end is not None:
@@ -40,6 +47,6 @@ def load_telemetry(df: DataFrame, path: str, clear: bool = True) -> None:
 
     ``clear=True`` replaces the table (the reference truncates first); otherwise append.
     """
-    (df.repartition("day").sortWithinPartitions("drive_id", "day")
+    (df.hint("rebalance", "day").sortWithinPartitions("drive_id", "day")
      .write.mode("overwrite" if clear else "append").option("compression", "zstd")
      .partitionBy("day").parquet(path))

@@ -22,11 +22,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleetlens.operators.canonical import canonicalize, drop_null_keys
-from fleetlens.sources.csv import csv_line_fields, parse_header
+from fleetlens.sources.csv import parse_header
 
 ENTRY_SCHEMA = "archive string, entry string, header string"
 LINE_SCHEMA = "archive string, entry string, line_no long, line string"
 BATCH_LINES = 50_000
+BAD = "_bad_record"
 
 
 def is_metadata_entry(name: str) -> bool:
@@ -35,12 +36,16 @@ def is_metadata_entry(name: str) -> bool:
     return parts[-1].startswith("._") or "__MACOSX" in parts
 
 
-def _open(path: str):
+def _file_system(path: str):
     import pyarrow.fs as pafs
     from urllib.parse import unquote
     if path.startswith("file:"):
-        return pafs.LocalFileSystem().open_input_file(unquote(path[len("file:"):]))
-    fs, p = pafs.FileSystem.from_uri(path)
+        return pafs.LocalFileSystem(), "/" + unquote(path[len("file:"):]).lstrip("/")
+    return pafs.FileSystem.from_uri(path)
+
+
+def _open(path: str):
+    fs, p = _file_system(path)
     return fs.open_input_file(p)
 
 
@@ -63,13 +68,20 @@ def _lines(batches):
         for path, name in zip(pdf["archive"], pdf["entry"]):
             with _open(path) as fh, zipfile.ZipFile(fh) as zf, zf.open(name) as e:
                 rows: list[tuple] = []
+                held = ""
                 for i, raw in enumerate(io.TextIOWrapper(e, encoding="utf-8-sig", newline="")):
                     if i == 0:
                         continue
-                    rows.append((path, name, i, raw.rstrip("\r\n")))
+                    held += raw
+                    if held.count('"') % 2:
+                        continue  # a line feed inside quotes
+                    rows.append((path, name, i, held.rstrip("\r\n")))
+                    held = ""
                     if len(rows) >= BATCH_LINES:
                         yield pd.DataFrame(rows, columns=["archive", "entry", "line_no", "line"])
                         rows = []
+                if held:
+                    rows.append((path, name, i, held.rstrip("\r\n")))
                 if rows:
                     yield pd.DataFrame(rows, columns=["archive", "entry", "line_no", "line"])
 
@@ -89,11 +101,6 @@ def entry_lines(entries: DataFrame) -> DataFrame:
     return entries.select("archive", "entry").repartition(n, "archive", "entry").mapInPandas(_lines, LINE_SCHEMA)
 
 
-def zip_lines(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFrame:
-    """Every data line of every CSV entry under ``path``."""
-    return entry_lines(zip_entries(spark, path, glob))
-
-
 def read_zip_csv(spark: SparkSession, path: str, max_files: int | None = None, glob: str = "*.zip") -> DataFrame:
     """Canonical warehouse rows from all CSV entries of all archives; optionally only the first
     ``max_files`` entries in (archive, entry) order."""
@@ -110,9 +117,10 @@ def read_zip_csv(spark: SparkSession, path: str, max_files: int | None = None, g
             continue
         # the entry list is file metadata (one row per CSV file)
         ents = spark.createDataFrame(keys, "archive string, entry string")
-        body = entry_lines(ents).where(csv_line_fields("line") == len(cols))
-        ddl = ", ".join(f"`{c}` string" for c in cols)
-        parsed = body.select(F.from_csv("line", ddl).alias("r")).select("r.*")
+        # the parse itself says which records have another number of fields
+        ddl = ", ".join([*(f"`{c}` string" for c in cols), f"{BAD} string"])
+        records = entry_lines(ents).select(F.from_csv("line", ddl, {"columnNameOfCorruptRecord": BAD}).alias("r"))
+        parsed = records.where(F.col(f"r.{BAD}").isNull()).select("r.*").drop(BAD)
         parts.append(drop_null_keys(canonicalize(parsed)))
     if not parts:
         raise RuntimeError(f"No CSV entries found in {path}")
@@ -124,33 +132,33 @@ def read_zip_csv(spark: SparkSession, path: str, max_files: int | None = None, g
 
 def _write_zip_partition(out_dir: str, columns: list[str], extra_junk: bool):
     def run(batches):
-        import os
         import uuid
         from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
-        os.makedirs(out_dir, exist_ok=True)
-        frames = list(batches)
+        frames = [pdf for pdf in batches if not pdf.empty]
         if not frames:
             return
-        pdf = pd.concat(frames)
-        if pdf.empty:
-            return
-        buf = io.StringIO()
-        pdf[columns].to_csv(buf, index=False)
-        name = f"{out_dir}/part-{pid:05d}-{uuid.uuid4().hex[:8]}.zip"
-        with zipfile.ZipFile(name, "w", compression=zipfile.ZIP_DEFLATED) as zf:
-            zf.writestr(f"data/day_{pid:05d}.csv", buf.getvalue())
+        pid = TaskContext.get().partitionId()
+        buf = io.BytesIO()
+        with zipfile.ZipFile(buf, "w", compression=zipfile.ZIP_DEFLATED) as zf:
+            with zf.open(f"data/day_{pid:05d}.csv", "w") as entry:
+                for i, pdf in enumerate(frames):
+                    entry.write(pdf[columns].to_csv(index=False, header=i == 0).encode())
             if extra_junk:
                 zf.writestr(f"__MACOSX/data/._day_{pid:05d}.csv", "junk")
                 zf.writestr(f"data/._day_{pid:05d}.csv", "junk")
-        yield pd.DataFrame({"archive": [name], "rows": [len(pdf)]})
+        fs, folder = _file_system(out_dir)
+        fs.create_dir(folder, recursive=True)
+        name = f"part-{pid:05d}-{uuid.uuid4().hex[:8]}.zip"
+        with fs.open_output_stream(f"{folder}/{name}") as out:
+            out.write(buf.getvalue())
+        yield pd.DataFrame({"archive": [f"{out_dir}/{name}"], "rows": [sum(map(len, frames))]})
     return run
 
 
 def write_zip_csv(df: DataFrame, out_dir: str, extra_junk: bool = True) -> DataFrame:
     """Write each partition of a text DataFrame as one ZIP of one CSV (a fixture/landing writer).
 
-    Local-path writer (a shared mount on a cluster).  Returns (archive, rows) per file.
+    Tasks write through the file system of ``out_dir``.  Returns (archive, rows) per file.
     """
-    local = out_dir[len("file:"):] if out_dir.startswith("file:") else out_dir
-    return df.mapInPandas(_write_zip_partition(local, df.columns, extra_junk), "archive string, rows long")
+    target = out_dir if "://" in out_dir or out_dir.startswith("file:") else f"file:{out_dir}"
+    return df.mapInPandas(_write_zip_partition(target, df.columns, extra_junk), "archive string, rows long")

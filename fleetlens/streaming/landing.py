@@ -9,29 +9,29 @@ checkpoint folder under ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleetlens.functions.dates import partition_month, partition_year
-from fleetlens.operators.canonical import canonicalize, date_range, drop_null_keys
-from fleetlens.operators.merge import dedupe_by_key
+from fleetlens.operators.canonical import date_range, drop_null_keys
+from fleetlens.operators.merge import dedupe_by_key, read_if_exists
 from fleetlens.session import scratch_path
+from fleetlens.sources.csv import read_csv_drift
 
 KEYS = ["serial_number", "date"]
 
 
-def _target_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001  (no table yet)
-        return None
+BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
 
 
 def insert_new_rows(batch: DataFrame, target: str, keys: list[str] = KEYS) -> None:
-    """Append the batch's rows whose key is not in the target (idempotent under replay)."""
+    """Append the rows of a canonical batch whose key is not in the target (idempotent under replay).
+
+    Only a target path that does not exist counts as empty; a target that cannot be read raises.
+    """
     spark = batch.sparkSession
-    canon = dedupe_by_key(drop_null_keys(canonicalize(batch)), keys)
+    canon = dedupe_by_key(drop_null_keys(batch), keys)
     canon = canon.withColumns({"year": partition_year("date"), "month": partition_month("date")})
-    current = _target_or_none(spark, target)
+    current = read_if_exists(spark, target, canon.schema)
     if current is not None:
         b = canon.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
         if b["lo"] is None:
@@ -42,18 +42,23 @@ def insert_new_rows(batch: DataFrame, target: str, keys: list[str] = KEYS) -> No
     canon.write.mode("append").option("compression", "zstd").partitionBy("year", "month").parquet(target)
 
 
-def ingest_landing(spark: SparkSession, landing: str, target: str, columns: list[str], fmt: str = "csv",
-                   checkpoint: str | None = None, max_files_per_trigger: int | None = None) -> None:
-    """Process every not-yet-seen landing file once, then stop (availableNow)."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    if fmt == "csv":
-        stream = reader.option("header", True).option("mode", "DROPMALFORMED").csv(landing)
-    else:
-        stream = reader.format(fmt).load(landing)
-    q = (stream.writeStream.foreachBatch(lambda df, _epoch: insert_new_rows(df, target))
+def ingest_landing(spark: SparkSession, landing: str, target: str, glob: str = "*.csv", checkpoint: str | None = None,
+                   max_files_per_trigger: int = 1000) -> None:
+    """Process every not-yet-seen landing file once, then stop (availableNow).
+
+    The stream lists files only; each micro-batch, of at most ``max_files_per_trigger``
+    files, is read by the header-grouped reader, so a file whose columns come in another
+    order or under other names is bound by its own header.
+    """
+    files = (spark.readStream.format("binaryFile").schema(BINARY_FILE).option("pathGlobFilter", glob)
+             .option("maxFilesPerTrigger", max_files_per_trigger).load(landing).select("path"))
+
+    def insert(batch: DataFrame, _epoch: int) -> None:
+        paths = [r[0] for r in batch.collect()]
+        if paths:
+            insert_new_rows(read_csv_drift(spark, paths, glob), target)
+
+    q = (files.writeStream.foreachBatch(insert)
          .option("checkpointLocation", checkpoint or scratch_path(spark, "landing-ckpt"))
          .trigger(availableNow=True).start())
     q.awaitTermination()

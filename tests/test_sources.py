@@ -77,11 +77,38 @@ def test_stream_landing_idempotent(spark):
     from fleetlens.streaming.landing import ingest_landing
     root = tempfile.mkdtemp(prefix="fl-land-")
     _write(f"{root}/in/a.csv", "date,serial_number,model\n2024-01-01,S1,M\n2024-01-01,S1,M\n2024-01-02,S1,M\n")
-    cols = ["date", "serial_number", "model"]
-    ingest_landing(spark, f"{root}/in", f"{root}/t", cols, checkpoint=f"{root}/ck")
+    ingest_landing(spark, f"{root}/in", f"{root}/t", checkpoint=f"{root}/ck")
     _write(f"{root}/in/b.csv", "date,serial_number,model\n2024-01-02,S1,M\n2024-01-03,S1,M\n")
-    ingest_landing(spark, f"{root}/in", f"{root}/t", cols, checkpoint=f"{root}/ck")
+    ingest_landing(spark, f"{root}/in", f"{root}/t", checkpoint=f"{root}/ck")
     assert spark.read.parquet(f"{root}/t").count() == 3
+    # a file with its columns in another order is bound by its own header
+    _write(f"{root}/in/c.csv", "model,date,serial_number\nM2,2024-02-01,S2\n")
+    ingest_landing(spark, f"{root}/in", f"{root}/t", checkpoint=f"{root}/ck")
+    row = spark.read.parquet(f"{root}/t").where("date = '2024-02-01'").collect()[0]
+    assert (row["serial_number"], row["model"]) == ("S2", "M2")
+
+
+def test_link_rules(spark):
+    html = ('<!-- <a href="gone.zip">x</a> --><a data-href="no.zip" href=un.zip>u</a>'
+            '<a class="a>b" href="../up.zip">p</a><a href=\'./here.zip?a=1&amp;b=2\'>h</a><abbr href="not.zip">')
+    pages = spark.createDataFrame([(1, "http://s.example/a/b/c.html", html)], "page_id long, url string, html string")
+    assert [r["link"] for r in LK.page_links(pages).orderBy("pos").collect()] == [
+        "http://s.example/a/b/un.zip", "http://s.example/a/up.zip", "http://s.example/a/b/here.zip?a=1&b=2"]
+
+
+def test_skewed_month_is_split(spark):
+    from fleetlens.sources import warehouse as WH
+    rows = spark.range(0, 400_000, 1, 8).select(F.lit("2024-01-05").cast("date").alias("date"),
+                                                F.sha2(F.col("id").cast("string"), 256).alias("serial_number"))
+    root = tempfile.mkdtemp(prefix="fl-skew-")
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        WH.write_partitioned(rows, f"{root}/w")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    assert len(spark.read.parquet(f"{root}/w").inputFiles()) > 1
+    assert WH.scan_warehouse(spark, f"{root}/w").count() == 400_000
 
 
 def test_manifest_matches_sql_on_fixture(spark):
