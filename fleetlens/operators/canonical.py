@@ -74,3 +74,29 @@ def date_range(df: DataFrame, start, end, date_col: str = "date",
         ym = F.col(y).cast("int") * 100 + F.col(m).cast("int")
         out = out.where(ym.between(F.year(s) * 100 + F.month(s), F.year(e) * 100 + F.month(e)))
     return out
+
+
+def _digest_number(columns: list[str], hex_digits: int):
+    """The first hex digits of the row's MD5 as a number: the same in any engine."""
+    text = F.concat_ws("|", *[F.col(c).cast("string") for c in columns])
+    return F.conv(F.substring(F.md5(text), 1, hex_digits), 16, 10).cast("bigint")
+
+
+def sample_rows(df: DataFrame, columns: list[str], percent: int) -> DataFrame:
+    """A repeatable sample: rows whose digest of ``columns`` falls in the first ``percent`` of 100 buckets."""
+    return df.where(_digest_number(columns, 8) % 100 < percent)
+
+
+def limit_rows(df: DataFrame, order: list[str], n: int | None) -> DataFrame:
+    """The first ``n`` rows in ``order`` (None or 0: all), the knob of smoke runs."""
+    return df.orderBy(*order).limit(n) if n else df
+
+
+def dataset_hash(df: DataFrame, columns: list[str], missing: str = "manifest_missing") -> DataFrame:
+    """One row ``dataset_hash``: SHA-256 over the count, sum and xor of the rows' digests.
+
+    Rows may come in any order and from any number of tasks.  Without a row it is ``missing``.
+    """
+    number = _digest_number(columns, 15)
+    sums = df.agg(F.count(F.lit(1)).alias("n"), F.sum(number.cast("decimal(38,0)")).alias("s"), F.bit_xor(number).alias("x"))
+    return sums.select(F.when(F.col("n") == 0, missing).otherwise(F.sha2(F.concat_ws("|", "n", "s", "x"), 256)).alias("dataset_hash"))

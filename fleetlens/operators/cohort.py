@@ -103,6 +103,8 @@ def cohort_telemetry(df: DataFrame, cohort: DataFrame, start, end, max_drives: i
         *[narrow_double(typed(df, f"smart_{n}_raw", "double")).alias(f"smart_{n}")
           for n in (5, 187, 188, 197, 198, 199)],
         typed(df, "temperature", "double").alias("temperature"),
+        # the warehouse has no latencies; the application table does
+        *[F.lit(None).cast("double").alias(c) for c in ("io_read_latency_ms", "io_write_latency_ms")],
         F.coalesce(typed(df, "failure", "int") == 1, F.lit(False)).alias("is_failed_today"),
         F.coalesce(F.col("_sd_model"), clean_text("model"), F.lit(UNKNOWN_MODEL)).alias("model"),
         F.coalesce(F.col("_sd_cap"), typed(df, "capacity_bytes", "bigint")).alias("capacity_bytes"),

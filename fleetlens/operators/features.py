@@ -168,7 +168,8 @@ def features_for_day(telemetry: DataFrame, drives: DataFrame | None, day, metric
     (unknown -> 0), and the metrics the online table lacks are always null.
 
     ``mode='consistent'`` returns the offline definition (``build_features``)
-    restricted to that day, so training and serving agree.
+    restricted to that day, so training and serving agree; of an application table
+    (``drive_id``, ``day``, ``is_failed_today``) it has the output columns below.
 
     Input columns (compat): drive_id, day, metric columns.  Output: drive_id,
     day, capacity_bytes, age_days, then the metric statistics (metric-major).
@@ -177,10 +178,22 @@ def features_for_day(telemetry: DataFrame, drives: DataFrame | None, day, metric
     if mode == "consistent":
         # rows after day + horizon change neither the rolling stats (they look back) nor the
         # label (only the first failure up to day + horizon matters): drop them at the scan
-        date_col = "as_of_date" if "as_of_date" in telemetry.columns else "date"
+        date_col = next(c for c in ("as_of_date", "date", "day") if c in telemetry.columns)
         hist = telemetry.where(F.col(date_col) <= F.date_add(d, horizon_days))
-        feats = build_features(hist, metrics, horizon_days, date_col=date_col)
-        return feats.where(F.col("as_of_date") == d)
+        if "drive_id" not in telemetry.columns:
+            return build_features(hist, metrics, horizon_days, date_col=date_col).where(F.col("as_of_date") == d)
+        # the application table: the drive's id and failure flag under other names, counters without the suffix
+        flag = F.col("is_failed_today").cast("int") if "is_failed_today" in hist.columns else F.lit(None).cast("int")
+        named = {m: next((c for c in (m, m.removesuffix("_raw")) if c in hist.columns), None) for m in metrics}
+        shaped = hist.select(F.col("drive_id").alias("serial_number"), F.col(date_col).alias("as_of_date"), flag.alias("failure"),
+                             *[(F.col(c) if c else F.lit(None)).cast("double").alias(m) for m, c in named.items()])
+        feats = build_features(shaped, metrics, horizon_days).where(F.col("as_of_date") == d).drop("capacity_bytes")
+        size = (drives.select(F.col("drive_id").alias("serial_number"), "capacity_bytes") if drives is not None
+                else feats.select("serial_number", F.lit(None).cast("bigint").alias("capacity_bytes")).distinct())
+        return feats.join(size, "serial_number", "left").select(
+            F.col("serial_number").alias("drive_id"), F.col("as_of_date").alias("day"),
+            F.coalesce("capacity_bytes", F.lit(0)).cast("bigint").alias("capacity_bytes"), "age_days",
+            *[f"{m}_{s}" for m in metrics for s in STATS])
     if mode != "compat":
         raise ValueError("mode must be 'compat' or 'consistent'")
 

@@ -165,23 +165,17 @@ def q_dataset_links(spark, d):
 
 
 def q_limit_rows(spark, d):
-    t = AD.telemetry_ship(spark, d)
-    return round6(t.orderBy("serial_number", "as_of_date").limit(1000).select(
-        "serial_number", "as_of_date", "smart_5_raw"))
+    t = CA.limit_rows(AD.telemetry_ship(spark, d), ["serial_number", "as_of_date"], 1000)
+    return round6(t.select("serial_number", "as_of_date", "smart_5_raw"))
 
 
 def q_sample_rows(spark, d):
-    t = AD.telemetry_ship(spark, d)
-    bucket = F.pmod(F.xxhash64("serial_number", "as_of_date"), F.lit(100))
-    return t.where(bucket < 10).select("serial_number", "as_of_date")
+    keys = ["serial_number", "as_of_date"]
+    return CA.sample_rows(AD.telemetry_ship(spark, d), keys, 10).select(*keys)
 
 
 def q_dataset_hash(spark, d):
-    links = LK.page_links(AD.table(spark, d, "pages"))
-    h = F.xxhash64("page_id", "pos", "link")
-    a = links.agg(F.count(F.lit(1)).alias("n"), F.sum(h.cast("decimal(38,0)")).alias("s"),
-                  F.bit_xor(h).alias("x"))
-    return a.select(F.sha2(F.concat_ws("|", "n", "s", "x"), 256).alias("dataset_hash"))
+    return CA.dataset_hash(LK.page_links(AD.table(spark, d, "pages")), ["page_id", "pos", "link"])
 
 
 # -- jobs ---------------------------------------------------------------------------------
@@ -196,10 +190,26 @@ def q_backfill_cohort(spark, d):
 def q_score_run(spark, d):
     tel = AD.telemetry_events(spark, d)
     app = AD.telemetry_daily(tel)
-    run = JB.run_scoring(app, AD.drives(tel), None, MO.fixed_model(model_feature_names()))
+    run = JB.run_scoring(app, AD.drives(tel), None, MO.fixed_model(model_feature_names()), mode="compat")
     return JB.score_run_summary(run)
 
 
+def q_score_run_consistent(spark, d):
+    tel = AD.telemetry_events(spark, d)
+    run = JB.run_scoring(AD.telemetry_daily(tel), AD.drives(tel), None, MO.fixed_model(model_feature_names()))
+    return JB.score_run_summary(run)
+
+
+def q_load_backfill(spark, d):
+    """The telemetry that a backfill writes, cleared first and then upserted again."""
+    tel = AD.telemetry_events(spark, d)
+    root = scratch_path(spark, "backfill")
+    run = JB.backfill_fleet(tel, None, 45, 25, 100, date_col="as_of_date")
+    JB.load_backfill(run, root, clear=True)
+    tables = JB.load_backfill(run, root, clear=False)
+    return spark.read.schema(run.telemetry.schema).parquet(tables["telemetry"]).select(run.telemetry.columns)
+
+
 def _trained(spark, d):
     f = FE.build_features(AD.telemetry_events(spark, d), METRICS, 7)
     return JB.train(f, horizon_days=7, test_months=9, version="events-h7", max_iter=50)
@@ -243,8 +253,10 @@ def q_utc_day(spark, d):
 
 
 def q_dataset_manifest(spark, d):
-    return LK.dataset_manifest(AD.table(spark, d, "pages"), year_from=1900, suffix="", markers=["example"],
-                               require=False)
+    pages = AD.table(spark, d, "pages")
+    name = F.concat(F.lit("data_Q"), F.col("page_id") % 4 + 1, F.lit("_"), 2010 + F.col("page_id") % 9, F.lit(".zip"))
+    html = F.concat(F.lit('<a href="../drive-stats/./'), name, F.lit('">'), F.col("html"))
+    return LK.dataset_manifest(pages.select("page_id", "url", html.alias("html")), year_from=2013)
 
 
 def q_load_model(spark, d):
@@ -282,7 +294,8 @@ def queries() -> dict:
         "write_features": q_write_features, "load_telemetry": q_load_telemetry,
         "page_links": q_page_links, "dataset_links": q_dataset_links,
         "limit_rows": q_limit_rows, "sample_rows": q_sample_rows, "dataset_hash": q_dataset_hash,
-        "backfill_cohort": q_backfill_cohort, "score_run": q_score_run,
+        "backfill_cohort": q_backfill_cohort, "score_run": q_score_run, "score_run_consistent": q_score_run_consistent,
+        "load_backfill": q_load_backfill,
         "train_logistic": q_train_logistic, "active_model": q_active_model,
         "stream_landing": q_stream_landing,
     }

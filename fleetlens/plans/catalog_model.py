@@ -84,14 +84,13 @@ def _offline(spark, d, adapter=AD.telemetry_events, horizon=7):
     return FE.build_features(adapter(spark, d), METRICS, horizon_days=horizon)
 
 
-def _moment_names(df):
-    return [n for n in MO.numeric_features(df) if n != "capacity_bytes"]
-
-
 def q_feature_moments(spark, d):
     f = _offline(spark, d)
-    names = _moment_names(f)
-    return round6(MO.feature_moments(MO.training_matrix(f, names), names))
+    names = MO.numeric_features(f)
+    # bytes are compared in units of 10^12, so that six digits are within a double's precision
+    unit = F.when(F.col("feature") == "capacity_bytes", 1e12).otherwise(1.0)
+    moments = MO.feature_moments(MO.training_matrix(f, names), names)
+    return round6(moments.withColumns({c: F.col(c) / unit for c in ("mean", "std")}))
 
 
 def q_scale_features(spark, d):
@@ -220,11 +219,12 @@ def _bad_predictions(spark, d):
         F.when(last == "9", F.col("risk_score") + 1).otherwise(F.col("risk_score")).alias("risk_score"),
         F.when(last == "4", F.lower("risk_bucket")).otherwise(F.col("risk_bucket")).alias("risk_bucket"),
         F.when(last == "6", F.lit("")).otherwise(F.col("model_version")).alias("model_version"),
-        F.when(last == "8", F.lit(None)).otherwise(F.col("scored_at")).alias("scored_at"))
+        F.when(last == "8", F.lit(None)).otherwise(F.col("scored_at")).alias("scored_at"),
+        F.array(F.struct(F.when(last == "3", "SIDEWAYS").otherwise("UP").alias("direction"))).alias("top_reasons"))
 
 
 def q_validate_predictions(spark, d):
-    return CT.validate_predictions(_bad_predictions(spark, d), reasons=None)
+    return CT.validate_predictions(_bad_predictions(spark, d))
 
 
 def q_validate_drives(spark, d):

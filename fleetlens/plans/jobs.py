@@ -17,7 +17,7 @@ from fleetlens.operators import model as MO
 from fleetlens.operators import risk as RK
 from fleetlens.operators import vectors as VE
 from fleetlens.plans import registry as RG
-from fleetlens.schema import FEATURES_KEY, METRICS, PREDICTIONS_KEY, model_feature_names
+from fleetlens.schema import FEATURES_KEY, METRICS, PREDICTIONS_KEY, TELEMETRY_KEY, model_feature_names
 from fleetlens.session import scratch_path
 from fleetlens.sources import csv as CSV
 from fleetlens.sources import warehouse as WH
@@ -120,7 +120,7 @@ class BackfillResult:
 
 def backfill_fleet(warehouse: DataFrame, current_drives: DataFrame | None = None, lookback_days: int = 45,
                    min_history_days: int = 14, max_drives: int | None = 5000, latest_day=None,
-                   date_col: str = "date") -> BackfillResult:
+                   date_col: str = "date", source: str = "warehouse") -> BackfillResult:
     """Cohort of recently active drives -> drive rows (upserted), their telemetry, one INGESTION audit row.
 
     The window slice of the warehouse is read once; cohort, summary and
@@ -132,17 +132,38 @@ def backfill_fleet(warehouse: DataFrame, current_drives: DataFrame | None = None
     cohort = CO.select_cohort(window, last, lookback_days, min_history_days, max_drives, date_col).persist()
     if cohort.limit(1).count() == 0:
         cohort.unpersist()
-        raise RuntimeError("No drives matched selection. Reduce min_history_days or add warehouse history.")
+        raise RuntimeError(f"the cohort is empty: no drive has {min_history_days} days up to {last}")
     summary = CO.drive_summary(window, cohort, start, last, max_drives, date_col)
     drives = summary if current_drives is None else MG.merge_drives(current_drives, summary)
     tel = CO.cohort_telemetry(window, cohort, start, last, max_drives, date_col)
     counts = tel.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("drive_id").alias("drives"))
     audit = RG.audit_from_counts(counts, "INGESTION", {
         "latest_day": F.lit(str(last)), "start_day": F.lit(str(start)), "selected_drives": F.col("drives"),
-        "min_history_days": F.lit(min_history_days), "inserted_telemetry_rows": F.col("rows")})
+        "min_history_days": F.lit(min_history_days), "inserted_telemetry_rows": F.col("rows"),
+        "source": F.lit(source), "loaded_at": F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")})
     return BackfillResult(drives=drives, telemetry=tel, audit=audit, latest_day=last, start_day=start)
 
 
+def load_backfill(result: BackfillResult, root: str, clear: bool = True) -> dict:
+    """Write a backfill's tables under ``root``: drives, telemetry by day, and the audit row.
+
+    ``clear`` replaces the telemetry; otherwise it is upserted by its key.  Drives are those
+    of the result, which a merge with the current ones has already made whole.  Audit rows
+    append.
+    """
+    spark = result.drives.sparkSession
+    # the drives may derive from the table that is replaced: stage them first
+    staged = spark.read.parquet(MG.write_snapshot(result.drives, "backfill-drives"))
+    staged.write.mode("overwrite").parquet(f"{root}/drives")
+    if clear:
+        WH.load_telemetry(result.telemetry, f"{root}/telemetry", clear=True)
+    else:
+        by_day = result.telemetry.withColumn("day", F.col("day").cast("string"))
+        MG.upsert_partitions(by_day, f"{root}/telemetry", TELEMETRY_KEY, "day")
+    result.audit.write.mode("append").parquet(f"{root}/audit")
+    return {"drives": f"{root}/drives", "telemetry": f"{root}/telemetry", "audit": f"{root}/audit"}
+
+
 # -- C4: scoring run --------------------------------------------------------------------
 @dataclass
 class ScoreRun:
@@ -155,7 +176,7 @@ class ScoreRun:
 
 
 def run_scoring(telemetry: DataFrame, drives: DataFrame, predictions: DataFrame | None, model: MO.LinearModel,
-                day=None, features_store: DataFrame | None = None, mode: str = "compat") -> ScoreRun:
+                day=None, features_store: DataFrame | None = None, mode: str = "consistent") -> ScoreRun:
     """Features for the day -> (merge into the feature store) -> score -> rank fallback -> merge predictions.
 
     Returns lazily built tables plus an audit row built from their aggregates;

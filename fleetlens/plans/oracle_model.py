@@ -80,10 +80,7 @@ EVAL = """ev AS (
 
 
 def offline_cte(adapter: str, horizon: int) -> str:
-    body = build_features_sql(adapter, horizon, round6=False)
-    # build_features_sql returns 'WITH ... SELECT ...'; wrap the final select as CTE feats
-    head, _, tail = body.partition("\n)\nSELECT as_of_date, serial_number")
-    return head + "\n),\nfeats AS (SELECT as_of_date, serial_number" + tail + ")\n"
+    return f"WITH feats AS ({build_features_sql(adapter, horizon, round6=False)})\n"
 
 
 def numeric_names() -> list[str]:
@@ -122,7 +119,6 @@ def oracle_sql() -> dict[str, str]:
         for i in range(10))
     left = " ".join(f"WHEN {i} THEN {dbl(edges[i])}" for i in range(10))
     right = " ".join(f"WHEN {i} THEN {dbl(edges[i + 1])}" for i in range(10))
-    mom_names = [n for n in numeric_names() if n != "capacity_bytes"]
     q = {
         "features_for_day": FFD() + f"SELECT drive_id, day, capacity_bytes, age_days, {r6_all(stats)} FROM ffd",
         "features_for_day_consistent": build_features_sql("telemetry_events", 30)
@@ -151,8 +147,9 @@ def oracle_sql() -> dict[str, str]:
   '. Unexpected keys: ' ||
   CASE WHEN substr(drive_id, 7, 1) IN ('4', '6') THEN '[''extra_feature'']' ELSE 'none' END || '.' AS message
 FROM ffd WHERE substr(drive_id, 7, 1) IN ('2', '4', '6')""",
-        "feature_moments": offline_cte("telemetry_events", 7) + ", " + moments_cte(mom_names)
-        + " SELECT feature, round(mean, 6) AS mean, round(std, 6) AS std, n FROM mom",
+        "feature_moments": offline_cte("telemetry_events", 7) + ", " + moments_cte(numeric_names())
+        + """ SELECT feature, round(mean / CASE feature WHEN 'capacity_bytes' THEN 1e12 ELSE 1e0 END, 6) AS mean,
+  round(std / CASE feature WHEN 'capacity_bytes' THEN 1e12 ELSE 1e0 END, 6) AS std, n FROM mom""",
         "scale_features": offline_cte("telemetry_events", 7) + ", " + moments_cte(numeric_names())
         + " SELECT serial_number, as_of_date, " + ", ".join(
             f"round(({fin0(n)} - (SELECT mean FROM mom WHERE feature = '{n}')) / "
@@ -237,7 +234,8 @@ SELECT count(*) AS rows,
   count(*) FILTER (WHERE s IS NULL OR isnan(s) OR s < 0 OR s > 1) AS bad_score,
   count(*) FILTER (WHERE b IS NULL OR b NOT IN ('LOW', 'MED', 'HIGH')) AS bad_bucket,
   count(*) FILTER (WHERE NULLIF(TRIM(v), '') IS NULL) AS bad_version,
-  count(*) FILTER (WHERE t IS NULL) AS bad_scored_at FROM p""",
+  count(*) FILTER (WHERE t IS NULL) AS bad_scored_at,
+  count(*) FILTER (WHERE substr(drive_id, 7, 1) = '3') AS bad_direction FROM p""",
         "validate_drives": W("drives_app") + """, d AS (SELECT drive_id,
   CASE WHEN substr(drive_id, 7, 1) = '2' THEN NULL ELSE model END AS model,
   CASE WHEN substr(drive_id, 7, 1) = '5' THEN -capacity_bytes ELSE capacity_bytes END AS cap FROM drives_app)

@@ -79,9 +79,9 @@ def model_card(row) -> str:
     def f(x):
         return f"{float(x):.4f}" if isinstance(x, (int, float)) else "n/a"
 
-    return (f"# Model Card - {row['model_version']}\n\n## Summary\nLogistic model with a "
-            f"**{row['horizon_days']}-day** failure horizon.\n\n## Training Data\n"
-            f"- Train range: {w.get('train_start')} to {w.get('train_end')}\n"
-            f"- Test range: {w.get('test_start')} to {w.get('test_end')}\n\n## Evaluation\n"
-            f"- PR-AUC: {f(m.get('pr_auc'))}\n- Recall@top 1%: {f(m.get('recall_at_top_1pct'))}\n"
-            f"- Recall@top 5%: {f(m.get('recall_at_top_5pct'))}\n- Brier score: {f(m.get('brier_score'))}\n")
+    lines = [f"Model version: {row['model_version']}",
+             f"Task: failure within {row['horizon_days']} days, logistic regression",
+             f"Fitted on days {w.get('train_start')} .. {w.get('train_end')}, tested on {w.get('test_start')} .. {w.get('test_end')}",
+             "Test results:"]
+    lines += [f"  {name} = {f(m.get(name))}" for name in ("pr_auc", "recall_at_top_1pct", "recall_at_top_5pct", "brier_score")]
+    return "\n".join(lines) + "\n"

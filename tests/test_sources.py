@@ -113,7 +113,7 @@ def test_skewed_month_is_split(spark):
 
 def test_manifest_matches_sql_on_fixture(spark):
     import duckdb
-    from fleetlens.plans.oracle_io import oracle_sql
+    from fleetlens.plans.oracle_io import manifest_sql
     html = ('<a href="/x/data_Q1_2020.zip">a</a><a href="2019Q3.zip">b</a><a href="/drive_2014.zip">c</a>'
             '<a href="/x.zip">d</a><a href="/x/data_Q1_2020.zip">dup</a>')
     rows = [(1, "https://s.example/hard/index.html", html), (2, "https://s.example/other/", '<a href="Q4-2018.zip">e</a>')]
@@ -123,5 +123,5 @@ def test_manifest_matches_sql_on_fixture(spark):
     con = duckdb.connect()
     con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
     con.executemany("INSERT INTO pages VALUES (?, ?, ?)", rows)
-    want = sorted(tuple(r) for r in con.execute(oracle_sql()["dataset_manifest"]).fetchall())
+    want = sorted(tuple(r) for r in con.execute(manifest_sql("pages", "lower(link) LIKE '%example%'", 1900)).fetchall())
     assert got == want and len(got) == 4
