@@ -238,19 +238,3 @@ def features_for_day(telemetry: DataFrame, drives: DataFrame | None, day, metric
     return out.select("drive_id", "day",
                       F.coalesce(F.col("capacity_bytes"), F.lit(0)).cast("bigint").alias("capacity_bytes"),
                       "age_days", *ordered)
-
-
-def feature_vector(df: DataFrame, names: list[str], alias: str = "features",
-                   nonfinite: str = "keep") -> Column:
-    """Pack feature columns into ``map<string,double>``; ``nonfinite`` = keep | zero | null."""
-    def val(n: str) -> Column:
-        c = F.col(n).cast("double")
-        if nonfinite == "zero":
-            return finite_or(c, 0.0)
-        if nonfinite == "null":
-            return finite_or(c, None)
-        return c
-    kv = []
-    for n in names:
-        kv += [F.lit(n), val(n)]
-    return F.create_map(*kv).alias(alias)

@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import NumericType
 
-from fleetlens.functions.casts import finite_or
+from fleetlens.functions.casts import finite_or, is_finite
 from fleetlens.functions.risk import risk_bucket, sigmoid  # noqa: F401  (re-exported)
 from fleetlens.schema import IGNORED_COLUMNS, TOP_REASONS
 
@@ -282,3 +282,8 @@ def fixed_model(features: list[str], version: str = "fixed-v1") -> LinearModel:
     sc["capacity_bytes"] = 1.1e12 if "capacity_bytes" in sc else 1.0
     return LinearModel(features=list(features), weights=w, intercept=-1.5, means=mu, scales=sc,
                        fills=dict(mu), version=version)
+
+
+def impute(df: DataFrame, columns: list[str], fills: dict[str, float]) -> DataFrame:
+    """Nulls and non-finite values of ``columns`` replaced by their fill (a training mean)."""
+    return df.withColumns({c: F.coalesce(F.when(is_finite(F.col(c).cast("double")), F.col(c)), F.lit(fills[c])) for c in columns})

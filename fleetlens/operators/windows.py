@@ -15,54 +15,9 @@ memory anyway.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.window import WindowSpec
 
 from fleetlens.schema import METRICS, STATS
 
-UNBOUNDED = (Window.unboundedPreceding, Window.unboundedFollowing)
-
-
-def drive_window(key: str = "serial_number", order: str = "as_of_date",
-                 tiebreak: list[str] | None = None) -> WindowSpec:
-    """Partition by drive, order by day (plus optional tie-break columns for duplicate days)."""
-    cols = [F.col(order)] + [F.col(c).asc_nulls_first() for c in (tiebreak or [])]
-    return Window.partitionBy(key).orderBy(*cols)
-
-
-def rolling_mean(metric: str, rows: int, w: WindowSpec) -> Column:
-    """Mean of the last ``rows`` rows (nulls ignored; all-null -> null)."""
-    return F.avg(metric).over(w.rowsBetween(-(rows - 1), 0))
-
-
-def rolling_std(metric: str, rows: int, w: WindowSpec) -> Column:
-    """Population std of the last ``rows`` rows (one value -> 0.0)."""
-    return F.stddev_pop(metric).over(w.rowsBetween(-(rows - 1), 0))
-
-
-def delta_vs_mean(metric: str, rows: int, w: WindowSpec) -> Column:
-    """Current value minus the rolling mean (null when the current value is null)."""
-    return F.col(metric) - rolling_mean(metric, rows, w)
-
-
-def is_increasing(metric: str, w: WindowSpec) -> Column:
-    """1 if the value is above the previous row's, else 0 (nulls -> 0)."""
-    return F.when(F.col(metric) > F.lag(metric).over(w), 1).otherwise(0)
-
-
-def metric_stat(metric: str, stat: str, w: WindowSpec) -> Column:
-    if stat == "mean_7d":
-        return rolling_mean(metric, 7, w)
-    if stat == "mean_30d":
-        return rolling_mean(metric, 30, w)
-    if stat == "std_30d":
-        return rolling_std(metric, 30, w)
-    if stat == "delta_vs_7d":
-        return delta_vs_mean(metric, 7, w)
-    if stat == "is_increasing":
-        return is_increasing(metric, w)
-    raise ValueError(f"unknown stat {stat}")
-
-
 def window_sql(key="serial_number", order: str = "as_of_date", tiebreak: list[str] | None = None,
                frame: str | None = None) -> str:
     """The drive window as SQL text (one parse on the JVM instead of many Column calls).
@@ -98,20 +53,16 @@ def rolling_feature_columns(metrics: list[str] = METRICS, key: str = "serial_num
     return [F.expr(f"{metric_stat_sql(m, s, key, order, tiebreak)} AS `{m}_{s}`") for s in stats for m in metrics]
 
 
-def rolling_features(df: DataFrame, metrics: list[str] = METRICS, key: str = "serial_number",
-                     order: str = "as_of_date", stats: list[str] = STATS) -> DataFrame:
-    """Append the rolling statistics (W1-W5) to every row in one select."""
-    return df.select("*", *rolling_feature_columns(metrics, key, order, stats))
-
-
-def first_seen(w: WindowSpec, order: str = "as_of_date") -> Column:
-    """First day a drive appears (whole partition)."""
-    return F.min(order).over(w.rowsBetween(*UNBOUNDED))
-
+def with_first_days(df: DataFrame, key: str = "serial_number", order: str = "as_of_date",
+                    failure: str = "failure") -> DataFrame:
+    """``df`` plus ``first_seen`` and ``first_failure`` of each row's drive (whole history; looks ahead).
 
-def first_failure(w: WindowSpec, order: str = "as_of_date", failure: str = "failure") -> Column:
-    """First day with failure == 1 (whole partition; looks ahead)."""
-    return F.min(F.when(F.col(failure) == 1, F.col(order))).over(w.rowsBetween(*UNBOUNDED))
+    Two minima per drive, combined map-side, are joined back: a drive with very many rows
+    is a skewed join side, which AQE splits, not a window partition.
+    """
+    firsts = df.groupBy(key).agg(F.min(order).alias("first_seen"),
+                                 F.min(F.when(F.col(failure) == 1, F.col(order))).alias("first_failure"))
+    return df.join(firsts, key, "left")
 
 
 def label_within(day: Column, failure_day: Column, horizon_days: int) -> Column:

@@ -37,35 +37,29 @@ def q_build_features_events(spark, d):
 
 def _stat_query(adapter, stat):
     def run(spark, d):
-        tel = adapter(spark, d)
-        return round6(tel.select("serial_number", "as_of_date", *W.rolling_feature_columns(METRICS, stats=[stat])))
+        # the feature table's plan without the columns that are not asked for, its treatment of hot drives included
+        features = FE.build_features(adapter(spark, d), METRICS)
+        return round6(features.select("serial_number", "as_of_date", *[f"{m}_{stat}" for m in METRICS]))
     return run
 
 
 def q_first_seen(spark, d):
-    w = W.drive_window()
-    return AD.telemetry_ship(spark, d).select("serial_number", "as_of_date",
-                                              W.first_seen(w).alias("first_seen"))
+    return W.with_first_days(AD.telemetry_ship(spark, d)).select("serial_number", "as_of_date", "first_seen")
 
 
 def q_first_failure(spark, d):
-    w = W.drive_window()
-    return AD.telemetry_ship(spark, d).select("serial_number", "as_of_date",
-                                              W.first_failure(w).alias("first_failure"))
+    return W.with_first_days(AD.telemetry_ship(spark, d)).select("serial_number", "as_of_date", "first_failure")
 
 
 def q_label_horizon(spark, d):
-    w = W.drive_window()
-    return AD.telemetry_events(spark, d).select(
-        "serial_number", "as_of_date",
-        W.label_within(F.col("as_of_date"), W.first_failure(w), 7).alias("label_30d"))
+    return W.with_first_days(AD.telemetry_events(spark, d)).select(
+        "serial_number", "as_of_date", W.label_within(F.col("as_of_date"), F.col("first_failure"), 7).alias("label_30d"))
 
 
 def q_age_days(spark, d):
     from fleetlens.functions.dates import age_days
-    w = W.drive_window()
-    return AD.telemetry_ship(spark, d).select(
-        "serial_number", "as_of_date", age_days(W.first_seen(w), "as_of_date").alias("age_days"))
+    return W.with_first_days(AD.telemetry_ship(spark, d)).select(
+        "serial_number", "as_of_date", age_days(F.col("first_seen"), "as_of_date").alias("age_days"))
 
 
 def queries() -> dict[str, Query]:

@@ -259,6 +259,25 @@ def q_dataset_manifest(spark, d):
     return LK.dataset_manifest(pages.select("page_id", "url", html.alias("html")), year_from=2013)
 
 
+def _detail(spark, d):
+    from fleetlens.operators import fleet as FL
+    tel = AD.telemetry_events(spark, d)
+    scored = AD.predictions(tel).withColumn("reason_codes", F.array(
+        F.struct(F.lit("age_days").alias("code"), F.col("risk_score").alias("contribution"), F.lit("UP").alias("direction")),
+        F.struct(F.lit("smart_5_raw").alias("code"), (-F.col("risk_score")).alias("contribution"), F.lit("DOWN").alias("direction"))))
+    drives = AD.drives(tel)
+    first = scored.agg(F.min("drive_id")).first()[0]
+    return FL.drive_detail(drives, AD.telemetry_daily(tel), scored, first)
+
+
+def q_drive_attributes(spark, d):
+    return _detail(spark, d).drive
+
+
+def q_drive_reasons(spark, d):
+    return round6(_detail(spark, d).top_reasons)
+
+
 def q_load_model(spark, d):
     from fleetlens.plans.catalog_model import _ffd
     path = scratch_path(spark, "model")
@@ -284,6 +303,7 @@ def q_registry_row(spark, d):
 def queries() -> dict:
     return {
         "telemetry_window": q_telemetry_window, "utc_day": q_utc_day, "dataset_manifest": q_dataset_manifest,
+        "drive_attributes": q_drive_attributes, "drive_reasons": q_drive_reasons,
         "load_model": q_load_model, "registry_row": q_registry_row,
         "merge_drives": q_merge_drives, "merge_features": q_merge_features,
         "merge_predictions": q_merge_predictions, "insert_if_absent": q_insert_if_absent,

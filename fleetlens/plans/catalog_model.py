@@ -106,8 +106,7 @@ def q_impute_mean(spark, d):
     names = MO.numeric_features(f)
     mom = MO.collect_moments(MO.feature_moments(MO.training_matrix(f, names), names))
     cols = [f"{m}_mean_7d" for m in METRICS]
-    return round6(f.select("serial_number", "as_of_date",
-                           *[F.coalesce(F.col(c), F.lit(mom[c][0])).alias(c) for c in cols]))
+    return round6(MO.impute(f.select("serial_number", "as_of_date", *cols), cols, {c: mom[c][0] for c in cols}))
 
 
 def q_class_weights(spark, d):
@@ -167,10 +166,9 @@ def q_rank_fallback(spark, d):
 
 
 def _eval_input(spark, d):
-    t = AD.telemetry_events(spark, d)
-    w = W.drive_window()
+    t = W.with_first_days(AD.telemetry_events(spark, d))
     return t.select(F.col("serial_number").alias("k"), "as_of_date",
-                    W.label_within(F.col("as_of_date"), W.first_failure(w), 7).alias("y"),
+                    W.label_within(F.col("as_of_date"), F.col("first_failure"), 7).alias("y"),
                     (F.col("smart_5_raw") / (F.col("smart_5_raw") + 100)).alias("score"))
 
 

@@ -17,6 +17,7 @@ from fleetlens.operators import model as MO
 from fleetlens.operators import risk as RK
 from fleetlens.operators import vectors as VE
 from fleetlens.plans import registry as RG
+from fleetlens.operators.canonical import dataset_hash
 from fleetlens.schema import FEATURES_KEY, METRICS, PREDICTIONS_KEY, TELEMETRY_KEY, model_feature_names
 from fleetlens.session import scratch_path
 from fleetlens.sources import csv as CSV
@@ -79,10 +80,13 @@ def train(features: DataFrame, horizon_days: int = 30, test_months: int = 9, ver
     return ModelRun(model=model, split=split, metrics=metrics)
 
 
-def register(spark: SparkSession, run: ModelRun, artifact_uri: str) -> DataFrame:
+def register(spark: SparkSession, run: ModelRun, artifact_uri: str, manifest: DataFrame | None = None) -> DataFrame:
+    """The registry row of a run; ``manifest`` (the dataset manifest) adds its hash to the lineage."""
     s = run.split
     window = {"train_start": s.min_date, "train_end": s.cutoff_date, "test_start": s.cutoff_date,
               "test_end": s.max_date}
+    if manifest is not None:
+        window["manifest_hash"] = dataset_hash(manifest, ["dataset_id", "url"]).first()[0]
     metrics = {k: v for k, v in run.metrics.items()}
     return RG.registry_row(spark, run.model.version, artifact_uri, metrics, run.model.features, window,
                            run.model.horizon_days)

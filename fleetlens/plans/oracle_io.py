@@ -74,6 +74,14 @@ WHERE day BETWEEN (SELECT max(day) FROM telemetry_app) - 30 AND (SELECT max(day)
         "dataset_manifest": manifest_sql("""(SELECT page_id, url, concat('<a href="../drive-stats/./data_Q', page_id % 4 + 1, '_',
     2010 + page_id % 9, '.zip">', html) AS html FROM pages)""",
             "lower(link) LIKE '%/drive-stats/%' AND lower(link) LIKE '%.zip'", 2013),
+        "drive_attributes": W("drives_app", "predictions_app") + """
+SELECT drive_id, model, datacenter, capacity_bytes, first_seen, last_seen FROM drives_app
+WHERE drive_id = (SELECT min(drive_id) FROM predictions_app)""",
+        "drive_reasons": W("predictions_app") + """, mine AS (
+  FROM predictions_app WHERE drive_id = (SELECT min(drive_id) FROM predictions_app) ORDER BY day, scored_at, model_version LIMIT 60),
+last AS (FROM mine ORDER BY day DESC, scored_at DESC, model_version DESC LIMIT 1)
+SELECT drive_id, 1 AS rank, 'age_days' AS code, round(risk_score, 6) AS contribution, 'UP' AS direction FROM last
+UNION ALL SELECT drive_id, 2, 'smart_5_raw', round(-risk_score, 6), 'DOWN' FROM last""",
         "load_model": FFD() + f"""
 SELECT drive_id, day, round(1e0 / (1e0 + exp(-({z}))), 6) AS risk_score,
   CASE WHEN 1e0 / (1e0 + exp(-({z}))) >= 0.75e0 THEN 'HIGH' WHEN 1e0 / (1e0 + exp(-({z}))) >= 0.4e0 THEN 'MED' ELSE 'LOW' END AS risk_bucket,

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fleetlens.schema import AUDIT_ACTIONS
 
+MISSING_MANIFEST = "manifest_missing"
+
 REGISTRY_SCHEMA = ("model_version string, artifact_uri string, metrics string, feature_schema string, "
                    "trained_data_window string, train_date timestamp, horizon_days int, status string")
 
@@ -30,19 +31,11 @@ def audit_from_counts(counts: DataFrame, action: str, payload: dict[str, Column]
         F.current_timestamp().alias("created_at"))
 
 
-def audit_event(spark: SparkSession, action: str, payload: dict, drive_id: str | None = None) -> DataFrame:
-    """One audit row from driver-side values (run results that are already scalars)."""
-    if action not in AUDIT_ACTIONS:
-        raise ValueError(f"unknown audit action {action}")
-    row = (str(uuid.uuid4()), drive_id, action, json.dumps(payload, default=str, sort_keys=False),
-           dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
-    return spark.createDataFrame([row], "id string, drive_id string, action string, payload string, "
-                                        "created_at timestamp_ntz")
-
-
 def registry_row(spark: SparkSession, version: str, artifact_uri: str, metrics: dict, features: list[str],
                  window: dict, horizon_days: int, status: str = "complete",
                  train_date: dt.datetime | None = None) -> DataFrame:
+    # the window says which data the model saw: its days, and the hash of the manifest they came from
+    window = {"manifest_hash": MISSING_MANIFEST} | window
     schema = {"ordered_features": [{"name": n, "dtype": "float"} for n in features],
               "label_column": "label_30d", "horizon_days": horizon_days}
     td = train_date or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
@@ -71,6 +64,14 @@ def active_model(registry: DataFrame, version: str | None = None) -> DataFrame:
     return c
 
 
+def model_info(row) -> dict:
+    """What a caller may ask of a model: version, type, horizon, ordered features, metrics, lineage."""
+    window = json.loads(row["trained_data_window"] or "{}")
+    return {"model_version": row["model_version"], "model_type": "logistic_regression", "horizon_days": row["horizon_days"],
+            "features": [f["name"] for f in json.loads(row["feature_schema"] or "{}").get("ordered_features", [])],
+            "metrics": json.loads(row["metrics"] or "{}"), "manifest_hash": window.get("manifest_hash", MISSING_MANIFEST)}
+
+
 def model_card(row) -> str:
     """Human-readable card text from one registry row."""
     m = json.loads(row["metrics"] or "{}")

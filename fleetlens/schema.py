@@ -58,7 +58,6 @@ FALLBACK_MED_MIN_N = 10
 AUDIT_ACTIONS = ["FEATURE_RUN", "SCORE_RUN", "INGESTION"]
 TOP_REASONS = 5
 MAX_PAGE_SIZE = 200
-DEFAULT_PAGE_SIZE = 25
 # ---------------------------------------------------------------------------
 
 
@@ -87,18 +86,8 @@ REASON_STRUCT = T.StructType([
     T.StructField("contribution", T.DoubleType()),
     T.StructField("direction", T.StringType()),
 ])
-REASONS_TYPE = T.ArrayType(REASON_STRUCT)
 FEATURE_MAP_TYPE = T.MapType(T.StringType(), T.DoubleType(), valueContainsNull=True)
 
-DRIVES_SCHEMA = T.StructType([
-    T.StructField("drive_id", T.StringType(), False),
-    T.StructField("model", T.StringType()),
-    T.StructField("capacity_bytes", T.LongType()),
-    T.StructField("datacenter", T.StringType()),
-    T.StructField("first_seen", T.DateType()),
-    T.StructField("last_seen", T.DateType()),
-])
-
 PREDICTIONS_KEY = ["drive_id", "day", "model_version"]
 TELEMETRY_KEY = ["drive_id", "day"]
 FEATURES_KEY = ["drive_id", "day"]

@@ -48,13 +48,16 @@ def apply_defaults(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment (a shared file system); the
-    library never invents a machine-local folder there.  Only when nothing is
-    configured (local tests) is a fresh temporary folder taken and registered.
+    On a cluster this is set by the deployment (a shared file system); without it a
+    cluster run stops, since a folder of one machine would be wrong there.  Only a local
+    master (tests) without a setting takes a fresh temporary folder and registers it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
+    master = spark.sparkContext.master
+    if not root and (not master.startswith("local") or master.startswith("local-cluster")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="fleetlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
