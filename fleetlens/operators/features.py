@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fleetlens.functions.casts import finite_or, safe_int
 from fleetlens.functions.dates import clamped_age_days
@@ -201,29 +201,27 @@ def features_for_day(telemetry: DataFrame, drives: DataFrame | None, day, metric
                                   and m not in ONLINE_MISSING_METRICS]
     # (drive_id, day) is the table key: exact copies collapse (map-side) before the drive shuffle
     sl = telemetry_window(telemetry.select(*cols), d, window_days).dropDuplicates()
-    w = "PARTITION BY drive_id ORDER BY day"
-    w7, w30 = f"({w} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)", f"({w} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)"
-    whole = f"({w} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
-    stats = []
+    # rows are numbered from the newest (but stay oldest first, so sums add up in day order),
+    # then one grouped aggregate in the same partitioning; (drive_id, day) is the telemetry
+    # key, so number 1 is the current row and 2 the one before
+    by_drive = Window.partitionBy("drive_id")
+    numbered = (sl.withColumn("_i", F.row_number().over(by_drive.orderBy("day")))
+                .withColumn("_n", F.count(F.lit(1)).over(by_drive) - F.col("_i") + 1))
+    stats, derived = [], []
     for m in metrics:
         if m not in sl.columns:
-            stats += [f"0.0D AS {m}_mean_7d", f"0.0D AS {m}_mean_30d", f"0.0D AS {m}_std_30d",
-                      f"0.0D AS {m}_delta_vs_7d", f"0 AS {m}_is_increasing"]
+            derived += [f"0.0D AS {m}_mean_7d", f"0.0D AS {m}_mean_30d", f"0.0D AS {m}_std_30d",
+                        f"0.0D AS {m}_delta_vs_7d", f"0 AS {m}_is_increasing"]
             continue
-        mean7 = f"coalesce(avg({m}) OVER {w7}, 0.0D)"
-        stats += [f"{mean7} AS {m}_mean_7d",
-                  f"coalesce(avg({m}) OVER {w30}, 0.0D) AS {m}_mean_30d",
-                  f"CASE WHEN count({m}) OVER {w30} >= 2 THEN stddev_pop({m}) OVER {w30} ELSE 0.0D END AS {m}_std_30d",
-                  f"CAST({m} AS DOUBLE) AS _cur_{m}",
-                  f"CASE WHEN {m} IS NOT NULL AND lag({m}) OVER ({w}) IS NOT NULL AND {m} > lag({m}) OVER ({w}) "
-                  f"THEN 1 ELSE 0 END AS {m}_is_increasing"]
-    per_row = sl.selectExpr("drive_id", "day", f"min(day) OVER {whole} AS _first", f"max(day) OVER {whole} AS _last",
-                            *stats)
-    # (drive_id, day) is the telemetry key, so the last day is exactly one row; the delta
-    # reuses the 7-row mean column instead of evaluating that window aggregate again
-    current = per_row.where(F.col("day") == F.col("_last")).selectExpr(
-        "*", *[f"coalesce(_cur_{m}, 0.0D) - {m}_mean_7d AS {m}_delta_vs_7d" for m in metrics
-               if f"_cur_{m}" in per_row.columns])
+        stats += [f"avg({m}) FILTER (WHERE _n <= 7) AS _a7_{m}", f"avg({m}) FILTER (WHERE _n <= 30) AS _a30_{m}",
+                  f"count({m}) FILTER (WHERE _n <= 30) AS _c_{m}", f"stddev_pop({m}) FILTER (WHERE _n <= 30) AS _s_{m}",
+                  f"max({m}) FILTER (WHERE _n = 1) AS _cur_{m}", f"max({m}) FILTER (WHERE _n = 2) AS _prev_{m}"]
+        derived += [f"coalesce(_a7_{m}, 0.0D) AS {m}_mean_7d", f"coalesce(_a30_{m}, 0.0D) AS {m}_mean_30d",
+                    f"CASE WHEN _c_{m} >= 2 THEN _s_{m} ELSE 0.0D END AS {m}_std_30d",
+                    f"coalesce(CAST(_cur_{m} AS DOUBLE), 0.0D) - coalesce(_a7_{m}, 0.0D) AS {m}_delta_vs_7d",
+                    f"CASE WHEN _cur_{m} > _prev_{m} THEN 1 ELSE 0 END AS {m}_is_increasing"]
+    grouped = numbered.groupBy("drive_id").agg(F.min("day").alias("_first"), *[F.expr(e) for e in stats])
+    current = grouped.selectExpr("drive_id", "_first", *derived)
     ordered = [f"{m}_{s}" for m in metrics for s in STATS]
     out = current.select(
         "drive_id", d.alias("day"),

@@ -9,23 +9,24 @@ SQL text for the DuckDB oracle (``fleetlens.plans.oracle``).
 
 from __future__ import annotations
 
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleetlens.functions.risk import risk_bucket
 
 
-_TABLES: dict[tuple, DataFrame] = {}
+#: Scans by session: the inputs are read-only, so a file listing and footer schema serve all queries.
+_TABLES: WeakKeyDictionary[SparkSession, dict[tuple[str, str], DataFrame]] = WeakKeyDictionary()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The driver table as a lazy scan; the handle (file listing + footer schema) is reused
-    per session because the inputs are read-only."""
-    key = (spark._jsparkSession.hashCode(), sf_dir.rstrip("/"), name)
-    df = _TABLES.get(key)
-    if df is None:
-        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-        _TABLES[key] = df
-    return df
+    """The driver table as a lazy scan, made once per session."""
+    own = _TABLES.setdefault(spark, {})
+    key = (sf_dir.rstrip("/"), name)
+    if key not in own:
+        own[key] = spark.read.parquet("/".join(key) + ".parquet")
+    return own[key]
 
 
 def telemetry_events(spark: SparkSession, sf_dir: str) -> DataFrame:
