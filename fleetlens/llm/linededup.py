@@ -215,8 +215,8 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bl
                .select(F.lag("doc_id").over(order).alias("a_id"), F.lag("text_hash").over(order).alias("a_hash"),
                        "doc_id", "text_hash").where("a_id IS NOT NULL AND (a_id <> doc_id OR a_hash <> text_hash)"))
     pairs = hits.select("a_id", "a_hash", "doc_id", "text_hash").unionByName(nearest).distinct()
-    # a repeated row gives its lines once
-    one = lines.groupBy("doc_id", "text_hash").agg(F.max("hashes").alias("hashes"), F.max("words").alias("words"))
+    # a repeated row gives its lines once; a written table leaves both joins to AQE's skew splitting
+    one = staged(lines.groupBy("doc_id", "text_hash").agg(F.max("hashes").alias("hashes"), F.max("words").alias("words")), "line-sets")
     earlier = one.select(F.col("doc_id").alias("a_id"), F.col("text_hash").alias("a_hash"), F.col("hashes").alias("earlier"))
     both = (pairs.join(earlier.hint("shuffle_merge"), ["a_id", "a_hash"]).select("doc_id", "text_hash", "earlier")
             .join(one.hint("shuffle_merge"), ["doc_id", "text_hash"]))
