@@ -1,21 +1,26 @@
 """Exact top-k search over binary codes by incremental multi-index hashing.
 
-A code is cut into segments of 16 bits, and every segment value is a key of the index.
-Round s probes the keys at distance s from each segment of a query.  After it, every
-code within segments * (s + 1) - 1 bits has been met, by the pigeonhole principle; a query
-is done when its k-th verified distance is within that bound.
+A code is cut into segments of 16 bits, and every segment value is a key of an index
+table.  Round s looks up the keys at distance s from each segment of a query; after it,
+every code within segments * (s + 1) - 1 bits has been met, by the pigeonhole principle,
+and a query is done when its k-th verified distance is within that bound.  The queries are
+searched against all codes in blocks of both, each block pair in one task with bounded
+memory, and the blocks' answers are merged.
 """
 
 from __future__ import annotations
 
 from itertools import combinations
 
+import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
 from fleetlens.llm.common import staged
 
 SEGMENT_BITS = 16
 TOP = 10
+#: Most codes and most queries of a block, and the least number of blocks of each.
+BLOCK_CODES, BLOCK_QUERIES, LEAST_BLOCKS = 1 << 17, 1 << 13, 4
 
 
 def codes(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -32,28 +37,69 @@ def codes(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"
             .select("id", F.size("v").alias("dims"), F.expr(bits).alias("code")).distinct())
 
 
-def _probes(distance):
-    def run(batches):
-        import numpy as np
-        import pyarrow as pa
-
-        masks = np.array([sum(1 << i for i in at) for at in combinations(range(SEGMENT_BITS), distance)], np.int32)
-        step = max(1, (1 << 18) // len(masks))
-        for batch in batches:
-            for at in range(0, batch.num_rows, step):
-                part = batch.slice(at, step)
-                values = part.column("value").to_numpy(zero_copy_only=False).astype(np.int32)
-                again = pa.array(np.repeat(np.arange(part.num_rows), len(masks)))
-                yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c).take(again) for c in ("dims", "seg", "query", "q_code")),
-                     pa.array((values[:, None] ^ masks[None, :]).ravel())], names=["dims", "seg", "query", "q_code", "value"])
+class MultiIndex:
+    """Index tables of a block of codes (n rows of 16-bit segments), one per segment."""
+
+    def __init__(self, codes: np.ndarray):
+        self.codes = codes
+        self.tables = []
+        for segment in codes.T:
+            order = np.argsort(segment, kind="stable")
+            self.tables.append((order, np.searchsorted(segment[order], np.arange((1 << SEGMENT_BITS) + 1))))
+        self.masks: list[np.ndarray] = []
+
+    def mask(self, distance: int) -> np.ndarray:
+        while len(self.masks) <= distance:
+            self.masks.append(np.array([sum(1 << i for i in at) for at in combinations(range(SEGMENT_BITS), len(self.masks))], np.int64))
+        return self.masks[distance]
+
+    def nearest(self, query: np.ndarray, need: int, first_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, distance) of the ``need`` nearest codes, ties by ``first_ids``."""
+        seen = np.zeros(len(self.codes), bool)
+        rows, apart = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for s in range(SEGMENT_BITS + 1):
+            masks = self.mask(s)
+            met = [rows[:0]]
+            if len(masks) * len(self.tables) >= len(seen) - len(rows):
+                met.append(np.flatnonzero(~seen))  # fewer codes are left than there are keys to look up
+            else:
+                for value, (order, offsets) in zip(query.tolist(), self.tables):
+                    keys = value ^ masks
+                    start, count = offsets[keys], offsets[keys + 1] - offsets[keys]
+                    at = np.repeat(start - np.cumsum(count) + count, count) + np.arange(count.sum())
+                    found = order[at]
+                    found = found[~seen[found]]
+                    seen[found] = True
+                    met.append(found)
+            new = np.concatenate(met)
+            seen[new] = True
+            rows = np.concatenate((rows, new))
+            apart = np.concatenate((apart, np.bitwise_count(self.codes[new] ^ query).sum(axis=1, dtype=np.int64)))
+            covered = len(self.tables) * (s + 1) - 1
+            if len(rows) == len(seen) or (len(rows) >= need and np.partition(apart, need - 1)[need - 1] <= covered):
+                break
+        best = np.lexsort((first_ids[rows], apart))[:need]
+        return rows[best], apart[best]
+
+
+def _search_block(need):
+    def run(key, index, asked):
+        import pandas as pd
+
+        out = []
+        if len(index) and len(asked):
+            tables = MultiIndex(np.array(index["code"].tolist(), np.uint16))
+            ids = index["ids"].tolist()
+            first = np.array([i[0] for i in ids], np.int64)
+        else:
+            asked = asked[:0]
+        for query, code in zip(asked["query"], asked["code"]):
+            rows, apart = tables.nearest(np.array(code, np.uint16), need, first)
+            out += [(query, d, ids[r]) for r, d in zip(rows.tolist(), apart.tolist())]
+        return pd.DataFrame(out, columns=["query", "distance", "ids"]).astype({"query": "int64", "distance": "int64"})
     return run
 
 
-def _segments(table: DataFrame, code: str, *names: str) -> DataFrame:
-    return table.select("dims", *names, code, F.posexplode(code).alias("seg", "value"))
-
-
 def search(rows: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
     """(query_id, rank, neighbor_id, distance): the k nearest other ids, ties by id.
 
@@ -66,33 +112,24 @@ def search(rows: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
     by_code = Window.partitionBy("dims", "code").orderBy("id")
     least = rows.withColumn("nth", F.row_number().over(by_code)).where(F.col("nth") <= need)
     index = staged(least.groupBy("dims", "code").agg(F.array_sort(F.collect_list("id")).alias("ids")), "hamming-index")
-    sizes = rows.groupBy("dims").agg(F.count(F.lit(1)).alias("rows"))
-    asked = staged(queries.select("dims", "code").distinct().join(F.broadcast(sizes), "dims")
-                   .withColumn("query", F.monotonically_increasing_id()), "hamming-queries")
-    entries = _segments(index, "code", "ids")
-    active = asked.select("dims", F.col("code").alias("q_code"), "query", "rows")
-    found = None
-    for s in range(SEGMENT_BITS + 1):
-        probes = (_segments(active, "q_code", "query").select("dims", "seg", "query", "q_code", "value")
-                  .mapInArrow(_probes(s), "dims int, seg int, query long, q_code array<int>, value int"))
-        met = probes.join(entries, ["dims", "seg", "value"]).withColumn(
-            "apart", F.zip_with("q_code", "code", lambda x, y: F.bit_count(x.bitwiseXOR(y))))
-        # a code is met here for the first time if s is its least segment distance, in the first such segment
-        first = (F.array_min("apart") == s) & (F.array_position("apart", F.lit(s)) == F.col("seg") + 1)
-        new = met.where(first).select("query", F.aggregate("apart", F.lit(0), lambda a, x: a + x).alias("distance"),
-                                      F.explode("ids").alias("id"))
-        every = new if found is None else found.unionByName(new)
-        order = Window.partitionBy("query").orderBy("distance", "id")
-        found = staged(every.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= need).drop("nth"), "hamming-found")
-        state = found.groupBy("query").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("kth"))
-        reach = F.size("q_code") * (s + 1) - 1
-        done = (F.col("n") == F.col("rows")) | ((F.col("n") >= need) & (F.col("kth") <= reach))
-        active = staged(active.join(state, "query", "left").where(~F.coalesce(done, F.lit(False)))
-                        .select("dims", "q_code", "query", "rows"), "hamming-active")
-        if active.isEmpty():
-            break
+    asked = staged(queries.select("dims", "code").distinct().withColumn("query", F.monotonically_increasing_id()), "hamming-queries")
+    code_blocks = max(LEAST_BLOCKS, -(-index.count() // BLOCK_CODES))
+    query_blocks = max(LEAST_BLOCKS, -(-asked.count() // BLOCK_QUERIES))
+
+    def numbered(blocks):
+        return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+
+    every_index = index.select("dims", "code", "ids", F.pmod(F.xxhash64("code"), F.lit(code_blocks)).cast("int").alias("p"),
+                               numbered(query_blocks).alias("r"))
+    every_query = asked.select("dims", "code", "query", numbered(code_blocks).alias("p"),
+                               F.pmod(F.xxhash64("code", F.lit(1)), F.lit(query_blocks)).cast("int").alias("r"))
+    found = (every_index.groupBy("dims", "p", "r").cogroup(every_query.groupBy("dims", "p", "r"))
+             .applyInPandas(_search_block(need), "query long, distance long, ids array<long>"))
+    answers = staged(found.select("query", "distance", F.explode("ids").alias("neighbor_id")), "hamming-found")
+    nearest = Window.partitionBy("query").orderBy("distance", "neighbor_id")
+    answers = answers.withColumn("nth", F.row_number().over(nearest)).where(F.col("nth") <= need).drop("nth")
     asking = queries.select(F.col("id").alias("query_id"), "dims", "code").join(asked, ["dims", "code"]).select("query_id", "query")
     order = Window.partitionBy("query_id").orderBy("distance", "neighbor_id")
-    return (asking.join(found.withColumnRenamed("id", "neighbor_id"), "query").where("neighbor_id <> query_id")
+    return (asking.join(answers.hint("shuffle_merge"), "query").where("neighbor_id <> query_id")
             .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "neighbor_id", F.col("distance").cast("long").alias("distance")))
+            .select("query_id", "rank", "neighbor_id", "distance"))
