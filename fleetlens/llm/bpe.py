@@ -18,9 +18,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from fleetlens.llm.common import chunks, free_name, utf8
 
 #: Characters encoded at a time in a task.
-CHUNK = 1 << 22
+CHUNK = 1 << 21
 #: Results of the heap that a worker keeps; beyond it the memory starts anew.
-MEMO = 600_000
+MEMO = 200_000
 
 # The contractions that the pre-token pattern takes whole, and the characters of \s.
 CONTRACTIONS = ["s", "t", "re", "ve", "m", "ll", "d"]
