@@ -25,7 +25,9 @@ SEED_WORDS = 6
 RARE = 32
 
 #: A line ends at a line feed, at blanks after a sentence end, and at blanks before a capital.
-CUT = re.compile(r"\n|(?<=[.!?])[ \t]+|[ \t]+(?=[A-ZÀ-ÖØ-Þ])")
+CUT = re.compile(r"[\n \t](?:(?<=\n)|(?<=[.!?][ \t])[ \t]*|[ \t]*(?=[A-ZÀ-ÖØ-Þ]))")
+
+MULTIPLIER, MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
 
 KEY = "doc_id long, text_hash long"
 
@@ -37,32 +39,35 @@ def cut_lines(text: str) -> list[tuple[int, int]]:
 
 
 def line_keys(text: str) -> tuple[list[int], list[int]]:
-    """Hash and word count of each line; case and white space don't count."""
+    """Hash and word count (blanks between words, plus one) of each line; case and outer white space don't count."""
     import xxhash
 
-    hashes, words = [], []
+    digest, hashes, words = xxhash.xxh64_intdigest, [], []
+    low = text.lower()
+    whole = len(low) == len(text)  # a few letters grow in lower case
     for a, b in cut_lines(text):
-        parts = text[a:b].lower().split()
-        hashes.append(xxhash.xxh64_intdigest(" ".join(parts).encode()) - (1 << 63))
-        words.append(len(parts))
+        line = (low[a:b] if whole else text[a:b].lower()).strip()
+        hashes.append(digest(line) - (1 << 63))
+        words.append(line.count(" ") + 1 if line else 0)
     return hashes, words
 
 
 def seeds(hashes: list[int], words: list[int]) -> set[int]:
-    """Hashes of long lines, and of least runs of short lines that make a block."""
-    import xxhash
-
+    """Hashes of long lines, and of least runs of short lines that make a block (a rolling polynomial)."""
     found = {h for h, n in zip(hashes, words) if n >= SEED_WORDS}
-    first = total = 0
-    for i, n in enumerate(words):
-        if n >= SEED_WORDS:
-            first, total = i + 1, 0
+    ends = [i for i, n in enumerate(words) if n >= SEED_WORDS]
+    for start, stop in zip([0, *(i + 1 for i in ends)], [*ends, len(words)]):
+        if (stop - start) * SEED_WORDS <= BLOCK_WORDS or sum(words[start:stop]) < BLOCK_WORDS:
             continue
-        total += n
-        while total - words[first] >= BLOCK_WORDS:
-            total, first = total - words[first], first + 1
-        if total >= BLOCK_WORDS:
-            found.add(xxhash.xxh64_intdigest(repr(hashes[first:i + 1]).encode()) - (1 << 63))
+        first, total, value = start, 0, 0
+        for i in range(start, stop):
+            total += words[i]
+            value = (value * MULTIPLIER + hashes[i]) & MASK
+            while total - words[first] >= BLOCK_WORDS:
+                value = (value - hashes[first] * pow(MULTIPLIER, i - first, MASK + 1)) & MASK
+                total, first = total - words[first], first + 1
+            if total >= BLOCK_WORDS:
+                found.add((value ^ (value >> 29)) - (1 << 63))
     return found
 
 
