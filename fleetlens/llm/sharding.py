@@ -127,7 +127,8 @@ def reshard(docs: DataFrame, old: Column, n_old: int, n_new: int, capacity: list
     in each shard); shards that change are read back from the files written under ``path``,
     the others from ``docs``.  Rows equal in id and text go to one shard; null ids are an id.
 
-    Texts are shuffled once.  The driver gets the sizes of the old shards and the large rows,
+    Texts are shuffled once, by block; the offsets of blocks join in that partitioning.  Only
+    the large rows and the old shards' ranges are broadcast.  The driver gets the sizes of the old shards and the large rows,
     whose number the shard count bounds.
     """
     spark = docs.sparkSession
@@ -169,7 +170,7 @@ def reshard(docs: DataFrame, old: Column, n_old: int, n_new: int, capacity: list
     changed = rows.where(~F.col("old_shard").isin(plan.kept)) if plan.kept else rows
     placed = (marked(changed).withColumns({"pos": F.row_number().over(inside), "upto": F.sum(small).over(up_to)})
               .withColumn("at", F.min(F.col("upto") - small).over(group) + F.sum(small).over(group) / 2)
-              .join(F.broadcast(before), ["old_shard", "block"]).join(F.broadcast(ways), "old_shard", "left"))
+              .join(before.hint("shuffle_merge"), ["old_shard", "block"]).join(F.broadcast(ways), "old_shard", "left"))
     target = F.get(F.filter("ways", lambda w: F.col("before") + F.col("at") < w["end"]), 0)["to"]
     last = F.element_at("ways", -1)["to"]
     data = [f"c{i}" for i in range(len(docs.columns))]
