@@ -399,6 +399,27 @@ def test_constant_nodes_are_template(spark):
     assert wrapper.extract(table.limit(0)).count() == 0
 
 
+def html_texts(spark, pages):
+    rows = wrapper.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    return {r.page_id: r.text for r in rows}
+
+
+def test_template_goes_from_articles_and_cards_are_not_the_text(spark):
+    rng = random.Random(31)
+    stories = [words(rng, 40) for _ in range(8)]
+    pages = [(i, f"http://a.example/{i}", f"<body><article><h1>T {s[:9]}</h1><div class=tools>Tell your friends of us</div><p>{s}</p></article></body>")
+             for i, s in enumerate(stories)]
+    card = "<article><h3><a href=x>Card title</a></h3><p>Few words</p></article>"
+    pages += [(20, "http://b.example/", f"<body><main><h1>Head</h1><p>{stories[0]}</p>{card}{card}</main></body>"),
+              (21, "http://b.example/2", f"<body><div class=story><p>{stories[1]}</p></div><div>{card}</div></body>")]
+    near = [f"<body><article><p>{stories[2]}</p><p>Copy {i}</p></article></body>" for i in range(6)]
+    pages += [(30 + i, f"http://c.example/{i}", h) for i, h in enumerate(near)]
+    got = html_texts(spark, pages)
+    assert [got[i] for i in range(8)] == [f"T {s[:9].strip()}\n{s}" for s in stories]
+    assert f"Head\n{stories[0]}" in got[20] and "Card title" not in got[20] and stories[1] in got[21]
+    assert [got[30 + i] for i in range(6)] == [f"{stories[2]}\nCopy {i}" for i in range(6)]
+
+
 def test_pages_of_the_table(spark, smoke_dir):
     import html
     source = {r[0]: r[1] for r in spark.read.parquet(f"{smoke_dir}/pages.parquet").select("page_id", "html").collect()}
