@@ -420,6 +420,22 @@ def test_template_goes_from_articles_and_cards_are_not_the_text(spark):
     assert [got[30 + i] for i in range(6)] == [f"{stories[2]}\nCopy {i}" for i in range(6)]
 
 
+def test_rare_content_stays_and_layouts_have_templates(spark):
+    rng = random.Random(37)
+    same = "<p>Read by many people</p><p>Sold in many towns</p>"
+    page = lambda body: f"<body><div class=top>One line on top</div><div class=x>{same}{body}</div></body>"
+    bodies = [[words(rng, 20) for _ in range(3)] for _ in range(8)]
+    pages = [(i, f"http://a.example/{i}", page("".join(f"<p>{p}</p>" for p in b))) for i, b in enumerate(bodies)]
+    pages.append((8, "http://a.example/8", page("<p>Alone</p><blockquote>Quoted words</blockquote><table><tr><td>Cell</td></tr></table><pre>code</pre>")))
+    items = [words(rng, 8) for _ in range(6)]
+    pages += [(10 + i, f"http://a.example/i{i}", f"<body><div class=bar>Items for all</div><section class=item><p>{t}</p></section></body>")
+              for i, t in enumerate(items)]
+    got = html_texts(spark, pages)
+    assert [got[i] for i in range(8)] == ["\n".join(b) for b in bodies]
+    assert got[8] == "Alone\nQuoted words\nCell\ncode"
+    assert [got[10 + i] for i in range(6)] == items
+
+
 def test_pages_of_the_table(spark, smoke_dir):
     import html
     source = {r[0]: r[1] for r in spark.read.parquet(f"{smoke_dir}/pages.parquet").select("page_id", "html").collect()}
