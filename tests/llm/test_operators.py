@@ -436,6 +436,17 @@ def test_rare_content_stays_and_layouts_have_templates(spark):
     assert [got[10 + i] for i in range(6)] == items
 
 
+def test_marks_are_whole_names_and_spare_articles():
+    text = lambda h: wrapper.main_text(wrapper.Page(h))
+    assert text('<body><div class="wrapper no-sidebar"><article class="post comments-open"><p>Text</p></article></div></body>') == "Text"
+    assert text('<div class="widget"><p>Lead</p><article class="related"><p>Text of it</p></article></div>') == "Text of it"
+    assert text('<article><h2 id="related-work">Related</h2><h2 id="search">Search</h2><section id="search"><p>How it finds</p></section>'
+                '<div class="share"><a href=x>Send</a></div><p class="notice">Mind the <span class="alert">gap</span></p></article>'
+                ) == "Related\nSearch\nHow it finds\nMind the gap"
+    assert text('<article><p>The whole story</p></article><ol class="comments"><li><article>Me too</article></ol>') == "The whole story"
+    assert text('<div class="sidebar">a</div><div class="site-footer">b</div><p>Text <i class="ad">c</i>ends</p>') == "Text ends"
+
+
 def test_pages_of_the_table(spark, smoke_dir):
     import html
     source = {r[0]: r[1] for r in spark.read.parquet(f"{smoke_dir}/pages.parquet").select("page_id", "html").collect()}
