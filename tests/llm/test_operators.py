@@ -386,6 +386,22 @@ def test_tree_matching_counts_the_most_nodes():
     assert n == 4 and len(pairs) == 4 and wrapper.tree_match(a, ["z", 0, 0, []])[0] == 0
 
 
+def test_long_child_lists_are_matched_exactly(monkeypatch):
+    rng = random.Random(41)
+    leaf = lambda tag: [tag, 1, [], [[c, 1, [], []] for c in rng.choice(["", "u", "uv", "w"])]]
+    for _ in range(60):
+        a, b = (["r", 1, [], [leaf(rng.choice("pqs")) for _ in range(rng.randint(2, 14))]] for _ in range(2))
+        monkeypatch.setattr(wrapper, "MATCH_CELLS", 40_000)
+        want = wrapper.tree_match(a, b)[0]
+        monkeypatch.setattr(wrapper, "MATCH_CELLS", 3)
+        n, pairs = wrapper.tree_match(a, b)
+        assert n == want == len(pairs)
+    monkeypatch.setattr(wrapper, "MATCH_CELLS", 40_000)
+    long = [["pq"[i % 2], i, [], []] for i in range(600)]
+    _, pairs = wrapper.tree_match(["r", -1, [], long], ["r", -1, [], long[:1] + [["p", -2, [], []], ["x", -3, [], []]] + long[1:]])
+    assert sum(x[1] == y[1] for x, y in pairs) >= 600
+
+
 def test_constant_nodes_are_template(spark):
     rng = random.Random(29)
     bodies = [[words(rng, 30) for _ in range(3)] for _ in range(8)]
