@@ -1,10 +1,11 @@
-"""Line dedup by pairwise alignment of documents that share rare lines.
+"""Line dedup by pairwise alignment of documents that share a block of lines.
 
 A line is a line of text, cut further where a sentence ends or starts, so a passage is
-found inside longer lines too.  Documents that share a line are paired with the first document that
-has it, and over rare lines with the nearest earlier one too: a number of pairs linear
-in the occurrences, whatever a line's frequency.  Each pair is aligned by patience diff,
-and aligned blocks of enough words are deleted from the later document.
+found inside longer lines too.  The least runs of adjacent lines that make a block are
+seeds: a document is paired with the first document that has one of its runs.  That
+document holds the whole run, so no block is missed, whatever its lines' frequency, and
+the pairs are linear in the runs.  Each pair is aligned by patience diff, and aligned
+blocks of enough words are deleted from the later document.
 """
 
 from __future__ import annotations
@@ -13,21 +14,18 @@ import re
 from bisect import bisect_left
 from collections import Counter
 
-from pyspark.sql import DataFrame, Window, functions as F
+import numpy as np
+from pyspark.sql import DataFrame, functions as F
 
 from fleetlens.llm.common import chunks, free_name, staged, utf8
 
 #: Least words of an aligned block that is deleted.
 BLOCK_WORDS = 25
-#: Lines of at least this many words seed pairs; shorter ones do so in runs of BLOCK_WORDS words.
-SEED_WORDS = 6
-#: A line in at most this many documents is rare: it also pairs each document with the nearest earlier one.
-RARE = 32
 
 #: A line ends at a line feed, at blanks after a sentence end, and at blanks before a capital.
 CUT = re.compile(r"[\n \t](?:(?<=\n)|(?<=[.!?][ \t])[ \t]*|[ \t]*(?=[A-ZÀ-ÖØ-Þ]))")
 
-MULTIPLIER, MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
+MULTIPLIER = 0x9E3779B97F4A7C15
 
 KEY = "doc_id long, text_hash long"
 
@@ -52,23 +50,32 @@ def line_keys(text: str) -> tuple[list[int], list[int]]:
     return hashes, words
 
 
-def seeds(hashes: list[int], words: list[int]) -> set[int]:
-    """Hashes of long lines, and of least runs of short lines that make a block (a rolling polynomial)."""
-    found = {h for h, n in zip(hashes, words) if n >= SEED_WORDS}
-    ends = [i for i, n in enumerate(words) if n >= SEED_WORDS]
-    for start, stop in zip([0, *(i + 1 for i in ends)], [*ends, len(words)]):
-        if (stop - start) * SEED_WORDS <= BLOCK_WORDS or sum(words[start:stop]) < BLOCK_WORDS:
-            continue
-        first, total, value = start, 0, 0
-        for i in range(start, stop):
-            total += words[i]
-            value = (value * MULTIPLIER + hashes[i]) & MASK
-            while total - words[first] >= BLOCK_WORDS:
-                value = (value - hashes[first] * pow(MULTIPLIER, i - first, MASK + 1)) & MASK
-                total, first = total - words[first], first + 1
-            if total >= BLOCK_WORDS:
-                found.add((value ^ (value >> 29)) - (1 << 63))
-    return found
+def least_runs(words: list[int], least: int = BLOCK_WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the least runs of ``least`` words from each line on, and up to each line.
+
+    Any run of so many words is a union of least runs inside it.
+    """
+    counts = np.asarray(words, np.int64)
+    total = np.concatenate((np.zeros(1, np.int64), np.cumsum(counts)))
+    full = np.flatnonzero(counts)  # no run needs a blank line at its edge
+    after = np.searchsorted(total, total[full] + least)
+    before = np.searchsorted(total, total[full + 1] - least, "right") - 1
+    on, back = after <= len(counts), before >= 0
+    runs = np.concatenate((full[on] * (len(total)) + after[on], before[back] * len(total) + full[back] + 1))
+    return np.divmod(np.unique(runs), len(total))
+
+
+def seeds(hashes: list[int], words: list[int], least: int = BLOCK_WORDS) -> np.ndarray:
+    """Hashes of the least runs of adjacent lines that make a block (differences of a prefix polynomial)."""
+    starts, ends = least_runs(words, least)
+    if not len(starts):
+        return np.zeros(0, np.int64)
+    power = np.full((2, len(hashes) + 1), [[MULTIPLIER], [pow(MULTIPLIER, -1, 1 << 64)]], np.uint64)
+    power[:, 0] = 1
+    power = np.multiply.accumulate(power, axis=1)
+    prefix = np.concatenate((np.zeros(1, np.uint64), np.cumsum(np.array(hashes, np.int64).view(np.uint64) * power[0, :-1])))
+    found = (prefix[ends] - prefix[starts]) * power[1, starts]
+    return np.unique(found ^ (found >> np.uint64(29))).view(np.int64)
 
 
 def _longest_rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -161,16 +168,18 @@ def without(text: str, gone: set[int]) -> str:
     return kept.rstrip() if len(lines) - 1 in gone else kept
 
 
-def _lines(batches):
-    import pyarrow as pa
+def _lines(least):
+    def run(batches):
+        import pyarrow as pa
 
-    longs = pa.list_(pa.int64())
-    for batch in chunks(batches):
-        rows = [line_keys(t) for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("text_hash"), pa.array([r[0] for r in rows], longs),
-             pa.array([r[1] for r in rows], pa.list_(pa.int32())), pa.array([list(seeds(*r)) for r in rows], longs)],
-            names=["doc_id", "text_hash", "hashes", "words", "seeds"])
+        longs = pa.list_(pa.int64())
+        for batch in chunks(batches):
+            rows = [line_keys(t) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array([r[0] for r in rows], longs),
+                 pa.array([r[1] for r in rows], pa.list_(pa.int32())), pa.array([seeds(*r, least) for r in rows], longs)],
+                names=["doc_id", "text_hash", "hashes", "words", "seeds"])
+    return run
 
 
 def _align(least):
@@ -198,8 +207,7 @@ def _delete(text_at):
     return run
 
 
-def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_words: int = BLOCK_WORDS,
-             rare: int = RARE) -> DataFrame:
+def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, text_hash, gone): positions of the lines to delete, for documents that have some.
 
     A document is a distinct pair of id and text; the earlier of two has the less id,
@@ -207,19 +215,12 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bl
     """
     source = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), utf8(text_col).alias("text"))
     rows = source.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").where("text <> ''")
-    lines = staged(rows.mapInArrow(_lines, f"{KEY}, hashes array<long>, words array<int>, seeds array<long>"), "lines")
+    lines = staged(rows.mapInArrow(_lines(block_words), f"{KEY}, hashes array<long>, words array<int>, seeds array<long>"), "lines")
     doc = F.struct("doc_id", "text_hash")
     held = lines.select(F.explode("seeds").alias("seed"), doc.alias("doc"))
-    shared = (held.groupBy("seed").agg(F.count(F.lit(1)).alias("holders"), F.min("doc").alias("first"),
-                                       F.max("doc").alias("last")).where("first <> last"))
-    hits = held.join(shared.select("seed", "holders", "first").hint("shuffle_merge"), "seed").where("first <> doc")
-    hits = staged(hits.select("seed", "holders", F.col("first.doc_id").alias("a_id"), F.col("first.text_hash").alias("a_hash"),
-                              "doc.doc_id", "doc.text_hash"), "line-hits")
-    order = Window.partitionBy("seed").orderBy("doc_id", "text_hash")
-    nearest = (hits.where(F.col("holders") <= rare)
-               .select(F.lag("doc_id").over(order).alias("a_id"), F.lag("text_hash").over(order).alias("a_hash"),
-                       "doc_id", "text_hash").where("a_id IS NOT NULL AND (a_id <> doc_id OR a_hash <> text_hash)"))
-    pairs = hits.select("a_id", "a_hash", "doc_id", "text_hash").unionByName(nearest).distinct()
+    shared = (held.groupBy("seed").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first <> last"))
+    hits = held.join(shared.select("seed", "first").hint("shuffle_merge"), "seed").where("first <> doc")
+    pairs = hits.select(F.col("first.doc_id").alias("a_id"), F.col("first.text_hash").alias("a_hash"), "doc.doc_id", "doc.text_hash").distinct()
     # a repeated row gives its lines once; a written table leaves both joins to AQE's skew splitting
     one = staged(lines.groupBy("doc_id", "text_hash").agg(F.max("hashes").alias("hashes"), F.max("words").alias("words")), "line-sets")
     earlier = one.select(F.col("doc_id").alias("a_id"), F.col("text_hash").alias("a_hash"), F.col("hashes").alias("earlier"))
@@ -231,13 +232,13 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bl
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_words: int = BLOCK_WORDS,
-          rare: int = RARE, with_digest: bool = False) -> DataFrame:
+          with_digest: bool = False) -> DataFrame:
     """``docs`` with repeated blocks deleted from the later documents; every row stays.
 
     Columns are those of ``docs``; ``with_digest`` adds ``lines_gone``.  Rows with a null
     id, null text or nothing to delete are unchanged; repeated rows change alike.
     """
-    found = staged(repeated(docs, id_col, text_col, block_words, rare), "line-gone")
+    found = staged(repeated(docs, id_col, text_col, block_words), "line-gone")
     inner = docs.select([F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
     at = {c.lower(): f"c{i}" for i, c in enumerate(docs.columns)}
     key, text = at[id_col.lower()], at[text_col.lower()]

@@ -150,6 +150,30 @@ def test_repeated_passages_go_from_later_documents(spark):
     assert linededup.dedup(docs.limit(0)).count() == 0
 
 
+def test_least_runs_cover_every_block():
+    rng = random.Random(43)
+    for _ in range(200):
+        n = [rng.choice([0, 1, 3, 8, 14, 30]) for _ in range(rng.randint(0, 20))]
+        runs = set(zip(*(x.tolist() for x in linededup.least_runs(n))))
+        assert all(sum(n[a:b]) >= 25 for a, b in runs) and len(runs) <= 2 * len(n)
+        for a, b in itertools.combinations(range(len(n) + 1), 2):
+            covered = {i for x, y in runs if a <= x and y <= b for i in range(x, y)}
+            assert sum(n[a:b]) < 25 or covered >= {i for i in range(a, b) if n[i]}
+    h = [rng.getrandbits(63) for _ in range(40)]
+    part = linededup.seeds(h[5:20], [9] * 15)
+    assert len(part) == 13 and set(part.tolist()) < set(linededup.seeds(h, [9] * 40).tolist())
+
+
+def test_blocks_of_common_lines_go_whatever_their_first_holders(spark):
+    rng = random.Random(47)
+    a, b = (words(rng, 15).capitalize() + "." for _ in range(2))
+    own = [sentences(rng, 5) for _ in range(60)]
+    texts = [f"{own[0]}\n{a}\n{own[1]}", f"{own[2]}\n{b}\n{own[3]}", *(f"{t}\n{a}\n{b}" for t in own[4:])]
+    got = {r.doc_id: r.text for r in linededup.dedup(docs_of(spark, texts)).collect()}
+    assert [got[i] for i in range(3)] == texts[:3]
+    assert [got[i].strip() for i in range(3, len(texts))] == own[5:]
+
+
 # --- 4 byte-level BPE
 
 @pytest.fixture(scope="module")
