@@ -132,11 +132,45 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def _common_runs(a: list[int], b: list[int], words: list[int], least: int, gone: set[int]) -> set[int]:
+    """Positions in ``b`` of all runs of ``least`` words that ``a`` has too, if ``gone`` lacks some of them."""
+    common, runs, size, open_lines = set(a), [], 0, False
+    for i in range(len(b) + 1):
+        if i < len(b) and b[i] in common:
+            size, open_lines = size + words[i], open_lines or (words[i] > 0 and i not in gone)
+            continue
+        if size >= least and open_lines:
+            runs.append(i)
+        size, open_lines = 0, False
+    if not runs:
+        return set()
+    places: dict[int, list[int]] = {}
+    for i, h in enumerate(a):
+        places.setdefault(h, []).append(i)
+    out: set[int] = set()
+    for stop in runs:
+        ends: dict[int, int] = {}  # of matches that reach the line before: position in a -> first position in b
+        start = stop - 1
+        while start and b[start - 1] in common:
+            start -= 1
+        before, covered = [0], start
+        for i in range(start, stop):
+            before.append(before[-1] + words[i])
+        for i in range(start, stop):
+            ends = {j: ends.get(j - 1, i) for j in places[b[i]]}
+            first = min(ends.values())  # of the longest match that ends here
+            if before[i + 1 - start] - before[first - start] >= least:
+                out.update(range(max(first, covered), i + 1))  # ``first`` never falls
+                covered = i + 1
+    return out
+
+
 def repeated_lines(a: list[int], b: list[int], words: list[int], least: int = BLOCK_WORDS) -> set[int]:
-    """Positions in ``b`` (word counts ``words``) of aligned blocks with at least ``least`` words.
+    """Positions in ``b`` (word counts ``words``) of blocks with at least ``least`` words that ``a`` has.
 
-    What an alignment leaves of ``b`` is aligned again, until no block is found, so moved
-    and repeated blocks are found too.
+    What an alignment leaves of ``b`` is aligned again, until no block is found.  A block that
+    the alignments went across (scattered lines can make the longest chain) is found by its
+    runs, so moved and repeated blocks go too, and no common run of ``least`` words is left.
     """
     common = set(a) & set(b)
     gone: set[int] = set()
@@ -155,7 +189,7 @@ def repeated_lines(a: list[int], b: list[int], words: list[int], least: int = BL
             last = (i, at)
         found = [k for block in blocks if sum(words[k] for k in block) >= least for k in block]
         if not found:
-            return gone
+            return gone | _common_runs(a, b, words, least, gone)
         gone.update(found)
 
 

@@ -174,6 +174,19 @@ def test_blocks_of_common_lines_go_whatever_their_first_holders(spark):
     assert [got[i].strip() for i in range(3, len(texts))] == own[5:]
 
 
+def test_no_common_run_of_a_block_is_left():
+    p, s1, s2, x, y = 1, 2, 3, 4, 5
+    assert linededup.repeated_lines([p, s1, s2], [s1, x, s2, y, p], [10, 9, 10, 9, 60]) == {4}
+    rng = random.Random(53)
+    for _ in range(400):
+        size = [rng.choice([0, 4, 9, 13, 26]) for _ in range(8)]
+        a, b = ([rng.randrange(8) for _ in range(rng.randint(0, 14))] for _ in range(2))
+        want = {i for m, n in itertools.combinations(range(len(b) + 1), 2) if sum(size[h] for h in b[m:n]) >= 25
+                and any(a[k:k + n - m] == b[m:n] for k in range(len(a))) for i in range(m, n)}
+        got = linededup.repeated_lines(a, b, [size[h] for h in b])
+        assert got <= want and all(i in got or not size[b[i]] for i in want)
+
+
 # --- 4 byte-level BPE
 
 @pytest.fixture(scope="module")
