@@ -73,7 +73,7 @@ def seeds(hashes: list[int], words: list[int], least: int = BLOCK_WORDS) -> np.n
     power = np.full((2, len(hashes) + 1), [[MULTIPLIER], [pow(MULTIPLIER, -1, 1 << 64)]], np.uint64)
     power[:, 0] = 1
     power = np.multiply.accumulate(power, axis=1)
-    prefix = np.concatenate((np.zeros(1, np.uint64), np.cumsum(np.array(hashes, np.int64).view(np.uint64) * power[0, :-1])))
+    prefix = np.concatenate((np.zeros(1, np.uint64), np.cumsum(np.asarray(hashes, np.int64).view(np.uint64) * power[0, :-1])))
     found = (prefix[ends] - prefix[starts]) * power[1, starts]
     return np.unique(found ^ (found >> np.uint64(29))).view(np.int64)
 
@@ -202,17 +202,27 @@ def without(text: str, gone: set[int]) -> str:
     return kept.rstrip() if len(lines) - 1 in gone else kept
 
 
-def _lines(least):
+def _lines(batches):
+    import pyarrow as pa
+
+    for batch in chunks(batches):
+        rows = [line_keys(t) for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("text_hash"), pa.array([r[0] for r in rows], pa.list_(pa.int64())),
+             pa.array([r[1] for r in rows], pa.list_(pa.int32()))], names=["doc_id", "text_hash", "hashes", "words"])
+
+
+def _seeds(least):
     def run(batches):
         import pyarrow as pa
 
-        longs = pa.list_(pa.int64())
-        for batch in chunks(batches):
-            rows = [line_keys(t) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_hash"), pa.array([r[0] for r in rows], longs),
-                 pa.array([r[1] for r in rows], pa.list_(pa.int32())), pa.array([seeds(*r, least) for r in rows], longs)],
-                names=["doc_id", "text_hash", "hashes", "words", "seeds"])
+        for batch in batches:
+            hashes, words = batch.column("hashes"), batch.column("words")
+            cuts = [(c.offsets.to_numpy(), c.values.to_numpy()) for c in (hashes, words)]
+            found = [seeds(cuts[0][1][cuts[0][0][i]:cuts[0][0][i + 1]], cuts[1][1][cuts[1][0][i]:cuts[1][0][i + 1]], least)
+                     for i in range(batch.num_rows)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(found, pa.list_(pa.int64()))],
+                                             names=["doc_id", "text_hash", "seeds"])
     return run
 
 
@@ -249,14 +259,20 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bl
     """
     source = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), utf8(text_col).alias("text"))
     rows = source.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").where("text <> ''")
-    lines = staged(rows.mapInArrow(_lines(block_words), f"{KEY}, hashes array<long>, words array<int>, seeds array<long>"), "lines")
+    lines = staged(rows.mapInArrow(_lines, f"{KEY}, hashes array<long>, words array<int>"), "lines")
+    held = lines.mapInArrow(_seeds(block_words), f"{KEY}, seeds array<long>").select(F.explode("seeds").alias("seed"), "doc_id", "text_hash")
+    # most runs are in one document: bare hashes are counted first, and only shared ones go on
+    shared = held.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("seed")
+    hits = staged(held.join(shared.hint("shuffle_merge"), "seed"), "line-hits")
     doc = F.struct("doc_id", "text_hash")
-    held = lines.select(F.explode("seeds").alias("seed"), doc.alias("doc"))
-    shared = (held.groupBy("seed").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first <> last"))
-    hits = held.join(shared.select("seed", "first").hint("shuffle_merge"), "seed").where("first <> doc")
-    pairs = hits.select(F.col("first.doc_id").alias("a_id"), F.col("first.text_hash").alias("a_hash"), "doc.doc_id", "doc.text_hash").distinct()
-    # a repeated row gives its lines once; a written table leaves both joins to AQE's skew splitting
-    one = staged(lines.groupBy("doc_id", "text_hash").agg(F.max("hashes").alias("hashes"), F.max("words").alias("words")), "line-sets")
+    first = hits.groupBy("seed").agg(F.min(doc).alias("first"), F.max(doc).alias("last")).where("first <> last").select("seed", "first")
+    later = hits.join(first.hint("shuffle_merge"), "seed").where(F.col("first") != doc)
+    pairs = staged(later.select(F.col("first.doc_id").alias("a_id"), F.col("first.text_hash").alias("a_hash"), "doc_id", "text_hash")
+                   .distinct(), "line-pairs")
+    # only lines of paired documents go on; a repeated row gives its lines once; written tables leave the joins to AQE's skew splitting
+    keys = pairs.select("doc_id", "text_hash").unionByName(pairs.select(F.col("a_id").alias("doc_id"), F.col("a_hash").alias("text_hash"))).distinct()
+    paired = staged(lines.join(keys.hint("shuffle_merge"), ["doc_id", "text_hash"], "left_semi"), "line-paired")
+    one = staged(paired.groupBy("doc_id", "text_hash").agg(F.max("hashes").alias("hashes"), F.max("words").alias("words")), "line-sets")
     earlier = one.select(F.col("doc_id").alias("a_id"), F.col("text_hash").alias("a_hash"), F.col("hashes").alias("earlier"))
     both = (pairs.join(earlier.hint("shuffle_merge"), ["a_id", "a_hash"]).select("doc_id", "text_hash", "earlier")
             .join(one.hint("shuffle_merge"), ["doc_id", "text_hash"]))
