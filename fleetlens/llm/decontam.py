@@ -1,8 +1,10 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-Word n-grams of test items that few items share are the seeds.  Documents that hold a
-seed are joined to its items, and a local alignment of the whole document with the whole
-item scores copies that were edited or paraphrased.
+An alignment of similarity 0.8 or more has at most half as many unmatched words as matched
+ones, so by pigeonhole three matched words in a row have at most one unmatched word among
+them, and M / 2 - 2 such triples are in it.  Seeds are all those triples of every item, common
+ones too; a document with enough of an item's seeds is aligned with it as a whole, which
+scores copies that were edited or paraphrased.  Short items have pairs or words as seeds.
 """
 
 from __future__ import annotations
@@ -14,14 +16,16 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from fleetlens.llm.common import chunks, staged, utf8
 
-#: Words of a seed, and the least similarity of an alignment that counts as a copy.
-SEED_WORDS, SIMILARITY = 5, 0.8
-#: A seed is rare if at most this many items have it; an item without a rare seed uses all of its own.
-RARE_ITEMS = 8
+#: The least similarity of an alignment that counts as a copy.
+SIMILARITY = 0.8
+#: Items of fewer words may have no three matched words in a row with at most one unmatched among them.
+TRIPLES_FROM = 7
 #: Bits of the filter that lets a document's n-grams through to the exact join: its size is fixed.
 FILTER_BITS = 1 << 24
 MATCH, MISMATCH, GAP = 2, -1, -1
 MULTIPLIER = 0x9E3779B97F4A7C15
+#: Marks seeds that leave out a word of the item; they are for words in a row of the document.
+LEFT_OUT = np.uint64(0x5851F42D4C957F2D)
 
 WORD = re.compile(r"[^\W_]+")
 
@@ -39,14 +43,42 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return (values[coded.indices.to_numpy()] if len(values) else np.zeros(0, np.uint64)), counts
 
 
-def gram_hashes(words: np.ndarray, n: int = SEED_WORDS) -> np.ndarray:
-    """Hash of the n words from each position on; the last n - 1 positions have none."""
-    total = np.zeros(max(0, len(words) - n + 1), np.uint64)
-    for k in range(n):
-        total = total * np.uint64(MULTIPLIER) + words[k:k + len(total)]
+def gram_hashes(words: np.ndarray, steps: tuple[int, ...]) -> np.ndarray:
+    """Hash of the words ``steps`` on from each position; the last positions have none."""
+    n = max(0, len(words) - steps[-1])
+    total = np.full(n, len(steps), np.uint64)
+    for k in steps:
+        total = total * np.uint64(MULTIPLIER) + words[k:k + n]
     return total ^ (total >> np.uint64(29))
 
 
+def item_seeds(words: np.ndarray) -> np.ndarray:
+    if len(words) < 2:
+        return words
+    row, gapped = ((0, 1, 2), ((0, 1, 3), (0, 2, 3))) if len(words) >= TRIPLES_FROM else ((0, 1), ((0, 2),) if len(words) < 4 else ())
+    return np.unique(np.concatenate([gram_hashes(words, row), *(gram_hashes(words, g) ^ LEFT_OUT for g in gapped)]))
+
+
+def least_hits(n: int, similarity: float = SIMILARITY) -> int:
+    """Positions of a document with a seed that any alignment with an item of n words has, so many at least."""
+    if n < TRIPLES_FROM:
+        return 1
+    matched = np.ceil(n * similarity / (2 - similarity) - 1e-9)
+    return max(1, int(np.ceil(matched * (1 - 2 * (1 - similarity) / similarity) - 1e-9)) - 2)
+
+
+def doc_seeds(words: np.ndarray, short: bool):
+    """Hashes by position, one array for each kind of seed."""
+    for row, gapped in [((0, 1, 2), ((0, 1, 3), (0, 2, 3)))] + [((0, 1), ((0, 2),))] * short:
+        grams = gram_hashes(words, row)
+        yield grams
+        yield grams ^ LEFT_OUT
+        for g in gapped:
+            yield gram_hashes(words, g)
+    if short:
+        yield words
+
+
 def slot(grams: np.ndarray) -> np.ndarray:
     return (grams >> np.uint64(20)).astype(np.int64) & (FILTER_BITS - 1)
 
@@ -92,39 +124,64 @@ def _rows(item, doc, table=None) -> tuple[int, int]:
     return best, stop
 
 
-def _item_rows(n):
+def _item_rows(similarity):
     def run(batches):
         import pyarrow as pa
 
+        longs = pa.list_(pa.int64())
         for batch in chunks(batches):
             words, counts = word_hashes(batch.column("text").to_pylist())
             ends = np.cumsum(counts)
             rows = [words[a:b] for a, b in zip(ends - counts, ends)]
-            grams = [np.unique(gram_hashes(r, n)).view(np.int64).tolist() for r in rows]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("item_id"), pa.array([r.view(np.int64).tolist() for r in rows], pa.list_(pa.int64())),
-                 pa.array(grams, pa.list_(pa.int64()))], names=["item_id", "item", "seeds"])
+                [batch.column("item_id"), pa.array([r.view(np.int64).tolist() for r in rows], longs),
+                 pa.array([item_seeds(r).view(np.int64).tolist() for r in rows], longs),
+                 pa.array([least_hits(len(r), similarity) for r in rows], pa.int64())], names=["item_id", "item", "seeds", "least"])
     return run
 
 
-def _hits(passed, n):
+def _hits(passed, least, short):
+    """Seeds that pass the filter, with their positions, of documents that have enough."""
     def run(batches):
         import pyarrow as pa
 
-        longs = pa.list_(pa.int64())
+        bits = np.unpackbits(passed.value, bitorder="little")
         for batch in chunks(batches):
             words, counts = word_hashes(batch.column("text").to_pylist())
-            grams = gram_hashes(words, n)
-            ends = np.cumsum(counts)
-            inside = np.flatnonzero(np.unpackbits(passed.value, bitorder="little")[slot(grams)]) if len(grams) else grams
-            cuts = np.searchsorted(inside, np.stack((ends - counts, np.maximum(ends - n + 1, ends - counts))))
-            rows = [i for i in range(len(counts)) if cuts[0, i] < cuts[1, i]]
-            if rows:
-                seeds = [np.unique(grams[inside[cuts[0, i]:cuts[1, i]]]).view(np.int64).tolist() for i in rows]
-                own = [words[ends[i] - counts[i]:ends[i]].view(np.int64).tolist() for i in rows]
+            at, seeds = [], []
+            for grams in doc_seeds(words, short):
+                inside = np.flatnonzero(bits[slot(grams)])
+                at.append(inside)
+                seeds.append(grams[inside])
+            # a gram that runs into the next text only adds a candidate
+            at, seeds = np.concatenate(at), np.concatenate(seeds)
+            rows = np.searchsorted(np.cumsum(counts), at, "right")
+            places = np.unique(at)
+            enough = np.bincount(np.searchsorted(np.cumsum(counts), places, "right"), minlength=len(counts)) >= least
+            kept = enough[rows] if len(rows) else np.zeros(0, bool)
+            if kept.any():
+                take = pa.array(rows[kept])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(c).take(pa.array(rows)) for c in ("doc_id", "text_hash")]
-                    + [pa.array(own, longs), pa.array(seeds, longs)], names=["doc_id", "text_hash", "words", "seeds"])
+                    [batch.column(c).take(take) for c in ("doc_id", "text_hash")]
+                    + [pa.array(at[kept], pa.int64()), pa.array(seeds[kept].view(np.int64))], names=["doc_id", "text_hash", "at", "seed"])
+    return run
+
+
+def _words(passed):
+    """Words of the documents whose text hash passes the filter."""
+    def run(batches):
+        import pyarrow as pa
+
+        bits = np.unpackbits(passed.value, bitorder="little")
+        for batch in chunks(batches):
+            inside = np.flatnonzero(bits[slot(batch.column("text_hash").to_numpy().view(np.uint64))])
+            if len(inside):
+                part = batch.take(pa.array(inside))
+                words, counts = word_hashes(part.column("text").to_pylist())
+                ends = np.cumsum(counts)
+                own = [words[a:b].view(np.int64).tolist() for a, b in zip(ends - counts, ends)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_hash"), pa.array(own, pa.list_(pa.int64()))],
+                                                 names=["doc_id", "text_hash", "words"])
     return run
 
 
@@ -153,34 +210,36 @@ def _filter(seeds: DataFrame) -> np.ndarray:
 
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 item_col: str = "item_id", item_text_col: str = "text", seed_words: int = SEED_WORDS,
+                 item_col: str = "item_id", item_text_col: str = "text",
                  similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, text_hash, item_id, score, similarity, start_word, end_word) of the copies found.
 
     A document is a distinct pair of id and text, so repeated rows count once; null ids
     stay null.  Similarity is twice the matched words over the words of the item and of
-    the passage aligned with it.  Null and empty texts, and items of fewer words than a
-    seed, match nothing; of items with one id and several texts, each is aligned and the best counts.
+    the passage aligned with it.  Null and empty texts match nothing; of items with one id and
+    several texts, each is aligned and the best counts.
 
-    One pass over the texts, which lets only documents through whose n-grams pass a filter of
-    fixed size; the exact join on seeds follows, then joins on the two ids, all
-    of which AQE can split where one item sits in a third of all documents.
+    One pass over the texts keeps only the seeds that pass a filter of fixed size, with no text; the
+    exact join on seeds and a count per document and item follow.  A second pass takes the words
+    of the documents found, then joins on the two ids, all of which AQE can split where one
+    item sits in a third of all documents.
     """
+    context = docs.sparkSession.sparkContext
     tests = staged(items.select(F.col(item_col).cast("long").alias("item_id"), utf8(item_text_col).alias("text"))
-                   .mapInArrow(_item_rows(seed_words), "item_id long, item array<long>, seeds array<long>")
-                   .withColumn("nth", F.monotonically_increasing_id()), "decontam-items")
-    seeds = tests.select("nth", F.explode("seeds").alias("seed"))
-    shared = seeds.join(seeds.groupBy("seed").agg(F.count(F.lit(1)).alias("items")), "seed")
-    shared = shared.withColumn("least", F.min("items").over(Window.partitionBy("nth")))
-    rare = staged(shared.where((F.col("items") <= RARE_ITEMS) | (F.col("least") > RARE_ITEMS)).select("seed", "nth"), "decontam-seeds")
-    passed = docs.sparkSession.sparkContext.broadcast(_filter(rare))
+                   .mapInArrow(_item_rows(similarity), "item_id long, item array<long>, seeds array<long>, least long")
+                   .where(F.size("item") > 0).withColumn("nth", F.monotonically_increasing_id()), "decontam-items")
+    seeds = staged(tests.select("nth", "least", F.explode("seeds").alias("seed")), "decontam-seeds")
+    least, shortest = tests.agg(F.min("least"), F.min(F.size("item"))).first()
+    passed = context.broadcast(_filter(seeds))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(utf8(text_col)).alias("text_hash"),
                        utf8(text_col).alias("text"))
-    hits = staged(rows.mapInArrow(_hits(passed, seed_words), "doc_id long, text_hash long, words array<long>, seeds array<long>"),
-                  "decontam-hits")
-    pairs = (hits.select("doc_id", "text_hash", F.explode("seeds").alias("seed")).join(rare.hint("shuffle_merge"), "seed")
-             .select("doc_id", "text_hash", "nth").distinct())
-    texts = hits.groupBy("doc_id", "text_hash").agg(F.max("words").alias("words"))
+    hits = rows.mapInArrow(_hits(passed, least or 1, (shortest or 0) < TRIPLES_FROM), "doc_id long, text_hash long, at long, seed long")
+    counted = (hits.join(seeds.hint("shuffle_merge"), "seed").select("doc_id", "text_hash", "nth", "least", "at"))
+    pairs = staged(counted.groupBy("doc_id", "text_hash", "nth").agg(F.max("least").alias("least"), F.collect_set("at").alias("places"))
+                   .where("size(places) >= least").select("doc_id", "text_hash", "nth"), "decontam-pairs")
+    found = context.broadcast(_filter(pairs.select(F.col("text_hash").alias("seed"))))
+    texts = staged(rows.mapInArrow(_words(found), "doc_id long, text_hash long, words array<long>")
+                   .groupBy("doc_id", "text_hash").agg(F.max("words").alias("words")), "decontam-words")
     same = pairs["doc_id"].eqNullSafe(texts["doc_id"]) & (pairs["text_hash"] == texts["text_hash"])
     both = (pairs.join(texts.hint("shuffle_merge"), same).select(pairs["doc_id"], pairs["text_hash"], "nth", "words")
             .join(tests.select("nth", "item_id", "item"), "nth"))

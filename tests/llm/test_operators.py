@@ -345,6 +345,42 @@ def test_edited_copies_are_found(spark):
     assert decontam.without_copies(docs, bench.limit(0)).count() == len(texts)
 
 
+def test_every_edit_within_the_similarity_has_seeds():
+    rng = random.Random(59)
+    checked = 0
+    for _ in range(3000):
+        item = np.array(rng.sample(range(1, 10**6), rng.randint(1, 40)), np.uint64)
+        doc = []
+        rate = rng.choice([0.1, 0.2, 0.3])
+        for w in item.tolist():
+            edit = rng.choice("sid") if rng.random() < rate else ""
+            doc += [w, rng.randint(2 * 10**6, 10**9)] if edit == "i" else [] if edit == "d" else [rng.randint(2 * 10**6, 10**9)] if edit else [w]
+        doc = np.array(doc, np.uint64)
+        score, matched, start, end = decontam.local_alignment(item, doc)
+        if matched and 2 * matched / (len(item) + end - start) >= 0.8:
+            own = decontam.item_seeds(item)
+            places = {i for g in decontam.doc_seeds(doc, True) for i in np.flatnonzero(np.isin(g, own)).tolist()}
+            assert len(places) >= decontam.least_hits(len(item))
+            checked += 1
+    assert checked > 500
+
+
+def test_copies_without_rare_or_long_seeds_are_found(spark):
+    rng = random.Random(61)
+    frame = words(rng, 26).split()
+    items = [" ".join([*frame[:13], f"x{i}", f"y{i}", *frame[13:], f"z{i}", f"w{i}"]) for i in range(20)]
+    short = words(rng, 15, "klmnop")
+    edited = items[7].split()
+    edited[13], edited[29] = "other", "word"
+    gone = short.split()
+    gone[4], gone[9], gone[14] = "one", "two", "three"
+    texts = [words(rng, 40) + " " + " ".join(edited) + " " + words(rng, 9), words(rng, 30) + " " + " ".join(gone),
+             "start qqa qqb qqc end", words(rng, 60)]
+    bench = spark.createDataFrame([*enumerate(items), (51, "qqa qqb qqc"), (52, short)], "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontam.contaminated(docs_of(spark, texts), bench).collect()}
+    assert {(0, 7), (1, 52), (2, 51)} <= found and not any(d == 3 for d, _ in found)
+
+
 def test_every_exact_passage_is_found(spark, smoke_dir, table_texts):
     items = {r[0]: r[1] for r in spark.read.parquet(f"{smoke_dir}/benchmark.parquet").collect()}
     want = {(i, k) for i, t in table_texts.items() for k, b in items.items() if b in (t or "")}
