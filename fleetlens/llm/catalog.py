@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetlens.llm import bpe, chat, decontam, hamming, linededup, quality, secrets, sharding, simhash, wrapper
+from fleetlens.llm import (audit, bpe, chat, decontam, hamming, linededup, quality, secrets, sharding, simhash, tokencount,
+                           whitening, wrapper)
 from fleetlens.llm.common import staged, table, utf8
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,6 +127,61 @@ def op10_secret_scan(spark: SparkSession, d: str) -> DataFrame:
     return secrets.scan(table(spark, d, "documents"))
 
 
+def op11_token_counts(spark: SparkSession, d: str) -> DataFrame:
+    import public_tokenizers
+    tokenizer = tokencount.shared_tokenizer(spark, public_tokenizers.path("byte_bpe_50k.json"))
+    return tokencount.count(table(spark, d, "documents"), tokenizer, keep=("doc_id",))
+
+
+def op12_embedding_whitening(spark: SparkSession, d: str) -> DataFrame:
+    rows = whitening.whiten(table(spark, d, "embeddings"))
+    return rows.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op13_filter_audit(spark: SparkSession, d: str) -> DataFrame:
+    return audit.audit(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+OP13_SQL = r"""
+WITH docs AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+words AS (SELECT doc_id, part, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+                 coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS copied FROM docs),
+known AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+cells AS (
+  SELECT part, list_value(CASE WHEN len(w) < 200 THEN 1 ELSE 0 END,
+                          CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 1 ELSE 0 END,
+                          CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) THEN 1 ELSE 0 END,
+                          CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 1 ELSE 0 END,
+                          CASE WHEN copied THEN 1 ELSE 0 END) AS flags,
+         count(*) AS n, count(*) FILTER (coalesce(good, false)) AS good, count(*) FILTER (coalesce(toxic, false)) AS toxic
+  FROM words LEFT JOIN known USING (doc_id) GROUP BY ALL),
+letter(i) AS (SELECT unnest([1, 2, 3, 4, 5])),
+perms AS (
+  SELECT [a.i, b.i, c.i, d.i, e.i] AS p, chr(64 + a.i) || chr(64 + b.i) || chr(64 + c.i) || chr(64 + d.i) || chr(64 + e.i) AS filter_order
+  FROM letter a, letter b, letter c, letter d, letter e
+  WHERE b.i <> a.i AND c.i NOT IN (a.i, b.i) AND d.i NOT IN (a.i, b.i, c.i) AND e.i NOT IN (a.i, b.i, c.i, d.i)),
+walked AS (
+  SELECT part, filter_order, p, flags, n, good, toxic, list_sum(flags) AS failing,
+         CASE WHEN flags[p[1]] = 1 THEN 1 WHEN flags[p[2]] = 1 THEN 2 WHEN flags[p[3]] = 1 THEN 3 WHEN flags[p[4]] = 1 THEN 4
+              WHEN flags[p[5]] = 1 THEN 5 ELSE 6 END AS falls
+  FROM cells, perms),
+steps AS (
+  SELECT part, filter_order, letter.i AS step, any_value(p[letter.i]) AS f,
+         sum(CASE WHEN falls > letter.i THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN falls = letter.i THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN falls < letter.i AND flags[p[letter.i]] = 1 THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN failing = 1 AND flags[p[letter.i]] = 1 THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN falls = letter.i THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN falls = letter.i THEN toxic ELSE 0 END) AS toxic_lost
+  FROM walked, letter GROUP BY part, filter_order, letter.i)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM steps
+"""
+
+
 def queries() -> dict[str, Query]:
     return {"op1_min_cost_resharding": op1_min_cost_resharding,
             "op2_chat_formatting": op2_chat_formatting, "op3_line_dedup": op3_line_dedup,
@@ -134,8 +190,9 @@ def queries() -> dict[str, Query]:
             "op6_benchmark_decontamination": op6_benchmark_decontamination,
             "op7_quality_classifier": op7_quality_classifier, "op8_exact_topk": op8_exact_topk,
             "op9_html_extraction": op9_html_extraction,
-            "op10_secret_scan": op10_secret_scan}
+            "op10_secret_scan": op10_secret_scan, "op11_token_counts": op11_token_counts,
+            "op12_embedding_whitening": op12_embedding_whitening, "op13_filter_audit": op13_filter_audit}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat_formatting": OP2_SQL, "op8_exact_topk": OP8_SQL}
+    return {"op2_chat_formatting": OP2_SQL, "op8_exact_topk": OP8_SQL, "op13_filter_audit": OP13_SQL}

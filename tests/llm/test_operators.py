@@ -39,7 +39,7 @@ def table_texts(spark, smoke_dir):
 @pytest.mark.parametrize("key", sorted(catalog.oracle_sql()))
 def test_query_matches_sql(spark, smoke_dir, key):
     con = duckdb.connect()
-    for t in ("documents", "conversations", "embeddings"):
+    for t in ("documents", "conversations", "embeddings", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{smoke_dir}/{t}.parquet')")
     want = con.execute(catalog.oracle_sql()[key])
     names = [c[0] for c in want.description]
