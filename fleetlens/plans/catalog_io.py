@@ -156,12 +156,25 @@ def q_load_telemetry(spark, d):
     return back.withColumn("day", F.col("day").cast("date")).select(*t.columns)
 
 
+def _trapped(spark, d):
+    """The pages, each with a link in a script, references, and anchors that are very long or never closed."""
+    many = F.col("page_id") % 25 == 0
+
+    def filler(sign, n):
+        return F.repeat(F.lit(sign), F.when(many, n).otherwise(3))
+
+    html = F.concat("html", F.lit("<script>var a = \"<a href='scripted.zip'>\";</script><a title="), filler("y", 100_000),
+                    F.lit(' href="a&#x2F;long.zip">l</a><A class="c"\n href=caf&eacute;.zip?x=1&amp;y=2&copy=3>e</A><a name '),
+                    filler("z", 20_000))
+    return AD.table(spark, d, "pages").select("page_id", "url", html.alias("html"))
+
+
 def q_page_links(spark, d):
-    return LK.page_links(AD.table(spark, d, "pages")).select("page_id", "pos", "href", "link")
+    return LK.page_links(_trapped(spark, d)).select("page_id", "pos", "href", "link")
 
 
 def q_dataset_links(spark, d):
-    return LK.extract_dataset_links(AD.table(spark, d, "pages"), suffix="", markers=["example.com"])
+    return LK.extract_dataset_links(_trapped(spark, d), suffix="", markers=["example.com"])
 
 
 def q_limit_rows(spark, d):

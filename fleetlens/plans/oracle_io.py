@@ -20,16 +20,26 @@ LINK_RULE = r"""
        WHEN h = '' THEN regexp_replace(url, '#.*$', '')
        ELSE regexp_replace(regexp_replace(regexp_replace(url, '#.*$', ''), '\?.*$', ''), '[^/]*$', '') || h END"""
 
+# a page without comments, scripts and styles; its closed anchors; their references decoded, as far as the pages have some;
 # one step up at most, as the registered queries have it
 LINKS = r"""links AS (
   SELECT page_id, pos, href, CASE WHEN regexp_matches(l, '^[A-Za-z]+://[^/]+/\.\./') THEN replace(l, '/../', '/')
                                   ELSE regexp_replace(l, '/[^/]+/\.\./', '/') END AS link
   FROM (SELECT page_id, pos, h AS href, replace(""" + LINK_RULE + r""", '/./', '/') AS l
-  FROM (SELECT page_id, url, trim(replace(hr, '&amp;', '&')) AS h, pos
-        FROM (SELECT page_id, url,
-                     unnest(regexp_extract_all(html, '(?i)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["'']', 1)) AS hr,
-                     unnest(range(len(regexp_extract_all(html, '(?i)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["'']', 1)))) AS pos
-              FROM pages))))"""
+  FROM (SELECT page_id, url, trim(replace(replace(replace(regexp_replace(hr, '^"(.*)"$|^''(.*)''$', '\1\2', 's'),
+                                  '&#x2F;', '/'), '&eacute;', 'é'), '&amp;', '&')) AS h,
+               row_number() OVER (PARTITION BY page_id ORDER BY nth) - 1 AS pos
+        FROM (SELECT page_id, url, nth, regexp_extract(tag, '(?is)[\s"'']href\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)', 1) AS hr
+              FROM (SELECT page_id, url, unnest(tags) AS tag, unnest(range(len(tags))) AS nth
+                    FROM (SELECT page_id, url, regexp_extract_all(regexp_replace(html,
+                            '(?is)<!--.*?-->|<script[^>]*>.*?</script|<style[^>]*>.*?</style', '', 'g'), '(?is)<a\s[^<>]*>') AS tags
+                          FROM pages))) WHERE hr <> '')))"""
+
+# the pages of the link queries: a link in a script, a very long anchor, references, an anchor that is never closed
+TRAPPED = r"""(SELECT page_id, url, html || '<script>var a = "<a href=''scripted.zip''>";</script><a title='
+  || repeat('y', CASE WHEN page_id % 25 = 0 THEN 100000 ELSE 3 END) || ' href="a&#x2F;long.zip">l</a><A class="c"
+ href=caf&eacute;.zip?x=1&amp;y=2&copy=3>e</A><a name ' || repeat('z', CASE WHEN page_id % 25 = 0 THEN 20000 ELSE 3 END) AS html
+  FROM pages)"""
 
 
 def manifest_sql(pages: str, chosen: str, year_from: int) -> str:
@@ -159,8 +169,8 @@ SELECT sha256(concat_ws('|', count(*), sum(h), bit_xor(h))) AS dataset_hash FROM
 FROM telemetry_ship WHERE as_of_date BETWEEN DATE '1998-01-15' AND DATE '1998-03-31'""",
         "load_backfill": W("telemetry_events", extra=COHORT) + COHORT_TELEMETRY,
         "load_telemetry": W("telemetry_events", extra=COHORT) + COHORT_TELEMETRY,
-        "page_links": "WITH " + LINKS + " SELECT page_id, CAST(pos AS INTEGER) AS pos, href, link FROM links",
-        "dataset_links": "WITH " + LINKS + """, c AS (SELECT * FROM links WHERE lower(link) LIKE '%example.com%'),
+        "page_links": "WITH " + LINKS.replace("FROM pages", "FROM " + TRAPPED) + " SELECT page_id, CAST(pos AS INTEGER) AS pos, href, link FROM links",
+        "dataset_links": "WITH " + LINKS.replace("FROM pages", "FROM " + TRAPPED) + """, c AS (SELECT * FROM links WHERE lower(link) LIKE '%example.com%'),
 f AS (SELECT link AS url, page_id, pos, row_number() OVER (PARTITION BY link ORDER BY page_id, pos) AS rn FROM c)
 SELECT url, page_id, CAST(pos AS INTEGER) AS pos,
   regexp_extract(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]*)?([^?#]*)', 1), '([^/]*)$', 1) AS file_name

@@ -1,7 +1,7 @@
 """Dataset link discovery over a table of web pages.
 
 Re-aimed from "fetch one page": the input is a ``pages(page_id, url, html)``
-table, links are extracted with ``regexp_extract_all`` + ``posexplode``,
+table, pages are cut into tags by one linear pattern, anchors give their ``href``,
 resolved against the page URL with a small column rule, filtered by suffix and
 marker words, de-duplicated to their first occurrence and parsed for year and
 period.  No HTTP, no Python per row.
@@ -9,6 +9,9 @@ period.  No HTTP, no Python per row.
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 # ---------------------------------------------------------------------------
@@ -21,10 +24,20 @@ YEAR_FIRST = r"(?i)((?:19|20)\d{2})[_\-]?Q([1-4])"
 YEAR_ONLY = r"((?:19|20)\d{2})"
 # ---------------------------------------------------------------------------
 
-# an anchor's own href, quoted or not; quoted values of other attributes are passed over whole
-HREF = r"""(?i)<a(?=\s)(?:[^>"']|"[^"]*"|'[^']*')*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-COMMENT = r"(?s)<!--.*?(?:-->|$)"
-ENTITIES = [("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")]
+# How a page is cut into tags.  Every repetition is possessive and every piece may end with the page, so
+# the first way to read a tag is the only one tried: the work is linear and needs no stack, whatever a tag holds.
+ATTRIBUTE_NAME = r"[^\s/>][^\s/>=]*+"
+ATTRIBUTE_VALUE = r""" "[^"]*+(?:"|\z) | '[^']*+(?:'|\z) | [^\s>"'][^\s>]*+ """.replace(" ", "")
+ATTRIBUTE = rf"({ATTRIBUTE_NAME})(?:\s*+=\s*+({ATTRIBUTE_VALUE})?+)?+"
+INSIDE_TAG = r"(?:[\s/]++|" + ATTRIBUTE.replace("(" + ATTRIBUTE_NAME, "(?:" + ATTRIBUTE_NAME).replace(
+    "(" + ATTRIBUTE_VALUE, "(?:" + ATTRIBUTE_VALUE) + ")*+"
+PIECES = "|".join([
+    r"<!--(?:-?>|.*?(?:--!?>|\z))",                                                           # comments
+    rf"<(script|style)(?=[\s/>]){INSIDE_TAG}(?:>|\z).*?(?=</\1[\s/>]|\z)",                    # text that is no markup
+    rf"<[a-z][^\s/>]*+{INSIDE_TAG}(?:>|\z)",                                                  # start tags
+    r"<[!?/][^>]*+(?:>|\z)"])                                                                 # end tags, declarations
+CLOSED_ANCHOR = rf"(?is)^<a(?=[\s/]){INSIDE_TAG}>\z"
+REFERENCE = r"^(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[a-zA-Z][a-zA-Z0-9]*[;=]?)"
 ABSOLUTE = r"^[A-Za-z][A-Za-z0-9+.\-]*:"
 
 
@@ -101,14 +114,58 @@ def period_order(period: Column) -> Column:
                                              ).otherwise(99)
 
 
+def reference_table() -> dict[str, str]:
+    """Named character references of the HTML standard, and the code points that pages mean as Windows-1252."""
+    old = {f"#{n}": bytes([n]).decode("cp1252", "ignore") for n in range(0x80, 0xA0)}
+    return {**html5, **{k: v for k, v in old.items() if v}}
+
+
+def unescaped(text: Column, table: dict[str, str] | None = None) -> Column:
+    """Character references decoded as in an attribute: numbers always, names only as the standard writes
+    them and not before ``=`` (so ``?a=1&copy=2`` stays).  Numbers that are no character give U+FFFD."""
+    names = F.from_json(F.lit(json.dumps(table or reference_table())), "map<string,string>")
+
+    def decoded(part: Column) -> Column:
+        ref = F.regexp_extract(part, REFERENCE, 1)
+        digits = F.regexp_extract(ref, r"^#0*([0-9]*)", 1)
+        sixteen = F.regexp_extract(ref, r"^#[xX]0*([0-9a-fA-F]*)", 1)
+        far = F.lit(0x110000)
+        number = (F.when(ref.rlike("^#[xX]"), F.when(F.length(sixteen) > 6, far).otherwise(F.conv(F.concat(F.lit("0"), sixteen), 16, 10).cast("int")))
+                  .when(ref.rlike("^#[0-9]"), F.when(F.length(digits) > 7, far).otherwise(F.concat(F.lit("0"), digits).cast("int"))))
+        known = F.element_at(names, F.when(number.isNotNull(), F.concat(F.lit("#"), number.cast("string"))).otherwise(ref))
+        found = (F.when((number == 0) | (number >= far) | number.between(0xD800, 0xDFFF), F.lit("�"))
+                 .otherwise(F.coalesce(known, F.decode(F.unhex(F.lpad(F.hex(number.cast("bigint")), 8, "0")), "UTF-32"))))
+        return F.concat(F.coalesce(found, F.concat(F.lit("&"), ref)), F.substr(part, F.length(ref) + 1))
+
+    parts = F.split(text, "&")
+    rest = F.transform(F.slice(parts, F.lit(2), F.size(parts)), decoded)
+    return F.when(text.contains("&"), F.concat(F.element_at(parts, 1), F.array_join(rest, ""))).otherwise(text)
+
+
 def page_links(pages: DataFrame) -> DataFrame:
-    """Every ``a[href]`` of every page: page_id, pos (order in the page), href, resolved url."""
-    visible = F.regexp_replace("html", COMMENT, "")
-    hrefs = pages.select("page_id", "url", F.posexplode(F.regexp_extract_all(visible, F.lit(HREF), 1)).alias("pos", "href"))
-    href = F.regexp_replace(F.col("href"), r"""^["']|["']$""", "")
-    for entity, sign in ENTITIES:
-        href = F.replace(href, F.lit(entity), F.lit(sign))
-    return hrefs.select("page_id", "pos", href.alias("href"), resolve_url(F.col("url"), href).alias("link"))
+    """Every ``a[href]`` of every page: page_id, pos (order in the page), href, resolved url.
+
+    One pattern cuts a page into comments, scripts, styles and tags, so what stands in a
+    comment, a script or an attribute's value is no link.  A tag that the page leaves open
+    is none either.  Of several ``href`` of one anchor the last counts, one without a value is
+    empty.  A null page has no links.  No row leaves its task.
+    """
+    tags = F.filter(F.regexp_extract_all("html", F.lit("(?is)" + PIECES), 0), lambda t: t.rlike(CLOSED_ANCHOR))
+
+    def own_href(tag: Column) -> Column:
+        inside = F.substr(tag, F.lit(3))
+        names, values = (F.regexp_extract_all(inside, F.lit(ATTRIBUTE), F.lit(group)) for group in (1, 2))
+        pairs = F.arrays_zip(names.alias("name"), values.alias("value"))
+        return F.try_element_at(F.filter(pairs, lambda p: F.lower(p["name"]) == "href"), F.lit(-1))["value"]
+
+    def value_of(raw: Column) -> Column:
+        quoted = raw.startswith('"') | raw.startswith("'")
+        return F.regexp_replace(unescaped(F.when(quoted, F.substr(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw)), r"^\s+|\s+$", "")
+
+    # decoded before the rows are made, so that what follows refers to a plain column
+    found = F.transform(F.filter(F.transform(tags, own_href), lambda v: v.isNotNull()), value_of)
+    hrefs = pages.select("page_id", "url", F.posexplode(found).alias("pos", "href"))
+    return hrefs.select("page_id", "pos", "href", resolve_url(F.col("url"), F.col("href")).alias("link"))
 
 
 def extract_dataset_links(pages: DataFrame, suffix: str = DATASET_SUFFIX,
@@ -128,7 +185,7 @@ def dataset_manifest(pages: DataFrame, year_from: int = 2013, year_to: int | Non
     links = extract_dataset_links(pages, suffix, markers)
     y, p = year_period(F.col("file_name"))
     m = links.select("url", "file_name", y.alias("year"), p.alias("period")).where(F.col("year").isNotNull())
-    if require and m.limit(1).count() == 0:
+    if require and m.isEmpty():
         raise RuntimeError("No dataset ZIP links found in the pages")
     # year_to=None means "up to the latest year found", which every row satisfies
     if year_to is not None:

@@ -96,6 +96,31 @@ def test_link_rules(spark):
         "http://s.example/a/b/un.zip", "http://s.example/a/up.zip", "http://s.example/a/b/here.zip?a=1&b=2"]
 
 
+def test_tags_are_cut_in_linear_time(spark):
+    """Long and unclosed tags, scripts, references and doubled attributes; each of these ended the JVM or gave wrong rows once."""
+    pages = {1: "<a title=" + "y" * 100_000 + ' href="long.zip">x</a>', 2: "<a name " + "z" * 100_000, 3: "<a " * 30_000,
+             4: '<script>"<a href=s.zip>"</script><style><a href=t.zip></style><textarea></textarea><a href=ok.zip>',
+             5: '<a href="a&#x2F;b&#47;c&amp;d&copy=1&copy;&eacute&#128;&#0;&#x110000;&#99999999999;&no;&lt">', 6: None, 7: "",
+             8: "<a title=it's href='q.zip'><A HREF>", 9: '<a href=x href="y.zip"><p title="<a href=in.zip>"><a/href=s.zip><a href=" t ">',
+             10: "<!--><a href=e.zip><!-- open <a href=no>", 11: '<a href="never closed>x</a>', 12: "\"'" * 50_000 + "<a href=z.zip>",
+             13: "<a " + "k=v " * 50_000 + "href=w.zip>", 14: "<script " * 20_000, 15: "</a href=no><!a href=no><?a href=no>"}
+    df = spark.createDataFrame([(i, "http://h.example/p/", h) for i, h in pages.items()], "page_id long, url string, html string")
+    got = {}
+    for r in LK.page_links(df).orderBy("page_id", "pos").collect():
+        got.setdefault(r["page_id"], []).append(r["href"])
+    assert got == {1: ["long.zip"], 4: ["ok.zip"], 5: ["a/b/c&d&copy=1©é€���&no;<"], 8: ["q.zip", ""],
+                   9: ["y.zip", "s.zip", "t"], 10: ["e.zip"], 12: ["z.zip"], 13: ["w.zip"]}
+
+
+def test_references_match_the_standard_library(spark):
+    import html
+    from html.entities import html5
+    texts = [f"&{n}" for n in html5 if n.endswith(";")] + [f"&#{n};" for n in (32, 65, 0x80, 0x9F, 0x2603, 0x1F600, 0xD800, 0x110000, 0)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r[0]: r[1] for r in df.select("t", LK.unescaped(F.col("t"))).collect()}
+    assert {t: got[t] for t in texts} == {t: html.unescape(t) for t in texts}
+
+
 def test_skewed_month_is_split(spark):
     from fleetlens.sources import warehouse as WH
     rows = spark.range(0, 400_000, 1, 8).select(F.lit("2024-01-05").cast("date").alias("date"),
