@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from fleetlens.operators.rank import distributed_prefix_sum, distributed_rank
+from fleetlens.operators.histogram import leaves, slim, top_cuts
+from fleetlens.operators.rank import distributed_rank
+
+#: Most rows of a range of several scores that one task of the average precision cumulates.
+LEAF_ROWS = 1_000_000
 
 # Calibration bins are 10 equal-width bins on [0, 1] whose edges
 # are computed as i * 0.1 (so edge 3 is 0.30000000000000004); the last bin is closed.
@@ -16,41 +20,65 @@ def calibration_edges(bins: int = CALIBRATION_BINS) -> list[float]:
     return [i * step for i in range(bins)] + [1.0]
 
 
-def average_precision(df: DataFrame, y: str = "y", score: str = "score") -> DataFrame:
+def _one_row(spark: SparkSession, **values) -> DataFrame:
+    return spark.range(1).select(*[F.lit(v).alias(k) for k, v in values.items()])
+
+
+def average_precision(df: DataFrame, y: str = "y", score: str = "score", leaf_rows: int = LEAF_ROWS) -> DataFrame:
     """One row ``average_precision``: sum over distinct thresholds (descending) of dRecall x Precision.
 
-    Rows are first collapsed per distinct score (partial aggregation), then a
-    distributed prefix sum gives cumulative true positives and counts.  No
-    positives -> 0.
+    A histogram of the score's bits gives the rows and positives above each range of scores;
+    inside a range the distinct scores (collapsed map-side) are cumulated by a window of its
+    own.  A range with many rows is divided further, a score that many rows share is one row.
+    No positives -> 0.  The passes run when this is called.
     """
-    g = df.groupBy(F.col(score).alias("_s")).agg(F.sum(F.col(y).cast("long")).alias("tp"),
-                                                 F.count(F.lit(1)).alias("cnt"))
-    c = distributed_prefix_sum(g, [("_s", False)], ["tp", "cnt"])
-    agg = c.agg(F.sum(F.col("tp") * F.col("cum_tp") / F.col("cum_cnt")).alias("_num"),
-                F.sum("tp").alias("_pos"))
-    return agg.select(F.when(F.coalesce(F.col("_pos"), F.lit(0)) == 0, F.lit(0.0))
-                      .otherwise(F.col("_num") / F.col("_pos")).alias("average_precision"))
+    with slim(df, y, score) as rows:
+        found = leaves(rows, leaf_rows)
+        if not found.hits:
+            return _one_row(df.sparkSession, average_precision=0.0)
+        above = df.sparkSession.createDataFrame(found.above, "_size int, _cell long, _rows long, _hits long")
+        size, cell = found.columns()
+        g = rows.groupBy("_bits").agg(F.sum("_hit").alias("tp"), F.count(F.lit(1)).alias("cnt"))
+        inside = Window.partitionBy("_size", "_cell").orderBy(F.col("_bits").desc())
+        c = g.select("*", size.alias("_size"), cell.alias("_cell")).join(F.broadcast(above), ["_size", "_cell"])
+        c = c.select("tp", (F.col("_hits") + F.sum("tp").over(inside)).alias("cum_tp"), (F.col("_rows") + F.sum("cnt").over(inside)).alias("cum_cnt"))
+        value = c.agg(F.sum(F.col("tp") * F.col("cum_tp") / F.col("cum_cnt"))).first()[0] / found.hits
+    return _one_row(df.sparkSession, average_precision=float(value))
 
 
 def brier_score(df: DataFrame, y: str = "y", score: str = "score") -> DataFrame:
     return df.agg(F.avg(F.pow(F.col(score) - F.col(y).cast("double"), 2)).alias("brier_score"))
 
 
-def recall_at_top(df: DataFrame, fraction: float, y: str = "y", score: str = "score",
-                  key: str | list[str] | None = None, n: int | None = None) -> DataFrame:
-    """Share of all positives found in the top k = max(1, int(n * fraction)) scores (ties: key asc).
+def recalls_at_top(df: DataFrame, fractions: list[float], y: str = "y", score: str = "score",
+                   key: str | list[str] | None = None, n: int | None = None) -> list[tuple[float, int]]:
+    """(recall, k) for each fraction: the share of all positives in the top k = max(1, int(n * fraction)) scores.
 
-    Empty input or no positives -> 0.  ``n`` (row count) is a scalar by contract.
+    The k-th score comes from a refined histogram, shared by all fractions; only rows that tie
+    with it, are taken in part and differ in ``y`` are ranked by the key.  Without a key the
+    negatives among those ties come first.  Empty input or no positives -> 0.
     """
-    n = df.count() if n is None else n
-    k = max(1, int(n * fraction))
-    keys = key if isinstance(key, (list, tuple)) else ([key] if key else [])
-    order = [(score, False)] + [(k, True) for k in keys]
-    r = distributed_rank(df, order, "_rank")
-    a = r.agg(F.count_if((F.col("_rank") <= k) & (F.col(y) == 1)).alias("_hit"),
-              F.count_if(F.col(y) == 1).alias("_pos"))
-    return a.select(F.when(F.col("_pos") == 0, F.lit(0.0)).otherwise(F.col("_hit") / F.col("_pos"))
-                    .alias("recall"), F.lit(k).cast("bigint").alias("k"))
+    keys = [key] if isinstance(key, str) else list(key or [])
+    with slim(df, y, score, keys) as rows:
+        _, positives, cuts = top_cuts(rows, lambda found: [max(1, int((found if n is None else n) * f)) for f in fractions])
+        out = []
+        for cut in cuts:
+            if cut.ties_hits in (0, cut.ties) or cut.rest == cut.ties:
+                hits = min(cut.rest, cut.ties_hits)
+            elif not keys:
+                hits = max(0, cut.rest - (cut.ties - cut.ties_hits))
+            else:
+                ranked = distributed_rank(rows.where(F.col("_bits") == cut.bits).select("_hit", *keys), [(k, True) for k in keys], "_rank")
+                hits = ranked.where((F.col("_rank") <= cut.rest) & (F.col("_hit") == 1)).count()
+            out.append(((cut.above_hits + hits) / positives if positives else 0.0, cut.k))
+    return out
+
+
+def recall_at_top(df: DataFrame, fraction: float, y: str = "y", score: str = "score",
+                  key: str | list[str] | None = None, n: int | None = None) -> DataFrame:
+    """``recalls_at_top`` for one fraction, as a row (recall, k)."""
+    (recall, k), = recalls_at_top(df, [fraction], y, score, key, n)
+    return df.sparkSession.range(1).select(F.lit(float(recall)).alias("recall"), F.lit(k).cast("bigint").alias("k"))
 
 
 def calibration_bin(score: str = "score", bins: int = CALIBRATION_BINS):

@@ -28,31 +28,54 @@ def dedupe_by_key(df: DataFrame, keys: list[str], prefer: str = "min", order: li
     return g.select(*[F.col(c) if c in keys else F.col(f"_r.{c}").alias(c) for c in df.columns])
 
 
+def _without(current: DataFrame, keyed: DataFrame, keys: list[str]) -> DataFrame:
+    named = keyed.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)])
+    on = current[keys[0]].eqNullSafe(named["_key0"])
+    for i, k in enumerate(keys[1:], 1):
+        on = on & current[k].eqNullSafe(named[f"_key{i}"])
+    return current.join(named, on, "left_anti")
+
+
 def merge_by_key(current: DataFrame, incoming: DataFrame, keys: list[str], dedupe: bool = True,
                  order: list[str] | None = None) -> DataFrame:
     """Upsert: incoming rows replace current rows with the same key; other current rows stay.
 
-    ``incoming u (current left_anti incoming)``.  Duplicate incoming keys collapse to one
-    row, the greatest by ``order`` (e.g. ``scored_at``) and then by the remaining columns;
-    that keyed aggregate's partitioning is reused by the anti join.
+    ``incoming u (current left_anti incoming)``, by the columns of ``current``: one that the
+    incoming rows lack is null in them.  Duplicate incoming keys collapse to one row, the
+    greatest by ``order`` (e.g. ``scored_at``) and then by the remaining columns; that keyed
+    aggregate's partitioning is reused by the anti join.  A null key part is a value.
     """
-    inc = incoming.select(*current.columns)
+    inc = by_schema(incoming, current.schema)
     if dedupe:
         inc = dedupe_by_key(inc, keys, prefer="max", order=order)
-    return inc.unionByName(current.join(inc.select(*keys), keys, "left_anti"))
+    return inc.unionByName(_without(current, inc, keys))
+
+
+def by_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of ``schema`` in its order; those that ``df`` lacks are null."""
+    have = {c.lower() for c in df.columns}
+    return df.select(*[F.col(f"`{f.name}`") if f.name.lower() in have else F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
 
 
 def insert_if_absent(current: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
-    """Append incoming rows whose key is new (duplicates inside ``incoming`` collapse to one row)."""
-    new = dedupe_by_key(incoming.select(*current.columns), keys).join(current.select(*keys), keys, "left_anti")
+    """Append incoming rows whose key is new (duplicates inside ``incoming`` collapse to one row; a null part is a value)."""
+    new = _without(dedupe_by_key(incoming.select(*current.columns), keys), current, keys)
     return current.unionByName(new)
 
 
 def merge_drives(current: DataFrame, incoming: DataFrame, key: str = "drive_id") -> DataFrame:
     """Drive upsert: model and datacenter from the incoming row, capacity kept when the new one
-    is null, first_seen = least, last_seen = greatest (nulls skipped)."""
+    is null, first_seen = least, last_seen = greatest (nulls skipped).
+
+    Incoming rows of one drive are folded first: model and datacenter of the row seen last
+    (then the greatest of them), the greatest capacity, the whole span of days; so the result
+    has one row per key.  A null key takes no part and stays as it is.
+    """
+    named = incoming.where(F.col(key).isNotNull()).groupBy(key).agg(
+        F.max(F.struct("last_seen", "model", "datacenter")).alias("_last"), F.max("capacity_bytes").alias("capacity_bytes"),
+        F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"))
+    n = named.select(key, "_last.model", "capacity_bytes", "_last.datacenter", "first_seen", "last_seen").alias("n")
     c = current.alias("c")
-    n = incoming.alias("n")
     j = c.join(n, F.col(f"c.{key}") == F.col(f"n.{key}"), "full_outer")
     has_new = F.col(f"n.{key}").isNotNull()
 
@@ -80,13 +103,14 @@ def write_snapshot(df: DataFrame, name: str, path: str | None = None, partition_
     return target
 
 
-def read_if_exists(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-    """The Parquet table at ``path``, or None only if there is no such path; any other failure is raised.
+def read_if_exists(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
+    """The Parquet table at ``path`` (by its own schema if none is given), or None only if there is no such path.
+    Any other failure is raised.
 
     The path is listed when the reader is made, so the answer does not depend on a later action.
     """
     try:
-        return spark.read.schema(schema).parquet(path)
+        return (spark.read.schema(schema) if schema else spark.read).parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -103,7 +127,8 @@ def upsert_partitions(incoming: DataFrame, table_path: str, keys: list[str], par
        (this cuts the lineage to the files about to be replaced);
     3. the staged slice replaces exactly those partitions (dynamic partition overwrite).
 
-    The table has the columns of ``incoming``.  Duplicate incoming keys collapse as in
+    The table is read by its own columns, so those that ``incoming`` lacks stay in its other rows
+    (and are null in the incoming ones); a column that the table lacks raises.  Duplicate incoming keys collapse as in
     ``merge_by_key``.  Only a path that does not exist is an empty table: a table that
     cannot be read raises, and nothing is overwritten.  Returns the number of partitions
     rewritten.  Re-running with the same input is a no-op in content (the merge is keyed).
@@ -112,13 +137,20 @@ def upsert_partitions(incoming: DataFrame, table_path: str, keys: list[str], par
     touched = [r[0] for r in incoming.select(partition_col).distinct().collect()]
     if not touched:
         return 0
-    current = read_if_exists(spark, table_path, incoming.schema)
+    current = read_if_exists(spark, table_path)
+    if current is not None:
+        have = {c.lower() for c in current.columns}
+        unknown = [c for c in incoming.columns if c.lower() not in have]
+        if unknown:
+            raise ValueError(f"the table has no columns {', '.join(unknown)}")
+        kind = incoming.schema[partition_col].dataType
+        current = current.withColumn(partition_col, F.col(partition_col).cast(kind))
     if current is None:
         merged = dedupe_by_key(incoming, keys, prefer="max", order=order)
     else:
         same = F.col(partition_col).isin([v for v in touched if v is not None])
         slice_ = current.where(same | F.col(partition_col).isNull() if None in touched else same)
-        merged = merge_by_key(slice_.select(*incoming.columns), incoming, keys, order=order)
+        merged = merge_by_key(slice_, incoming, keys, order=order)
     staged = write_snapshot(merged, "upsert-stage", partition_by=[partition_col], compression=compression)
     (spark.read.schema(merged.schema).parquet(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("compression", compression).partitionBy(partition_col).parquet(table_path))

@@ -50,12 +50,27 @@ def distributed_rank(df: DataFrame, order: Order, rank_col: str = "rank", partit
     """1-based row number in the total order ``order`` (add a unique last key for a stable result).
 
     With ``partition_by`` the rank restarts per value of that column (e.g. per day; null is
-    a value) while still being computed over balanced ranges of the whole frame.
+    a value) while still being computed over balanced ranges of the whole frame.  Only the
+    columns of the order are placed in ranges and written, each distinct row of them once with
+    its count; the ranks come back to the whole rows by these columns, so the bytes written do
+    not depend on what else a row carries.
     """
-    full: Order = ([(partition_by, True)] if partition_by else []) + list(order)
-    out = _with_offsets(with_range(df, full), {"n": F.count(F.lit(1))}, partition_by)
-    inside = Window.partitionBy("_range", *([partition_by] if partition_by else [])).orderBy(*_sort_cols(list(order)))
-    return out.select(*df.columns, (F.row_number().over(inside) + F.col("_off_n")).cast("long").alias(rank_col))
+    full: Order = ([(partition_by, True)] if partition_by else []) + [o for o in order if o[0] != partition_by]
+    names = [c for c, _ in full]
+    slim = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
+    ranged = _with_offsets(with_range(slim, full), {"n": F.sum("_n")}, partition_by)
+    inside = Window.partitionBy("_range", *([partition_by] if partition_by else [])).orderBy(*_sort_cols(full)).rowsBetween(
+        Window.unboundedPreceding, 0)
+    before = ranged.select(*[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(names)],
+                           (F.sum("_n").over(inside) - F.col("_n") + F.col("_off_n")).alias("_before"))
+    same = [df[f"`{c}`"].eqNullSafe(before[f"_k{i}"]) for i, c in enumerate(names)]
+    on = same[0]
+    for s in same[1:]:
+        on = on & s
+    # rows that agree in the whole order are numbered in the join's partitioning
+    equal = Window.partitionBy(*[f"`{c}`" for c in names]).orderBy(F.lit(1))
+    return df.join(before, on).select(*[df[f"`{c}`"] for c in df.columns],
+                                      (F.row_number().over(equal) + F.col("_before")).cast("long").alias(rank_col))
 
 
 def distributed_prefix_sum(df: DataFrame, order: Order, values: list[str], prefix: str = "cum_") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from fleetlens.operators.rank import distributed_rank
 from fleetlens.schema import (FALLBACK_HIGH_MIN_N, FALLBACK_HIGH_SHARE, FALLBACK_MED_MIN_N, FALLBACK_MED_SHARE,
@@ -43,7 +43,7 @@ def rank_fallback(scores: DataFrame, batch: str = "day", key: str = "drive_id",
                   score: str = "risk_score", bucket: str = "risk_bucket") -> DataFrame:
     """Re-bucket batches where the model called every row LOW.
 
-    Only batches with no MED/HIGH row change: rows are ranked by score (desc,
+    A null batch is a batch of its own.  Only batches with no MED/HIGH row change: rows are ranked by score (desc,
     id asc); the top ceil(5%) become HIGH and the next ceil(15%) MED (small
     batches get at most one of each) and scores are spread linearly inside the
     bucket.  Other batches pass through.  Adds ``model_score`` (the raw score)
@@ -54,13 +54,16 @@ def rank_fallback(scores: DataFrame, batch: str = "day", key: str = "drive_id",
         F.max(F.when(F.col(bucket).isin("MED", "HIGH"), 1).otherwise(0)).alias("_mh"))
     passthrough = scores.select(*scores.columns, F.col(score).alias("model_score"),
                                 F.lit("model").alias("bucket_mode"))
-    # one row per batch (day): small by construction, so it is fine to look at it
-    if stats.where(F.col("_mh") == 0).limit(1).count() == 0:
+    # one row per batch (day): small by construction, so it is looked at once and sent back as a table
+    batches = stats.collect()
+    all_low = [(r[batch], r["_n"]) for r in batches if r["_mh"] == 0]
+    if not all_low:
         return passthrough
-    tagged = scores.join(F.broadcast(stats), batch)
-    keep = tagged.where(F.col("_mh") == 1).select(
-        *scores.columns, F.col(score).alias("model_score"), F.lit("model").alias("bucket_mode"))
-    low = tagged.where(F.col("_mh") == 0)
+    of = scores.sparkSession.createDataFrame(all_low, T.StructType([
+        T.StructField("_of", scores.schema[batch].dataType), T.StructField("_n", T.LongType())]))
+    low = scores.join(F.broadcast(of), scores[batch].eqNullSafe(of["_of"])).drop("_of")
+    others = scores.join(F.broadcast(of), scores[batch].eqNullSafe(of["_of"]), "left_anti")
+    keep = others.select(*scores.columns, F.col(score).alias("model_score"), F.lit("model").alias("bucket_mode"))
     ranked = distributed_rank(low, [(score, False), (key, True)], "_rank", partition_by=batch)
     n = F.col("_n")
     high, med = fallback_sizes(n)
@@ -74,4 +77,5 @@ def rank_fallback(scores: DataFrame, batch: str = "day", key: str = "drive_id",
         *[c for c in scores.columns if c not in (score, bucket)],
         _linear_score(F.col("_b"), pos, size).alias(score), F.col("_b").alias(bucket),
         F.col(score).alias("model_score"), F.lit("rank_fallback").alias("bucket_mode"))
-    return keep.unionByName(fb.select(*scores.columns, "model_score", "bucket_mode"))
+    fb = fb.select(*scores.columns, "model_score", "bucket_mode")
+    return fb if len(all_low) == len(batches) else keep.unionByName(fb)

@@ -36,7 +36,11 @@ def q_merge_drives(spark, d):
         .alias("capacity_bytes"),
         F.lit("dc-new").alias("datacenter"), F.date_sub("first_seen", 3).alias("first_seen"),
         F.date_sub("last_seen", 1).alias("last_seen"))
-    return MG.merge_drives(cur, inc)
+    # some drives come twice: the row seen last names the model, the widest span and greatest capacity count
+    again = inc.where(_last() == "6").select(
+        "drive_id", F.concat("model", F.lit("y")).alias("model"), (F.col("capacity_bytes") + 1).alias("capacity_bytes"),
+        F.lit("dc-old").alias("datacenter"), F.date_sub("first_seen", 2).alias("first_seen"), F.date_sub("last_seen", 9).alias("last_seen"))
+    return MG.merge_drives(cur, inc.unionByName(again))
 
 
 def q_merge_features(spark, d):
@@ -57,7 +61,10 @@ def q_merge_predictions(spark, d):
     upd = upd.withColumn("risk_bucket", F.when(F.col("risk_score") >= 0.75, "HIGH")
                          .when(F.col("risk_score") >= 0.4, "MED").otherwise("LOW"))
     new = cur.where((_last() == "3") & (F.col("model_version") == "v2")).withColumn("model_version", F.lit("v3"))
-    return round6(MG.merge_by_key(cur, upd.unionByName(new), ["drive_id", "day", "model_version"]))
+    # rows without a version, in both tables: a null key part is a value
+    bare = cur.where((_last() == "5") & (F.col("model_version") == "v1")).withColumn("model_version", F.lit(None).cast("string"))
+    inc = upd.unionByName(new).unionByName(bare.withColumn("risk_score", F.col("risk_score") / 4))
+    return round6(MG.merge_by_key(cur.unionByName(bare), inc, ["drive_id", "day", "model_version"]))
 
 
 def q_insert_if_absent(spark, d):

@@ -162,6 +162,10 @@ def q_risk_rank(spark, d):
 
 def q_rank_fallback(spark, d):
     p = AD.predictions_low(AD.telemetry_events(spark, d))
+    # some rows have no day: they are a batch of their own; one day keeps the model's buckets
+    p = p.withColumns({"day": F.when(F.substring("drive_id", 7, 1) != "9", F.col("day")),
+                       "risk_bucket": F.when((F.col("day") == F.lit("2024-01-15").cast("date")) & (F.substring("drive_id", 7, 1) == "1"), "MED")
+                       .otherwise(F.col("risk_bucket"))})
     return round6(RK.rank_fallback(p).drop("scored_at"))
 
 
@@ -181,15 +185,16 @@ def q_brier_score(spark, d):
 
 
 def q_recall_at_top(spark, d):
-    e = _eval_input(spark, d)
-    n = e.count()
-    r1 = EV.recall_at_top(e, 0.01, key=["k", "as_of_date"], n=n).select(
-        F.col("recall").alias("recall_at_top_1pct"), F.col("k").alias("k_1pct"))
-    r5 = EV.recall_at_top(e, 0.05, key=["k", "as_of_date"], n=n).select(
-        F.col("recall").alias("recall_at_top_5pct"), F.col("k").alias("k_5pct"))
-    # two one-row results side by side: union + max keeps it join-free
-    u = r1.unionByName(r5, allowMissingColumns=True)
-    return round6(u.agg(*[F.max(c).alias(c) for c in u.columns]))
+    (r1, k1), (r5, k5) = EV.recalls_at_top(_eval_input(spark, d), [0.01, 0.05], key=["k", "as_of_date"])
+    return round6(spark.range(1).select(F.lit(r1).alias("recall_at_top_1pct"), F.lit(k1).cast("bigint").alias("k_1pct"),
+                                        F.lit(r5).alias("recall_at_top_5pct"), F.lit(k5).cast("bigint").alias("k_5pct")))
+
+
+def q_recall_ties(spark, d):
+    """The same over a score with very heavy ties (tenths), cut inside a tie."""
+    e = _eval_input(spark, d).withColumn("score", F.floor(F.col("score") * 10) / 10)
+    (r, k), = EV.recalls_at_top(e, [0.03], key=["k", "as_of_date"])
+    return round6(spark.range(1).select(F.lit(r).alias("recall"), F.lit(k).cast("bigint").alias("k")))
 
 
 def q_calibration_bins(spark, d):
@@ -265,7 +270,7 @@ def queries() -> dict:
         "score_linear": q_score_linear, "score_batch": q_score_batch, "top_reasons": q_top_reasons,
         "risk_bucket": q_risk_bucket, "risk_rank": q_risk_rank, "rank_fallback": q_rank_fallback,
         "average_precision": q_average_precision, "brier_score": q_brier_score,
-        "recall_at_top": q_recall_at_top, "calibration_bins": q_calibration_bins,
+        "recall_at_top": q_recall_at_top, "recall_ties": q_recall_ties, "calibration_bins": q_calibration_bins,
         "eval_summary": q_eval_summary,
         "validate_features": q_validate_features, "validate_predictions": q_validate_predictions,
         "validate_drives": q_validate_drives, "duplicate_keys": q_duplicate_keys,

@@ -45,11 +45,9 @@ class ModelRun:
 
 def evaluate(scored: DataFrame, y: str = "y", score: str = "score", key: list[str] | None = None) -> dict:
     """All test metrics; each is a distributed aggregate returning one small row."""
-    n = scored.count()
     ap = EV.average_precision(scored, y, score).first()[0]
     brier = EV.brier_score(scored, y, score).first()[0]
-    r1 = EV.recall_at_top(scored, 0.01, y, score, key, n).first()[0]
-    r5 = EV.recall_at_top(scored, 0.05, y, score, key, n).first()[0]
+    (r1, _), (r5, _) = EV.recalls_at_top(scored, [0.01, 0.05], y, score, key)
     summ = EV.eval_summary(scored, y).first()
     cal = [r.asDict() for r in EV.calibration_bins(scored, y, score).orderBy("bin").collect()]
     return {"pr_auc": float(ap or 0.0), "brier_score": float(brier or 0.0), "recall_at_top_1pct": float(r1),

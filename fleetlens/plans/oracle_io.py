@@ -100,13 +100,19 @@ SELECT drive_id, day, round(1e0 / (1e0 + exp(-({z}))), 6) AS risk_score,
 inc AS (SELECT drive_id, model || 'x' AS model,
                CAST(CASE WHEN substr(drive_id, 7, 1) = '5' THEN NULL ELSE capacity_bytes * 2 END AS BIGINT) AS capacity_bytes,
                'dc-new' AS datacenter, first_seen - 3 AS first_seen, last_seen - 1 AS last_seen
-        FROM drives_app WHERE substr(drive_id, 7, 1) >= '4')
+        FROM drives_app WHERE substr(drive_id, 7, 1) >= '4'),
+again AS (SELECT * FROM inc UNION ALL
+          SELECT drive_id, model || 'y', capacity_bytes + 1, 'dc-old', first_seen - 2, last_seen - 9
+          FROM inc WHERE substr(drive_id, 7, 1) = '6'),
+one AS (SELECT drive_id, arg_max(model, last_seen) AS model, max(capacity_bytes) AS capacity_bytes,
+               arg_max(datacenter, last_seen) AS datacenter, min(first_seen) AS first_seen, max(last_seen) AS last_seen
+        FROM again GROUP BY drive_id)
 SELECT coalesce(n.drive_id, c.drive_id) AS drive_id,
   CASE WHEN n.drive_id IS NOT NULL THEN n.model ELSE c.model END AS model,
   coalesce(n.capacity_bytes, c.capacity_bytes) AS capacity_bytes,
   CASE WHEN n.drive_id IS NOT NULL THEN n.datacenter ELSE c.datacenter END AS datacenter,
   least(c.first_seen, n.first_seen) AS first_seen, greatest(c.last_seen, n.last_seen) AS last_seen
-FROM cur c FULL OUTER JOIN inc n ON c.drive_id = n.drive_id""",
+FROM cur c FULL OUTER JOIN one n ON c.drive_id = n.drive_id""",
         "merge_features": W("telemetry_app") + f""", inc AS (
   SELECT drive_id, day, smart_5_raw * 2 AS smart_5_raw, smart_187_raw, smart_188_raw, smart_197_raw,
          smart_198_raw, smart_199_raw, temperature, is_failed_today
@@ -125,10 +131,16 @@ upd AS (SELECT drive_id, day, model_version, risk_score / 2 AS risk_score,
         FROM predictions_app, lastday WHERE day = lastday.d AND model_version = 'v2'),
 inc AS (SELECT * FROM upd UNION ALL
         SELECT drive_id, day, 'v3', risk_score, risk_bucket, scored_at FROM predictions_app
-        WHERE substr(drive_id, 7, 1) = '3' AND model_version = 'v2'),
+        WHERE substr(drive_id, 7, 1) = '3' AND model_version = 'v2'
+        UNION ALL
+        SELECT drive_id, day, NULL, risk_score / 4, risk_bucket, scored_at FROM predictions_app
+        WHERE substr(drive_id, 7, 1) = '5' AND model_version = 'v1'),
+before AS (SELECT * FROM predictions_app UNION ALL
+           SELECT drive_id, day, NULL, risk_score, risk_bucket, scored_at FROM predictions_app
+           WHERE substr(drive_id, 7, 1) = '5' AND model_version = 'v1'),
 m AS (SELECT * FROM inc UNION ALL
-      SELECT * FROM predictions_app p WHERE NOT EXISTS (
-        SELECT 1 FROM inc i WHERE i.drive_id = p.drive_id AND i.day = p.day AND i.model_version = p.model_version))
+      SELECT * FROM before p WHERE NOT EXISTS (SELECT 1 FROM inc i WHERE i.drive_id = p.drive_id AND i.day = p.day
+                                               AND i.model_version IS NOT DISTINCT FROM p.model_version))
 SELECT drive_id, day, model_version, round(risk_score, 6) AS risk_score, risk_bucket, scored_at FROM m""",
         "insert_if_absent": W("drives_app") + """, cur AS (SELECT * FROM drives_app WHERE substr(drive_id, 7, 1) < '5'),
 inc AS (SELECT * FROM drives_app UNION ALL

@@ -185,11 +185,15 @@ FROM telemetry_events""",
         "risk_rank": W("predictions_app") + """SELECT drive_id, day, round(risk_score, 6) AS risk_score,
   row_number() OVER (PARTITION BY day ORDER BY risk_score DESC, drive_id ASC) AS risk_rank
 FROM predictions_app WHERE model_version = 'v2'""",
-        "rank_fallback": W("predictions_low") + """, st AS (SELECT day, count(*) AS n,
-  max(CASE WHEN risk_bucket IN ('MED', 'HIGH') THEN 1 ELSE 0 END) AS mh FROM predictions_low GROUP BY day),
+        "rank_fallback": W("predictions_low") + """, batches AS (
+  SELECT drive_id, CASE WHEN substr(drive_id, 7, 1) <> '9' THEN day END AS day, model_version, risk_score,
+         CASE WHEN day = DATE '2024-01-15' AND substr(drive_id, 7, 1) = '1' THEN 'MED' ELSE risk_bucket END AS risk_bucket
+  FROM predictions_low),
+st AS (SELECT day, count(*) AS n,
+  max(CASE WHEN risk_bucket IN ('MED', 'HIGH') THEN 1 ELSE 0 END) AS mh FROM batches GROUP BY day),
 r AS (SELECT p.*, st.n, st.mh,
              row_number() OVER (PARTITION BY p.day ORDER BY p.risk_score DESC, p.drive_id ASC) - 1 AS idx
-      FROM predictions_low p JOIN st ON st.day = p.day),
+      FROM batches p JOIN st ON st.day IS NOT DISTINCT FROM p.day),
 c AS (SELECT *, CAST(CASE WHEN n >= 20 THEN ceil(n * 0.05e0) ELSE least(1, n) END AS BIGINT) AS hc FROM r),
 c2 AS (SELECT *, CAST(CASE WHEN n >= 10 THEN ceil(n * 0.15e0) ELSE least(1, greatest(0, n - hc)) END AS BIGINT) AS mc FROM c),
 b AS (SELECT *, CASE WHEN idx < hc THEN 'HIGH' WHEN idx < hc + mc THEN 'MED' ELSE 'LOW' END AS nb,
@@ -216,6 +220,9 @@ SELECT round(CASE WHEN sum(y) = 0 THEN 0e0 ELSE sum(CASE WHEN rn <= k1 THEN y EL
   round(CASE WHEN sum(y) = 0 THEN 0e0 ELSE sum(CASE WHEN rn <= k5 THEN y ELSE 0 END) / sum(y) END, 6) AS recall_at_top_5pct,
   k5 AS k_5pct
 FROM r, kk GROUP BY k1, k5""",
+        "recall_ties": W("telemetry_events", extra=EVAL) + """, r AS (SELECT y, row_number() OVER (ORDER BY floor(score * 10) DESC, k ASC, as_of_date ASC) AS rn FROM ev),
+kk AS (SELECT CAST(greatest(1, floor(count(*) * 0.03e0)) AS BIGINT) AS k FROM ev)
+SELECT round(CASE WHEN sum(y) = 0 THEN 0e0 ELSE sum(CASE WHEN rn <= k THEN y ELSE 0 END) / sum(y) END, 6) AS recall, k FROM r, kk GROUP BY k""",
         "calibration_bins": W("telemetry_events", extra=EVAL) + f""", b AS (SELECT CASE {bins} END AS bin, score, y FROM ev)
 SELECT bin, round(CASE bin {left} END, 6) AS bin_left, round(CASE bin {right} END, 6) AS bin_right,
   round(avg(score), 6) AS predicted_mean, round(avg(y), 6) AS observed_rate, count(*) AS count

@@ -45,8 +45,10 @@ def scan_warehouse(spark: SparkSession, root: str, start=None, end=None, date_co
 def load_telemetry(df: DataFrame, path: str, clear: bool = True) -> None:
     """Bulk load application telemetry partitioned by day, sorted by drive within files.
 
-    ``clear=True`` replaces the table (the reference truncates first); otherwise append.
+    The sort leads with the partition column: the writer wants its rows by partition and
+    would sort again, by day alone, if they came otherwise.  ``clear=True`` replaces the table
+    (what a fresh backfill does); otherwise append.
     """
-    (df.hint("rebalance", "day").sortWithinPartitions("drive_id", "day")
+    (df.hint("rebalance", "day").sortWithinPartitions("day", "drive_id")
      .write.mode("overwrite" if clear else "append").option("compression", "zstd")
      .partitionBy("day").parquet(path))

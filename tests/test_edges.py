@@ -227,3 +227,104 @@ def test_recommended_partitions():
     assert int(big["spark.sql.shuffle.partitions"]) == 122880  # 30 TB of shuffle in 256 MB tasks
     small = recommended_partitions(10 * 2**20, 8)
     assert int(small["spark.sql.shuffle.partitions"]) == 24     # at least 3 waves per core
+
+
+def test_merges_keep_one_row_per_key_and_find_null_parts(spark):
+    import datetime as dt
+    from fleetlens.operators import merge as MG
+    day = dt.date(2024, 1, 1)
+    cur = spark.createDataFrame([("A", "m", 5, "d", day, day)], "drive_id string, model string, capacity_bytes long, datacenter string, "
+                                                                "first_seen date, last_seen date")
+    twice = cur.unionByName(cur)
+    assert MG.merge_drives(cur, twice).count() == 1
+    late = cur.selectExpr("drive_id", "'new' AS model", "CAST(NULL AS LONG) AS capacity_bytes", "datacenter", "first_seen", "date_add(last_seen, 3) AS last_seen")
+    (row,) = MG.merge_drives(cur, twice.unionByName(late)).collect()
+    assert (row["model"], row["capacity_bytes"], row["last_seen"]) == ("new", 5, day + dt.timedelta(days=3))
+    rows = spark.createDataFrame([("A", None, 1.0), (None, None, 2.0), ("B", "v", 3.0)], "k string, v string, x double")
+    once = MG.merge_by_key(rows, rows, ["k", "v"])
+    assert sorted(map(str, once.collect())) == sorted(map(str, rows.collect()))
+    assert MG.insert_if_absent(rows, rows, ["k", "v"]).count() == 3
+
+
+def test_upsert_keeps_columns_that_the_incoming_rows_lack(spark, tmp_path):
+    from fleetlens.operators import merge as MG
+    path = str(tmp_path / "t")
+    full = spark.createDataFrame([("A", "2024-01-01", 1, "note"), ("B", "2024-01-01", 2, "kept")], "k string, day string, v int, note string")
+    MG.upsert_partitions(full, path, ["k", "day"])
+    MG.upsert_partitions(full.where("k = 'A'").selectExpr("k", "day", "v + 10 AS v"), path, ["k", "day"])
+    back = spark.read.parquet(path).select("k", "v", "note").orderBy("k").collect()
+    assert [tuple(r) for r in back] == [("A", 11, None), ("B", 2, "kept")]
+    import pytest as _p
+    with _p.raises(ValueError):
+        MG.upsert_partitions(full.selectExpr("k", "day", "v", "1 AS unknown"), path, ["k", "day"])
+
+
+def test_fallback_keeps_rows_without_a_day(spark):
+    from fleetlens.operators import risk as RK
+    rows = spark.range(200).selectExpr("CAST(id AS STRING) AS drive_id", "CASE WHEN id % 10 > 0 THEN DATE '2024-01-01' END AS day",
+                                       "0.1D + id / 10000 AS risk_score", "'LOW' AS risk_bucket")
+    out = RK.rank_fallback(rows)
+    assert out.count() == 200 and out.where("day IS NULL AND risk_bucket = 'HIGH'").count() == 1
+
+
+def test_loaded_telemetry_is_in_drive_order(spark, tmp_path):
+    from fleetlens.sources import warehouse as WH
+    import pyarrow.parquet as pq
+    rows = spark.range(0, 20_000, 1, 4).selectExpr("sha2(CAST(id AS STRING), 256) AS drive_id", "date_add(DATE '2024-01-01', CAST(id % 10 AS INT)) AS day")
+    WH.load_telemetry(rows, str(tmp_path / "t"))
+    files = spark.read.parquet(str(tmp_path / "t")).inputFiles()
+    assert len(files) >= 10
+    for f in files:
+        ids = pq.ParquetFile(f.removeprefix("file://").replace("file:", "")).read().column("drive_id").to_pylist()
+        assert ids == sorted(ids)
+
+
+def test_ordered_bits_are_those_of_the_double(spark):
+    import math
+    import random
+    import struct
+    from fleetlens.operators.histogram import ordered_bits
+    rng = random.Random(1)
+    xs = [0.0, -0.0, 5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308, math.inf, -math.inf]
+    xs += [f(2.0 ** e) for e in range(-1073, 1023, 7) for f in (float, lambda v: math.nextafter(v, 0), lambda v: math.nextafter(v, math.inf))]
+    xs += [struct.unpack("d", struct.pack("Q", rng.getrandbits(64)))[0] for _ in range(3000)]
+    xs = [x for x in xs if x == x]
+
+    def want(x):
+        bits = struct.unpack("q", struct.pack("d", abs(x)))[0]
+        return -bits if x < 0 else bits
+
+    got = spark.createDataFrame([(x,) for x in xs], "x double").select("x", ordered_bits(F.col("x")).alias("b")).collect()
+    assert [r["b"] for r in got] == [want(r["x"]) for r in got]
+
+
+def test_top_cuts_and_average_precision_on_heavy_ties(spark):
+    """Equal to the full rank and to the plain sum, where a third of the rows share the score at the cut."""
+    import random
+    from fleetlens.operators import evaluate as EV
+    rng = random.Random(5)
+    rows = [(f"k{i:05d}", 0.5 if i % 3 == 0 else rng.choice([None, float("nan"), rng.random(), rng.random() * 1e-9]), int(rng.random() < 0.2))
+            for i in range(6000)]
+    df = spark.createDataFrame(rows, "k string, score double, y int")
+
+    def place(r):
+        s = r[1]
+        return (0 if s != s and s is not None else 1 if s is not None else 2, -(s if s is not None and s == s else 0), r[0])
+
+    ranked = sorted(rows, key=place)
+    hits = sum(r[2] for r in rows)
+    fractions = [0.0001, 0.01, 0.3, 0.45, 0.5, 0.9, 1.0]
+    got = EV.recalls_at_top(df, fractions, key="k")
+    for f, (recall, k) in zip(fractions, got):
+        assert k == max(1, int(len(rows) * f)) and abs(recall - sum(r[2] for r in ranked[:k]) / hits) < 1e-12
+    total, seen, tp = 0.0, 0, 0
+    groups: dict = {}
+    for r in ranked:
+        groups.setdefault(place(r)[:2], []).append(r[2])
+    for ys in groups.values():
+        seen, tp = seen + len(ys), tp + sum(ys)
+        total += sum(ys) * tp / seen
+    for leaf_rows in (10, 500, 10_000):
+        assert abs(EV.average_precision(df, leaf_rows=leaf_rows).first()[0] - total / hits) < 1e-12
+    assert EV.recalls_at_top(df.limit(0), [0.5]) == [(0.0, 1)]
+    assert EV.average_precision(df.where("y = 0")).first()[0] == 0.0
