@@ -11,7 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 # Accepted number and date text shapes.
-NUMBER_TEXT = r"^ *[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)? *$"
+DIGITS = r"[0-9]+(?:_[0-9]+)*"  # groups of digits may be set apart
+NUMBER_TEXT = rf"^ *[+-]?({DIGITS}(?:[.](?:{DIGITS})?)?|[.]{DIGITS})([eE][+-]?{DIGITS})? *$"
+HEX_TEXT = r"^0[xX]([0-9a-fA-F]+(?:_[0-9a-fA-F]+)*)$"
+BINARY_TEXT = r"^0[bB]([01]+(?:_[01]+)*)$"
 SPECIAL_DOUBLE_TEXT = r"^(?i) *[+-]?(inf|infinity|nan) *$"
 DATE_TEXT = (r"^ *([0-9]{4})([-/])([0-9]{1,2})\2([0-9]{1,2})"
              r"([ T][0-9]{1,2}:[0-9]{1,2}(:[0-9]{1,2}(\.[0-9]+)?)?(Z|[+-][0-9]{2}(:?[0-9]{2})?)?)? *$")
@@ -30,21 +33,30 @@ def safe_double(c) -> Column:
     """Text (or number) -> double; unparseable -> null."""
     t = clean_text(_col(c).cast("string"))
     ok = t.rlike(NUMBER_TEXT) | t.rlike(SPECIAL_DOUBLE_TEXT)
-    return F.when(ok, t.try_cast("double"))
+    return F.when(ok, F.replace(t, F.lit("_"), F.lit("")).try_cast("double"))
+
+
+def _whole_by_base(t: Column, shape: str, base: int, most: int) -> Column:
+    """An unsigned number in base 2 or 16 as decimal text; null if the text has another shape or over ``most`` digits."""
+    digits = F.replace(F.regexp_extract(t, shape, 1), F.lit("_"), F.lit(""))
+    digits = F.regexp_replace(digits, "^0+(?=.)", "")
+    return F.when(t.rlike(shape) & (F.length(digits) <= most), F.conv(digits, base, 10))
 
 
 def safe_int(c, to: str = "bigint") -> Column:
     """Text -> integer the way TRY_CAST does it in the reference engine.
 
     Plain integers cast exactly (also above 2^53); decimals and exponents are
-    rounded half away from zero; hex and digit-group forms are rejected.
-    Doubles are rounded half-to-even before narrowing.
+    rounded half away from zero; ``0x1F`` and ``0b11`` (no sign) and digit groups
+    (``1_000``) are numbers.  Doubles are rounded half-to-even before narrowing.
     """
     src = _col(c)
     t = clean_text(src.cast("string"))
-    exact = t.try_cast(to)
-    rounded = F.round(t.try_cast("double")).try_cast(to)
-    return F.when(t.rlike(NUMBER_TEXT), F.coalesce(exact, rounded))
+    plain = F.replace(t, F.lit("_"), F.lit(""))
+    exact = plain.try_cast(to)
+    rounded = F.round(plain.try_cast("double")).try_cast(to)
+    other = F.coalesce(_whole_by_base(t, HEX_TEXT, 16, 16), _whole_by_base(t, BINARY_TEXT, 2, 64))
+    return F.when(t.rlike(NUMBER_TEXT), F.coalesce(exact, rounded)).otherwise(other.try_cast(to))
 
 
 def narrow_double(c, to: str = "bigint") -> Column:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fleetlens.functions.risk import percent_1dp, safe_ratio
 from fleetlens.operators.windows import head_rows
@@ -18,9 +19,9 @@ def _day(day) -> Column:
 
 
 def validate_page(page: int, page_size: int) -> None:
-    if not isinstance(page, int) or page < 1:
+    if type(page) is not int or page < 1:  # a bool is no page
         raise ValueError("page must be an integer >= 1")
-    if not isinstance(page_size, int) or not 1 <= page_size <= MAX_PAGE_SIZE:
+    if type(page_size) is not int or not 1 <= page_size <= MAX_PAGE_SIZE:
         raise ValueError(f"page_size must be between 1 and {MAX_PAGE_SIZE}")
 
 
@@ -34,6 +35,8 @@ def validate_day(day):
     if isinstance(day, dt.date):
         return day
     try:
+        if not re.fullmatch(r"[0-9]{4}-[0-9]{2}-[0-9]{2}", str(day)):  # no week dates, no compact form
+            raise ValueError
         return dt.date.fromisoformat(str(day))
     except ValueError:
         raise ValueError(f"day must be an ISO date (YYYY-MM-DD), got {day!r}") from None
@@ -73,33 +76,89 @@ def drives_with_bucket(drives: DataFrame, predictions: DataFrame, bucket: str, m
     return drives.join(p.where(F.col("risk_bucket") == bucket).select(key), key, "left_semi")
 
 
+def _page(page_rows: DataFrame, predictions: DataFrame, page: int, page_size: int, total: int | None,
+          latest: DataFrame | None) -> DataFrame:
+    """The rows of a page (<= 200, broadcast), each with its latest prediction."""
+    wanted = ["drive_id", "day", "scored_at", "model_version", "risk_score", "risk_bucket"]
+    if latest is None:
+        # only the page's drives have their latest prediction computed
+        latest = latest_prediction(predictions.select(*wanted).join(F.broadcast(page_rows.select("drive_id")), "drive_id", "left_semi"))
+    out = F.broadcast(page_rows).join(latest.select(*wanted), "drive_id", "left").select(
+        "drive_id", "model", "datacenter",
+        F.coalesce(F.col("capacity_bytes"), F.lit(0)).cast("bigint").alias("capacity_bytes"),
+        "first_seen", "last_seen",
+        F.col("day").alias("latest_day"), F.col("risk_score").alias("latest_risk_score"),
+        F.col("risk_bucket").alias("latest_risk_bucket"), F.col("model_version").alias("latest_model_version"),
+        F.lit(page).alias("page"), F.lit(page_size).alias("page_size"))
+    return out if total is None else out.withColumn("total", F.lit(total).cast("bigint"))
+
+
 def list_drives(drives: DataFrame, predictions: DataFrame, risk: str | None = None, page: int = 1,
-                page_size: int = 25, match: str = "any", with_total: bool = True) -> DataFrame:
+                page_size: int = 25, match: str = "any", with_total: bool = True, after: str | None = None,
+                latest: DataFrame | None = None) -> DataFrame:
     """One page of drives ordered by id, each with its latest prediction (null if never scored).
 
     The page is a bounded top-k (``offset + limit`` after ``orderBy``), then
     only that page is joined to the latest predictions.  ``total`` (rows
-    matching the filter) is a count by contract.
+    matching the filter) is a count by contract.  For pages far behind, either give ``after``,
+    the last id of the page before (a seek: the top-k is one page, whatever its number), or use
+    ``DrivePages``.  ``latest`` is a kept table of latest predictions to read instead of the history.
     """
     validate_page(page, page_size)
     risk = validate_risk(risk)
     base = drives if risk is None else drives_with_bucket(drives, predictions, risk, match)
-    page_rows = base.orderBy("drive_id").offset((page - 1) * page_size).limit(page_size)
-    # only the page's drives (<= 200 ids, broadcast) have their latest prediction computed
-    page_preds = predictions.select("drive_id", "day", "scored_at", "model_version", "risk_score",
-                                    "risk_bucket").join(F.broadcast(page_rows.select("drive_id")), "drive_id",
-                                                        "left_semi")
-    latest = latest_prediction(page_preds)
-    out = F.broadcast(page_rows).join(latest, "drive_id", "left").select(
-        "drive_id", "model", "datacenter",
-        F.coalesce(F.col("capacity_bytes"), F.lit(0)).cast("bigint").alias("capacity_bytes"),
-        "first_seen", "last_seen",
-        F.col("day").alias("latest_day"), F.col("risk_score").alias("latest_risk_score"),
-        F.col("risk_bucket").alias("latest_risk_bucket"), F.col("model_version").alias("latest_model_version"),
-        F.lit(page).alias("page"), F.lit(page_size).alias("page_size"))
-    if with_total:
-        out = out.withColumn("total", F.lit(base.count()).cast("bigint"))
-    return out
+    if after is not None:
+        page_rows = base.where(F.col("drive_id") > after).orderBy("drive_id").limit(page_size)
+    else:
+        page_rows = base.orderBy("drive_id").offset((page - 1) * page_size).limit(page_size)
+    return _page(page_rows, predictions, page, page_size, base.count() if with_total else None, latest)
+
+
+class DrivePages:
+    """An order-statistic index of the drives: id ranges in folders of their own, and their row counts.
+
+    A page number becomes an offset, the counts tell which range holds it, and only that
+    range (two at a border) is read and sorted.  The driver holds a number per range.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema):
+        from pyspark.sql import types as T
+        self.drives = spark.read.schema(T.StructType([*schema.fields, T.StructField("range", T.IntegerType())])).parquet(path)
+        self.counts = self._counted(self.drives)
+
+    @classmethod
+    def build(cls, drives: DataFrame, path: str, ranges: int) -> DrivePages:
+        """Write the drives by range (null ids first), at most ``ranges`` of them, of about equal size."""
+        placed = drives.repartitionByRange(ranges, "drive_id").withColumn("range", F.spark_partition_id())
+        placed.sortWithinPartitions("range", "drive_id").write.partitionBy("range").parquet(path)
+        return cls(drives.sparkSession, path, drives.schema)
+
+    @staticmethod
+    def _counted(rows: DataFrame) -> list[tuple[int, int]]:
+        return sorted((r["range"], r["count"]) for r in rows.groupBy("range").count().collect())
+
+    def locate(self, counts: list[tuple[int, int]], offset: int, size: int) -> tuple[list[int], int]:
+        """The ranges that rows offset to offset + size lie in, and the rows of them that come before."""
+        found, skip, seen = [], 0, 0
+        for at, n in counts:
+            if seen + n > offset and seen < offset + size:
+                skip = skip if found else offset - seen
+                found.append(at)
+            seen += n
+        return found, skip
+
+    def page(self, predictions: DataFrame, risk: str | None = None, page: int = 1, page_size: int = 25, match: str = "any",
+             latest: DataFrame | None = None) -> DataFrame:
+        """The same rows as ``list_drives``."""
+        validate_page(page, page_size)
+        risk = validate_risk(risk)
+        base, counts = self.drives, self.counts
+        if risk is not None:
+            base = drives_with_bucket(base, predictions, risk, match)
+            counts = self._counted(base)
+        at, skip = self.locate(counts, (page - 1) * page_size, page_size)
+        rows = base.where(F.col("range").isin(at)).orderBy("drive_id").offset(skip).limit(page_size).drop("range")
+        return _page(rows, predictions, page, page_size, sum(n for _, n in counts), latest)
 
 
 def top_risk_drives(predictions: DataFrame, day, k: int = 10) -> DataFrame:
@@ -190,7 +249,7 @@ def drive_detail(drives: DataFrame, telemetry: DataFrame, predictions: DataFrame
                  n: int = 60, order: str = "oldest") -> DriveDetail:
     """Attributes, telemetry trend, risk history and reasons of the last history row; unknown id -> error."""
     d = drives.where(F.col("drive_id") == drive_id)
-    if d.limit(1).count() == 0:
+    if d.isEmpty():
         raise LookupError(f"Drive {drive_id} not found")
     tel = drive_history(telemetry.where(F.col("drive_id") == drive_id), n, order)
     hist = drive_history(predictions.where(F.col("drive_id") == drive_id), n, order,

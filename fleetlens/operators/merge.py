@@ -92,6 +92,16 @@ def merge_drives(current: DataFrame, incoming: DataFrame, key: str = "drive_id")
     )
 
 
+def merge_latest(current: DataFrame | None, incoming: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """One row per key: the greatest by ``order`` (then by the remaining columns) of both tables.
+
+    A maximum, combined map-side: the order in which batches arrive and their repetition don't
+    matter.  A null key is a value; nulls in ``order`` are least.
+    """
+    both = incoming if current is None else current.unionByName(incoming.select(*current.columns))
+    return dedupe_by_key(both, [key], prefer="max", order=order)
+
+
 def write_snapshot(df: DataFrame, name: str, path: str | None = None, partition_by: list[str] | None = None,
                    compression: str = "zstd") -> str:
     """Write ``df`` to a new snapshot path (default: under spark.checkpoint.dir) and return the path."""

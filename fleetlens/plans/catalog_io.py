@@ -8,19 +8,22 @@ from pyspark.sql import functions as F
 
 from fleetlens.operators import canonical as CA
 from fleetlens.operators import cohort as CO
+from fleetlens.functions import casts as CS
 from fleetlens.operators import features as FE
+from fleetlens.operators import fleet as FL
 from fleetlens.operators import merge as MG
 from fleetlens.operators import model as MO
 from fleetlens.plans import adapters as AD
 from fleetlens.plans import jobs as JB
 from fleetlens.plans import registry as RG
 from fleetlens.plans.catalog import round6
-from fleetlens.schema import METRICS, model_feature_names
+from fleetlens.schema import FEATURES_KEY, METRICS, PREDICTIONS_KEY, model_feature_names
 from fleetlens.session import scratch_path
 from fleetlens.sources import csv as CSV
 from fleetlens.sources import links as LK
 from fleetlens.sources import warehouse as WH
 from fleetlens.sources import zipcsv as ZC
+from fleetlens.sources.snapshots import SnapshotLog
 
 
 def _last(col="drive_id"):
@@ -280,7 +283,6 @@ def q_dataset_manifest(spark, d):
 
 
 def _detail(spark, d):
-    from fleetlens.operators import fleet as FL
     tel = AD.telemetry_events(spark, d)
     scored = AD.predictions(tel).withColumn("reason_codes", F.array(
         F.struct(F.lit("age_days").alias("code"), F.col("risk_score").alias("contribution"), F.lit("UP").alias("direction")),
@@ -307,6 +309,104 @@ def q_load_model(spark, d):
     return round6(s.select("drive_id", "day", "risk_score", "risk_bucket", "model_version"))
 
 
+def q_publish_run(spark, d):
+    """A run published, repeated, failed half-way and published again; what a reader sees of each table then."""
+    tel = AD.telemetry_events(spark, d)
+    log = SnapshotLog(spark, scratch_path(spark, "snapshots"))
+    run = JB.run_scoring(AD.telemetry_daily(tel), AD.drives(tel), None, MO.fixed_model(model_feature_names()), mode="compat")
+    JB.publish_scoring_run(run, log, "monday")
+    JB.publish_scoring_run(run, log, "monday")
+
+    def dies(work):
+        work.upsert("predictions", run.predictions.withColumn("risk_score", F.lit(2.0)), PREDICTIONS_KEY, "day")
+        raise InterruptedError
+
+    try:
+        log.publish("lost", dies)
+    except InterruptedError:
+        pass
+    version = JB.publish_scoring_run(run, log, "tuesday")["version"]
+    tables = [log.read(t).agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("rows"), F.lit(version).alias("version"),
+                              F.count_distinct(*k).alias("keys"), (F.sum("risk_score") if t.endswith("predictions") else F.lit(None))
+                              .cast("double").alias("score"))
+              for t, k in (("predictions", PREDICTIONS_KEY), ("latest_predictions", ["drive_id"]), ("features", FEATURES_KEY), ("audit", ["created_at"]))]
+    return round6(tables[0].unionByName(tables[1]).unionByName(tables[2]).unionByName(tables[3]))
+
+
+def q_publish_features(spark, d):
+    """The feature table published whole, then its last months again from half of the rows and once more from all."""
+    log = SnapshotLog(spark, scratch_path(spark, "snapshots"))
+    f = FE.build_features(AD.telemetry_ship(spark, d), METRICS, 30)
+    JB.publish_features(f, log, "all")
+    last = f.where(F.col("as_of_date") >= F.lit("1998-01-01").cast("date"))
+    JB.publish_features(last.where(F.col("age_days") % 2 == 0), log, "half")
+    JB.publish_features(last, log, "again")
+    return round6(log.read("features_offline"))
+
+
+def q_latest_state(spark, d):
+    """The kept latest predictions after batches that come late and twice."""
+    pred = AD.predictions(AD.telemetry_events(spark, d))
+    log = SnapshotLog(spark, scratch_path(spark, "snapshots"))
+    day = F.dayofmonth("day")
+    for i, batch in enumerate((day % 3 == 1, day % 3 == 0, day % 3 == 1, day % 3 == 2, day < 5)):
+        log.publish(f"batch-{i}", lambda work, rows=pred.where(batch): work.fold_latest("latest", rows, "drive_id", FL.LATEST_ORDER))
+    return round6(log.read("latest"))
+
+
+def _pages(spark, d, risk):
+    tel = AD.telemetry_events(spark, d)
+    pred = AD.predictions(tel)
+    index = FL.DrivePages.build(AD.drives(tel), scratch_path(spark, "drive-pages"), 16)
+    total = sum(n for _, n in (index.counts if risk is None else index._counted(FL.drives_with_bucket(index.drives, pred, risk.upper()))))
+    return round6(index.page(pred, risk, page=max(1, -(-total // 10)), page_size=10, latest=FL.latest_prediction(pred)))
+
+
+def q_drive_page_deep(spark, d):
+    """The last page, through the index of id ranges."""
+    return _pages(spark, d, None)
+
+
+def q_drive_page_deep_high(spark, d):
+    return _pages(spark, d, "high")
+
+
+def q_integer_forms(spark, d):
+    """Numbers written in base 16 and 2, with digit groups, fractions and exponents, some of them broken."""
+    ev = AD.table(spark, d, "events").select("event_id", "value")
+    n = F.col("event_id")
+    form = F.floor(n / 7) % 11
+    text = (F.when(form == 0, F.concat(F.lit("0x"), F.hex(n))).when(form == 1, F.concat(F.lit(" 0X"), F.lower(F.hex(n)), F.lit(" ")))
+            .when(form == 2, F.concat(F.lit("0b"), F.bin(n))).when(form == 3, F.concat(n.cast("string"), F.lit("_000")))
+            .when(form == 4, F.concat(F.lit("-1_"), n.cast("string"), F.lit(".5"))).when(form == 5, F.concat(n.cast("string"), F.lit("_")))
+            .when(form == 6, F.concat(F.lit("-0x"), F.hex(n))).when(form == 7, F.concat(n.cast("string"), F.lit("e1_0")))
+            .when(form == 8, F.concat(F.lit("0xFFFFFFFF"), F.lpad(F.hex(n), 8, "0"))).when(form == 9, F.concat(F.lit("0x7F_"), F.hex(n)))
+            .otherwise(F.concat(F.lit("."), n.cast("string"), F.lit("_5"))))
+    return ev.select("event_id", CS.safe_int(text, "int").alias("as_int"), CS.safe_int(text).alias("as_bigint"),
+                     F.round(CS.safe_double(text), 6).alias("as_double"))
+
+
+def q_numeric_features(spark, d):
+    """The features that training takes, in order."""
+    names = MO.numeric_features(FE.build_features(AD.telemetry_events(spark, d), METRICS, 7))
+    return spark.createDataFrame([(i, n) for i, n in enumerate(names, 1)], "position int, feature string")
+
+
+def q_run_pipeline(spark, d):
+    """Manifest to registry over zipped telemetry: what was written, and the lineage of the registered model."""
+    tel = AD.telemetry_events(spark, d)
+    text = tel.select(*[F.col(c).cast("string").alias(a) for c, a in (
+        ("as_of_date", "date"), ("serial_number", "serial_number"), ("model", "model"), ("failure", "failure"),
+        ("smart_5_raw", "smart_5"), ("temperature", "temperature_raw"))])
+    root = scratch_path(spark, "run")
+    ZC.write_zip_csv(text.repartition(4), f"{root}/zip").collect()
+    out = JB.run_pipeline(spark, f"{root}/zip", horizon_days=7, root=f"{root}/out", manifest=q_dataset_manifest(spark, d))
+    row = RG.active_model(spark.read.parquet(out["registry"]))
+    return row.select(F.lit(out["warehouse_rows"]).cast("bigint").alias("warehouse_rows"),
+                      F.lit(spark.read.parquet(out["features"]).count()).cast("bigint").alias("feature_rows"), "horizon_days", "status",
+                      F.get_json_object("trained_data_window", "$.manifest_hash").alias("manifest_hash"))
+
+
 def q_registry_row(spark, d):
     from fleetlens.plans.catalog_model import _eval_input
     e = _eval_input(spark, d)
@@ -314,10 +414,11 @@ def q_registry_row(spark, d):
     run = JB.ModelRun(model=MO.fixed_model(model_feature_names()),
                       split=MO.Split(dt.date(2024, 1, 1), dt.date(2024, 1, 30), dt.date(2024, 1, 24), "fraction"),
                       metrics=metrics)
-    row = JB.register(spark, run, "memory://fixed-v1")
+    row = JB.register(spark, run, "memory://fixed-v1", q_dataset_manifest(spark, d))
     return row.select("model_version", "horizon_days", "status",
                       F.get_json_object("metrics", "$.test_rows").cast("bigint").alias("test_rows"),
-                      F.get_json_object("feature_schema", "$.label_column").alias("label_column"))
+                      F.get_json_object("feature_schema", "$.label_column").alias("label_column"),
+                      F.get_json_object("trained_data_window", "$.manifest_hash").alias("manifest_hash"))
 
 
 def queries() -> dict:
@@ -325,6 +426,9 @@ def queries() -> dict:
         "telemetry_window": q_telemetry_window, "utc_day": q_utc_day, "dataset_manifest": q_dataset_manifest,
         "drive_attributes": q_drive_attributes, "drive_reasons": q_drive_reasons,
         "load_model": q_load_model, "registry_row": q_registry_row,
+        "publish_run": q_publish_run, "publish_features": q_publish_features, "latest_state": q_latest_state,
+        "drive_page_deep": q_drive_page_deep, "drive_page_deep_high": q_drive_page_deep_high,
+        "integer_forms": q_integer_forms, "numeric_features": q_numeric_features, "run_pipeline": q_run_pipeline,
         "merge_drives": q_merge_drives, "merge_features": q_merge_features,
         "merge_predictions": q_merge_predictions, "insert_if_absent": q_insert_if_absent,
         "audit_event": q_audit_event,

@@ -21,8 +21,10 @@ from fleetlens.operators.canonical import dataset_hash
 from fleetlens.schema import FEATURES_KEY, METRICS, PREDICTIONS_KEY, TELEMETRY_KEY, model_feature_names
 from fleetlens.session import scratch_path
 from fleetlens.sources import csv as CSV
+from fleetlens.sources import links as LK
 from fleetlens.sources import warehouse as WH
 from fleetlens.sources import zipcsv as ZC
+from fleetlens.sources.snapshots import SnapshotLog
 
 
 # -- C6: warehouse build ---------------------------------------------------------
@@ -118,6 +120,12 @@ class BackfillResult:
     audit: DataFrame
     latest_day: dt.date
     start_day: dt.date
+    held: DataFrame | None = None
+
+    def release(self) -> None:
+        """Let go of the cached cohort, once the tables are written."""
+        if self.held is not None:
+            self.held.unpersist()
 
 
 def backfill_fleet(warehouse: DataFrame, current_drives: DataFrame | None = None, lookback_days: int = 45,
@@ -132,7 +140,7 @@ def backfill_fleet(warehouse: DataFrame, current_drives: DataFrame | None = None
     start = last - dt.timedelta(days=lookback_days)
     window = warehouse.where(F.col(date_col).cast("date").between(F.lit(start), F.lit(last)))
     cohort = CO.select_cohort(window, last, lookback_days, min_history_days, max_drives, date_col).persist()
-    if cohort.limit(1).count() == 0:
+    if cohort.isEmpty():
         cohort.unpersist()
         raise RuntimeError(f"the cohort is empty: no drive has {min_history_days} days up to {last}")
     summary = CO.drive_summary(window, cohort, start, last, max_drives, date_col)
@@ -143,7 +151,7 @@ def backfill_fleet(warehouse: DataFrame, current_drives: DataFrame | None = None
         "latest_day": F.lit(str(last)), "start_day": F.lit(str(start)), "selected_drives": F.col("drives"),
         "min_history_days": F.lit(min_history_days), "inserted_telemetry_rows": F.col("rows"),
         "source": F.lit(source), "loaded_at": F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")})
-    return BackfillResult(drives=drives, telemetry=tel, audit=audit, latest_day=last, start_day=start)
+    return BackfillResult(drives=drives, telemetry=tel, audit=audit, latest_day=last, start_day=start, held=cohort)
 
 
 def load_backfill(result: BackfillResult, root: str, clear: bool = True) -> dict:
@@ -175,6 +183,12 @@ class ScoreRun:
     predictions: DataFrame | None = None
     audit: DataFrame | None = None
     reason: str | None = None
+    held: DataFrame | None = None
+
+    def release(self) -> None:
+        """Let go of the cached features, once the tables are written."""
+        if self.held is not None:
+            self.held.unpersist()
 
 
 def run_scoring(telemetry: DataFrame, drives: DataFrame, predictions: DataFrame | None, model: MO.LinearModel,
@@ -182,7 +196,8 @@ def run_scoring(telemetry: DataFrame, drives: DataFrame, predictions: DataFrame
     """Features for the day -> (merge into the feature store) -> score -> rank fallback -> merge predictions.
 
     Returns lazily built tables plus an audit row built from their aggregates;
-    writing them is the caller's single action per table.
+    writing them is the caller's single action per table, then ``release()`` frees the
+    day's cached features (the ``publish_`` and ``persist_`` functions do both).
     """
     day = FL.validate_day(day)
     if day is None:
@@ -192,7 +207,8 @@ def run_scoring(telemetry: DataFrame, drives: DataFrame, predictions: DataFrame
             return ScoreRun("skipped", None, reason="No telemetry available")
     # one row per drive for one day: bounded by the fleet size, reused by every step below
     feats = FE.features_for_day(telemetry, drives, day, METRICS, mode=mode).persist()
-    if feats.limit(1).count() == 0:
+    if feats.isEmpty():
+        feats.unpersist()
         return ScoreRun("skipped", day, reason="No feature rows generated")
     names = model.features
     stored = VE.features_daily_row(feats, model_feature_names())
@@ -212,7 +228,7 @@ def run_scoring(telemetry: DataFrame, drives: DataFrame, predictions: DataFrame
         "day": F.lit(str(day)), "generatedFeatures": F.col("n"), "storedPredictions": F.col("n"),
         "modelVersion": F.lit(model.version), "bucketMode": F.col("mode"),
         "riskDistribution": F.struct("LOW", "MED", "HIGH")})
-    return ScoreRun("completed", day, features=store, predictions=merged, audit=audit)
+    return ScoreRun("completed", day, features=store, predictions=merged, audit=audit, held=feats)
 
 
 def score_run_summary(run: ScoreRun) -> DataFrame:
@@ -227,10 +243,29 @@ def score_run_summary(run: ScoreRun) -> DataFrame:
 
 
 # -- C8: end-to-end -------------------------------------------------------------------------
+def archive_manifest(spark: SparkSession, source: str) -> DataFrame:
+    """A manifest of the archives of a run, for sources that come without one: id, year, period, name, place."""
+    entries = ZC.zip_entries(spark, source).select("archive").distinct()
+    name = LK.file_name(F.col("archive"))
+    year, period = LK.year_period(name)
+    return entries.select(F.concat_ws("_", year.cast("string"), period, name).alias("dataset_id"), year.alias("year"),
+                          period.alias("period"), name.alias("file_name"), F.col("archive").alias("url"))
+
+
 def run_pipeline(spark: SparkSession, source: str, kind: str = "zip", horizon_days: int = 30,
-                 test_months: int = 9, root: str | None = None) -> dict:
-    """raw files -> warehouse -> features -> model -> registry; every hand-off is a Parquet path."""
+                 test_months: int = 9, root: str | None = None, manifest: DataFrame | None = None) -> dict:
+    """manifest -> raw files -> warehouse -> features -> model -> registry; every hand-off is a Parquet path.
+
+    ``manifest`` is the dataset manifest that the files came by (``dataset_manifest`` of the
+    vendor's pages); without one the archives themselves are listed.  It is written beside the
+    other tables and its hash goes into the registry row, so a model names the data it saw.
+    """
     root = root or scratch_path(spark, "pipeline")
+    if manifest is None and kind == "zip":
+        manifest = archive_manifest(spark, source)
+    if manifest is not None:
+        manifest.write.parquet(f"{root}/manifest")
+        manifest = spark.read.schema(manifest.schema).parquet(f"{root}/manifest")
     wh = f"{root}/warehouse"
     rows = build_warehouse(spark, source, wh, kind)
     feats_path = f"{root}/features"
@@ -239,16 +274,48 @@ def run_pipeline(spark: SparkSession, source: str, kind: str = "zip", horizon_da
     features = WH.scan_warehouse(spark, feats_path, schema=feats.schema)
     run = train(features.drop("year", "month"), horizon_days, test_months)
     model_path = save_model(spark, run.model, f"{root}/models/{run.model.version}")
-    reg = register(spark, run, model_path)
+    reg = register(spark, run, model_path, manifest)
     reg.write.mode("append").parquet(f"{root}/registry")
     return {"warehouse_rows": rows, "warehouse": wh, "features": feats_path, "model": model_path,
-            "registry": f"{root}/registry", "metrics": run.metrics}
+            "registry": f"{root}/registry", "manifest": f"{root}/manifest" if manifest is not None else None, "metrics": run.metrics}
+
+
+def publish_scoring_run(run: ScoreRun, log: SnapshotLog, run_id: str) -> dict:
+    """A completed run as one commit: predictions, latest predictions, features and the audit row show together.
+
+    Predictions and features are upserted in the scored day's partition, the latest
+    predictions keep the greatest of each drive.  A run that dies before the commit changes
+    nothing, a repeated ``run_id`` is not done again, and a commit that came between is
+    merged with (``SnapshotLog.publish``).
+    """
+    if run.status != "completed":
+        return {"status": run.status, "reason": run.reason}
+    day = F.lit(run.day)
+    preds = run.predictions.where(F.col("day") == day)
+
+    def build(work) -> None:
+        work.upsert("predictions", preds, PREDICTIONS_KEY, "day", order=["scored_at"])
+        work.fold_latest("latest_predictions", preds, "drive_id", FL.LATEST_ORDER)
+        work.upsert("features", run.features.where(F.col("day") == day), FEATURES_KEY, "day")
+        work.append("audit", run.audit)
+
+    try:
+        version = log.publish(run_id, build)
+    finally:
+        run.release()
+    return {"status": run.status, "day": str(run.day), "version": version}
+
+
+def publish_features(features: DataFrame, log: SnapshotLog, run_id: str, table: str = "features_offline") -> int:
+    """The feature table (or the months that ``features`` has) replaced in one commit; readers never see half of it."""
+    return log.publish(run_id, lambda work: work.replace(table, features, ["year", "month"]))
 
 
 def persist_scoring_run(run: ScoreRun, predictions_path: str, features_path: str | None = None,
                         audit_path: str | None = None) -> dict:
-    """Write a completed run: predictions and features upserted into their day-partitioned
-    tables (only the scored day's partition is rewritten), the audit row appended."""
+    """Write a completed run to plain tables: predictions and features upserted into their day-partitioned
+    tables (only the scored day's partition is rewritten), the audit row appended.  Three writes:
+    ``publish_scoring_run`` is the one that shows them together."""
     if run.status != "completed":
         return {"status": run.status, "reason": run.reason}
     day = F.lit(run.day)
@@ -259,4 +326,5 @@ def persist_scoring_run(run: ScoreRun, predictions_path: str, features_path: str
         MG.upsert_partitions(feats, features_path, FEATURES_KEY, "day")
     if audit_path and run.audit is not None:
         run.audit.write.mode("append").parquet(audit_path)
+    run.release()
     return {"status": run.status, "day": str(run.day), "partitions_rewritten": n}

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from fleetlens.plans.oracle import build_features_sql, with_adapters as W
 from fleetlens.plans.oracle_more import CANON, COHORT, COHORT_TELEMETRY
-from fleetlens.plans.oracle_model import FFD, model_sql
-from fleetlens.schema import model_feature_names
+from fleetlens.operators.canonical import MERKLE_LEVELS
+from fleetlens.plans.oracle_model import EVAL, FFD, model_sql
+from fleetlens.schema import METRICS, STATS, model_feature_names
 
 TEL_COLS = ["smart_5_raw", "smart_187_raw", "smart_188_raw", "smart_197_raw", "smart_198_raw", "smart_199_raw",
             "temperature"]
@@ -63,8 +64,24 @@ SELECT CAST(year AS VARCHAR) || '_' || period || '_' || file_name AS dataset_id,
 FROM z WHERE year IS NOT NULL AND year >= """ + str(year_from)
 
 
+def merkle(table: str, columns: list[str]) -> str:
+    """CTEs of the Merkle tree over a table's rows; m0 holds the root."""
+    fields = ", ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), 'n')" for c in columns)
+    sql = f"m9 AS (SELECT sha256(concat_ws(',', {fields})) AS name, CAST(count(*) AS VARCHAR) AS held FROM {table} GROUP BY 1)"
+    below = "m9"
+    for digits in MERKLE_LEVELS:
+        sql += (f", m{digits} AS (SELECT substr(name, 1, {digits}) AS name, sha256(string_agg(name || ':' || held, ',' "
+                f"ORDER BY name || ':' || held)) AS held FROM {below} GROUP BY 1)")
+        below = f"m{digits}"
+    return sql
+
+
 def oracle_sql() -> dict[str, str]:
     m, z, _reasons = model_sql()
+    manifest = manifest_sql("""(SELECT page_id, url, concat('<a href="../drive-stats/./data_Q', page_id % 4 + 1, '_',
+    2010 + page_id % 9, '.zip">', html) AS html FROM pages)""",
+            "lower(link) LIKE '%/drive-stats/%' AND lower(link) LIKE '%.zip'", 2013)
+    numeric = ["capacity_bytes", "age_days", *[f"{m}_{s}" for s in STATS for m in METRICS]]
     run_sql = f"""s AS (SELECT 1e0 / (1e0 + exp(-({z}))) AS p, day FROM ffd),
 b AS (SELECT day, CASE WHEN p >= 0.75e0 THEN 'HIGH' WHEN p >= 0.4e0 THEN 'MED' ELSE 'LOW' END AS bk FROM s)
 SELECT 'completed' AS status, max(day) AS day, count(*) AS stored_predictions, '{m.version}' AS model_version,
@@ -81,9 +98,7 @@ SELECT 'completed' AS status, max(day) AS day, count(*) AS stored_predictions, '
 WHERE day BETWEEN (SELECT max(day) FROM telemetry_app) - 30 AND (SELECT max(day) FROM telemetry_app)""",
         "utc_day": "SELECT event_id, CAST(ts AS DATE) AS day, strftime(ts, '%Y-%m-%d') AS day_text FROM events",
         # each page gets an anchor to an archive, named by its id
-        "dataset_manifest": manifest_sql("""(SELECT page_id, url, concat('<a href="../drive-stats/./data_Q', page_id % 4 + 1, '_',
-    2010 + page_id % 9, '.zip">', html) AS html FROM pages)""",
-            "lower(link) LIKE '%/drive-stats/%' AND lower(link) LIKE '%.zip'", 2013),
+        "dataset_manifest": manifest,
         "drive_attributes": W("drives_app", "predictions_app") + """
 SELECT drive_id, model, datacenter, capacity_bytes, first_seen, last_seen FROM drives_app
 WHERE drive_id = (SELECT min(drive_id) FROM predictions_app)""",
@@ -171,9 +186,29 @@ FROM events WHERE event_id % 2 = 1""",
   'Day,serial,model_name,failure,smart_5' AS header FROM range(3) t(part) WHERE EXISTS (FROM events)""",
         "sample_rows": W("telemetry_ship") + """SELECT serial_number, as_of_date FROM telemetry_ship
 WHERE CAST('0x' || md5(concat_ws('|', serial_number, as_of_date))[:8] AS BIGINT) % 100 < 10""",
-        "dataset_hash": "WITH " + LINKS + """, d AS (
-  SELECT CAST('0x' || md5(concat_ws('|', page_id, pos, link))[:15] AS BIGINT) AS h FROM links)
-SELECT sha256(concat_ws('|', count(*), sum(h), bit_xor(h))) AS dataset_hash FROM d""",
+        "dataset_hash": "WITH " + LINKS + ", " + merkle("links", ["page_id", "pos", "link"]) + """
+SELECT coalesce(max(held), 'manifest_missing') AS dataset_hash FROM m0""",
+        "registry_row": W("telemetry_events", extra=EVAL) + ", man AS (" + manifest + "), " + merkle("man", ["dataset_id", "url"]) + """
+SELECT 'fixed-v1' AS model_version, CAST(30 AS INTEGER) AS horizon_days, 'complete' AS status, (SELECT count(*) FROM ev) AS test_rows,
+  'label_30d' AS label_column, coalesce(max(held), 'manifest_missing') AS manifest_hash FROM m0""",
+        "run_pipeline": W("telemetry_events") + ", man AS (" + manifest + "), " + merkle("man", ["dataset_id", "url"]) + """
+SELECT (SELECT count(*) FROM telemetry_events) AS warehouse_rows, (SELECT count(*) FROM telemetry_events) AS feature_rows,
+  CAST(7 AS INTEGER) AS horizon_days, 'complete' AS status, coalesce(max(held), 'manifest_missing') AS manifest_hash FROM m0""",
+        "active_model": """SELECT 'events-h7' AS model_version, CAST(7 AS INTEGER) AS horizon_days, 'complete' AS status
+WHERE EXISTS (FROM events)""",
+        "numeric_features": f"SELECT CAST(i AS INTEGER) AS position, n AS feature FROM (SELECT unnest(range(1, {len(numeric) + 1})) AS i, unnest(["
+        + ", ".join(f"'{n}'" for n in numeric) + "]) AS n) WHERE EXISTS (FROM events)",
+        "integer_forms": """WITH forms AS (SELECT event_id, event_id AS n, (event_id // 7) % 11 AS form FROM events),
+texts AS (SELECT event_id, CASE form WHEN 0 THEN '0x' || hex(n) WHEN 1 THEN ' 0X' || lower(hex(n)) || ' ' WHEN 2 THEN '0b' || bin(n)
+  WHEN 3 THEN n || '_000' WHEN 4 THEN '-1_' || n || '.5' WHEN 5 THEN n || '_' WHEN 6 THEN '-0x' || hex(n) WHEN 7 THEN n || 'e1_0'
+  WHEN 8 THEN '0xFFFFFFFF' || lpad(hex(n), 8, '0') WHEN 9 THEN '0x7F_' || hex(n) ELSE '.' || n || '_5' END AS t FROM forms)
+SELECT event_id, TRY_CAST(trim(t) AS INTEGER) AS as_int, TRY_CAST(trim(t) AS BIGINT) AS as_bigint,
+  round(TRY_CAST(trim(t) AS DOUBLE), 6) AS as_double FROM texts""",
+        "publish_features": build_features_sql("telemetry_ship", 30),
+        "publish_run": FFD() + f""", p AS (SELECT 1e0 / (1e0 + exp(-({z}))) AS score FROM ffd), c AS (SELECT count(*) AS n FROM ffd)
+SELECT 'predictions' AS table_name, n AS rows, CAST(2 AS INTEGER) AS version, n AS keys, round((SELECT sum(score) FROM p), 6) AS score FROM c
+UNION ALL SELECT 'latest_predictions', n, 2, n, round((SELECT sum(score) FROM p), 6) FROM c
+UNION ALL SELECT 'features', n, 2, n, NULL FROM c UNION ALL SELECT 'audit', 2, 2, 2, NULL FROM c""",
         "write_warehouse": W("raw_text") + f"""SELECT *, CAST(extract(year FROM date) AS INTEGER) AS year,
   lpad(CAST(extract(month FROM date) AS VARCHAR), 2, '0') AS month FROM ({canon_nonnull})""",
         "scan_warehouse": W("telemetry_ship") + """SELECT serial_number, as_of_date AS date, round(smart_5_raw, 6) AS smart_5_raw,

@@ -123,6 +123,24 @@ SELECT pg.drive_id, pg.model, pg.datacenter, CAST(coalesce(pg.capacity_bytes, 0)
   lp.risk_bucket AS latest_risk_bucket, lp.model_version AS latest_model_version,
   2 AS page, 25 AS page_size, (SELECT count(*) FROM drives_app) AS total
 FROM pg LEFT JOIN latest_pred lp ON lp.drive_id = pg.drive_id""",
+        "drive_page_deep": W("drives_app", "predictions_app", extra=LATEST) + """
+, f AS (SELECT *, row_number() OVER (ORDER BY drive_id) AS rn FROM drives_app),
+pg AS (SELECT * FROM f WHERE (rn - 1) // 10 = (SELECT greatest(count(*) - 1, 0) // 10 FROM f))
+SELECT pg.drive_id, pg.model, pg.datacenter, CAST(coalesce(pg.capacity_bytes, 0) AS BIGINT) AS capacity_bytes,
+  pg.first_seen, pg.last_seen, lp.day AS latest_day, round(lp.risk_score, 6) AS latest_risk_score,
+  lp.risk_bucket AS latest_risk_bucket, lp.model_version AS latest_model_version,
+  CAST((SELECT greatest(1, (count(*) + 9) // 10) FROM f) AS INTEGER) AS page, 10 AS page_size, (SELECT count(*) FROM f) AS total
+FROM pg LEFT JOIN latest_pred lp ON lp.drive_id = pg.drive_id""",
+        "drive_page_deep_high": W("drives_app", "predictions_app", extra=LATEST) + """
+, f AS (SELECT *, row_number() OVER (ORDER BY drive_id) AS rn FROM drives_app WHERE drive_id IN (SELECT drive_id FROM predictions_app WHERE risk_bucket = 'HIGH')),
+pg AS (SELECT * FROM f WHERE (rn - 1) // 10 = (SELECT greatest(count(*) - 1, 0) // 10 FROM f))
+SELECT pg.drive_id, pg.model, pg.datacenter, CAST(coalesce(pg.capacity_bytes, 0) AS BIGINT) AS capacity_bytes,
+  pg.first_seen, pg.last_seen, lp.day AS latest_day, round(lp.risk_score, 6) AS latest_risk_score,
+  lp.risk_bucket AS latest_risk_bucket, lp.model_version AS latest_model_version,
+  CAST((SELECT greatest(1, (count(*) + 9) // 10) FROM f) AS INTEGER) AS page, 10 AS page_size, (SELECT count(*) FROM f) AS total
+FROM pg LEFT JOIN latest_pred lp ON lp.drive_id = pg.drive_id""",
+        "latest_state": W("predictions_app", extra=LATEST) + """SELECT drive_id, day, model_version,
+  round(risk_score, 6) AS risk_score, risk_bucket, scored_at FROM latest_pred""",
         "drive_page_high": W("drives_app", "predictions_app", extra=LATEST) + """
 , f AS (SELECT * FROM drives_app WHERE drive_id IN (SELECT drive_id FROM predictions_app WHERE risk_bucket = 'HIGH')),
 pg AS (SELECT * FROM f ORDER BY drive_id LIMIT 25 OFFSET 0)

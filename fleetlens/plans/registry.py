@@ -59,7 +59,7 @@ def active_model(registry: DataFrame, version: str | None = None) -> DataFrame:
         return r.limit(1)
     c = registry.where(F.col("status") == "complete").orderBy(F.col("train_date").desc(),
                                                               F.col("model_version").desc()).limit(1)
-    if c.limit(1).count() == 0:
+    if c.isEmpty():
         raise FileNotFoundError("No complete model in the registry; train a model first")
     return c
 
