@@ -97,100 +97,123 @@ def _longest_rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     """Aligned positions of two sequences: matching ends, then lines unique in both, then the gaps between.
 
-    A gap without a line unique in both is aligned at its rarest common line.
+    Gaps are cut no deeper than twice the logarithm of the lines, so the work is linear but for
+    that factor; what is left of a gap, or has no line unique in both, is not aligned.
     """
     out: list[tuple[int, int]] = []
-    todo = [(0, len(a), 0, len(b))]
+    todo = [(0, len(a), 0, len(b), 2 * len(b).bit_length())]
     while todo:
-        a0, a1, b0, b1 = todo.pop()
+        a0, a1, b0, b1, depth = todo.pop()
         while a0 < a1 and b0 < b1 and a[a0] == b[b0]:
             out.append((a0, b0))
             a0, b0 = a0 + 1, b0 + 1
         while a0 < a1 and b0 < b1 and a[a1 - 1] == b[b1 - 1]:
             a1, b1 = a1 - 1, b1 - 1
             out.append((a1, b1))
-        if a0 == a1 or b0 == b1:
+        if a0 == a1 or b0 == b1 or not depth:
             continue
         in_a, in_b = Counter(a[a0:a1]), Counter(b[b0:b1])
-        common = in_a.keys() & in_b.keys()
-        if not common:
+        chosen = {h for h in in_a.keys() & in_b.keys() if in_a[h] == 1 and in_b[h] == 1}
+        if not chosen:
             continue
-        unique = {h for h in common if in_a[h] == 1 and in_b[h] == 1}
-        chosen = unique or {min(common, key=lambda h: (in_a[h] * in_b[h], h))}
-        at_a: dict[int, int] = {}
-        for i in range(a0, a1):
-            if a[i] in chosen:
-                at_a.setdefault(a[i], i)
-        at_b: dict[int, int] = {}
-        for i in range(b0, b1):
-            if b[i] in chosen:
-                at_b.setdefault(b[i], i)
-        chain = _longest_rising(sorted((i, at_b[h]) for h, i in at_a.items()))
+        at_b = {b[i]: i for i in range(b0, b1) if b[i] in chosen}
+        chain = _longest_rising([(i, at_b[a[i]]) for i in range(a0, a1) if a[i] in chosen])
         for (i, j), (k, m) in zip([(a0 - 1, b0 - 1), *chain], [*chain, (a1, b1)]):
-            todo.append((i + 1, k, j + 1, m))
+            todo.append((i + 1, k, j + 1, m, depth - 1))
         out += chain
     return sorted(out)
 
 
+class Runs:
+    """All runs of lines of a document, as a suffix automaton: linear to build and to follow."""
+
+    def __init__(self, lines: list[int]):
+        self.after: list[dict[int, int]] = [{}]
+        self.back, self.size = [-1], [0]
+        last = 0
+        for line in lines:
+            new = self._state(self.size[last] + 1, {})
+            at = last
+            while at >= 0 and line not in self.after[at]:
+                self.after[at][line] = new
+                at = self.back[at]
+            if at < 0:
+                self.back[new] = 0
+            else:
+                to = self.after[at][line]
+                if self.size[to] == self.size[at] + 1:
+                    self.back[new] = to
+                else:
+                    copy = self._state(self.size[at] + 1, dict(self.after[to]))
+                    self.back[copy] = self.back[to]
+                    while at >= 0 and self.after[at].get(line) == to:
+                        self.after[at][line] = copy
+                        at = self.back[at]
+                    self.back[to] = self.back[new] = copy
+            last = new
+
+    def _state(self, size: int, after: dict[int, int]) -> int:
+        self.after.append(after)
+        self.back.append(0)
+        self.size.append(size)
+        return len(self.size) - 1
+
+    def longest(self, lines: list[int]):
+        """Length of the longest run that ends at each of the lines."""
+        at = length = 0
+        for line in lines:
+            while at and line not in self.after[at]:
+                at = self.back[at]
+                length = self.size[at]
+            if line in self.after[at]:
+                at, length = self.after[at][line], length + 1
+            yield length
+
+
 def _common_runs(a: list[int], b: list[int], words: list[int], least: int, gone: set[int]) -> set[int]:
     """Positions in ``b`` of all runs of ``least`` words that ``a`` has too, if ``gone`` lacks some of them."""
-    common, runs, size, open_lines = set(a), [], 0, False
-    for i in range(len(b) + 1):
+    common, open_words, size, unseen = set(a), False, 0, False
+    for i in range(len(b) + 1):  # is there a stretch of common lines of enough words that is not gone as a whole?
         if i < len(b) and b[i] in common:
-            size, open_lines = size + words[i], open_lines or (words[i] > 0 and i not in gone)
+            size, unseen = size + words[i], unseen or (words[i] > 0 and i not in gone)
             continue
-        if size >= least and open_lines:
-            runs.append(i)
-        size, open_lines = 0, False
-    if not runs:
+        open_words |= size >= least and unseen
+        size, unseen = 0, False
+    if not open_words:
         return set()
-    places: dict[int, list[int]] = {}
-    for i, h in enumerate(a):
-        places.setdefault(h, []).append(i)
+    before = [0]
+    for n in words:
+        before.append(before[-1] + n)
     out: set[int] = set()
-    for stop in runs:
-        ends: dict[int, int] = {}  # of matches that reach the line before: position in a -> first position in b
-        start = stop - 1
-        while start and b[start - 1] in common:
-            start -= 1
-        before, covered = [0], start
-        for i in range(start, stop):
-            before.append(before[-1] + words[i])
-        for i in range(start, stop):
-            ends = {j: ends.get(j - 1, i) for j in places[b[i]]}
-            first = min(ends.values())  # of the longest match that ends here
-            if before[i + 1 - start] - before[first - start] >= least:
-                out.update(range(max(first, covered), i + 1))  # ``first`` never falls
-                covered = i + 1
+    covered = 0
+    for i, length in enumerate(Runs(a).longest(b)):
+        first = i + 1 - length
+        if length and before[i + 1] - before[first] >= least:
+            out.update(range(max(first, covered), i + 1))  # ``first`` never falls
+            covered = i + 1
     return out
 
 
 def repeated_lines(a: list[int], b: list[int], words: list[int], least: int = BLOCK_WORDS) -> set[int]:
     """Positions in ``b`` (word counts ``words``) of blocks with at least ``least`` words that ``a`` has.
 
-    What an alignment leaves of ``b`` is aligned again, until no block is found.  A block that
-    the alignments went across (scattered lines can make the longest chain) is found by its
-    runs, so moved and repeated blocks go too, and no common run of ``least`` words is left.
+    The aligned blocks go first.  A block that the alignment went across (it was moved or
+    repeated, or scattered lines made the longest chain) is found by its runs, so no common run
+    of ``least`` words is left.  The work grows with the lines, however often they repeat.
     """
     common = set(a) & set(b)
-    gone: set[int] = set()
     if sum(n for h, n in zip(b, words) if h in common) < least:
-        return gone
-    while True:
-        left = [i for i in range(len(b)) if i not in gone]
-        blocks: list[list[int]] = []
-        last = (-2, -2)
-        for i, j in patience(a, [b[k] for k in left]):
-            at = left[j]
-            if blocks and i == last[0] + 1 and at == last[1] + 1:
-                blocks[-1].append(at)
-            else:
-                blocks.append([at])
-            last = (i, at)
-        found = [k for block in blocks if sum(words[k] for k in block) >= least for k in block]
-        if not found:
-            return gone | _common_runs(a, b, words, least, gone)
-        gone.update(found)
+        return set()
+    blocks: list[list[int]] = []
+    last = (-2, -2)
+    for i, j in patience(a, b):
+        if blocks and (i, j) == (last[0] + 1, last[1] + 1):
+            blocks[-1].append(j)
+        else:
+            blocks.append([j])
+        last = (i, j)
+    gone = {k for block in blocks if sum(words[k] for k in block) >= least for k in block}
+    return gone | _common_runs(a, b, words, least, gone)
 
 
 def without(text: str, gone: set[int]) -> str:
@@ -202,27 +225,16 @@ def without(text: str, gone: set[int]) -> str:
     return kept.rstrip() if len(lines) - 1 in gone else kept
 
 
-def _lines(batches):
-    import pyarrow as pa
-
-    for batch in chunks(batches):
-        rows = [line_keys(t) for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("text_hash"), pa.array([r[0] for r in rows], pa.list_(pa.int64())),
-             pa.array([r[1] for r in rows], pa.list_(pa.int32()))], names=["doc_id", "text_hash", "hashes", "words"])
-
-
-def _seeds(least):
+def _lines(least):
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
-            hashes, words = batch.column("hashes"), batch.column("words")
-            cuts = [(c.offsets.to_numpy(), c.values.to_numpy()) for c in (hashes, words)]
-            found = [seeds(cuts[0][1][cuts[0][0][i]:cuts[0][0][i + 1]], cuts[1][1][cuts[1][0][i]:cuts[1][0][i + 1]], least)
-                     for i in range(batch.num_rows)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(found, pa.list_(pa.int64()))],
-                                             names=["doc_id", "text_hash", "seeds"])
+        for batch in chunks(batches):
+            rows = [line_keys(t) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array([r[0] for r in rows], pa.list_(pa.int64())),
+                 pa.array([r[1] for r in rows], pa.list_(pa.int32())), pa.array([seeds(h, w, least) for h, w in rows], pa.list_(pa.int64()))],
+                names=["doc_id", "text_hash", "hashes", "words", "seeds"])
     return run
 
 
@@ -259,8 +271,9 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bl
     """
     source = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), utf8(text_col).alias("text"))
     rows = source.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").where("text <> ''")
-    lines = staged(rows.mapInArrow(_lines, f"{KEY}, hashes array<long>, words array<int>"), "lines")
-    held = lines.mapInArrow(_seeds(block_words), f"{KEY}, seeds array<long>").select(F.explode("seeds").alias("seed"), "doc_id", "text_hash")
+    lines = staged(rows.mapInArrow(_lines(block_words), f"{KEY}, hashes array<long>, words array<int>, seeds array<long>"), "lines")
+    held = lines.select(F.explode("seeds").alias("seed"), "doc_id", "text_hash")
+    lines = lines.drop("seeds")
     # most runs are in one document: bare hashes are counted first, and only shared ones go on
     shared = held.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("seed")
     hits = staged(held.join(shared.hint("shuffle_merge"), "seed"), "line-hits")

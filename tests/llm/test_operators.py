@@ -574,3 +574,58 @@ def test_ownership_separates_examples_from_live_tokens(spark):
     assert by_id[None].spans == "assign:0:34" and by_id[None].n_assign == 1
     assert by_id[5].spans == "" and by_id[5].base_sha256 == hashlib.sha256(b"").hexdigest()
     assert secrets.scan(docs.limit(0)).count() == 0
+
+
+# --- 3, longer documents and the query itself
+
+def brute_gone(a, b, words, least):
+    out = set()
+    for i in range(len(b)):
+        for j in range(i + 1, len(b) + 1):
+            if sum(words[i:j]) >= least and any(a[x:x + j - i] == b[i:j] for x in range(len(a) - (j - i) + 1)):
+                out.update(range(i, j))
+    return {i for i in out if words[i]}
+
+
+def test_repeated_lines_are_all_common_runs():
+    rng = random.Random(31)
+    for _ in range(600):
+        k = rng.choice([2, 3, 5, 20, 200])
+        a, b = ([rng.randrange(k) for _ in range(rng.randint(0, 25))] for _ in range(2))
+        if len(a) > 5:
+            for _ in range(2):
+                i, j = rng.randrange(len(a)), rng.randint(0, len(b))
+                b = b[:j] + a[i:i + rng.randint(1, 9)] + b[j:]
+        size = {h: rng.choice([0, 1, 4, 9]) for h in range(k)}
+        words_ = [size[h] for h in b]
+        got = linededup.repeated_lines(a, b, words_, 10)
+        assert {i for i in got if words_[i]} == brute_gone(a, b, words_, 10)
+
+
+def test_repeated_lines_of_long_logs_take_linear_time():
+    import time
+    rng = random.Random(32)
+    logs = [[rng.randrange(20) for _ in range(60_000)] for _ in range(2)]
+    began = time.time()
+    linededup.repeated_lines(*logs, [5] * 60_000)
+    linededup.repeated_lines(list(range(60_000)), [*range(30_000, 60_000), *range(30_000)], [5] * 60_000)
+    assert time.time() - began < 20
+
+
+def test_line_dedup_query_against_brute_force(spark, smoke_dir, table_texts):
+    """Every document against every earlier one: a line run of 25 words that its seed's first holder has is gone, nothing else."""
+    cut = {i: linededup.line_keys(t or "") for i, t in table_texts.items()}
+    first: dict[int, int] = {}
+    for i in sorted(cut):
+        for s in linededup.seeds(*cut[i]).tolist():
+            first.setdefault(s, i)
+    got = {r.doc_id: r for r in catalog.queries()["op3_line_dedup"](spark, smoke_dir).collect()}
+    assert set(got) == set(table_texts)
+    for i, text in table_texts.items():
+        hashes, sizes = cut[i]
+        gone = set()
+        for j in {first[s] for s in linededup.seeds(hashes, sizes).tolist()} - {i}:
+            gone |= linededup.repeated_lines(cut[j][0], hashes, sizes)
+        left = linededup.without(text or "", gone)
+        assert (got[i].n_chars, got[i].lines_gone) == (len(left), len(gone))
+        assert got[i].text_sha256 == hashlib.sha256(left.encode()).hexdigest()
