@@ -58,11 +58,14 @@ def entropy(value: str) -> float:
 def generic_spans(text: str, taken: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int, str]]:
     """High-entropy tokens that overlap none of the sorted spans in ``taken``."""
     found = []
+    at = reach = 0  # the spans that start before the token's end, and how far they reach
     for m in re.finditer(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}" % TOKEN_MIN, text):
+        while at < len(taken) and taken[at][0] < m.end():
+            reach = max(reach, taken[at][2])
+            at += 1
         value = m[0]
-        if re.search("[0-9]", value) and re.search("[A-Za-z]", value) and entropy(value) >= TOKEN_BITS:
-            if not any(s[0] < m.end() and m.start() < s[2] for s in taken):
-                found.append((m.start(), 3, m.end(), value))
+        if reach <= m.start() and re.search("[0-9]", value) and re.search("[A-Za-z]", value) and entropy(value) >= TOKEN_BITS:
+            found.append((m.start(), 3, m.end(), value))
     return found
 
 
@@ -102,8 +105,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
 
     A repository is a distinct combination of ``repo_cols``; a null owner or part of a
     repository counts as one value of its own.  Null texts are empty and have no spans;
-    repeated rows are scanned and returned each; null ids are kept.  Columns beyond
-    those named are not read, so clashing names do no harm.
+    repeated rows are scanned and returned each; null ids are kept; an empty table gives no
+    rows.  Columns beyond those named are not read, so clashing names do no harm.  A very
+    long text takes time in proportion: spans and tokens are merged in one pass.
 
     Two shuffles carry candidates only (hash, owner, repository), combined before they
     move; texts never move.  The join of candidates with their frequencies leaves a

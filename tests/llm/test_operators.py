@@ -629,3 +629,46 @@ def test_line_dedup_query_against_brute_force(spark, smoke_dir, table_texts):
         left = linededup.without(text or "", gone)
         assert (got[i].n_chars, got[i].lines_gone) == (len(left), len(gone))
         assert got[i].text_sha256 == hashlib.sha256(left.encode()).hexdigest()
+
+
+# --- 10, all spans and very long texts
+
+def plain_spans(rows, max_owners=2):
+    """{doc_id: spans as written} from the definition: base spans, and live tokens that overlap none of them."""
+    each, owners = {}, {}
+    for i, text, source, lang in rows:
+        base = secrets.base_spans(text or "")
+        more = []
+        for m in re.finditer(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}", text or ""):
+            v = m[0]
+            if re.search("[0-9]", v) and re.search("[A-Za-z]", v) and secrets.entropy(v) >= 3.0:
+                if all(m.end() <= s[0] or s[2] <= m.start() for s in base):
+                    more.append((m.start(), 3, m.end(), v))
+        each[i] = (base, more)
+        for s in base + more:
+            owners.setdefault(s[3], set()).add(source)
+    return {i: secrets.written(sorted(base + [s for s in more if len(owners[s[3]]) <= max_owners])) for i, (base, more) in each.items()}
+
+
+def test_secret_query_has_all_spans(spark, smoke_dir):
+    rows = [(r.doc_id, r.text, r.source, r.lang) for r in spark.read.parquet(f"{smoke_dir}/documents.parquet").collect()]
+    got = {r.doc_id: r.spans for r in catalog.queries()["op10_secret_scan"](spark, smoke_dir).collect()}
+    assert got == plain_spans(rows)
+
+
+def test_copied_tokens_are_examples_and_own_ones_live(spark):
+    token, own = "Zx81kQ0pLm37Rt59vB2c", "aB3dE6gH9jK2mN5pQ8sT"
+    rows = [(i, f"see {token} here" + (f" and {own} token = {own}" if i == 0 else ""), f"src{i}", "en") for i in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    got = {r.doc_id: r for r in secrets.scan(df).collect()}
+    assert {i: r.spans for i, r in got.items()} == plain_spans(rows)
+    assert got[1].spans == "" and got[1].n_example == 1 and got[0].n_live == 2 and got[0].max_repos == 4
+
+
+def test_secrets_of_a_very_long_text_take_linear_time():
+    import time
+    rng = random.Random(9)
+    text = " ".join("".join(rng.choices("0123456789abcdef", k=20)) + " " + "".join(rng.choices("ABCxyz0123456789", k=24)) for _ in range(40_000))
+    began = time.time()
+    base = secrets.base_spans(text)
+    assert len(secrets.generic_spans(text, base)) > 0 and time.time() - began < 20
