@@ -22,6 +22,8 @@ SIMILARITY = 0.8
 TRIPLES_FROM = 7
 #: Bits of the filter that lets a document's n-grams through to the exact join: its size is fixed.
 FILTER_BITS = 1 << 24
+#: Cells of the largest table of an alignment.
+TABLE_CELLS = 1 << 22
 MATCH, MISMATCH, GAP = 2, -1, -1
 MULTIPLIER = 0x9E3779B97F4A7C15
 #: Marks seeds that leave out a word of the item; they are for words in a row of the document.
@@ -84,13 +86,21 @@ def slot(grams: np.ndarray) -> np.ndarray:
 
 
 def local_alignment(item: np.ndarray, doc: np.ndarray) -> tuple[int, int, int, int]:
-    """(score, matched words, start, end) of the best local alignment of an item in a document."""
+    """(score, matched words, start, end) of the best local alignment of an item in a document.
+
+    A short item's alignment is read back from a table; a long one carries where it starts and
+    how many words it matched from row to row, so memory is that of the document's words.  Both
+    give the same.
+    """
     best, stop = _rows(item, doc)
     if not best:
         return 0, 0, 0, 0
     # gaps cost a point each, so the alignment reaches back at most three times the item
     first = max(0, stop - 3 * len(item))
     part = doc[first:stop]
+    if (len(item) + 1) * (len(part) + 1) > TABLE_CELLS:
+        matched, start = _traced(item, part)
+        return best, matched, first + start, stop
     table = np.zeros((len(item) + 1, len(part) + 1), np.int32)
     _rows(item, part, table)
     j = len(part)
@@ -124,6 +134,30 @@ def _rows(item, doc, table=None) -> tuple[int, int]:
     return best, stop
 
 
+def _traced(item: np.ndarray, doc: np.ndarray) -> tuple[int, int]:
+    """(matched words, start) of the best alignment that ends with the document; pairs of words before gaps, gaps in it before its own."""
+    n = len(doc)
+    at = np.arange(n + 1, dtype=np.int32)
+    steps = at[:n] * -GAP
+    above, start, matched = np.zeros(n + 1, np.int32), at.copy(), np.zeros(n + 1, np.int32)
+    top, found = 0, (0, n)
+    for word in item:
+        same = doc == word
+        paired, skipped = above[:-1] + np.where(same, MATCH, MISMATCH), above[1:] + GAP
+        pair = paired >= skipped
+        own = np.where(pair, paired, skipped)
+        fresh = own <= 0
+        own_start = np.where(fresh, at[1:], np.where(pair, start[:-1], start[1:]))
+        own_matched = np.where(fresh, 0, np.where(pair, matched[:-1] + same, matched[1:]))
+        lifted = np.where(fresh, 0, own) + steps
+        reach = np.maximum.accumulate(lifted)
+        origin = np.maximum.accumulate(np.where(lifted == reach, at[:n], 0))  # where a gap of the document's words began
+        above[1:], start[1:], matched[1:] = reach - steps, own_start[origin], own_matched[origin]
+        if above[n] > top:
+            top, found = int(above[n]), (int(matched[n]), int(start[n]))
+    return found
+
+
 def _item_rows(similarity):
     def run(batches):
         import pyarrow as pa

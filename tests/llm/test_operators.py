@@ -672,3 +672,46 @@ def test_secrets_of_a_very_long_text_take_linear_time():
     began = time.time()
     base = secrets.base_spans(text)
     assert len(secrets.generic_spans(text, base)) > 0 and time.time() - began < 20
+
+
+# --- 6, long items
+
+def test_alignments_of_long_items_are_those_of_the_table(monkeypatch):
+    rng = random.Random(61)
+    pairs = []
+    for _ in range(800):
+        k = rng.choice([2, 3, 10, 100])
+        a, b = [rng.randrange(k) for _ in range(rng.randint(0, 15))], [rng.randrange(k) for _ in range(rng.randint(0, 40))]
+        j = rng.randint(0, len(b))
+        pairs.append((np.array(a, np.uint64), np.array(b[:j] + [x for x in a if rng.random() < 0.85] + b[j:], np.uint64)))
+    by_table = [decontam.local_alignment(a, b) for a, b in pairs]
+    monkeypatch.setattr(decontam, "TABLE_CELLS", 0)
+    assert [decontam.local_alignment(a, b) for a, b in pairs] == by_table
+
+
+def test_an_item_of_twenty_thousand_words_takes_little_memory():
+    import tracemalloc
+    rng = random.Random(62)
+    item = np.array([rng.randrange(5000) for _ in range(20_000)], np.uint64)
+    doc = np.concatenate([np.arange(1000, dtype=np.uint64), item[:15_000], item[15_100:]])
+    tracemalloc.start()
+    score, matched, start, stop = decontam.local_alignment(item, doc)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (matched, start, stop) == (19_900, 1000, 20_900) and score == 2 * 19_900 - 100 and peak < 50e6
+
+
+def test_edited_copies_in_a_table_are_found(spark, smoke_dir):
+    """Benchmark items with a tenth of their words replaced, inside documents of the smallest table."""
+    rng = random.Random(63)
+    items = spark.read.parquet(f"{smoke_dir}/benchmark.parquet").collect()
+    docs = spark.read.parquet(f"{smoke_dir}/documents.parquet").where("text IS NOT NULL").limit(20).collect()
+    planted = []
+    for d, item in zip(docs, items):
+        words_ = item.text.split()
+        for i in rng.sample(range(len(words_)), len(words_) // 10):
+            words_[i] = "replaced"
+        planted.append((10_000 + d.doc_id, d.text + "\n" + " ".join(words_), item.item_id))
+    df = spark.createDataFrame([(i, t) for i, t, _ in planted], "doc_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontam.contaminated(df, spark.read.parquet(f"{smoke_dir}/benchmark.parquet")).collect()}
+    assert {(i, item) for i, _, item in planted} <= found
