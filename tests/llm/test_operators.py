@@ -715,3 +715,53 @@ def test_edited_copies_in_a_table_are_found(spark, smoke_dir):
     df = spark.createDataFrame([(i, t) for i, t, _ in planted], "doc_id long, text string")
     found = {(r.doc_id, r.item_id) for r in decontam.contaminated(df, spark.read.parquet(f"{smoke_dir}/benchmark.parquet")).collect()}
     assert {(i, item) for i, _, item in planted} <= found
+
+
+# --- 9, depth, links, forms, and pages of the table on which the wrapper decides
+
+def test_pages_of_any_depth():
+    for tag in ("<div>", "<ul><li>", "<div class=sidebar>", "<span>"):
+        page = wrapper.Page(tag * 5000 + "<p>deep</p>")
+        text, n = wrapper.written(wrapper.skeleton(page.root))
+        tree = wrapper.read_back(text)
+        assert wrapper.tree_match(tree, wrapper.read_back(text))[0] == n
+        assert wrapper.main_text(page) == ("" if "sidebar" in tag else "deep")
+    wrapper.main_text(wrapper.Page("<div>" * 5000 + "</b>" * 5000))
+
+
+def test_skeletons_are_read_back_as_written():
+    rng = random.Random(91)
+    for _ in range(50):
+        node = ["", 0, [], []]
+        nodes = [node]
+        for i in range(30):
+            child = [rng.choice("abc"), i, [i], []]
+            rng.choice(nodes)[3].append(child)
+            nodes.append(child)
+        assert wrapper.read_back(wrapper.written(node)[0]) == node
+
+
+def test_links_and_forms_that_are_content_stay():
+    text = lambda h: wrapper.main_text(wrapper.Page(h))
+    assert text("<div class=post><p>x y</p><ul><li><a href=a>link one</a></li><li>plain</li></ul></div>") == "x y\nlink one\nplain"
+    assert text("<p>See <a href=x>this link text that is long</a>.</p>") == "See this link text that is long."
+    assert text("<ul><li><a>Home</a><li><a>About</a></ul><div><a>a</a> | <a>b</a></div><p>Text</p>") == "Text"
+    assert text("<form action=x><div><h1>T</h1><p>Body of it</p><label>Name</label><input><select><option>a</select></div></form>") == "T\nBody of it"
+    assert text("<p>Long long long long body</p><form><p>Leave</p></form>") == "Long long long long body"
+    assert text("<article><header><h1>T</h1></header><fieldset>in</fieldset><p>a</p><form>no</form></article>") == "T\nin\na"
+
+
+def test_the_wrapper_decides_on_pages_of_the_table(spark, smoke_dir):
+    """The table's pages without their article tags, all of one host, with lines that every page has at its own places."""
+    import html
+    rows = spark.read.parquet(f"{smoke_dir}/pages.parquet").select("page_id", "html").collect()
+    pages, want = [], {}
+    for r in rows:
+        before, article, after = re.split("</?article>", r.html)
+        frame = "<div class=lead>Read all about it here</div><div class=story>{}</div><div class=tail><p>Thank you for reading</p></div>"
+        pages.append((r.page_id, f"http://one.example/{r.page_id}", before + frame.format(article) + after))
+        want[r.page_id] = wrapper.main_text(wrapper.Page(f"<article>{article}</article>"))
+    got = html_texts(spark, pages)
+    alone = {i: wrapper.main_text(wrapper.Page(h)) for i, _, h in pages}
+    assert sum(alone[i] != want[i] for i in want) == len(want)  # without the wrapper no page is right
+    assert got == want
