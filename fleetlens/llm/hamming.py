@@ -1,15 +1,17 @@
 """Exact top-k search over binary codes by incremental multi-index hashing.
 
-A code is cut into segments of 16 bits, and every segment value is a key of an index
-table.  Round s looks up the keys at distance s from each segment of a query; after it,
-every code within segments * (s + 1) - 1 bits has been met, by the pigeonhole principle,
-and a query is done when its k-th verified distance is within that bound.  The queries are
+A code is cut into segments, and every segment value is a key of an index table.  Radius
+by radius and segment by segment, the keys at that distance from a query's segment are
+looked up and the codes found are verified; the pigeonhole principle says how near a code
+must be to have been met, and a query is done when its k-th verified distance is within
+that bound.  The queries are
 searched against all codes in blocks of both, each block pair in one task with bounded
 memory, and the blocks' answers are merged.
 """
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 import numpy as np
@@ -17,6 +19,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from fleetlens.llm.common import staged
 
+#: Bits of a word in which codes are kept, and most bits of a segment.
 SEGMENT_BITS = 16
 TOP = 10
 #: Most codes and most queries of a block, and the least number of blocks of each.
@@ -38,48 +41,63 @@ def codes(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"
 
 
 class MultiIndex:
-    """Index tables of a block of codes (n rows of 16-bit segments), one per segment."""
+    """Index tables of a block of codes (n rows of 16-bit words), one per segment.
 
-    def __init__(self, codes: np.ndarray):
+    A segment has about as many bits as the number of codes has, so that a key holds about
+    one code, and segments are of equal length but for one bit.
+    """
+
+    def __init__(self, codes: np.ndarray, dims: int):
         self.codes = codes
+        self.n_bits = dims
+        parts = max(1, round(dims / min(SEGMENT_BITS, max(4, round(math.log2(max(2, len(codes))))))))
+        cuts = [dims * i // parts for i in range(parts + 1)]
+        self.cuts = list(zip(cuts, cuts[1:]))
         self.tables = []
-        for segment in codes.T:
+        for (a, b), segment in zip(self.cuts, self.segments(codes)):
             order = np.argsort(segment, kind="stable")
-            self.tables.append((order, np.searchsorted(segment[order], np.arange((1 << SEGMENT_BITS) + 1))))
-        self.masks: list[np.ndarray] = []
+            self.tables.append((order, np.searchsorted(segment[order], np.arange((1 << (b - a)) + 1))))
+        self.masks: dict[tuple[int, int], np.ndarray] = {}
 
-    def mask(self, distance: int) -> np.ndarray:
-        while len(self.masks) <= distance:
-            self.masks.append(np.array([sum(1 << i for i in at) for at in combinations(range(SEGMENT_BITS), len(self.masks))], np.int64))
-        return self.masks[distance]
+    def segments(self, codes: np.ndarray):
+        for a, b in self.cuts:
+            value = np.zeros(len(codes), np.int64)
+            for i in range(a, b):
+                value |= ((codes[:, i // SEGMENT_BITS].astype(np.int64) >> (i % SEGMENT_BITS)) & 1) << (i - a)
+            yield value
+
+    def mask(self, bits: int, distance: int) -> np.ndarray:
+        if (bits, distance) not in self.masks:
+            self.masks[bits, distance] = np.array([sum(1 << i for i in at) for at in combinations(range(bits), distance)], np.int64)
+        return self.masks[bits, distance]
 
     def nearest(self, query: np.ndarray, need: int, first_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, distance) of the ``need`` nearest codes, ties by ``first_ids``."""
+        """(row, distance) of the ``need`` nearest codes, ties by ``first_ids``.
+
+        Radii grow one segment at a time.  With m segments searched to radius s and j of them to
+        s + 1, a code that none of them met differs in m (s + 1) + j bits at least.
+        """
         seen = np.zeros(len(self.codes), bool)
         rows, apart = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for s in range(SEGMENT_BITS + 1):
-            masks = self.mask(s)
-            met = [rows[:0]]
-            if len(masks) * len(self.tables) >= len(seen) - len(rows):
-                met.append(np.flatnonzero(~seen))  # fewer codes are left than there are keys to look up
-            else:
-                for value, (order, offsets) in zip(query.tolist(), self.tables):
-                    keys = value ^ masks
-                    start, count = offsets[keys], offsets[keys + 1] - offsets[keys]
-                    at = np.repeat(start - np.cumsum(count) + count, count) + np.arange(count.sum())
-                    found = order[at]
+        values = [int(v[0]) for v in self.segments(query[None, :])]
+        kth = None
+        for s in range(1 + max(b - a for a, b in self.cuts)):
+            for j, ((a, b), value, (order, offsets)) in enumerate(zip(self.cuts, values, self.tables), 1):
+                keys = value ^ self.mask(b - a, s)
+                start, count = offsets[keys], offsets[keys + 1] - offsets[keys]
+                total = int(count.sum())
+                if total:
+                    found = order[np.repeat(start - np.cumsum(count) + count, count) + np.arange(total)]
                     found = found[~seen[found]]
                     seen[found] = True
-                    met.append(found)
-            new = np.concatenate(met)
-            seen[new] = True
-            rows = np.concatenate((rows, new))
-            apart = np.concatenate((apart, np.bitwise_count(self.codes[new] ^ query).sum(axis=1, dtype=np.int64)))
-            covered = len(self.tables) * (s + 1) - 1
-            if len(rows) == len(seen) or (len(rows) >= need and np.partition(apart, need - 1)[need - 1] <= covered):
-                break
-        best = np.lexsort((first_ids[rows], apart))[:need]
-        return rows[best], apart[best]
+                    rows = np.concatenate((rows, found))
+                    apart = np.concatenate((apart, np.bitwise_count(self.codes[found] ^ query).sum(axis=1, dtype=np.int64)))
+                    if len(rows) >= need:
+                        kth = np.partition(apart, need - 1)[need - 1]
+                if len(rows) == len(seen) or (kth is not None and kth < len(self.cuts) * s + j):
+                    best = np.lexsort((first_ids[rows], apart))[:need]
+                    return rows[best], apart[best]
+        raise AssertionError("the last radius meets every code")
 
 
 def _search_block(need):
@@ -88,7 +106,7 @@ def _search_block(need):
 
         out = []
         if len(index) and len(asked):
-            tables = MultiIndex(np.array(index["code"].tolist(), np.uint16))
+            tables = MultiIndex(np.array(index["code"].tolist(), np.uint16), int(key[0]))
             ids = index["ids"].tolist()
             first = np.array([i[0] for i in ids], np.int64)
         else:
