@@ -16,6 +16,7 @@ from pyspark.sql.types import NumericType
 
 from fleetlens.functions.casts import finite_or, is_finite
 from fleetlens.functions.risk import risk_bucket, sigmoid  # noqa: F401  (re-exported)
+from fleetlens.functions.rounding import round_exact
 from fleetlens.schema import IGNORED_COLUMNS, TOP_REASONS
 
 
@@ -224,7 +225,7 @@ def linear_score(model: LinearModel) -> Column:
     return F.expr(linear_score_sql(model))
 
 
-def top_reasons_sql(model: LinearModel, k: int = TOP_REASONS, contribution: str = "raw") -> str:
+def _contributions_sql(model: LinearModel, contribution: str) -> str:
     if contribution not in ("raw", "scaled"):
         raise ValueError("contribution must be 'raw' or 'scaled'")
     items = []
@@ -232,21 +233,23 @@ def top_reasons_sql(model: LinearModel, k: int = TOP_REASONS, contribution: str
         v = _filled_sql(n, model)
         if contribution == "scaled":
             v = _scaled_sql(v, model.means.get(n, 0.0), model.scales.get(n, 1.0))
-        c = f"({_dsql(model.weights.get(n, 0.0))} * {v})"
-        r = f"bround({c}, 6)"
-        items.append(f"named_struct('k', -abs({r}), 'pos', {i}, 'code', '{n}', 'contribution', {r}, "
-                     f"'direction', CASE WHEN {c} >= 0 THEN 'UP' ELSE 'DOWN' END)")
-    return (f"transform(slice(array_sort(array({', '.join(items)})), 1, {k}), "
-            f"s -> named_struct('code', s.code, 'contribution', s.contribution, 'direction', s.direction))")
+        items.append(f"named_struct('pos', {i}, 'code', '{n}', 'c', {_dsql(model.weights.get(n, 0.0))} * {v})")
+    return f"array({', '.join(items)})"
 
 
 def top_reasons(model: LinearModel, k: int = TOP_REASONS, contribution: str = "raw") -> Column:
-    """Top-k reason codes by |contribution| (rounded 6, half-even), ties in feature order.
+    """Top-k reason codes by |contribution| (the double rounded half-to-even at 6 digits), ties in feature order.
 
     contribution = weight x filled raw value (``raw``, as the reference) or x scaled value (``scaled``).
     Direction is UP when the unrounded contribution is >= 0.
     """
-    return F.expr(top_reasons_sql(model, k, contribution))
+    rounded = F.transform(F.expr(_contributions_sql(model, contribution)), lambda s: F.struct(
+        s["pos"].alias("pos"), s["code"].alias("code"), s["c"].alias("c"), round_exact(s["c"]).alias("contribution")))
+    ordered = F.array_sort(F.transform(rounded, lambda s: F.struct(
+        (-F.abs(s["contribution"])).alias("k"), s["pos"].alias("pos"), s["code"].alias("code"), s["contribution"].alias("contribution"),
+        F.when(s["c"] >= 0, "UP").otherwise("DOWN").alias("direction"))))
+    return F.transform(F.slice(ordered, 1, k), lambda s: F.struct(
+        s["code"].alias("code"), s["contribution"].alias("contribution"), s["direction"].alias("direction")))
 
 
 def score_batch(df: DataFrame, model: LinearModel, key: list[str] = ("drive_id", "day"),

@@ -172,8 +172,8 @@ SELECT drive_id, day, round(p, 6) AS risk_score,
   CASE WHEN p >= 0.75e0 THEN 'HIGH' WHEN p >= 0.4e0 THEN 'MED' ELSE 'LOW' END AS risk_bucket,
   '{m.version}' AS model_version FROM s""",
         "top_reasons": FFD() + f""", r AS ({reasons}),
-rr AS (SELECT *, round_even(c, 6) AS cr,
-       row_number() OVER (PARTITION BY drive_id, day ORDER BY abs(round_even(c, 6)) DESC, pos ASC) AS rank FROM r)
+x AS (SELECT *, CAST(format('{{:.6f}}', c) AS DOUBLE) AS cr FROM r),  -- formatting rounds the exact double
+rr AS (SELECT *, row_number() OVER (PARTITION BY drive_id, day ORDER BY abs(cr) DESC, pos ASC) AS rank FROM x)
 SELECT drive_id, day, CAST(rank AS INTEGER) AS rank, code, round(cr, 6) AS contribution,
   CASE WHEN c >= 0 THEN 'UP' ELSE 'DOWN' END AS direction FROM rr WHERE rank <= 5""",
         "risk_bucket": W("telemetry_events") + """SELECT serial_number, as_of_date,

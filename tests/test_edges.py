@@ -328,3 +328,21 @@ def test_top_cuts_and_average_precision_on_heavy_ties(spark):
         assert abs(EV.average_precision(df, leaf_rows=leaf_rows).first()[0] - total / hits) < 1e-12
     assert EV.recalls_at_top(df.limit(0), [0.5]) == [(0.0, 1)]
     assert EV.average_precision(df.where("y = 0")).first()[0] == 0.0
+
+
+def test_rounding_is_that_of_the_exact_double(spark):
+    import math
+    import random
+    from fleetlens.functions.rounding import round_exact
+    rng = random.Random(3)
+    xs = [j / 128 for j in range(-999, 999)] + [j / 128 + rng.randrange(10 ** 6) for j in range(1, 200, 2)]
+    for _ in range(3000):  # next to a tie, on both sides
+        t = (rng.randrange(10 ** rng.randint(1, 9)) + 0.5) / 1e6
+        xs += [t, math.nextafter(t, 0), math.nextafter(t, math.inf), -t]
+    xs += [rng.uniform(-1, 1) * 10.0 ** rng.randint(-12, 18) for _ in range(2000)]
+    xs += [2.5e-7, 5e-7, 5.000000000000001e-7, 4.999999e-7, 5e-324, 0.0, 1.0000005, 2.0 ** 52 + 0.5, 2.0 ** 51 + 0.5, 9e9 + 0.0000005, 1e300]
+    got = spark.createDataFrame([(x,) for x in xs], "x double").select("x", round_exact(F.col("x")).alias("r")).collect()
+    bad = [(r["x"], r["r"], round(r["x"], 6)) for r in got if r["r"] != round(r["x"], 6)]
+    assert not bad, bad[:5]
+    odd = spark.createDataFrame([(None,), (float("nan"),), (float("inf"),)], "x double").select(round_exact(F.col("x"))).collect()
+    assert odd[0][0] is None and math.isnan(odd[1][0]) and odd[2][0] == math.inf
