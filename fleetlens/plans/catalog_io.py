@@ -300,6 +300,22 @@ def q_drive_reasons(spark, d):
     return round6(_detail(spark, d).top_reasons)
 
 
+def q_drive_trend(spark, d):
+    """One drive's telemetry and predictions, read by its id from tables laid out for that."""
+    tel = AD.telemetry_events(spark, d)
+    root = scratch_path(spark, "point-reads")
+    WH.load_telemetry(AD.telemetry_daily(tel), f"{root}/telemetry")
+    WH.write_by_drive(AD.drives(tel), f"{root}/drives")
+    WH.write_by_drive(AD.predictions(tel), f"{root}/predictions")
+    drives, predictions = spark.read.parquet(f"{root}/drives"), spark.read.parquet(f"{root}/predictions")
+    history = spark.read.parquet(f"{root}/telemetry").withColumn("day", F.col("day").cast("date"))
+    one = drives.agg(F.max("drive_id")).first()[0]
+    found = FL.drive_detail(drives, history, predictions, one)
+    trend = found.telemetry_trend.select("drive_id", "day", "smart_5_raw", F.lit(None).cast("string").alias("model_version"))
+    risk = found.risk_history.select("drive_id", "day", F.col("risk_score").alias("smart_5_raw"), "model_version")
+    return round6(trend.unionByName(risk))
+
+
 def q_load_model(spark, d):
     from fleetlens.plans.catalog_model import _ffd
     path = scratch_path(spark, "model")
@@ -428,7 +444,7 @@ def queries() -> dict:
         "load_model": q_load_model, "registry_row": q_registry_row,
         "publish_run": q_publish_run, "publish_features": q_publish_features, "latest_state": q_latest_state,
         "drive_page_deep": q_drive_page_deep, "drive_page_deep_high": q_drive_page_deep_high,
-        "integer_forms": q_integer_forms, "numeric_features": q_numeric_features, "run_pipeline": q_run_pipeline,
+        "integer_forms": q_integer_forms, "drive_trend": q_drive_trend, "numeric_features": q_numeric_features, "run_pipeline": q_run_pipeline,
         "merge_drives": q_merge_drives, "merge_features": q_merge_features,
         "merge_predictions": q_merge_predictions, "insert_if_absent": q_insert_if_absent,
         "audit_event": q_audit_event,

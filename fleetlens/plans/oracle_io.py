@@ -204,6 +204,14 @@ texts AS (SELECT event_id, CASE form WHEN 0 THEN '0x' || hex(n) WHEN 1 THEN ' 0X
   WHEN 8 THEN '0xFFFFFFFF' || lpad(hex(n), 8, '0') WHEN 9 THEN '0x7F_' || hex(n) ELSE '.' || n || '_5' END AS t FROM forms)
 SELECT event_id, TRY_CAST(trim(t) AS INTEGER) AS as_int, TRY_CAST(trim(t) AS BIGINT) AS as_bigint,
   round(TRY_CAST(trim(t) AS DOUBLE), 6) AS as_double FROM texts""",
+        "drive_trend": W("telemetry_events") + """, one AS (SELECT max(serial_number) AS drive_id FROM telemetry_events),
+s AS (SELECT serial_number AS drive_id, as_of_date AS day, smart_5_raw, smart_5_raw / (smart_5_raw + 100) AS score
+      FROM telemetry_events WHERE serial_number = (SELECT drive_id FROM one)),
+p AS (SELECT drive_id, day, score, 'v2' AS model_version, 2 AS hour FROM s WHERE substr(drive_id, 7, 1) <> '7'
+      UNION ALL SELECT drive_id, day, score / 2, 'v1', 1 FROM s WHERE substr(drive_id, 7, 1) IN ('0', '5')),
+t AS (SELECT *, row_number() OVER (ORDER BY day) AS n FROM s), h AS (SELECT *, row_number() OVER (ORDER BY day, hour, model_version) AS n FROM p)
+SELECT drive_id, day, round(smart_5_raw, 6) AS smart_5_raw, CAST(NULL AS VARCHAR) AS model_version FROM t WHERE n <= 60
+UNION ALL SELECT drive_id, day, round(score, 6), model_version FROM h WHERE n <= 60""",
         "publish_features": build_features_sql("telemetry_ship", 30),
         "publish_run": FFD() + f""", p AS (SELECT 1e0 / (1e0 + exp(-({z}))) AS score FROM ffd), c AS (SELECT count(*) AS n FROM ffd)
 SELECT 'predictions' AS table_name, n AS rows, CAST(2 AS INTEGER) AS version, n AS keys, round((SELECT sum(score) FROM p), 6) AS score FROM c

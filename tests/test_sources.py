@@ -150,3 +150,45 @@ def test_manifest_matches_sql_on_fixture(spark):
     con.executemany("INSERT INTO pages VALUES (?, ?, ?)", rows)
     want = sorted(tuple(r) for r in con.execute(manifest_sql("pages", "lower(link) LIKE '%example%'", 1900)).fetchall())
     assert got == want and len(got) == 4
+
+
+def rows_scanned(df):
+    """Rows that the scans of an executed query put out."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.executedPlan() if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec" else plan
+    total, todo = 0, [plan]
+    while todo:
+        p = todo.pop()
+        if "Scan" in p.getClass().getSimpleName():
+            total += p.metrics().apply("numOutputRows").value()
+        inner = p.children()
+        todo += [inner.apply(i) for i in range(inner.size())]
+        if p.getClass().getSimpleName().endswith("QueryStageExec"):
+            todo.append(p.plan())
+    return total
+
+
+def test_point_reads_skip_row_groups(spark, tmp_path):
+    from fleetlens.operators import fleet as FL
+    from fleetlens.sources import warehouse as WH
+    drives = spark.range(0, 60_000, 1, 4).selectExpr("concat('D', lpad(CAST(id * 7919 % 1000003 AS STRING), 8, '0')) AS drive_id", "'m' AS model",
+                                                     "'d' AS datacenter", "id AS capacity_bytes", "DATE '2024-01-01' AS first_seen", "DATE '2024-02-01' AS last_seen")
+    tel = drives.select("drive_id", F.explode(F.sequence(F.lit("2024-01-01").cast("date"), F.lit("2024-01-04").cast("date"))).alias("day"),
+                        F.col("capacity_bytes").cast("double").alias("smart_5_raw"))
+    before = WH.POINT_ROW_GROUP
+    WH.for_point_reads.__defaults__, kept = (64 << 10, 5000), WH.for_point_reads.__defaults__
+    try:
+        WH.load_telemetry(tel, str(tmp_path / "tel"))
+        WH.write_by_drive(drives, str(tmp_path / "drives"), files=6, row_group=64 << 10)
+    finally:
+        WH.for_point_reads.__defaults__ = kept
+    assert before == WH.POINT_ROW_GROUP
+    one = drives.agg(F.max("drive_id")).first()[0]
+    read, found = spark.read.parquet(str(tmp_path / "tel")), spark.read.parquet(str(tmp_path / "drives"))
+    detail = FL.drive_detail(found, read, spark.createDataFrame([], "drive_id string, day date, scored_at timestamp, model_version string"), one)
+    assert detail.telemetry_trend.count() == 4 and detail.drive.first()["drive_id"] == one
+    assert rows_scanned(read.where(F.col("drive_id") == one)) < 240_000 / 10
+    assert rows_scanned(found.where(F.col("drive_id") == one)) < 60_000 / 10
+    # an id inside every range but in no row group: ranges alone would read pages of each day
+    assert rows_scanned(read.where(F.col("drive_id") == one[:-1] + "x")) == 0
