@@ -27,7 +27,7 @@ def latest_day(df: DataFrame, date_col: str = "date"):
     """Latest day as a Python date (a scalar by contract); error if the table is empty."""
     v = df.agg(F.max(F.col(date_col).cast("date"))).first()[0]
     if v is None:
-        raise RuntimeError("dataset is empty; cannot resolve latest day")
+        raise RuntimeError("no row has a day, so there is no latest one")
     return v
 
 

@@ -27,6 +27,11 @@ from fleetlens.sources import zipcsv as ZC
 from fleetlens.sources.snapshots import SnapshotLog
 
 
+# The reasons that a skipped scoring run reports.
+NO_TELEMETRY = "No telemetry available"
+NO_FEATURES = "No feature rows generated"
+
+
 # -- C6: warehouse build ---------------------------------------------------------
 def build_warehouse(spark: SparkSession, source: str, dest: str, kind: str = "zip",
                     max_files: int | None = None, mode: str = "append") -> int:
@@ -204,12 +209,12 @@ def run_scoring(telemetry: DataFrame, drives: DataFrame, predictions: DataFrame
         try:
             day = CO.latest_day(telemetry, "day")
         except RuntimeError:
-            return ScoreRun("skipped", None, reason="No telemetry available")
+            return ScoreRun("skipped", None, reason=NO_TELEMETRY)
     # one row per drive for one day: bounded by the fleet size, reused by every step below
     feats = FE.features_for_day(telemetry, drives, day, METRICS, mode=mode).persist()
     if feats.isEmpty():
         feats.unpersist()
-        return ScoreRun("skipped", day, reason="No feature rows generated")
+        return ScoreRun("skipped", day, reason=NO_FEATURES)
     names = model.features
     stored = VE.features_daily_row(feats, model_feature_names())
     store = stored if features_store is None else MG.merge_by_key(features_store, stored, FEATURES_KEY)

@@ -43,6 +43,7 @@ TRAPPED = r"""(SELECT page_id, url, html || '<script>var a = "<a href=''scripted
   FROM pages)"""
 
 
+# Fixed values inside: the file-name patterns for year and period, as in sources/links.py.
 def manifest_sql(pages: str, chosen: str, year_from: int) -> str:
     """The manifest of the chosen links of a pages table or subquery."""
     links = LINKS.replace("FROM pages", f"FROM {pages}")

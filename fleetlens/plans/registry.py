@@ -53,7 +53,7 @@ def active_model(registry: DataFrame, version: str | None = None) -> DataFrame:
         r = registry.where(F.col("model_version") == version)
         rows = r.select("status").limit(2).collect()
         if not rows:
-            raise FileNotFoundError(f"Requested model version not found: {version}")
+            raise FileNotFoundError(f"the registry has no model {version}")
         if rows[0]["status"] != "complete":
             raise FileNotFoundError(f"Model version {version} is incomplete")
         return r.limit(1)

@@ -186,7 +186,7 @@ def dataset_manifest(pages: DataFrame, year_from: int = 2013, year_to: int | Non
     y, p = year_period(F.col("file_name"))
     m = links.select("url", "file_name", y.alias("year"), p.alias("period")).where(F.col("year").isNotNull())
     if require and m.isEmpty():
-        raise RuntimeError("No dataset ZIP links found in the pages")
+        raise RuntimeError("the pages link to no dataset")
     # year_to=None means "up to the latest year found", which every row satisfies
     if year_to is not None:
         m = m.where(F.col("year") <= year_to)

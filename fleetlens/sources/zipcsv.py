@@ -7,10 +7,11 @@ archive does not become one task or one row:
 2. a ``mapInPandas`` pass opens each archive through the file system (a
    seekable handle), reads only the central directory and the first line of
    every CSV entry -> (archive, entry, header): file metadata;
-3. entries are grouped by header; each group's (archive, entry) pairs are
-   spread over tasks and streamed out as lines in bounded batches, then parsed
-   with ``from_csv`` against an all-text schema (rows with the wrong field
-   count are dropped, as the reference's CSV reader does).
+3. the entries stay a table: each says at which place of its lines the canonical
+   columns are (its layout), is streamed out by one task as lines in bounded batches,
+   and the lines are parsed with ``from_csv`` (rows with the wrong field count are
+   dropped) and read by their own layout.  One scan serves any number of header
+   variants; the driver only learns how many columns the headers have.
 """
 
 from __future__ import annotations
@@ -21,11 +22,13 @@ import zipfile
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetlens.operators.canonical import canonicalize, drop_null_keys
+from fleetlens.operators.canonical import canonicalize, drop_null_keys, resolve_aliases
+from fleetlens.schema import CANONICAL_COLUMNS
+from fleetlens.session import scratch_path
 from fleetlens.sources.csv import parse_header
 
-ENTRY_SCHEMA = "archive string, entry string, header string"
-LINE_SCHEMA = "archive string, entry string, line_no long, line string"
+ENTRY_SCHEMA = "archive string, entry string, header string, layout string"
+LINE_SCHEMA = "archive string, entry string, layout string, line_no long, line string"
 BATCH_LINES = 50_000
 BAD = "_bad_record"
 
@@ -49,6 +52,16 @@ def _open(path: str):
     return fs.open_input_file(p)
 
 
+def layout(header: str) -> str | None:
+    """Number of columns, and the place of each canonical column among them (-1: none), as text; null without columns."""
+    names = parse_header(header)
+    if not names:
+        return None
+    places = {n: i for i, n in reversed(list(enumerate(names)))}
+    source = resolve_aliases(names)
+    return f"{len(names)}:" + ",".join(str(places.get(source[c], -1)) for c, _, _ in CANONICAL_COLUMNS)
+
+
 def _entries(batches):
     for pdf in batches:
         rows = []
@@ -59,13 +72,14 @@ def _entries(batches):
                         continue
                     with zf.open(name) as e:
                         first = io.TextIOWrapper(e, encoding="utf-8-sig", newline="").readline()
-                    rows.append((path, name, first.rstrip("\r\n")))
-        yield pd.DataFrame(rows, columns=["archive", "entry", "header"])
+                    header = first.rstrip("\r\n")
+                    rows.append((path, name, header, layout(header)))
+        yield pd.DataFrame(rows, columns=["archive", "entry", "header", "layout"])
 
 
 def _lines(batches):
     for pdf in batches:
-        for path, name in zip(pdf["archive"], pdf["entry"]):
+        for path, name, kind in zip(pdf["archive"], pdf["entry"], pdf["layout"]):
             with _open(path) as fh, zipfile.ZipFile(fh) as zf, zf.open(name) as e:
                 rows: list[tuple] = []
                 held = ""
@@ -75,15 +89,15 @@ def _lines(batches):
                     held += raw
                     if held.count('"') % 2:
                         continue  # a line feed inside quotes
-                    rows.append((path, name, i, held.rstrip("\r\n")))
+                    rows.append((path, name, kind, i, held.rstrip("\r\n")))
                     held = ""
                     if len(rows) >= BATCH_LINES:
-                        yield pd.DataFrame(rows, columns=["archive", "entry", "line_no", "line"])
+                        yield pd.DataFrame(rows, columns=["archive", "entry", "layout", "line_no", "line"])
                         rows = []
                 if held:
-                    rows.append((path, name, i, held.rstrip("\r\n")))
+                    rows.append((path, name, kind, i, held.rstrip("\r\n")))
                 if rows:
-                    yield pd.DataFrame(rows, columns=["archive", "entry", "line_no", "line"])
+                    yield pd.DataFrame(rows, columns=["archive", "entry", "layout", "line_no", "line"])
 
 
 def zip_entries(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFrame:
@@ -91,43 +105,41 @@ def zip_entries(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFram
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path")
     n = files.count()
     if n == 0:
-        raise RuntimeError(f"No ZIP files found in {path}")
+        raise RuntimeError(f"no archive matches {glob} under {path}")
     return files.repartition(n).mapInPandas(_entries, ENTRY_SCHEMA)
 
 
 def entry_lines(entries: DataFrame) -> DataFrame:
-    """Data lines (after the header) of the given (archive, entry) pairs, one entry per task."""
+    """Data lines (after the header) of the given entries, one entry per task."""
     n = max(1, entries.count())
-    return entries.select("archive", "entry").repartition(n, "archive", "entry").mapInPandas(_lines, LINE_SCHEMA)
+    return entries.select("archive", "entry", "layout").repartition(n, "archive", "entry").mapInPandas(_lines, LINE_SCHEMA)
 
 
 def read_zip_csv(spark: SparkSession, path: str, max_files: int | None = None, glob: str = "*.zip") -> DataFrame:
     """Canonical warehouse rows from all CSV entries of all archives; optionally only the first
     ``max_files`` entries in (archive, entry) order."""
-    meta = sorted((r["archive"], r["entry"], r["header"]) for r in zip_entries(spark, path, glob).collect())
+    found = zip_entries(spark, path, glob).where("layout IS NOT NULL")
     if max_files:
-        meta = meta[:max_files]
-    by_header: dict[str, list[tuple[str, str]]] = {}
-    for a, e, h in meta:
-        by_header.setdefault(h, []).append((a, e))
-    parts = []
-    for header, keys in sorted(by_header.items()):
-        cols = parse_header(header)
-        if not cols:
-            continue
-        # the entry list is file metadata (one row per CSV file)
-        ents = spark.createDataFrame(keys, "archive string, entry string")
+        found = found.orderBy("archive", "entry").limit(max_files)
+    # one short row per entry, written once so that archives are opened once for it
+    place = scratch_path(spark, "zip-entries")
+    found.write.parquet(place)
+    entries = spark.read.schema(ENTRY_SCHEMA).parquet(place)
+    width = F.substring_index("layout", ":", 1).cast("int")
+    widths = sorted(r[0] for r in entries.select(width).distinct().collect())
+    if not widths:
+        raise RuntimeError(f"the archives under {path} hold no CSV file")
+    fields = None
+    for n in widths:
+        ddl = ", ".join([*(f"c{i} string" for i in range(n)), f"{BAD} string"])
         # the parse itself says which records have another number of fields
-        ddl = ", ".join([*(f"`{c}` string" for c in cols), f"{BAD} string"])
-        records = entry_lines(ents).select(F.from_csv("line", ddl, {"columnNameOfCorruptRecord": BAD}).alias("r"))
-        parsed = records.where(F.col(f"r.{BAD}").isNull()).select("r.*").drop(BAD)
-        parts.append(drop_null_keys(canonicalize(parsed)))
-    if not parts:
-        raise RuntimeError(f"No CSV entries found in {path}")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        parsed = F.array(F.from_csv("line", ddl, {"columnNameOfCorruptRecord": BAD}))
+        names = [f"c{i}" for i in range(n)]
+        one = F.transform(parsed, lambda r: F.when(r[BAD].isNull(), F.array(*[r[c] for c in names])))[0]  # noqa: B023
+        fields = F.when(width == n, one) if fields is None else fields.when(width == n, one)
+    lines = entry_lines(entries).select(fields.alias("v"), F.split(F.substring_index("layout", ":", -1), ",").cast("array<int>").alias("at"))
+    text = [F.get("v", F.get("at", F.lit(i))).alias(c) for i, (c, _, _) in enumerate(CANONICAL_COLUMNS)]
+    return drop_null_keys(canonicalize(lines.where("v IS NOT NULL").select(*text)))
 
 
 def _write_zip_partition(out_dir: str, columns: list[str], extra_junk: bool):

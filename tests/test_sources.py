@@ -192,3 +192,25 @@ def test_point_reads_skip_row_groups(spark, tmp_path):
     assert rows_scanned(found.where(F.col("drive_id") == one)) < 60_000 / 10
     # an id inside every range but in no row group: ranges alone would read pages of each day
     assert rows_scanned(read.where(F.col("drive_id") == one[:-1] + "x")) == 0
+
+
+def test_many_header_variants_are_one_scan(spark):
+    """Fifty headers: other orders, names in another case, more columns, quoted line feeds, wrong field counts."""
+    import random
+    rng = random.Random(4)
+    root = tempfile.mkdtemp(prefix="fl-zip-many-")
+    want = set()
+    for i in range(50):
+        names = ["date", rng.choice(["serial_number", "Serial_Number"]), "model", "smart_5_raw", *[f"extra_{j}" for j in range(i % 7)]]
+        rng.shuffle(names)
+        row = {"date": f"2024-01-{i % 28 + 1:02d}", "serial_number": f"S{i}", "model": "a, b" if i % 2 else "two\nlines", "smart_5_raw": str(i)}
+        cells = [row.get(n.lower(), "x") for n in names]
+        body = ",".join(names) + "\n" + ",".join(f'"{c}"' for c in cells) + "\n" + ",".join(cells[:2]) + "\n"
+        with zipfile.ZipFile(f"{root}/{i:02d}.zip", "w") as zf:
+            zf.writestr("data/a.csv", body)
+            zf.writestr("data/empty.csv", "")
+        want.add((row["serial_number"], row["date"], row["model"], float(i)))
+    df = ZC.read_zip_csv(spark, root)
+    got = {(r["serial_number"], str(r["date"]), r["model"], r["smart_5_raw"]) for r in df.collect()}
+    assert got == want
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("MapInPandas") == 1
