@@ -253,7 +253,7 @@ def encode(docs: DataFrame, codec, text_col: str = "text", keep: tuple[str, ...]
     """``keep`` (default: all columns) plus ``token_ids`` and ``n_tokens`` of each whole text.
 
     No shuffle: one pass over the rows.  A null text is empty and has no ids; repeated rows
-    are encoded each.  Kept columns called like the two new ones are left out.
+    are encoded each; very long texts are encoded whole; an empty table gives no rows.  Kept columns called like the two new ones are left out.
     """
     kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in ("token_ids", "n_tokens")]
     source = free_name(docs, "bpe_text")

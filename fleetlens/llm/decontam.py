@@ -251,7 +251,9 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     A document is a distinct pair of id and text, so repeated rows count once; null ids
     stay null.  Similarity is twice the matched words over the words of the item and of
     the passage aligned with it.  Null and empty texts match nothing; of items with one id and
-    several texts, each is aligned and the best counts.
+    several texts, each is aligned and the best counts.  Without documents or without items
+    nothing is found.  Very long documents and items are aligned whole, a row of the document's
+    words in memory at a time; other columns are not read.
 
     One pass over the texts keeps only the seeds that pass a filter of fixed size, with no text; the
     exact join on seeds and a count per document and item follow.  A second pass takes the words

@@ -299,7 +299,9 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block
     """``docs`` with repeated blocks deleted from the later documents; every row stays.
 
     Columns are those of ``docs``; ``with_digest`` adds ``lines_gone``.  Rows with a null
-    id, null text or nothing to delete are unchanged; repeated rows change alike.
+    id, null text or nothing to delete are unchanged; repeated rows change alike.  An empty
+    table stays empty.  Very long texts are read whole; their pairs are aligned in time that
+    grows with their lines.  Other columns are carried, whatever their names.
     """
     found = staged(repeated(docs, id_col, text_col, block_words), "line-gone")
     inner = docs.select([F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])

@@ -249,7 +249,8 @@ def score(docs: DataFrame, model: Ordinal, text_col: str = "text", keep: tuple[s
     """``keep`` (default: all columns) plus ``expected_grade`` and ``tail_probability`` of each whole text.
 
     No shuffle.  A null text is empty and is scored as such; repeated rows get equal scores;
-    kept columns called like the two new ones are left out.
+    an empty table gives no rows; very long texts are read whole, one at a time.  Kept columns
+    called like the two new ones are left out.
     """
     kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in ("expected_grade", "tail_probability")]
     source = free_name(docs, "quality_text")

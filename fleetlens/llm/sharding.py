@@ -126,6 +126,7 @@ def reshard(docs: DataFrame, old: Column, n_old: int, n_new: int, capacity: list
     columns c0, c1, ... of ``docs`` in their order, shard, old_shard, size and slot (gapless from 0
     in each shard); shards that change are read back from the files written under ``path``,
     the others from ``docs``.  Rows equal in id and text go to one shard; null ids are an id.
+    A row larger than its share is a block of its own; an empty table gives no rows and a plan without moves.
 
     Texts are shuffled once, by block; the offsets of blocks join in that partitioning.  Only
     the large rows and the old shards' ranges are broadcast.  The driver gets the sizes of the old shards and the large rows,

@@ -1,5 +1,7 @@
 """The pipeline against brute-force versions of its stages, on the smallest table."""
 
+import random
+
 import corpus_pipeline
 from fleetlens.llm import bpe, catalog, simhash
 
@@ -41,3 +43,32 @@ def test_stages_of_an_empty_table(spark, smoke_dir):
     docs = spark.read.parquet(f"{smoke_dir}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, smoke_dir).count() == 0
+
+
+def test_stages_take_nulls_ties_repeats_and_clashing_columns(spark, smoke_dir):
+    """Each stage on its own: no row with odd values stops it, clean texts stay, columns stay as they are."""
+    rng = random.Random(17)
+    story = [" ".join("".join(rng.choices("abcdefghij", k=rng.randint(2, 7))) for _ in range(80)).capitalize() + "." for _ in range(6)]
+    rows = [(i, t) for i, t in enumerate(story)] + [(0, story[0]), (0, story[0]), (50, story[0]), (None, story[1]), (None, None), (None, None),
+                                                    (7, None), (8, ""), (8, ""), (9, "word " * 200_000), (10, story[2] + " " + story[3])]
+    names = "doc_id long, text string, lang string, source string, n_chars long, simhash long, text_hash string, gone int, c0 string, tail_probability string"
+    docs = spark.createDataFrame([(i, t, None, None, None, 1, "a", 2, "b", "c") for i, t in rows], names)
+    plain = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        for table in (plain, docs):
+            out = stage(spark, table, smoke_dir)
+            assert out.columns == table.columns, name
+            got = [(r.doc_id, r.text) for r in out.collect()]
+            if name == "line_dedup":
+                assert len(got) == len(rows)
+                left = dict((i, t) for i, t in got if i is not None and i < 6)
+                assert left == dict(enumerate(story)) and (50, "") in got and (10, "") in [(i, (t or "").strip()) for i, t in got]
+            elif name == "near_dedup":
+                kept = [t for _, t in got]
+                assert set(story) <= set(kept) and len([t for t in kept if not t]) == 1 and kept.count(story[0]) == 1
+                assert (0, story[0]) in got and (1, story[1]) in got
+            elif name == "decontamination":
+                assert len(got) == len(rows)
+    codes = corpus_pipeline.STAGES[-1][1](spark, docs, smoke_dir)
+    assert codes.count() == len(rows) and codes.where("text IS NULL AND n_tokens > 0").count() == 0
+    assert codes.columns == [*docs.columns, "token_ids", "n_tokens"]
