@@ -192,6 +192,26 @@ def fit_logistic(train: DataFrame, names: list[str], label: str = "label_30d", v
                        version=version, horizon_days=horizon_days)
 
 
+def optimality(train: DataFrame, model: LinearModel, label: str = "label_30d", reg_param: float = 1e-5) -> DataFrame:
+    """One row: rows, positives and the largest slope of the fitted objective (balanced log loss plus L2) at the model.
+
+    At the optimum every slope is zero: one aggregate checks a fit, whatever solver made it.
+    """
+    names = model.features
+    m = training_matrix(train, names, label)
+    cw = class_weights(m, label).first()
+    x = scale_features(m, names, {n: (model.means[n], model.scales[n]) for n in names}, keep=[label]).withColumn(
+        "_w", weight_column(label, cw["w0"], cw["w1"]))
+    z = F.lit(float(model.intercept))
+    for n in names:
+        z = z + F.lit(float(model.weights[n])) * F.col(n)
+    x = x.withColumn("_r", F.col("_w") * (sigmoid(z) - F.col(label)))
+    sums = x.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col(label).cast("bigint")).alias("positives"), F.sum("_w").alias("_t"),
+                 F.sum("_r").alias("_b"), *[F.sum(F.col("_r") * F.col(n)).alias(f"_g{i}") for i, n in enumerate(names)])
+    slopes = [F.abs(F.col("_b") / F.col("_t"))] + [F.abs(F.col(f"_g{i}") / F.col("_t") + F.lit(reg_param * model.weights[n])) for i, n in enumerate(names)]
+    return sums.select("rows", "positives", F.greatest(*slopes).alias("largest_slope"))
+
+
 # -- scoring ------------------------------------------------------------------
 # The expressions below are written as SQL text and parsed once on the JVM side:
 # building ~1,000 Column objects one Py4J call at a time costs seconds per

