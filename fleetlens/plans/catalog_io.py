@@ -248,7 +248,7 @@ def q_train_optimum(spark, d):
     """The training split and whether the fit is the objective's optimum there."""
     f = FE.build_features(AD.telemetry_events(spark, d), METRICS, 7)
     train, _, _ = MO.time_split(f, test_months=9)
-    model = MO.fit_logistic(train, MO.numeric_features(f), horizon_days=7, max_iter=200)
+    model = MO.fit_logistic(train, MO.numeric_features(f), horizon_days=7, max_iter=60)
     at = MO.optimality(train, model)
     return at.select(F.col("rows").alias("train_rows"), "positives", (F.col("largest_slope") < 0.001).alias("at_optimum"))
 
