@@ -18,6 +18,8 @@ SESSION_DEFAULTS = {
     # partition columns such as month='01' must stay text (hazard H4)
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # the JVM never compiles a method of more bytecode: wide projections are cut into smaller ones instead
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # DROPMALFORMED must drop short/long CSV rows even when only some columns are read (hazard H3)
     "spark.sql.csv.parser.columnPruning.enabled": "false",
 }

@@ -20,17 +20,15 @@ import io
 import zipfile
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from fleetlens.operators.canonical import canonicalize, drop_null_keys, resolve_aliases
-from fleetlens.schema import CANONICAL_COLUMNS
+from fleetlens.operators.canonical import drop_null_keys
 from fleetlens.session import scratch_path
-from fleetlens.sources.csv import parse_header
+from fleetlens.sources.csv import canonical_lines, layout, layout_widths
 
 ENTRY_SCHEMA = "archive string, entry string, header string, layout string"
 LINE_SCHEMA = "archive string, entry string, layout string, line_no long, line string"
 BATCH_LINES = 50_000
-BAD = "_bad_record"
 
 
 def is_metadata_entry(name: str) -> bool:
@@ -52,16 +50,6 @@ def _open(path: str):
     return fs.open_input_file(p)
 
 
-def layout(header: str) -> str | None:
-    """Number of columns, and the place of each canonical column among them (-1: none), as text; null without columns."""
-    names = parse_header(header)
-    if not names:
-        return None
-    places = {n: i for i, n in reversed(list(enumerate(names)))}
-    source = resolve_aliases(names)
-    return f"{len(names)}:" + ",".join(str(places.get(source[c], -1)) for c, _, _ in CANONICAL_COLUMNS)
-
-
 def _entries(batches):
     for pdf in batches:
         rows = []
@@ -125,21 +113,10 @@ def read_zip_csv(spark: SparkSession, path: str, max_files: int | None = None, g
     place = scratch_path(spark, "zip-entries")
     found.write.parquet(place)
     entries = spark.read.schema(ENTRY_SCHEMA).parquet(place)
-    width = F.substring_index("layout", ":", 1).cast("int")
-    widths = sorted(r[0] for r in entries.select(width).distinct().collect())
+    widths = layout_widths(entries)
     if not widths:
         raise RuntimeError(f"the archives under {path} hold no CSV file")
-    fields = None
-    for n in widths:
-        ddl = ", ".join([*(f"c{i} string" for i in range(n)), f"{BAD} string"])
-        # the parse itself says which records have another number of fields
-        parsed = F.array(F.from_csv("line", ddl, {"columnNameOfCorruptRecord": BAD}))
-        names = [f"c{i}" for i in range(n)]
-        one = F.transform(parsed, lambda r: F.when(r[BAD].isNull(), F.array(*[r[c] for c in names])))[0]  # noqa: B023
-        fields = F.when(width == n, one) if fields is None else fields.when(width == n, one)
-    lines = entry_lines(entries).select(fields.alias("v"), F.split(F.substring_index("layout", ":", -1), ",").cast("array<int>").alias("at"))
-    text = [F.get("v", F.get("at", F.lit(i))).alias(c) for i, (c, _, _) in enumerate(CANONICAL_COLUMNS)]
-    return drop_null_keys(canonicalize(lines.where("v IS NOT NULL").select(*text)))
+    return drop_null_keys(canonical_lines(entry_lines(entries).select("line", "layout"), widths))
 
 
 def _write_zip_partition(out_dir: str, columns: list[str], extra_junk: bool):

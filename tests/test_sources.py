@@ -29,6 +29,51 @@ def test_drift_and_malformed_rows(spark):
     assert CSV.ingest_csv(spark, root).select("serial_number").count() == 2
 
 
+def test_fifty_csv_headers_are_one_scan(spark):
+    root = tempfile.mkdtemp(prefix="fl csv-")
+    for i in range(50):
+        extra = "".join(f",x{j}" for j in range(i % 7)) + f",col{i}"
+        cells = "," * (i % 7 + 1)
+        name = ("serial_number", "Serial")[i % 2]
+        _write(f"{root}/d {i % 3}/f{i}.csv", f"{name},date,smart_5_raw{extra}\nS{i},2024-01-{i % 28 + 1:02d},{i}{cells}\n"
+               f"\n \t\nshort,2024-01-01\n\"Q,{i}\",2024-02-01,{i}{cells}\n")
+    want = sorted([(f"S{i}", dt.date(2024, 1, i % 28 + 1), float(i)) for i in range(50)]
+                  + [(f"Q,{i}", dt.date(2024, 2, 1), float(i)) for i in range(50)])
+    for limit in (CSV.BROADCAST_MAX_FILES, 0):
+        rows = CSV.read_csv_drift(spark, root, broadcast_files=limit)
+        assert sorted((r["serial_number"], r["date"], r["smart_5_raw"]) for r in rows.collect()) == want
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation [value") == 1 and "Union" not in plan
+
+
+def test_csv_first_lines(spark):
+    root = tempfile.mkdtemp(prefix="fl-csv-")
+    with open(f"{root}/mark.csv", "wb") as f:
+        f.write(b"\xef\xbb\xbfserial_number,date\r\nA,2024-01-01\r\nB,2024-01-02")
+    _write(f"{root}/again.csv", "serial_number,date\nC,2024-01-01\nserial_number,date\nD,2024-01-01\n")
+    _write(f"{root}/bare.csv", "")
+    _write(f"{root}/blank.csv", "\nE,2024-01-01\n")
+    _write(f"{root}/head.csv", "serial_number,date\n")
+    _write(f"{root}/one.csv", "serial_number\nF\n")
+    assert sorted(r["serial_number"] for r in CSV.read_csv_drift(spark, root).collect()) == ["A", "B", "C", "D", "F"]
+    assert sorted(r["serial_number"] for r in CSV.ingest_csv(spark, root).collect()) == ["A", "B", "C", "D"]
+    # files of one header: the plain scan gives the same rows, without a header line met again
+    for name in ("again", "mark", "head", "one"):
+        both = [CSV.read_csv_drift(spark, f"{root}/{name}.csv", glob="*").collect(),
+                CSV.read_csv_drift(spark, [f"{root}/{name}.csv", f"{root}/blank.csv"]).collect()]
+        assert sorted(map(str, both[0])) == sorted(map(str, both[1]))
+    _write(f"{root}/twice.csv", "serial_number,date,Date\nG,2024-01-01,2024-01-02\n")
+    assert [r["date"] for r in CSV.read_csv_drift(spark, f"{root}/twice.csv").collect()] == [dt.date(2024, 1, 1)]
+    plain = CSV.read_csv_text(spark, [f"{root}/mark.csv", f"{root}/head.csv"], ["serial_number", "date"])
+    assert sorted(r["serial_number"] for r in plain.collect()) == ["A", "B"]
+    for missing in ("bare", "none"):
+        try:
+            CSV.read_csv_drift(spark, root, glob=f"{missing}*.csv")
+        except RuntimeError:
+            continue
+        raise AssertionError("no file or no header must be an error")
+
+
 def test_zip_skips_junk_and_limits_files(spark):
     root = tempfile.mkdtemp(prefix="fl-zip-")
     for n, day in (("a", "2024-01-01"), ("b", "2024-01-02")):
