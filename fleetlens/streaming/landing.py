@@ -47,7 +47,7 @@ def ingest_landing(spark: SparkSession, landing: str, target: str, glob: str = "
     """Process every not-yet-seen landing file once, then stop (availableNow).
 
     The stream lists files only; each micro-batch, of at most ``max_files_per_trigger``
-    files, is read by the header-grouped reader, so a file whose columns come in another
+    files, is read by the drifting-header reader, so a file whose columns come in another
     order or under other names is bound by its own header.
     """
     files = (spark.readStream.format("binaryFile").schema(BINARY_FILE).option("pathGlobFilter", glob)
