@@ -271,21 +271,36 @@ def step(path: int, signature: str) -> int:
 
 
 def skeleton(node: list) -> list:
-    """[signature, path hash, text hashes, children] with runs of equal siblings as one node, which has the texts of all."""
+    """[signature, path hash, text hashes, children] with runs of equal siblings as one node, which has the texts and children of all.
+
+    The children of a run's elements are laid over each other in page order; one that the
+    elements before it lack is put in where it stands.
+    """
     root = [node[0], ROOT, [_key(t) for t in node[1]], []]
-    todo = [(node, root)]
+    todo = [([node], root)]
     while todo:
-        source, made = todo.pop()
+        sources, made = todo.pop()
+        names: list[str] = []
+        known: set[str] = set()
         runs: list[list] = []
-        for child in source[2]:
-            if runs and runs[-1][0] == child[0]:
-                runs[-1][1].extend(child[1])
-                if not runs[-1][2]:
-                    runs[-1][2] = child[2]
-            else:
-                runs.append([child[0], list(child[1]), child[2]])
-        for run in runs:
-            made[3].append([run[0], step(made[1], run[0]), [_key(t) for t in run[1]], []])
+        for source in sources:
+            at = -1
+            for child in source[2]:
+                name = child[0]
+                try:
+                    found = names.index(name, max(at, 0)) if name in known else -1
+                except ValueError:
+                    found = -1
+                if found < 0:
+                    at += 1
+                    names.insert(at, name)
+                    runs.insert(at, [child])
+                    known.add(name)
+                else:
+                    at = found
+                    runs[at].append(child)
+        for name, run in zip(names, runs):
+            made[3].append([name, step(made[1], name), [_key(t) for child in run for t in child[1]], []])
             todo.append((run, made[3][-1]))
     return root
 

@@ -741,6 +741,18 @@ def test_skeletons_are_read_back_as_written():
         assert wrapper.read_back(wrapper.written(node)[0]) == node
 
 
+def test_a_run_of_siblings_has_the_children_of_all(spark):
+    """Lines that every page has under a later one of equal siblings are template, as under the first one."""
+    page = ("<body><div><p>Story {0} runs here</p></div><div><p>Read our rules</p><ul><li>Rule one</li><li><b>Rule</b><pre>two</pre></li></ul></div>"
+            "<div><h4>Contact the desk</h4><p>Word {0} of it</p></div></body>")
+    tree = wrapper.skeleton(wrapper.Page(page.format(1)).root)
+    run, = tree[3][0][3]
+    assert [(c[0], len(c[2])) for c in run[3]] == [("h4", 1), ("p", 3), ("ul", 0)]
+    assert [(c[0], len(c[2])) for c in run[3][2][3]] == [("li", 2)] and run[3][2][3][0][3][0][0] == "pre"
+    got = html_texts(spark, [(i, f"http://a.example/{i}", page.format(i)) for i in range(8)])
+    assert got == {i: f"Story {i} runs here\nWord {i} of it" for i in range(8)}
+
+
 def test_links_and_forms_that_are_content_stay():
     text = lambda h: wrapper.main_text(wrapper.Page(h))
     assert text("<div class=post><p>x y</p><ul><li><a href=a>link one</a></li><li>plain</li></ul></div>") == "x y\nlink one\nplain"
