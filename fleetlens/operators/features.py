@@ -35,7 +35,6 @@ def _recast(df: DataFrame, metrics: list[str], date_col: str) -> DataFrame:
 # above this many rows (a placeholder serial, corrupt data) is split into chunks.
 HOT_DRIVE_ROWS = 100_000
 HOT_CHUNK_ROWS = 50_000
-LOOKBACK_ROWS = 29  # the widest frame is the current row and the 29 rows before it
 
 
 def hot_drives(base: DataFrame, threshold: int) -> DataFrame:
@@ -44,19 +43,14 @@ def hot_drives(base: DataFrame, threshold: int) -> DataFrame:
     return rows.where(F.col("count") > threshold).select("serial_number")
 
 
-def _stat_exprs(metrics: list[str], key, order: str, ties: list[str]) -> list:
-    return W.rolling_feature_columns(metrics, key=key, order=order, tiebreak=ties,
-                                     stats=[st for st in STATS if st != "delta_vs_7d"])
-
-
 def _enrich_by_drive(base: DataFrame, metrics: list[str], ties: list[str]) -> DataFrame:
     whole = W.window_sql("serial_number", "as_of_date", ties,
                          "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING")
-    return base.select(
-        "as_of_date", "serial_number", "model", "capacity_bytes", *metrics,
+    ends = base.select(
+        "as_of_date", "serial_number", "model", "capacity_bytes", *([] if not ties else ["failure"]), *metrics,
         F.expr(f"min(as_of_date) OVER ({whole}) AS _first_seen"),
-        F.expr(f"min(CASE WHEN failure = 1 THEN as_of_date END) OVER ({whole}) AS _failure_date"),
-        *_stat_exprs(metrics, "serial_number", "as_of_date", ties))
+        F.expr(f"min(CASE WHEN failure = 1 THEN as_of_date END) OVER ({whole}) AS _failure_date"))
+    return W.rolled(ends, ["serial_number"], ["as_of_date", *ties], metrics).drop("failure")
 
 
 def _enrich_hot(rows: DataFrame, metrics: list[str], chunk_rows: int, ties: list[str]) -> DataFrame:
@@ -77,15 +71,16 @@ def _enrich_hot(rows: DataFrame, metrics: list[str], chunk_rows: int, ties: list
     r0 = F.col("_r") - 1
     chunk = F.floor(r0 / F.lit(chunk_rows)).cast("long")
     own = ranked.withColumns({"_chunk": chunk, "_halo": F.lit(False)})
-    halo = ranked.where(F.pmod(r0, F.lit(chunk_rows)) >= chunk_rows - LOOKBACK_ROWS).withColumns(
+    halo = ranked.where(F.pmod(r0, F.lit(chunk_rows)) >= chunk_rows - W.LOOKBACK_ROWS).withColumns(
         {"_chunk": chunk + 1, "_halo": F.lit(True)})
     both = own.unionByName(halo)
-    stats = both.select("as_of_date", "serial_number", "model", "capacity_bytes", *metrics, "_halo",
-                        *_stat_exprs(metrics, ["serial_number", "_chunk"], "_r", [])).where(~F.col("_halo"))
+    placed = both.select("as_of_date", "serial_number", "model", "capacity_bytes", *metrics, "_chunk", "_r", "_halo").repartition(
+        "serial_number", "_chunk")
+    stats = W.rolled(placed, ["serial_number", "_chunk"], ["_r"], metrics).where(~F.col("_halo"))
     ends = rows.groupBy("serial_number").agg(
         F.min("as_of_date").alias("_first_seen"),
         F.min(F.when(F.col("failure") == 1, F.col("as_of_date"))).alias("_failure_date"))
-    return stats.drop("_halo").join(ends, "serial_number")
+    return stats.drop("_chunk", "_r", "_halo").join(ends, "serial_number")
 
 
 def build_features(df: DataFrame, metrics: list[str] = METRICS, horizon_days: int = 30,
@@ -98,17 +93,16 @@ def build_features(df: DataFrame, metrics: list[str] = METRICS, horizon_days: in
     label_30d (the name is kept for every horizon), the metric statistics in
     stat-major order, year, month.
 
-    One ``Window.partitionBy(serial_number).orderBy(as_of_date)`` spec drives all
-    expressions, so the plan has one shuffle.  ``tiebreak`` adds the row's own
+    All rows of a drive come to one task in order of ``as_of_date``, where one window finds
+    the first day and failure and ``windows.rolled`` the statistics, so the plan has one shuffle and one sort.  ``tiebreak`` adds the row's own
     columns to the sort so duplicate (drive, day) rows are ordered the same way
     on every run.  ``dedupe`` (default) collapses exact duplicate rows (an
     appended re-run) after the drive shuffle, in its partitioning; a drive with many
     copies counts as hot, and its copies combine map-side.  Rows of the same drive
     and day that differ are kept (``duplicate_keys`` reports them).
 
-    The window stage is CPU-bound (sliding frames are re-aggregated per row)
-    while its shuffle is small, so AQE would coalesce it into a few tasks.
-    It is therefore hash-partitioned by drive into ``partitions`` (default:
+    The stage of the statistics is CPU-bound while its shuffle is small, so AQE would
+    coalesce it into a few tasks.  It is therefore hash-partitioned by drive into ``partitions`` (default:
     ``spark.sql.shuffle.partitions``) explicitly; the window reuses that
     partitioning, so this adds no exchange.
 
@@ -134,8 +128,7 @@ def build_features(df: DataFrame, metrics: list[str] = METRICS, horizon_days: in
         heavy = heavy.dropDuplicates() if dedupe else heavy
         enriched = by_drive(base.join(hot, "serial_number", "left_anti")).unionByName(
             _enrich_hot(heavy, metrics, chunk_rows, ties))
-    # delta uses the 7-row mean already computed (Spark would otherwise evaluate the same
-    # window aggregate twice)
+    # delta uses the 7-row mean already computed
     stat_cols = [f"`{m}` - `{m}_mean_7d`" if st == "delta_vs_7d" else f"`{m}_{st}`"
                  for st in STATS for m in metrics]
     stat_cols = [f"{e} AS `{m}_{st}`" for e, (st, m) in zip(stat_cols, [(st, m) for st in STATS for m in metrics])]

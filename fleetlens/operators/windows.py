@@ -18,6 +18,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fleetlens.schema import METRICS, STATS
 
+LOOKBACK_ROWS = 29  # the widest frame is the current row and the 29 rows before it
+ROLLED = [s for s in STATS if s != "delta_vs_7d"]
+
+
 def window_sql(key="serial_number", order: str = "as_of_date", tiebreak: list[str] | None = None,
                frame: str | None = None) -> str:
     """The drive window as SQL text (one parse on the JVM instead of many Column calls).
@@ -53,6 +57,83 @@ def rolling_feature_columns(metrics: list[str] = METRICS, key: str = "serial_num
     return [F.expr(f"{metric_stat_sql(m, s, key, order, tiebreak)} AS `{m}_{s}`") for s in stats for m in metrics]
 
 
+def rolled(rows: DataFrame, key: list[str], order: list[str], metrics: list[str] = METRICS) -> DataFrame:
+    """``rows``, placed by a part of ``key``, with the rolling means, deviation and rise of every metric.
+
+    The values of ``metric_stat_sql`` (all but the difference to the mean), added up in the
+    same order.  Sliding frames go over up to 30 rows for each row and statistic; here tasks get
+    their sorted rows as Arrow batches, and a step adds one row of the frame for all rows of a
+    batch.  The last 29 rows go on to the next batch, so a drive of any length takes the memory of one.
+    """
+    names = [f"{m}_{s}" for s in ROLLED for m in metrics]
+    types = ["int" if s == "is_increasing" else "double" for s in ROLLED for _ in metrics]
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema] + [f"`{n}` {t}" for n, t in zip(names, types)])
+
+    def roll(batches):
+        import pyarrow as pa
+
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            now = batch.select([*key, *metrics])
+            with_held = pa.Table.from_batches([now] if held is None else [held, now]).combine_chunks().to_batches()[0]
+            found = _rolled_batch(with_held, key, metrics, with_held.num_rows - batch.num_rows)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *found], names=[*batch.schema.names, *names])
+            held = with_held.slice(max(with_held.num_rows - LOOKBACK_ROWS, 0))
+
+    ordered = rows.sortWithinPartitions(*key, F.col(order[0]), *[F.col(c).asc_nulls_first() for c in order[1:]])
+    return ordered.mapInArrow(roll, schema)
+
+
+def _rolled_batch(batch, key: list[str], metrics: list[str], skip: int) -> list:
+    """The statistics of the rows after the first ``skip`` ones, an Arrow array each, in the order of ``ROLLED``."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    n = batch.num_rows
+    starts = np.ones(n, bool)
+    starts[1:] = False
+    for c in key:
+        column = batch.column(c)
+        starts[1:] |= pc.not_equal(column.slice(1), column.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+    since = (np.arange(n) - np.maximum.accumulate(np.where(starts, np.arange(n), 0)))[skip:]  # rows of the drive before
+    reach = [since >= back for back in range(LOOKBACK_ROWS + 1)]
+    pad = LOOKBACK_ROWS - min(skip, LOOKBACK_ROWS)
+    own = slice(skip + pad, n + pad)
+    x, held, out = np.zeros(n + pad), np.zeros(n + pad, bool), {}
+    for m in metrics:
+        column = batch.column(m)
+        held[pad:] = column.is_valid().to_numpy(zero_copy_only=False)
+        x[pad:] = pc.fill_null(column, 0.0).to_numpy(zero_copy_only=False)
+        n7, n30, sum7, sum30, mean, spread = (np.zeros(n - skip) for _ in range(6))
+        with np.errstate(all="ignore"):
+            for back in range(LOOKBACK_ROWS, -1, -1):
+                span = slice(own.start - back, own.stop - back)
+                inside = held[span] & reach[back]
+                value = np.where(inside, x[span], 0.0)
+                n30 += inside
+                sum30 += value
+                if back < 7:
+                    n7 += inside
+                    sum7 += value
+                # Spark's own update of a deviation; rows outside change nothing
+                value -= mean
+                delta = np.where(inside, value, 0.0)
+                part = delta / np.maximum(n30, 1.0)
+                mean += part
+                np.subtract(delta, part, out=part)
+                part *= delta
+                spread += part
+            before = slice(own.start - 1, own.stop - 1)
+            rises = (x[own] > x[before]) | (np.isnan(x[own]) & ~np.isnan(x[before]))
+            rises &= held[own] & held[before] & reach[1]
+            out[m] = {"mean_7d": pa.array(sum7 / n7, mask=n7 == 0), "mean_30d": pa.array(sum30 / n30, mask=n30 == 0),
+                      "std_30d": pa.array(np.sqrt(spread / n30), mask=n30 == 0), "is_increasing": pa.array(rises.astype(np.int32))}
+    return [out[m][s] for s in ROLLED for m in metrics]
+
+
 def with_first_days(df: DataFrame, key: str = "serial_number", order: str = "as_of_date",
                     failure: str = "failure") -> DataFrame:
     """``df`` plus ``first_seen`` and ``first_failure`` of each row's drive (whole history; looks ahead).

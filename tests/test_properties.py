@@ -228,3 +228,34 @@ def test_duplicate_incoming_keys_follow_the_order(spark):
     rows = spark.createDataFrame([("a", 9.0, 1), ("a", 3.0, 2)], "k string, v double, scored_at int")
     assert MG.dedupe_by_key(rows, ["k"], "max", ["scored_at"]).collect() == [("a", 3.0, 2)]
     assert MG.merge_by_key(rows.limit(0), rows, ["k"], order=["scored_at"]).collect() == [("a", 3.0, 2)]
+
+
+def test_rolled_rows_have_the_values_of_the_sliding_frames(spark):
+    """The same doubles as the window expressions, over nulls, NaN, infinities, drives longer than a batch and batches shorter than a frame."""
+    from fleetlens.operators import windows as W
+    metrics = ["a", "b"]
+    rng = random.Random(17)
+    odd = [None, 0.0, 1e15, -2.5, float("nan"), float("inf")]
+    rows = [(f"D{d}", i, rng.choice(odd) if rng.random() < 0.05 else rng.gauss(1e3, 50), None if d == 2 else float(rng.randrange(3)))
+            for d, days in enumerate((1, 95, 40, 7, 230)) for i in range(days)]
+    df = spark.createDataFrame(rows, "serial_number string, as_of_date int, a double, b double").repartition(2, "serial_number")
+    want = df.select("serial_number", "as_of_date", *W.rolling_feature_columns(metrics, stats=W.ROLLED))
+    kept = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for size in ("10000", "64", "11", "1"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            got = W.rolled(df, ["serial_number"], ["as_of_date"], metrics).select(want.columns)
+            assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", kept)
+
+
+def test_fast_rounding_gives_the_double_that_round_gives(spark):
+    from fleetlens.plans.catalog import rounded
+    rng = random.Random(23)
+    xs = [None, 0.0, -0.0, float("nan"), float("inf"), -float("inf"), 1e-7, -1e-7, 5e-7, 1.5e-6, -2.5e-6, 1.0000005, 0.0078125, 4e6, 3999999.9999995, 1e15, 1e300]
+    xs += [s * rng.random() * 10.0 ** rng.randrange(-9, 12) for s in (1, -1) for _ in range(3000)]
+    xs += [s * (rng.randrange(10 ** 12) + 0.5) / 1e6 for s in (1, -1) for _ in range(1000)]
+    rows = spark.createDataFrame([(x,) for x in xs], "x double").selectExpr("x", "round(x, 6) AS want", f"{rounded('x')} AS got").collect()
+    assert [repr(r.got) for r in rows] == [repr(r.want) for r in rows]
+    assert "rint" in rounded("x") and spark.sql(f"SELECT {rounded('x', 2)} AS y FROM VALUES (1.005D), (-7.125D) AS t(x)").collect() == [(1.01,), (-7.13,)]
