@@ -362,10 +362,11 @@ def q_publish_features(spark, d):
     """The feature table published whole, then its last months again from half of the rows and once more from all."""
     log = SnapshotLog(spark, scratch_path(spark, "snapshots"))
     f = FE.build_features(AD.telemetry_ship(spark, d), METRICS, 30)
-    JB.publish_features(f, log, "all")
-    last = f.where(F.col("as_of_date") >= F.lit("1998-01-01").cast("date"))
-    JB.publish_features(last.where(F.col("age_days") % 2 == 0), log, "half")
-    JB.publish_features(last, log, "again")
+    version = JB.publish_features(f, log, "all")
+    # the months come from the version that holds them all: the plan of ``f`` would build the whole table for each
+    last = log.read("features_offline", version).where((F.col("as_of_date") >= F.lit("1998-01-01").cast("date")) & (F.col("year") >= 1998))
+    JB.publish_features(last.where(F.col("age_days") % 2 == 0), log, "half", placed=True)
+    JB.publish_features(last, log, "again", placed=True)
     return round6(log.read("features_offline"))
 
 

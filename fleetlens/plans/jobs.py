@@ -311,9 +311,12 @@ def publish_scoring_run(run: ScoreRun, log: SnapshotLog, run_id: str) -> dict:
     return {"status": run.status, "day": str(run.day), "version": version}
 
 
-def publish_features(features: DataFrame, log: SnapshotLog, run_id: str, table: str = "features_offline") -> int:
-    """The feature table (or the months that ``features`` has) replaced in one commit; readers never see half of it."""
-    return log.publish(run_id, lambda work: work.replace(table, features, ["year", "month"]))
+def publish_features(features: DataFrame, log: SnapshotLog, run_id: str, table: str = "features_offline",
+                     placed: bool = False) -> int:
+    """The feature table (or the months that ``features`` has) replaced in one commit; readers never see half of it.
+
+    ``placed``: the rows were read from a table with the same months as partitions and aren't shuffled again."""
+    return log.publish(run_id, lambda work: work.replace(table, features, ["year", "month"], placed=placed))
 
 
 def persist_scoring_run(run: ScoreRun, predictions_path: str, features_path: str | None = None,

@@ -170,7 +170,7 @@ class Transaction:
     def _table(self, name: str) -> dict | None:
         return self.state["tables"].get(name)
 
-    def _write(self, table: str, df: DataFrame, partition_by: list[str]) -> list[str]:
+    def _write(self, table: str, df: DataFrame, partition_by: list[str], placed: bool = False) -> list[str]:
         if table in self.made:
             raise ValueError(f"{table} is changed twice in one commit")
         known = self._table(table)
@@ -183,7 +183,7 @@ class Transaction:
         order = [c for c in df.columns if c not in partition_by] + partition_by
         base = f"{self.log.root}/data/{table}/{COMMIT}={self.commit_id}"
         out = df.select(*order)
-        writer = (out.hint("rebalance", *partition_by) if partition_by else out).write.option("compression", "zstd")
+        writer = (out.hint("rebalance", *partition_by) if partition_by and not placed else out).write.option("compression", "zstd")
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(base)
         self.made[table] = {"schema": known["schema"] if known else out.schema.jsonValue(), "partition_by": partition_by, "parts": {}}
         if not partition_by:
@@ -195,9 +195,14 @@ class Transaction:
         """Add rows to a table without partitions."""
         self.appended[table] = self._write(table, df, [])
 
-    def replace(self, table: str, df: DataFrame, partition_by: list[str] | None = None, whole: bool = False) -> None:
-        """Replace the partitions that ``df`` has (``whole``: the table) by its rows."""
-        parts = self._write(table, df, partition_by or [])
+    def replace(self, table: str, df: DataFrame, partition_by: list[str] | None = None, whole: bool = False,
+                placed: bool = False) -> None:
+        """Replace the partitions that ``df`` has (``whole``: the table) by its rows.
+
+        ``placed`` says that the rows come from files of the same partitions, so each task
+        has few of them already and the rows aren't shuffled to be together.
+        """
+        parts = self._write(table, df, partition_by or [], placed)
         self.replaced[table] = {p: [self.commit_id] for p in parts}
         if whole or not partition_by:
             self.whole.add(table)

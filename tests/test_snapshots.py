@@ -171,3 +171,20 @@ def test_parameters_are_checked():
         with pytest.raises(ValueError):
             FL.validate_day(day)
     assert FL.validate_day("2024-01-31") == dt.date(2024, 1, 31)
+
+
+def test_publish_features_builds_and_shuffles_the_table_once(spark, smoke_dir, monkeypatch):
+    """Months that are published again come from the version that holds them, without the plan of the whole table."""
+    from fleetlens.plans import catalog_io, jobs
+    plans, publish = [], jobs.publish_features
+
+    def watched(features, *args, **kwargs):
+        plans.append((features._jdf.queryExecution().optimizedPlan().toString(), kwargs))
+        return publish(features, *args, **kwargs)
+
+    monkeypatch.setattr(jobs, "publish_features", watched)
+    got = catalog_io.q_publish_features(spark, smoke_dir)
+    assert ["MapInArrow" in p for p, _ in plans] == [True, False, False]
+    assert [k.get("placed", False) for _, k in plans] == [False, True, True]
+    want = catalog_io.q_write_features(spark, smoke_dir)
+    assert sorted(map(repr, got.select(want.columns).collect())) == sorted(map(repr, want.collect()))
