@@ -425,7 +425,8 @@ def q_run_pipeline(spark, d):
         ("as_of_date", "date"), ("serial_number", "serial_number"), ("model", "model"), ("failure", "failure"),
         ("smart_5_raw", "smart_5"), ("temperature", "temperature_raw"))])
     root = scratch_path(spark, "run")
-    ZC.write_zip_csv(text.repartition(4), f"{root}/zip").collect()
+    # an archive per core, as archives are written and read by a task each
+    ZC.write_zip_csv(text.repartition(max(4, spark.sparkContext.defaultParallelism)), f"{root}/zip").collect()
     out = JB.run_pipeline(spark, f"{root}/zip", horizon_days=7, root=f"{root}/out", manifest=q_dataset_manifest(spark, d))
     row = RG.active_model(spark.read.parquet(out["registry"]))
     return row.select(F.lit(out["warehouse_rows"]).cast("bigint").alias("warehouse_rows"),

@@ -50,3 +50,16 @@ def test_scoring_run_persisted(spark, smoke_dir, tmp_path):
     assert spark.read.parquet(str(tmp_path / "audit")).first()["action"] == "SCORE_RUN"
     empty = JB.run_scoring(app.limit(0), AD.drives(tel), None, MO.fixed_model(model_feature_names()))
     assert empty.status == "skipped"
+
+
+def test_run_pipeline_query_zips_on_all_cores(spark, smoke_dir, monkeypatch):
+    from fleetlens.plans import catalog_io
+    parts, write = [], catalog_io.ZC.write_zip_csv
+
+    def watched(df, *args):
+        parts.append(df.rdd.getNumPartitions())
+        return write(df, *args)
+
+    monkeypatch.setattr(catalog_io.ZC, "write_zip_csv", watched)
+    row, = catalog_io.q_run_pipeline(spark, smoke_dir).collect()
+    assert parts == [max(4, spark.sparkContext.defaultParallelism)] and row.warehouse_rows == row.feature_rows > 0
