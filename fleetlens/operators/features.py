@@ -10,6 +10,9 @@ from fleetlens.operators import windows as W
 from fleetlens.schema import METRICS, ONLINE_MISSING_METRICS, STATS
 
 BASE_TYPES = {"failure": "int", "capacity_bytes": "bigint"}
+# Rows without these are left out.  A month that comes of a day that is never null needs no check for
+# empty text when it becomes a partition, which would copy the wide rows once more.
+REQUIRED = ("serial_number", "as_of_date")
 
 
 def _recast(df: DataFrame, metrics: list[str], date_col: str) -> DataFrame:
@@ -43,14 +46,20 @@ def hot_drives(base: DataFrame, threshold: int) -> DataFrame:
     return rows.where(F.col("count") > threshold).select("serial_number")
 
 
-def _enrich_by_drive(base: DataFrame, metrics: list[str], ties: list[str]) -> DataFrame:
-    whole = W.window_sql("serial_number", "as_of_date", ties,
-                         "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING")
-    ends = base.select(
+def _enrich_by_drive(base: DataFrame, metrics: list[str], ties: list[str], dedupe: bool) -> DataFrame:
+    if dedupe:
+        # in order of all columns copies are neighbours; those after the day are compared only within a day
+        ties = ["failure", "capacity_bytes", "model", *metrics]
+    # one sort for the window, which needs its first two columns, and for the statistics
+    ordered = base.sortWithinPartitions("serial_number", "as_of_date", *[F.col(c).asc_nulls_first() for c in ties])
+    whole = W.window_sql("serial_number", "as_of_date",
+                         frame="ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING")
+    ends = ordered.select(
         "as_of_date", "serial_number", "model", "capacity_bytes", *([] if not ties else ["failure"]), *metrics,
         F.expr(f"min(as_of_date) OVER ({whole}) AS _first_seen"),
         F.expr(f"min(CASE WHEN failure = 1 THEN as_of_date END) OVER ({whole}) AS _failure_date"))
-    return W.rolled(ends, ["serial_number"], ["as_of_date", *ties], metrics).drop("failure")
+    return W.rolled(ends, ["serial_number"], ["as_of_date", *ties], metrics, distinct=dedupe,
+                    never_null=REQUIRED).drop("failure")
 
 
 def _enrich_hot(rows: DataFrame, metrics: list[str], chunk_rows: int, ties: list[str]) -> DataFrame:
@@ -76,7 +85,7 @@ def _enrich_hot(rows: DataFrame, metrics: list[str], chunk_rows: int, ties: list
     both = own.unionByName(halo)
     placed = both.select("as_of_date", "serial_number", "model", "capacity_bytes", *metrics, "_chunk", "_r", "_halo").repartition(
         "serial_number", "_chunk")
-    stats = W.rolled(placed, ["serial_number", "_chunk"], ["_r"], metrics).where(~F.col("_halo"))
+    stats = W.rolled(placed, ["serial_number", "_chunk"], ["_r"], metrics, never_null=REQUIRED).where(~F.col("_halo"))
     ends = rows.groupBy("serial_number").agg(
         F.min("as_of_date").alias("_first_seen"),
         F.min(F.when(F.col("failure") == 1, F.col("as_of_date"))).alias("_failure_date"))
@@ -86,7 +95,8 @@ def _enrich_hot(rows: DataFrame, metrics: list[str], chunk_rows: int, ties: list
 def build_features(df: DataFrame, metrics: list[str] = METRICS, horizon_days: int = 30,
                    date_col: str = "as_of_date", tiebreak: bool = False,
                    dedupe: bool = True, partitions: int | None = None,
-                   hot_rows: int | None = HOT_DRIVE_ROWS, chunk_rows: int = HOT_CHUNK_ROWS) -> DataFrame:
+                   hot_rows: int | None = HOT_DRIVE_ROWS, chunk_rows: int = HOT_CHUNK_ROWS,
+                   source: DataFrame | None = None) -> DataFrame:
     """Offline feature table: 9x5 rolling stats + age + look-ahead label + partition keys.
 
     Output columns: as_of_date, serial_number, model, capacity_bytes, age_days,
@@ -97,7 +107,7 @@ def build_features(df: DataFrame, metrics: list[str] = METRICS, horizon_days: in
     the first day and failure and ``windows.rolled`` the statistics, so the plan has one shuffle and one sort.  ``tiebreak`` adds the row's own
     columns to the sort so duplicate (drive, day) rows are ordered the same way
     on every run.  ``dedupe`` (default) collapses exact duplicate rows (an
-    appended re-run) after the drive shuffle, in its partitioning; a drive with many
+    appended re-run) where they are neighbours in the sorted rows; a drive with many
     copies counts as hot, and its copies combine map-side.  Rows of the same drive
     and day that differ are kept (``duplicate_keys`` reports them).
 
@@ -108,18 +118,19 @@ def build_features(df: DataFrame, metrics: list[str] = METRICS, horizon_days: in
 
     Drives with more than ``hot_rows`` rows (found by a one-column aggregate;
     ``None`` skips the check) are computed by an exact chunked path instead, so
-    no single key becomes one task.
+    no single key becomes one task.  Where ``df`` is derived at some cost, ``source`` can give the
+    ``serial_number`` of every row that it was made from: a drive has no more rows in ``df`` than
+    there, so ``df`` itself is counted only if a drive exceeds ``hot_rows`` in ``source``.
     """
     base = _recast(df, metrics, date_col).where(
         F.col("as_of_date").isNotNull() & F.col("serial_number").isNotNull())
-    hot = hot_drives(base, hot_rows) if hot_rows else None
+    may_be_hot = hot_rows and (source is None or not hot_drives(source, hot_rows).isEmpty())
+    hot = hot_drives(base, hot_rows) if may_be_hot else None
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ties = ["failure", "capacity_bytes", "model", *metrics] if tiebreak else []
 
     def by_drive(rows: DataFrame) -> DataFrame:
-        placed = rows.repartition(n, "serial_number")
-        # copies of a row have one drive, so collapsing them reuses the drive partitioning
-        return _enrich_by_drive(placed.dropDuplicates() if dedupe else placed, metrics, ties)
+        return _enrich_by_drive(rows.repartition(n, "serial_number"), metrics, ties, dedupe)
 
     if hot is None or hot.isEmpty():
         enriched = by_drive(base)
@@ -128,8 +139,8 @@ def build_features(df: DataFrame, metrics: list[str] = METRICS, horizon_days: in
         heavy = heavy.dropDuplicates() if dedupe else heavy
         enriched = by_drive(base.join(hot, "serial_number", "left_anti")).unionByName(
             _enrich_hot(heavy, metrics, chunk_rows, ties))
-    # delta uses the 7-row mean already computed
-    stat_cols = [f"`{m}` - `{m}_mean_7d`" if st == "delta_vs_7d" else f"`{m}_{st}`"
+    # delta uses the 7-row mean already computed, and is no negative zero
+    stat_cols = [f"`{m}` - `{m}_mean_7d` + 0.0D" if st == "delta_vs_7d" else f"`{m}_{st}`"
                  for st in STATS for m in metrics]
     stat_cols = [f"{e} AS `{m}_{st}`" for e, (st, m) in zip(stat_cols, [(st, m) for st in STATS for m in metrics])]
     return enriched.selectExpr(

@@ -29,6 +29,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return own[key]
 
 
+# The drive of a row of the table that the telemetry is made from.
+EVENTS_DRIVE = "concat('U', lpad(CAST(user_id AS STRING), 6, '0')) AS serial_number"
+SHIP_DRIVE = "concat('S', lpad(CAST(l_suppkey AS STRING), 6, '0')) AS serial_number"
+
+
 def telemetry_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dense, short daily telemetry from ``events`` (one drive per user)."""
     ev = table(spark, sf_dir, "events").select("user_id", "ts", "event_type", "value")
@@ -44,7 +49,7 @@ def telemetry_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CAST(count(1) AS DOUBLE) AS smart_242_raw",
         "max(value) AS temperature"]])
     return g.selectExpr(
-        "concat('U', lpad(CAST(user_id AS STRING), 6, '0')) AS serial_number", "as_of_date",
+        EVENTS_DRIVE, "as_of_date",
         "concat('M', CAST(user_id % 3 AS STRING)) AS model", "failure",
         "CAST((user_id % 4 + 1) * 1000000000000 AS BIGINT) AS capacity_bytes",
         "smart_5_raw", "smart_187_raw", "smart_188_raw", "smart_197_raw", "smart_198_raw",
@@ -68,13 +73,19 @@ def telemetry_ship(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CAST(count(1) AS DOUBLE) AS smart_242_raw",
         "max(l_quantity) AS temperature"]])
     return g.selectExpr(
-        "concat('S', lpad(CAST(l_suppkey AS STRING), 6, '0')) AS serial_number", "as_of_date",
+        SHIP_DRIVE, "as_of_date",
         "concat('M', CAST(l_suppkey % 5 AS STRING)) AS model", "failure",
         "CAST((l_suppkey % 4 + 1) * 1000000000000 AS BIGINT) AS capacity_bytes",
         "smart_5_raw", "smart_187_raw", "smart_188_raw", "smart_197_raw", "smart_198_raw",
         "smart_199_raw", "smart_241_raw", "smart_242_raw", "temperature")
 
 
+def source_rows(adapter, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The drive of every row that ``telemetry_events`` or ``telemetry_ship`` groups to days: a scan of one column."""
+    name, drive = {telemetry_events: ("events", EVENTS_DRIVE), telemetry_ship: ("lineitem", SHIP_DRIVE)}[adapter]
+    return table(spark, sf_dir, name).selectExpr(drive)
+
+
 def telemetry_daily(tel: DataFrame) -> DataFrame:
     """Canonical telemetry -> the application telemetry table shape (drive_id, day, ...)."""
     return tel.select(

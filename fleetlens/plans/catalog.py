@@ -41,17 +41,19 @@ def round6(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def q_build_features(spark, d):
-    return round6(FE.build_features(AD.telemetry_ship(spark, d), METRICS, horizon_days=30))
+    return round6(FE.build_features(AD.telemetry_ship(spark, d), METRICS, horizon_days=30,
+                                    source=AD.source_rows(AD.telemetry_ship, spark, d)))
 
 
 def q_build_features_events(spark, d):
-    return round6(FE.build_features(AD.telemetry_events(spark, d), METRICS, horizon_days=7))
+    return round6(FE.build_features(AD.telemetry_events(spark, d), METRICS, horizon_days=7,
+                                    source=AD.source_rows(AD.telemetry_events, spark, d)))
 
 
 def _stat_query(adapter, stat):
     def run(spark, d):
         # the feature table's plan without the columns that are not asked for, its treatment of hot drives included
-        features = FE.build_features(adapter(spark, d), METRICS)
+        features = FE.build_features(adapter(spark, d), METRICS, source=AD.source_rows(adapter, spark, d))
         return round6(features.select("serial_number", "as_of_date", *[f"{m}_{stat}" for m in METRICS]))
     return run
 

@@ -150,7 +150,7 @@ def q_scan_warehouse(spark, d):
 
 def q_write_features(spark, d):
     path = scratch_path(spark, "features")
-    f = FE.build_features(AD.telemetry_ship(spark, d), METRICS, 30)
+    f = FE.build_features(AD.telemetry_ship(spark, d), METRICS, 30, source=AD.source_rows(AD.telemetry_ship, spark, d))
     WH.write_partitioned(f.drop("year", "month"), path, mode="overwrite", date_col="as_of_date")
     return round6(WH.scan_warehouse(spark, path, schema=f.schema))
 
@@ -361,7 +361,7 @@ def q_publish_run(spark, d):
 def q_publish_features(spark, d):
     """The feature table published whole, then its last months again from half of the rows and once more from all."""
     log = SnapshotLog(spark, scratch_path(spark, "snapshots"))
-    f = FE.build_features(AD.telemetry_ship(spark, d), METRICS, 30)
+    f = FE.build_features(AD.telemetry_ship(spark, d), METRICS, 30, source=AD.source_rows(AD.telemetry_ship, spark, d))
     version = JB.publish_features(f, log, "all")
     # the months come from the version that holds them all: the plan of ``f`` would build the whole table for each
     last = log.read("features_offline", version).where((F.col("as_of_date") >= F.lit("1998-01-01").cast("date")) & (F.col("year") >= 1998))

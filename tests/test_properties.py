@@ -259,3 +259,56 @@ def test_fast_rounding_gives_the_double_that_round_gives(spark):
     rows = spark.createDataFrame([(x,) for x in xs], "x double").selectExpr("x", "round(x, 6) AS want", f"{rounded('x')} AS got").collect()
     assert [repr(r.got) for r in rows] == [repr(r.want) for r in rows]
     assert "rint" in rounded("x") and spark.sql(f"SELECT {rounded('x', 2)} AS y FROM VALUES (1.005D), (-7.125D) AS t(x)").collect() == [(1.01,), (-7.13,)]
+
+
+def test_a_derived_table_is_counted_only_if_its_source_has_a_hot_drive(spark, smoke_dir, monkeypatch):
+    tel = AD.telemetry_ship(spark, smoke_dir)
+    source = AD.source_rows(AD.telemetry_ship, spark, smoke_dir)
+    assert "Aggregate" not in _plan(source)
+    counted, count = [], FE.hot_drives
+
+    def watched(rows, threshold):
+        counted.append(rows.columns)
+        return count(rows, threshold)
+
+    monkeypatch.setattr(FE, "hot_drives", watched)
+    want = FE.build_features(tel, METRICS, 30, hot_rows=None)
+    assert counted == []
+    most = max(r["count"] for r in tel.groupBy("serial_number").count().collect())
+    few = FE.build_features(tel, METRICS, 30, source=source)
+    assert counted == [["serial_number"]]  # of the source, not of the table
+    counted.clear()
+    # the source has more rows of a drive than the bound: the table decides, and some of its drives go the long way
+    many = FE.build_features(tel, METRICS, 30, hot_rows=most - 1, chunk_rows=64, source=source)
+    assert len(counted) == 2 and counted[1] != ["serial_number"] and "_chunk" in _plan(many)
+    for got in (few, many):
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_copies_are_neighbours_of_one_sort(spark):
+    """Copies go once the rows are sorted for the statistics: no aggregate over all columns, no second sort, no copy of the wide rows for the month."""
+    rng = random.Random(29)
+    odd = [None, 0.0, -0.0, float("nan"), 2.5]
+    rows = []
+    for drive, days in (("A", 40), ("B", 3), ("C", 75)):
+        for i in range(days):
+            for _ in range(rng.choice((1, 1, 1, 2))):  # rows of one day that differ, each with up to 20 copies
+                row = (drive, dt.date(2024, 1, 1) + dt.timedelta(days=i), rng.choice((0, 1, None)), rng.choice(("m", None)),
+                       rng.choice((1, None)), rng.choice(odd), float(i % 7))
+                rows += [row] * rng.choice((1, 2, 3, 20))
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "serial_number string, as_of_date date, failure int, model string, capacity_bytes bigint, a double, b double")
+    got = FE.build_features(df, ["a", "b"], 30, tiebreak=True, hot_rows=None)
+    plan = _plan(got)
+    assert "Aggregate" not in plan and plan.count("Sort [") == 1
+    assert not got.schema["month"].nullable
+    want = FE.build_features(df.dropDuplicates(), ["a", "b"], 30, tiebreak=True, hot_rows=None, dedupe=False)
+    wanted = sorted(map(repr, want.collect()))
+    assert len(wanted) == df.distinct().count() < len(rows)
+    kept = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for size in ("10000", "7", "1"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            assert sorted(map(repr, got.collect())) == wanted
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", kept)
